@@ -41,7 +41,7 @@ EVENT_TYPE_LABELS = {
 URL_RULES = (("?", "query"), ("#", "fragment"), ("blog.", "blog"), (".html", "static"))
 PRUNE_FROM_DATE = "2024-01-15"
 PRUNE_MIN_PRICE = 100.0
-THRESHOLD = 250.0
+THRESHOLD = 50.0
 CUSTOMER_REQUIRED = ("c_custkey", "c_name", "c_phone", "c_mktsegment")
 CUSTOMER_WANTED = ("key", "name", "seg")
 ORDER_STATES = ("F", "O", "P")
@@ -316,13 +316,9 @@ def write_verify(spark, sf_dir):
     results = []
     path, n, _ = _write_chart_table(spark, sf_dir)
     results.append(("chart_prices", n, path))
-    vol = feeds.chart_points(
-        landing.describe_files(emulate.volume_docs_from_lineitem(table(spark, sf_dir, "lineitem"))),
-        "total_volumes",
-        "volume",
-    )
-    vpath = scratch_path(spark, "chart-volumes")
-    results.append(("chart_volumes", sinks.write_table(vol, vpath, partition_by=("coin_id", "date")), vpath))
+    spot = feeds.spot_long(emulate.spot_docs_from_events(table(spark, sf_dir, "events")))
+    spath = scratch_path(spark, "spot")
+    results.append(("spot", sinks.write_table(spot, spath), spath))
     cat = feeds.catalog_rows(emulate.catalog_docs_from_customer(table(spark, sf_dir, "customer")))
     cpath = scratch_path(spark, "catalog")
     results.append(("catalog", sinks.write_table(cat.withColumn("ingestion_timestamp", F.current_timestamp()), cpath), cpath))

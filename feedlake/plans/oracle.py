@@ -140,7 +140,7 @@ SELECT * FROM ({CHART_POINTS}) WHERE date >= DATE '{PRUNE_FROM_DATE}' AND price
 SELECT DISTINCT event_type AS coin_id, CAST(ts AS DATE) AS date FROM events ORDER BY 1, 2""",
     "write_verify": """
 SELECT 'chart_prices' AS table_name, count(*) AS rows_written, count(*) AS rows_read FROM events
-UNION ALL SELECT 'chart_volumes', count(*), count(*) FROM lineitem
+UNION ALL SELECT 'spot', count(*), count(*) FROM events
 UNION ALL SELECT 'catalog', count(*), count(*) FROM customer""",
     "csv_export": "SELECT * FROM customer",
     "json_export": "SELECT * FROM part",
