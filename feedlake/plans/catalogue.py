@@ -125,13 +125,16 @@ def json_document_scan(spark, sf_dir):
 def landing_scan(spark, sf_dir):
     """Every page landed as its own JSON file; one-pass whole-text scan."""
     pages = table(spark, sf_dir, "pages")
-    path = scratch_path(spark, "landing")
-    docs = pages.select("page_id", F.to_json(F.struct("url", "html")).alias("value"))
-    docs.write.mode("overwrite").partitionBy("page_id").text(path)
+    path = emulate.landed_files(
+        spark,
+        "pages",
+        [pages],
+        lambda: pages.select(F.to_json(F.struct("page_id", "url", "html")).alias("value")),
+    )
     scanned = landing.scan_landing(spark, path, glob="*.txt")
-    parsed = F.from_json("doc", "url string, html string")
+    parsed = F.from_json("doc", "page_id long, url string, html string")
     return scanned.select(
-        F.col("page_id").cast("long").alias("page_id"),
+        parsed["page_id"].alias("page_id"),
         parsed["url"].alias("url"),
         F.length(parsed["html"]).cast("long").alias("n_chars"),
     )

@@ -12,10 +12,14 @@ one document; nothing is sampled or dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.columns import ts_to_epoch_ms
+from feedlake.session import shared_root
 
 CHART_CHUNK = 256
 SPOT_CHUNK = 256
@@ -153,3 +157,37 @@ def landing_zone(events: DataFrame, customer: DataFrame, pages: DataFrame) -> Da
         .unionByName(catalog_docs_from_customer(customer))
         .unionByName(page_files(pages))
     )
+
+
+def _fingerprint(spark: SparkSession, sources: Sequence[DataFrame]) -> str:
+    """Hash of the input files' paths, lengths and modification times."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    parts = []
+    for df in sources:
+        for f in sorted(df.inputFiles()):
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            st = path.getFileSystem(conf).getFileStatus(path)
+            parts.append(f"{f}|{st.getLen()}|{st.getModificationTime()}")
+    return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:16]
+
+
+def landed_files(
+    spark: SparkSession,
+    name: str,
+    sources: Sequence[DataFrame],
+    docs: Callable[[], DataFrame],
+) -> str:
+    """Directory of landed files, one document per file, written once.
+
+    Files land once and are scanned many times, so the emulated landing zone
+    is materialised under the shared folder, keyed by the source files'
+    fingerprint, and reused while a ``_SUCCESS`` marker says it is complete.
+    ``maxRecordsPerFile=1`` gives exactly one document per file in one flat
+    directory, without a shuffle.
+    """
+    path = f"{shared_root(spark)}/landing-cache/{name}-{_fingerprint(spark, sources)}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not marker.getFileSystem(conf).exists(marker):
+        docs().write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    return path
