@@ -27,18 +27,21 @@ def write_table(
     sort_by: Sequence[str] = (),
     fmt: str = "parquet",
     mode: str = "overwrite",
-) -> int:
+    count_rows: bool = True,
+) -> int | None:
     """Write ``df`` and return the number of rows written.
 
     ``refresh="full"`` replaces the whole table (static overwrite);
     ``refresh="touched"`` replaces only the partitions present in ``df``
     (dynamic overwrite) and keeps all others.  The row count is collected
-    by an ``Observation`` during the write itself - no second job.
+    by an ``Observation`` during the write itself - no second job.  Pass
+    ``count_rows=False`` inside ``foreachBatch``, where observations of the
+    micro-batch frame are not available; ``None`` is returned then.
     """
     if refresh not in ("full", "touched"):
         raise ValueError("refresh must be 'full' or 'touched'")
-    obs = Observation("written")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    obs = Observation("written") if count_rows else None
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs else df
     if partition_by:
         out = out.hint("rebalance", *partition_by)
         out = out.sortWithinPartitions(*partition_by, *sort_by)
@@ -49,7 +52,7 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
         writer = writer.option("partitionOverwriteMode", "dynamic" if refresh == "touched" else "static")
     writer.save(path)
-    return int(obs.get.get("rows", 0))
+    return int(obs.get.get("rows", 0)) if obs else None
 
 
 def verify_written(spark, path: str, expected_rows: int, fmt: str = "parquet") -> dict:

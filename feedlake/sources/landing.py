@@ -39,10 +39,11 @@ def scan_landing(
     Non-recursive by default, like a directory listing of the landing zone.
     Partition columns found in the directory names (``key=value``) are kept.
     """
-    reader = spark.read.option("wholetext", "true").option("pathGlobFilter", glob)
+    reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    raw = reader.text(path)
+    # text() has its own wholetext argument, which overrides .option()
+    raw = reader.text(path, wholetext=True)
     extra = [c for c in raw.columns if c != "value"]
     return raw.select(
         F.col("_metadata.file_name").alias("file_name"),

@@ -98,7 +98,7 @@ def dedup_within_watermark(
 def ingest_landing_batch(
     batch: DataFrame,
     table_root: str,
-) -> dict[str, int]:
+) -> None:
     """Write one micro-batch of landed documents to the feed tables (append).
 
     Used by ``foreachBatch``: each batch is an ordinary DataFrame, so the
@@ -107,30 +107,30 @@ def ingest_landing_batch(
     """
     from feedlake.sinks.tables import write_table
 
-    counts = {}
     charts = batch.filter(F.col("kind") == "chart")
-    counts["chart_prices"] = write_table(
+    write_table(
         feeds.chart_points(charts, "prices", "price"),
         f"{table_root}/chart_prices",
         partition_by=("coin_id", "date"),
         sort_by=("timestamp",),
         mode="append",
+        count_rows=False,
     )
-    counts["chart_volumes"] = write_table(
+    write_table(
         feeds.chart_points(charts, "total_volumes", "volume"),
         f"{table_root}/chart_volumes",
         partition_by=("coin_id", "date"),
         sort_by=("timestamp",),
         mode="append",
+        count_rows=False,
     )
-    counts["spot"] = write_table(
-        feeds.spot_long(batch.filter(F.col("kind") == "spot")), f"{table_root}/spot", mode="append"
+    write_table(
+        feeds.spot_long(batch.filter(F.col("kind") == "spot")), f"{table_root}/spot", mode="append", count_rows=False
     )
-    counts["catalog"] = write_table(
-        feeds.catalog_rows(batch.filter(F.col("kind") == "catalog")), f"{table_root}/catalog", mode="append"
+    write_table(
+        feeds.catalog_rows(batch.filter(F.col("kind") == "catalog")), f"{table_root}/catalog", mode="append", count_rows=False
     )
-    counts["quarantine"] = write_table(feeds.quarantine(batch), f"{table_root}/quarantine", mode="append")
-    return counts
+    write_table(feeds.quarantine(batch), f"{table_root}/quarantine", mode="append", count_rows=False)
 
 
 def latest_chart(spark: SparkSession, table_root: str, value_name: str = "price") -> DataFrame:
