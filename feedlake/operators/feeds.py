@@ -28,19 +28,6 @@ def _context(docs: DataFrame, keep: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in keep if c in docs.columns]
 
 
-def _problem_rows(df: DataFrame, kind: str, reason: Column, doc_col: str = "doc") -> DataFrame:
-    def ref(c):
-        return F.col(c) if c in df.columns else F.lit(None).cast("string")
-
-    return df.select(
-        ref("file_name").alias("file_name"),
-        ref("file_path").alias("file_path"),
-        F.lit(kind).alias("kind"),
-        reason.alias("reason"),
-        F.substring(F.col(doc_col), 1, PREFIX_CHARS).alias("doc_prefix"),
-    )
-
-
 # -- catalog (coins_list) --------------------------------------------------------
 
 
@@ -60,20 +47,6 @@ def catalog_rows(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CO
     return items.filter(ok).select("_item.id", "_item.symbol", "_item.name", *_context(docs, keep))
 
 
-def catalog_problems(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    bad_docs = docs.filter(F.json_array_length(doc_col).isNull())
-    items = _catalog_items(docs, doc_col, ("file_name", "file_path"))
-    missing = items.filter(
-        F.col("_item").isNull()
-        | F.col("_item.id").isNull()
-        | F.col("_item.symbol").isNull()
-        | F.col("_item.name").isNull()
-    )
-    return _problem_rows(bad_docs, "catalog", F.lit("not a JSON array"), doc_col).unionByName(
-        _problem_rows(missing, "catalog", F.lit("missing required field"), doc_col)
-    )
-
-
 # -- spot (simple_price) -----------------------------------------------------------
 
 
@@ -106,20 +79,6 @@ def spot_long(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTE
     ).filter(F.col("price").isNotNull())
 
 
-def spot_problems(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    bad_docs = docs.filter(F.from_json(doc_col, SPOT_DOC).isNull())
-    quotes = _spot_quotes(docs, doc_col, ("file_name", "file_path"))
-    bad_quotes = quotes.filter(F.col("_raw").isNotNull() & F.col("_raw").try_cast("double").isNull())
-    return _problem_rows(bad_docs, "spot", F.lit("not a keyed JSON object"), doc_col).unionByName(
-        _problem_rows(
-            bad_quotes,
-            "spot",
-            F.concat(F.lit("non-numeric quote "), F.col("coin_id"), F.lit("."), F.col("currency")),
-            doc_col,
-        )
-    )
-
-
 def spot_quote(
     docs: DataFrame, currency: str = "usd", doc_col: str = "doc", keep: Sequence[str] = CONTEXT
 ) -> DataFrame:
@@ -193,28 +152,122 @@ def chart_points(
     )
 
 
-def chart_problems(docs: DataFrame, doc_col: str = "doc", fields: Sequence[str] = ("prices", "total_volumes")) -> DataFrame:
-    bad_docs = docs.filter(json_keys(doc_col).isNull())
-    out = _problem_rows(bad_docs, "chart", F.lit("not a JSON object"), doc_col)
-    for field in fields:
-        pairs = _chart_pairs(docs, field, doc_col, ("file_name", "file_path"))
-        short = pairs.filter(F.get("_pair", 0).isNull() | F.get("_pair", 1).isNull())
-        out = out.unionByName(_problem_rows(short, "chart", F.lit(f"short pair in {field}"), doc_col))
-    return out
+# -- one-pass document checks ------------------------------------------------------------
+#
+# Per document, the reasons it (or some of its rows) cannot be used, and the
+# number of typed rows it yields, as column expressions over the document
+# text.  The quarantine and the run report are then one scan of the landing
+# frame each, instead of one scan per feed and per kind of problem.
+
+
+def _pair_ok(p: Column) -> Column:
+    return F.get(p, 0).isNotNull() & F.get(p, 1).isNotNull()
+
+
+def _repeat(reason: str, n: Column) -> Column:
+    return F.array_repeat(F.lit(reason), F.coalesce(n, F.lit(0)))
+
+
+def _chart_reasons(doc: Column, fields: Sequence[str] = ("prices", "total_volumes")) -> Column:
+    parsed = F.from_json(doc, CHART_DOC)
+    shorts = [_repeat(f"short pair in {f}", F.size(F.filter(parsed[f], lambda p: ~_pair_ok(p)))) for f in fields]
+    return F.when(json_keys(doc).isNull(), F.array(F.lit("not a JSON object"))).otherwise(F.concat(*shorts))
+
+
+def _spot_reasons(doc: Column) -> Column:
+    parsed = F.from_json(doc, SPOT_DOC)
+    bad_quotes = F.flatten(
+        F.transform(
+            F.map_entries(parsed),
+            lambda asset: F.transform(
+                F.filter(
+                    F.coalesce(F.map_entries(asset["value"]), F.array().cast("array<struct<key:string,value:string>>")),
+                    lambda q: q["value"].isNotNull() & q["value"].try_cast("double").isNull(),
+                ),
+                lambda q: F.concat(F.lit("non-numeric quote "), asset["key"], F.lit("."), q["key"]),
+            ),
+        )
+    )
+    return F.when(parsed.isNull(), F.array(F.lit("not a keyed JSON object"))).otherwise(bad_quotes)
+
+
+def _catalog_item_ok(i: Column) -> Column:
+    return i["id"].isNotNull() & i["symbol"].isNotNull() & i["name"].isNotNull()
+
+
+def _catalog_reasons(doc: Column) -> Column:
+    items = F.from_json(doc, CATALOG_DOC)
+    missing = F.size(F.filter(items, lambda i: ~F.coalesce(_catalog_item_ok(i), F.lit(False))))
+    return F.when(F.json_array_length(doc).isNull(), F.array(F.lit("not a JSON array"))).otherwise(
+        _repeat("missing required field", missing)
+    )
+
+
+def problem_reasons(kind: str | Column = "kind", doc_col: str = "doc") -> Column:
+    """``array<string>`` of reasons per document (empty when all is usable)."""
+    kind = F.col(kind) if isinstance(kind, str) else kind
+    doc = F.col(doc_col)
+    return (
+        F.when(kind == "chart", _chart_reasons(doc))
+        .when(kind == "spot", _spot_reasons(doc))
+        .when(kind == "catalog", _catalog_reasons(doc))
+        .otherwise(F.array().cast("array<string>"))
+    )
+
+
+def typed_row_count(kind: str | Column = "kind", doc_col: str = "doc") -> Column:
+    """Rows the document yields in its feed's main table (chart: prices)."""
+    kind = F.col(kind) if isinstance(kind, str) else kind
+    doc = F.col(doc_col)
+    chart = F.from_json(doc, CHART_DOC)["prices"]
+    chart_rows = F.size(
+        F.filter(chart, lambda p: _pair_ok(p) & epoch_ms_to_ts(F.get(p, 0)).isNotNull())
+    )
+    spot = F.from_json(doc, SPOT_DOC)
+    spot_values = F.flatten(
+        F.transform(F.map_values(spot), lambda q: F.coalesce(F.map_values(q), F.array().cast("array<string>")))
+    )
+    spot_rows = F.size(F.filter(spot_values, lambda v: v.try_cast("double").isNotNull()))
+    items = F.from_json(doc, CATALOG_DOC)
+    catalog_rows_n = F.size(F.filter(items, lambda i: F.coalesce(_catalog_item_ok(i), F.lit(False))))
+    n = (
+        F.when(kind == "chart", F.when(json_keys(doc).isNotNull(), chart_rows))
+        .when(kind == "spot", spot_rows)
+        .when(kind == "catalog", F.when(F.json_array_length(doc).isNotNull(), catalog_rows_n))
+    )
+    return F.coalesce(n, F.lit(0)).cast("long")
 
 
 def quarantine(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """Everything that could not be used, with a reason, across all feeds."""
-    by = {
-        "catalog": catalog_problems,
-        "spot": spot_problems,
-        "chart": chart_problems,
-    }
-    parts = [fn(routed.filter(F.col("kind") == kind), doc_col) for kind, fn in by.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Everything that could not be used, with a reason, across all feeds.
+
+    One pass over the documents: ``(file_name, file_path, kind, reason,
+    doc_prefix)``, one row per problem.
+    """
+
+    def ref(c):
+        return F.col(c) if c in routed.columns else F.lit(None).cast("string")
+
+    return routed.select(
+        ref("file_name").alias("file_name"),
+        ref("file_path").alias("file_path"),
+        F.col("kind"),
+        F.explode(problem_reasons("kind", doc_col)).alias("reason"),
+        F.substring(F.col(doc_col), 1, PREFIX_CHARS).alias("doc_prefix"),
+    )
+
+
+def _problems_of(kind: str):
+    def problems(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+        return quarantine(docs.withColumn("kind", F.lit(kind)), doc_col)
+
+    problems.__doc__ = f"Quarantine rows of documents read as the {kind} feed."
+    return problems
+
+
+catalog_problems = _problems_of("catalog")
+spot_problems = _problems_of("spot")
+chart_problems = _problems_of("chart")
 
 
 def cast_measures(df: DataFrame, keep: Sequence[str], to: str = "double") -> DataFrame:

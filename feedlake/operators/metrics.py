@@ -150,42 +150,32 @@ def sustained_threshold(
     """Runs of consecutive samples above ``threshold`` lasting at least
     ``min_duration_seconds`` (last minus first sample time).
 
-    Gaps-and-islands in two levels.  Inside a (series, bucket) partition a
-    window finds the previous sample and numbers run starts; the state at the
-    edge of the previous bucket and the number of runs started before it come
-    from a per-bucket aggregate (one row per series and bucket).
+    Gaps and islands without ordering a whole series in one task.  A run is
+    identified by the last sample *not* above the threshold before it (its
+    ordering key); that is a running maximum, which splits in two levels:
+
+    * inside a (series, bucket) partition, a window keeps the running
+      maximum of below-threshold keys;
+    * for the first rows of a bucket, the maximum over all earlier buckets
+      comes from a per-bucket aggregate (partial aggregation, no window)
+      followed by a running maximum over one row per series and bucket.
+
     Returns ``(series..., start_ts, end_ts, n_samples)``.
     """
     order_cols = [ts] + ([tie] if tie else [])
-    order = F.struct(*order_cols)
+    below_key = F.when(~F.col("_above"), F.struct(*[F.col(c) for c in order_cols]))
     df = _bucketed(samples, ts, bucket).withColumn("_above", F.col(value) > F.lit(threshold))
 
-    w_in = Window.partitionBy(*series, "_bucket").orderBy(*order_cols)
-    df = df.withColumn("_prev_in", F.lag("_above").over(w_in))
-
-    # state of the last sample of each bucket, shifted to the next bucket
-    per_bucket = df.groupBy(*series, "_bucket").agg(F.max_by("_above", order).alias("_last_above"))
-    w_b = Window.partitionBy(*series).orderBy("_bucket")
-    edges = per_bucket.select(*series, "_bucket", F.lag("_last_above").over(w_b).alias("_prev_edge"))
-    df = df.join(edges, [*series, "_bucket"])
-
-    prev = F.coalesce(F.col("_prev_in"), F.col("_prev_edge"), F.lit(False))
-    df = df.withColumn("_start", (F.col("_above") & ~prev).cast("long"))
-    df = df.withColumn("_starts_in", F.sum("_start").over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
-
-    # runs started in earlier buckets of the same series
-    starts = df.groupBy(*series, "_bucket").agg(F.sum("_start").alias("_n"))
-    offsets = starts.select(
-        *series,
-        "_bucket",
-        F.coalesce(
-            F.sum("_n").over(w_b.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_offset"),
-    )
-    df = df.join(offsets, [*series, "_bucket"]).withColumn("_run", F.col("_offset") + F.col("_starts_in"))
+    per_bucket = df.groupBy(*series, "_bucket").agg(F.max(below_key).alias("_last_below"))
+    w_b = Window.partitionBy(*series).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_bucket.select(*series, "_bucket", F.max("_last_below").over(w_b).alias("_carried"))
 
+    w_in = Window.partitionBy(*series, "_bucket").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     runs = (
-        df.filter("_above")
+        df.withColumn("_below_in", F.max(below_key).over(w_in))
+        .filter("_above")
+        .join(carried, [*series, "_bucket"])
+        .withColumn("_run", F.coalesce("_below_in", "_carried"))
         .groupBy(*series, "_run")
         .agg(
             F.min(ts).alias("start_ts"),

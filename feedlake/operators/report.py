@@ -5,44 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.functions.columns import FEED_RULES, UNRECOGNISED
+from feedlake.functions.columns import UNRECOGNISED
 from feedlake.operators import feeds
 
 
-def feed_rows(routed: DataFrame) -> DataFrame:
-    """Typed rows of every feed in one frame ``(kind, n_rows)``.
-
-    Each part is an aggregate to a single row; the union is tiny.
-    """
-    by_kind = {k: routed.filter(F.col("kind") == k) for _, k in FEED_RULES}
-    parts = [
-        feeds.chart_points(by_kind["chart"]).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("kind", F.lit("chart")),
-        feeds.spot_long(by_kind["spot"]).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("kind", F.lit("spot")),
-        feeds.catalog_rows(by_kind["catalog"]).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("kind", F.lit("catalog")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def run_report(routed: DataFrame) -> DataFrame:
+def run_report(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
     """``(kind, n_files, n_rows, n_bad, status)`` for every kind seen.
 
-    ``status`` is ``ok`` when no file of the kind was quarantined, else
-    ``partial``; unrecognised files are counted, never parsed.
+    One scan of the landing frame: each document's row count and problem
+    list are column expressions, summed by a single aggregation (partial
+    aggregates per task, one tiny shuffle).  ``status`` is ``ok`` when no
+    file of the kind was quarantined, else ``partial``; unrecognised files
+    are counted, never parsed.
     """
-    files = routed.groupBy("kind").agg(F.count(F.lit(1)).alias("n_files"))
-    bad = feeds.quarantine(routed).groupBy("kind").agg(F.countDistinct(F.coalesce("file_path", "file_name")).alias("n_bad"))
-    rows = feed_rows(routed)
-    out = files.join(rows, "kind", "left").join(bad, "kind", "left")
+    per_doc = routed.select(
+        "kind",
+        feeds.typed_row_count("kind", doc_col).alias("_rows"),
+        (F.size(feeds.problem_reasons("kind", doc_col)) > 0).cast("long").alias("_bad"),
+    )
+    out = per_doc.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.sum("_rows").alias("n_rows"),
+        F.sum("_bad").alias("n_bad"),
+    )
     return out.select(
         "kind",
         "n_files",
-        F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
-        F.coalesce("n_bad", F.lit(0)).cast("long").alias("n_bad"),
+        "n_rows",
+        "n_bad",
         F.when(F.col("kind") == UNRECOGNISED, "skipped")
-        .when(F.coalesce("n_bad", F.lit(0)) > 0, "partial")
+        .when(F.col("n_bad") > 0, "partial")
         .otherwise("ok")
         .alias("status"),
     )

@@ -536,11 +536,9 @@ def quarantine(spark, sf_dir):
     """Per-event spot documents, error events landed truncated: ok vs reason."""
     docs = emulate.spot_doc_per_event(table(spark, sf_dir, "events"), broken_types=("error",))
     routed = landing.describe_files(docs)
-    bad = feeds.quarantine(routed).select("file_path", "reason")
-    return (
-        routed.join(bad, "file_path", "left")
-        .groupBy(F.coalesce("reason", F.lit("ok")).alias("status"))
-        .agg(F.count(F.lit(1)).alias("n_docs"))
+    first_reason = F.try_element_at(feeds.problem_reasons("kind"), F.lit(1))
+    return routed.groupBy(F.coalesce(first_reason, F.lit("ok")).alias("status")).agg(
+        F.count(F.lit(1)).alias("n_docs")
     )
 
 
