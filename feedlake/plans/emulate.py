@@ -78,17 +78,20 @@ def chart_docs_from_events(events: DataFrame, value_col: str = "value", chunk: i
 
 
 def volume_docs_from_lineitem(lineitem: DataFrame, chunk: int = CHART_CHUNK) -> DataFrame:
-    """Chart documents that carry only ``total_volumes`` (no ``prices`` key)."""
+    """Chart documents that carry only ``total_volumes`` (no ``prices`` key).
+
+    One document per (l_returnflag, l_orderkey div chunk): a few hundred
+    pairs, at most ``chunk`` orders x 7 lines, spanning many days as a
+    chart window does.
+    """
     ms = ts_to_epoch_ms("l_shipdate")
-    grouped = lineitem.groupBy(
-        "l_returnflag", F.to_date("l_shipdate").alias("_day"), _chunk("l_orderkey", chunk).alias("_chunk")
-    ).agg(
+    grouped = lineitem.groupBy("l_returnflag", _chunk("l_orderkey", chunk).alias("_chunk")).agg(
         F.collect_list(_pair(ms, F.col("l_quantity"))).alias("total_volumes"),
         F.max("l_shipdate").alias("_last"),
     )
     return grouped.select(
         _name("market_chart", F.col("l_returnflag"), stamp=_stamp("_last")).alias("file_name"),
-        _path("volume", F.col("l_returnflag"), F.col("_day"), F.col("_chunk")),
+        _path("volume", F.col("l_returnflag"), F.col("_chunk")),
         F.to_json(F.struct("total_volumes")).alias("doc"),
     )
 
