@@ -17,12 +17,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.functions.columns import epoch_ms_to_ts, json_keys
+from feedlake.functions.columns import epoch_ms_to_ts, epoch_s_to_ts, json_keys
 from feedlake.schemas import CATALOG_DOC, CHART_DOC, SPOT_DOC
 
 CONTEXT = ("file_name", "snapshot_ts")
 PREFIX_CHARS = 200
 
+# Fixed value: the per-asset update-time key the spot endpoint adds when asked.
+SPOT_TIME_KEY = "last_updated_at"
+
 
 def _context(docs: DataFrame, keep: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in keep if c in docs.columns]
@@ -50,6 +53,11 @@ def catalog_rows(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CO
 # -- spot (simple_price) -----------------------------------------------------------
 
 
+def _only_quotes(quotes: Column) -> Column:
+    """Quote map without the optional update-time key."""
+    return F.map_filter(quotes, lambda k, _: k != F.lit(SPOT_TIME_KEY))
+
+
 def _spot_quotes(docs: DataFrame, doc_col: str, keep: Sequence[str]) -> DataFrame:
     assets = docs.select(
         *_context(docs, keep),
@@ -60,21 +68,25 @@ def _spot_quotes(docs: DataFrame, doc_col: str, keep: Sequence[str]) -> DataFram
         *_context(docs, keep),
         F.col(doc_col),
         "coin_id",
-        F.explode("_quotes").alias("currency", "_raw"),
+        epoch_s_to_ts(F.try_element_at("_quotes", F.lit(SPOT_TIME_KEY))).alias("quote_ts"),
+        F.explode(_only_quotes(F.col("_quotes"))).alias("currency", "_raw"),
     )
 
 
 def spot_long(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTEXT) -> DataFrame:
-    """``{asset: {currency: value}}`` -> ``(coin_id, currency, price)`` rows.
+    """``{asset: {currency: value}}`` -> ``(coin_id, currency, price, quote_ts)``.
 
     Integral and fractional quotes both become double; a null quote is
     dropped; a non-numeric quote loses only its own row (quarantined).
+    ``quote_ts`` is the asset's ``last_updated_at`` (epoch seconds) when the
+    document carries it, else null; it is not a currency.
     """
     quotes = _spot_quotes(docs, doc_col, keep)
     return quotes.select(
         "coin_id",
         "currency",
         F.col("_raw").try_cast("double").alias("price"),
+        "quote_ts",
         *_context(docs, keep),
     ).filter(F.col("price").isNotNull())
 
@@ -82,7 +94,7 @@ def spot_long(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTE
 def spot_quote(
     docs: DataFrame, currency: str = "usd", doc_col: str = "doc", keep: Sequence[str] = CONTEXT
 ) -> DataFrame:
-    """Assets that carry a quote in ``currency``: ``(coin_id, <currency>)``."""
+    """Assets that carry a quote in ``currency``: ``(coin_id, <currency>, quote_ts)``."""
     assets = docs.select(
         *_context(docs, keep),
         F.explode(F.from_json(doc_col, SPOT_DOC)).alias("coin_id", "_quotes"),
@@ -90,6 +102,7 @@ def spot_quote(
     return assets.filter(F.map_contains_key("_quotes", currency)).select(
         "coin_id",
         F.col("_quotes")[currency].try_cast("double").alias(currency),
+        epoch_s_to_ts(F.try_element_at("_quotes", F.lit(SPOT_TIME_KEY))).alias("quote_ts"),
         *_context(docs, keep),
     )
 
@@ -181,7 +194,10 @@ def _spot_reasons(doc: Column) -> Column:
             F.map_entries(parsed),
             lambda asset: F.transform(
                 F.filter(
-                    F.coalesce(F.map_entries(asset["value"]), F.array().cast("array<struct<key:string,value:string>>")),
+                    F.coalesce(
+                        F.map_entries(_only_quotes(asset["value"])),
+                        F.array().cast("array<struct<key:string,value:string>>"),
+                    ),
                     lambda q: q["value"].isNotNull() & q["value"].try_cast("double").isNull(),
                 ),
                 lambda q: F.concat(F.lit("non-numeric quote "), asset["key"], F.lit("."), q["key"]),
@@ -225,7 +241,9 @@ def typed_row_count(kind: str | Column = "kind", doc_col: str = "doc") -> Column
     )
     spot = F.from_json(doc, SPOT_DOC)
     spot_values = F.flatten(
-        F.transform(F.map_values(spot), lambda q: F.coalesce(F.map_values(q), F.array().cast("array<string>")))
+        F.transform(
+            F.map_values(spot), lambda q: F.coalesce(F.map_values(_only_quotes(q)), F.array().cast("array<string>"))
+        )
     )
     spot_rows = F.size(F.filter(spot_values, lambda v: v.try_cast("double").isNotNull()))
     items = F.from_json(doc, CATALOG_DOC)

@@ -45,6 +45,7 @@ SPOT_LONG_TABLE = T.StructType(
         T.StructField("coin_id", T.StringType()),
         T.StructField("currency", T.StringType()),
         T.StructField("price", T.DoubleType()),
+        T.StructField("quote_ts", T.TimestampType()),
         T.StructField("snapshot_ts", T.TimestampType()),
     ]
 )

@@ -36,7 +36,8 @@ def write_table(
     (dynamic overwrite) and keeps all others.  The row count is collected
     by an ``Observation`` during the write itself - no second job.  Pass
     ``count_rows=False`` inside ``foreachBatch``, where observations of the
-    micro-batch frame are not available; ``None`` is returned then.
+    micro-batch frame are not available; ``None`` is returned then, and
+    also when the input had no partitions at all.
     """
     if refresh not in ("full", "touched"):
         raise ValueError("refresh must be 'full' or 'touched'")
@@ -52,7 +53,21 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
         writer = writer.option("partitionOverwriteMode", "dynamic" if refresh == "touched" else "static")
     writer.save(path)
-    return int(obs.get.get("rows", 0)) if obs else None
+    return _observed_rows(obs)
+
+
+def _observed_rows(obs: Observation | None) -> int | None:
+    """Row count from the observation, ``None`` when none was delivered.
+
+    An input without partitions (e.g. an empty landing zone) runs no task,
+    so no metrics row exists; the data was still written.
+    """
+    if obs is None:
+        return None
+    try:
+        return int(obs.get.get("rows", 0))
+    except Exception:  # noqa: BLE001 - py4j raises a generic error for a missing row
+        return None
 
 
 def verify_written(spark, path: str, expected_rows: int, fmt: str = "parquet") -> dict:

@@ -114,3 +114,16 @@ def test_cast_measures_keeps_keys_and_try_casts(spark):  # P5, F10
 def test_spot_usd_key_exists(spark):  # P7
     d = docs(spark, ("simple_price_20250722_192230.json", '{"a":{"usd":1},"b":{"eur":2}}'))
     assert [(r.coin_id, r.usd) for r in feeds.spot_quote(d, "usd").collect()] == [("a", 1.0)]
+
+
+def test_spot_last_updated_is_a_time_not_a_currency(spark):  # Q17
+    d = docs(
+        spark,
+        ("simple_price_20250722_192230.json", '{"a":{"usd":1,"last_updated_at":1753212150},"b":{"usd":2}}'),
+    )
+    rows = sorted((r.coin_id, r.currency, r.quote_ts) for r in feeds.spot_long(d).collect())
+    assert rows == [("a", "usd", dt.datetime(2025, 7, 22, 19, 22, 30)), ("b", "usd", None)]
+    assert feeds.quarantine(d).count() == 0
+    from feedlake.operators.report import run_report
+
+    assert run_report(d).first().n_rows == 2

@@ -107,3 +107,16 @@ def test_run_ingest_end_to_end_and_file_order(spark, tmp_path):  # R3, R4, Q1
     ]
     assert spark.read.parquet(str(tmp_path / "tables" / "quarantine")).count() == 2
     assert spark.read.parquet(str(tmp_path / "tables" / "chart_volumes")).count() == 1
+
+
+def test_empty_landing_gives_typed_empty_tables(spark, tmp_path):  # S10, P16
+    d = str(tmp_path / "empty")
+    os.makedirs(d)
+    write_landing(tmp_path / "empty", {"readme.txt": "not landed"})
+    report = run_ingest(spark, d, str(tmp_path / "tables")).collect()
+    assert report == []
+    from feedlake.schemas import chart_table
+
+    prices = spark.read.schema(chart_table("price")).parquet(str(tmp_path / "tables" / "chart_prices"))
+    assert prices.count() == 0 and dict(prices.dtypes)["price"] == "double"
+    assert spark.read.parquet(str(tmp_path / "tables" / "spot")).columns[:4] == ["coin_id", "currency", "price", "quote_ts"]
