@@ -5,14 +5,20 @@ Each transform takes a frame of documents (one row per landed file, with a
 ``snapshot_ts``) and returns typed rows.  Parsing runs on the executors with
 explicit schemas (``from_json``), never on the driver.
 
-Every transform has a ``*_problems`` companion that returns the rows or
-documents that could not be used, with a reason; ``quarantine`` unions them.
-Bad input never fails the job and never silently disappears.
+Parse once.  JSON parsing is the dominant cost of this workload, and one
+landing run feeds several outputs (prices, volumes, quarantine, report).
+``parse_documents`` parses every document once, by its routed kind, into
+typed columns; every function below reads those columns when present and
+parses inline only when they are absent.
+
+Problems never fail the job and never silently disappear: ``problem_reasons``
+lists, per document, why it or some of its rows cannot be used;
+``quarantine`` turns that into rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,17 +32,64 @@ PREFIX_CHARS = 200
 # Fixed value: the per-asset update-time key the spot endpoint adds when asked.
 SPOT_TIME_KEY = "last_updated_at"
 
+# Columns added by parse_documents.
+CHART_COL, SPOT_COL, CATALOG_COL, PREFIX_COL = "_chart", "_spot", "_catalog", "_doc_prefix"
+
 
 def _context(docs: DataFrame, keep: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in keep if c in docs.columns]
 
 
+# -- parsing -------------------------------------------------------------------------
+#
+# A parse is null exactly when the document is not usable as its feed:
+# chart - not a JSON object; spot - not an object of objects; catalog - not
+# a JSON array.  (from_json alone would turn malformed text into a struct of
+# nulls for the chart schema, hence the cheap shape guards.)
+
+
+def parse_chart(doc: Column) -> Column:
+    return F.when(json_keys(doc).isNotNull(), F.from_json(doc, CHART_DOC))
+
+
+def parse_spot(doc: Column) -> Column:
+    return F.from_json(doc, SPOT_DOC)
+
+
+def parse_catalog(doc: Column) -> Column:
+    return F.when(F.json_array_length(doc).isNotNull(), F.from_json(doc, CATALOG_DOC))
+
+
+_PARSERS: dict[str, tuple[str, Callable[[Column], Column]]] = {
+    "chart": (CHART_COL, parse_chart),
+    "spot": (SPOT_COL, parse_spot),
+    "catalog": (CATALOG_COL, parse_catalog),
+}
+
+
+def parse_documents(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind", keep_doc: bool = True) -> DataFrame:
+    """Parse each document once, by its kind, into ``_chart``/``_spot``/``_catalog``.
+
+    With ``keep_doc=False`` the raw text is replaced by its first characters
+    (``_doc_prefix``, for the quarantine), which is what a persisted frame
+    should hold.
+    """
+    kind, doc = F.col(kind_col), F.col(doc_col)
+    out = docs.withColumns({col: F.when(kind == k, parse(doc)) for k, (col, parse) in _PARSERS.items()})
+    out = out.withColumn(PREFIX_COL, F.substring(doc, 1, PREFIX_CHARS))
+    return out if keep_doc else out.drop(doc_col)
+
+
+def _parsed(docs: DataFrame, kind: str, doc_col: str) -> Column:
+    col, parse = _PARSERS[kind]
+    return F.col(col) if col in docs.columns else parse(F.col(doc_col))
+
+
 # -- catalog (coins_list) --------------------------------------------------------
 
 
-def _catalog_items(docs: DataFrame, doc_col: str, keep: Sequence[str]) -> DataFrame:
-    items = F.when(F.json_array_length(doc_col).isNotNull(), F.from_json(doc_col, CATALOG_DOC))
-    return docs.select(*_context(docs, keep), F.col(doc_col), F.explode(items).alias("_item"))
+def _catalog_item_ok(i: Column) -> Column:
+    return F.coalesce(i["id"].isNotNull() & i["symbol"].isNotNull() & i["name"].isNotNull(), F.lit(False))
 
 
 def catalog_rows(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTEXT) -> DataFrame:
@@ -45,9 +98,10 @@ def catalog_rows(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CO
     All three fields are required; elements missing one are quarantined.
     ``[]`` gives zero rows.
     """
-    items = _catalog_items(docs, doc_col, keep)
-    ok = F.col("_item.id").isNotNull() & F.col("_item.symbol").isNotNull() & F.col("_item.name").isNotNull()
-    return items.filter(ok).select("_item.id", "_item.symbol", "_item.name", *_context(docs, keep))
+    items = docs.select(*_context(docs, keep), F.explode(_parsed(docs, "catalog", doc_col)).alias("_item"))
+    return items.filter(_catalog_item_ok(F.col("_item"))).select(
+        "_item.id", "_item.symbol", "_item.name", *_context(docs, keep)
+    )
 
 
 # -- spot (simple_price) -----------------------------------------------------------
@@ -58,19 +112,8 @@ def _only_quotes(quotes: Column) -> Column:
     return F.map_filter(quotes, lambda k, _: k != F.lit(SPOT_TIME_KEY))
 
 
-def _spot_quotes(docs: DataFrame, doc_col: str, keep: Sequence[str]) -> DataFrame:
-    assets = docs.select(
-        *_context(docs, keep),
-        F.col(doc_col),
-        F.explode(F.from_json(doc_col, SPOT_DOC)).alias("coin_id", "_quotes"),
-    )
-    return assets.select(
-        *_context(docs, keep),
-        F.col(doc_col),
-        "coin_id",
-        epoch_s_to_ts(F.try_element_at("_quotes", F.lit(SPOT_TIME_KEY))).alias("quote_ts"),
-        F.explode(_only_quotes(F.col("_quotes"))).alias("currency", "_raw"),
-    )
+def _quote_time(quotes: Column) -> Column:
+    return epoch_s_to_ts(F.try_element_at(quotes, F.lit(SPOT_TIME_KEY)))
 
 
 def spot_long(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTEXT) -> DataFrame:
@@ -81,7 +124,15 @@ def spot_long(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTE
     ``quote_ts`` is the asset's ``last_updated_at`` (epoch seconds) when the
     document carries it, else null; it is not a currency.
     """
-    quotes = _spot_quotes(docs, doc_col, keep)
+    assets = docs.select(
+        *_context(docs, keep), F.explode(_parsed(docs, "spot", doc_col)).alias("coin_id", "_quotes")
+    )
+    quotes = assets.select(
+        *_context(docs, keep),
+        "coin_id",
+        _quote_time(F.col("_quotes")).alias("quote_ts"),
+        F.explode(_only_quotes(F.col("_quotes"))).alias("currency", "_raw"),
+    )
     return quotes.select(
         "coin_id",
         "currency",
@@ -96,13 +147,12 @@ def spot_quote(
 ) -> DataFrame:
     """Assets that carry a quote in ``currency``: ``(coin_id, <currency>, quote_ts)``."""
     assets = docs.select(
-        *_context(docs, keep),
-        F.explode(F.from_json(doc_col, SPOT_DOC)).alias("coin_id", "_quotes"),
+        *_context(docs, keep), F.explode(_parsed(docs, "spot", doc_col)).alias("coin_id", "_quotes")
     )
     return assets.filter(F.map_contains_key("_quotes", currency)).select(
         "coin_id",
         F.col("_quotes")[currency].try_cast("double").alias(currency),
-        epoch_s_to_ts(F.try_element_at("_quotes", F.lit(SPOT_TIME_KEY))).alias("quote_ts"),
+        _quote_time(F.col("_quotes")).alias("quote_ts"),
         *_context(docs, keep),
     )
 
@@ -130,9 +180,8 @@ def spot_wide(
 # -- chart (market_chart_<id>) --------------------------------------------------------
 
 
-def _chart_pairs(docs: DataFrame, field: str, doc_col: str, keep: Sequence[str]) -> DataFrame:
-    parsed = F.when(json_keys(doc_col).isNotNull(), F.from_json(doc_col, CHART_DOC))
-    return docs.select(*_context(docs, keep), F.col(doc_col), F.explode(parsed[field]).alias("_pair"))
+def _pair_ok(p: Column) -> Column:
+    return F.get(p, 0).isNotNull() & F.get(p, 1).isNotNull()
 
 
 def chart_points(
@@ -149,14 +198,17 @@ def chart_points(
     numbers are quarantined; extra elements are ignored.  ``date`` is the
     UTC calendar date of the point.
     """
-    pairs = _chart_pairs(docs, field, doc_col, (asset_col, *keep))
+    if CHART_COL in docs.columns:
+        parsed = F.col(CHART_COL)
+    else:  # malformed text parses to a struct of nulls: no pairs, no guard needed
+        parsed = F.from_json(F.col(doc_col), CHART_DOC)
+    pairs = docs.select(*_context(docs, (asset_col, *keep)), F.explode(parsed[field]).alias("_pair"))
     ms, val = F.get("_pair", 0), F.get("_pair", 1)
-    ts = epoch_ms_to_ts(ms)
     return (
         pairs.filter(ms.isNotNull() & val.isNotNull())
         .select(
             F.col(asset_col).alias("coin_id"),
-            ts.alias("timestamp"),
+            epoch_ms_to_ts(ms).alias("timestamp"),
             val.alias(value_name),
             *_context(docs, keep),
         )
@@ -165,30 +217,23 @@ def chart_points(
     )
 
 
-# -- one-pass document checks ------------------------------------------------------------
+# -- per-document checks ------------------------------------------------------------------
 #
 # Per document, the reasons it (or some of its rows) cannot be used, and the
-# number of typed rows it yields, as column expressions over the document
-# text.  The quarantine and the run report are then one scan of the landing
-# frame each, instead of one scan per feed and per kind of problem.
-
-
-def _pair_ok(p: Column) -> Column:
-    return F.get(p, 0).isNotNull() & F.get(p, 1).isNotNull()
+# number of typed rows it yields, as column expressions over the parsed
+# document.  The quarantine and the run report are then one scan each.
 
 
 def _repeat(reason: str, n: Column) -> Column:
     return F.array_repeat(F.lit(reason), F.coalesce(n, F.lit(0)))
 
 
-def _chart_reasons(doc: Column, fields: Sequence[str] = ("prices", "total_volumes")) -> Column:
-    parsed = F.from_json(doc, CHART_DOC)
+def _chart_reasons(parsed: Column, fields: Sequence[str] = ("prices", "total_volumes")) -> Column:
     shorts = [_repeat(f"short pair in {f}", F.size(F.filter(parsed[f], lambda p: ~_pair_ok(p)))) for f in fields]
-    return F.when(json_keys(doc).isNull(), F.array(F.lit("not a JSON object"))).otherwise(F.concat(*shorts))
+    return F.when(parsed.isNull(), F.array(F.lit("not a JSON object"))).otherwise(F.concat(*shorts))
 
 
-def _spot_reasons(doc: Column) -> Column:
-    parsed = F.from_json(doc, SPOT_DOC)
+def _spot_reasons(parsed: Column) -> Column:
     bad_quotes = F.flatten(
         F.transform(
             F.map_entries(parsed),
@@ -207,53 +252,39 @@ def _spot_reasons(doc: Column) -> Column:
     return F.when(parsed.isNull(), F.array(F.lit("not a keyed JSON object"))).otherwise(bad_quotes)
 
 
-def _catalog_item_ok(i: Column) -> Column:
-    return i["id"].isNotNull() & i["symbol"].isNotNull() & i["name"].isNotNull()
-
-
-def _catalog_reasons(doc: Column) -> Column:
-    items = F.from_json(doc, CATALOG_DOC)
-    missing = F.size(F.filter(items, lambda i: ~F.coalesce(_catalog_item_ok(i), F.lit(False))))
-    return F.when(F.json_array_length(doc).isNull(), F.array(F.lit("not a JSON array"))).otherwise(
+def _catalog_reasons(parsed: Column) -> Column:
+    missing = F.size(F.filter(parsed, lambda i: ~_catalog_item_ok(i)))
+    return F.when(parsed.isNull(), F.array(F.lit("not a JSON array"))).otherwise(
         _repeat("missing required field", missing)
     )
 
 
-def problem_reasons(kind: str | Column = "kind", doc_col: str = "doc") -> Column:
+def problem_reasons(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind") -> Column:
     """``array<string>`` of reasons per document (empty when all is usable)."""
-    kind = F.col(kind) if isinstance(kind, str) else kind
-    doc = F.col(doc_col)
+    kind = F.col(kind_col)
     return (
-        F.when(kind == "chart", _chart_reasons(doc))
-        .when(kind == "spot", _spot_reasons(doc))
-        .when(kind == "catalog", _catalog_reasons(doc))
+        F.when(kind == "chart", _chart_reasons(_parsed(docs, "chart", doc_col)))
+        .when(kind == "spot", _spot_reasons(_parsed(docs, "spot", doc_col)))
+        .when(kind == "catalog", _catalog_reasons(_parsed(docs, "catalog", doc_col)))
         .otherwise(F.array().cast("array<string>"))
     )
 
 
-def typed_row_count(kind: str | Column = "kind", doc_col: str = "doc") -> Column:
+def typed_row_count(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind") -> Column:
     """Rows the document yields in its feed's main table (chart: prices)."""
-    kind = F.col(kind) if isinstance(kind, str) else kind
-    doc = F.col(doc_col)
-    chart = F.from_json(doc, CHART_DOC)["prices"]
-    chart_rows = F.size(
-        F.filter(chart, lambda p: _pair_ok(p) & epoch_ms_to_ts(F.get(p, 0)).isNotNull())
-    )
-    spot = F.from_json(doc, SPOT_DOC)
+    kind = F.col(kind_col)
+    chart = _parsed(docs, "chart", doc_col)["prices"]
+    chart_rows = F.size(F.filter(chart, lambda p: _pair_ok(p) & epoch_ms_to_ts(F.get(p, 0)).isNotNull()))
     spot_values = F.flatten(
         F.transform(
-            F.map_values(spot), lambda q: F.coalesce(F.map_values(_only_quotes(q)), F.array().cast("array<string>"))
+            F.map_values(_parsed(docs, "spot", doc_col)),
+            lambda q: F.coalesce(F.map_values(_only_quotes(q)), F.array().cast("array<string>")),
         )
     )
     spot_rows = F.size(F.filter(spot_values, lambda v: v.try_cast("double").isNotNull()))
-    items = F.from_json(doc, CATALOG_DOC)
-    catalog_rows_n = F.size(F.filter(items, lambda i: F.coalesce(_catalog_item_ok(i), F.lit(False))))
-    n = (
-        F.when(kind == "chart", F.when(json_keys(doc).isNotNull(), chart_rows))
-        .when(kind == "spot", spot_rows)
-        .when(kind == "catalog", F.when(F.json_array_length(doc).isNotNull(), catalog_rows_n))
-    )
-    return F.coalesce(n, F.lit(0)).cast("long")
+    catalog_rows_n = F.size(F.filter(_parsed(docs, "catalog", doc_col), _catalog_item_ok))
+    n = F.when(kind == "chart", chart_rows).when(kind == "spot", spot_rows).when(kind == "catalog", catalog_rows_n)
+    return F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)).cast("long")
 
 
 def quarantine(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
@@ -266,12 +297,13 @@ def quarantine(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
     def ref(c):
         return F.col(c) if c in routed.columns else F.lit(None).cast("string")
 
+    prefix = F.col(PREFIX_COL) if PREFIX_COL in routed.columns else F.substring(F.col(doc_col), 1, PREFIX_CHARS)
     return routed.select(
         ref("file_name").alias("file_name"),
         ref("file_path").alias("file_path"),
         F.col("kind"),
-        F.explode(problem_reasons("kind", doc_col)).alias("reason"),
-        F.substring(F.col(doc_col), 1, PREFIX_CHARS).alias("doc_prefix"),
+        F.explode(problem_reasons(routed, doc_col)).alias("reason"),
+        prefix.alias("doc_prefix"),
     )
 
 

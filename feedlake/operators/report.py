@@ -12,16 +12,17 @@ from feedlake.operators import feeds
 def run_report(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
     """``(kind, n_files, n_rows, n_bad, status)`` for every kind seen.
 
-    One scan of the landing frame: each document's row count and problem
-    list are column expressions, summed by a single aggregation (partial
+    One scan of the landing frame, each document parsed once: its row count
+    and problem list are column expressions, summed by a single aggregation (partial
     aggregates per task, one tiny shuffle).  ``status`` is ``ok`` when no
     file of the kind was quarantined, else ``partial``; unrecognised files
     are counted, never parsed.
     """
-    per_doc = routed.select(
+    parsed = routed if feeds.CHART_COL in routed.columns else feeds.parse_documents(routed, doc_col)
+    per_doc = parsed.select(
         "kind",
-        feeds.typed_row_count("kind", doc_col).alias("_rows"),
-        (F.size(feeds.problem_reasons("kind", doc_col)) > 0).cast("long").alias("_bad"),
+        feeds.typed_row_count(parsed, doc_col).alias("_rows"),
+        (F.size(feeds.problem_reasons(parsed, doc_col)) > 0).cast("long").alias("_bad"),
     )
     out = per_doc.groupBy("kind").agg(
         F.count(F.lit(1)).alias("n_files"),

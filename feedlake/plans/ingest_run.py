@@ -1,9 +1,10 @@
 """Batch ingest of a whole landing zone into the feed tables.
 
-One scan of the landing directory feeds every output table.  The described
-landing frame is persisted (memory and disk) because four writers and the
-report read it; if an executor is lost, its blocks are recomputed from the
-scan.  Chart snapshots are merged set-based (latest snapshot wins per
+One scan of the landing directory feeds every output table.  Every document is
+parsed once (``feeds.parse_documents``) and the parsed frame - typed
+columns and a short text prefix, not the raw text - is persisted (memory
+and disk) because six writers and the report read it; if an executor is
+lost, its blocks are recomputed from the scan.  Chart snapshots are merged set-based (latest snapshot wins per
 (asset, time)), so the result no longer depends on file listing order.
 
 Outputs under ``table_root``:
@@ -36,7 +37,9 @@ def run_ingest(
 ) -> DataFrame:
     """Ingest every landed file; returns the run report (already computed)."""
     use_utc(spark)
-    routed = describe_files(scan_landing(spark, landing_dir, glob)).persist(StorageLevel.MEMORY_AND_DISK)
+    # Parse every document once; keep the typed columns (not the raw text).
+    routed = feeds.parse_documents(describe_files(scan_landing(spark, landing_dir, glob)), keep_doc=False)
+    routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         by_kind = {k: routed.filter(F.col("kind") == k) for k in ("chart", "spot", "catalog")}
 
