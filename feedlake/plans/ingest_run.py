@@ -73,3 +73,28 @@ def run_ingest(
         return spark.createDataFrame(rows, rep.schema)
     finally:
         routed.unpersist()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m feedlake.plans.ingest_run LANDING TABLES [--refresh full|touched] [--stream]``"""
+    import argparse
+
+    from feedlake.session import get_session
+
+    ap = argparse.ArgumentParser(description="Ingest a landing directory into the feed tables.")
+    ap.add_argument("landing_dir")
+    ap.add_argument("table_root")
+    ap.add_argument("--refresh", choices=("full", "touched"), default="touched")
+    ap.add_argument("--stream", action="store_true", help="only files landed since the last run (append)")
+    args = ap.parse_args(argv)
+    spark = get_session("feedlake-ingest")
+    if args.stream:
+        from feedlake.streaming.ingest import run_ingest_stream
+
+        run_ingest_stream(spark, args.landing_dir, args.table_root)
+    else:
+        run_ingest(spark, args.landing_dir, args.table_root, refresh=args.refresh).show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()

@@ -79,3 +79,11 @@ def split_by_kind(docs: DataFrame) -> dict[str, DataFrame]:
     """Lazy per-feed views of one described landing frame."""
     kinds = [kind for _, kind in FEED_RULES] + [UNRECOGNISED]
     return {kind: docs.filter(F.col("kind") == kind) for kind in kinds}
+
+
+def latest_files(described: DataFrame, by: tuple[str, ...] = ("kind",)) -> DataFrame:
+    """Newest landed file per feed (or per ``by``): snapshot time from the
+    name, modification time as tie-break.  An aggregate, not a sort."""
+    from feedlake.operators.merge import latest_per_key
+
+    return latest_per_key(described, list(by), ["snapshot_ts", "file_mtime", "file_name"])

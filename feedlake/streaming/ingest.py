@@ -137,3 +137,20 @@ def latest_chart(spark: SparkSession, table_root: str, value_name: str = "price"
     """Merged view over the appended chart table: one point per (asset, time)."""
     table = "chart_prices" if value_name == "price" else "chart_volumes"
     return merge.merge_chart_snapshots(spark.read.parquet(f"{table_root}/{table}"), value_name)
+
+
+def run_ingest_stream(spark: SparkSession, landing_dir: str, table_root: str, checkpoint_dir: str | None = None) -> None:
+    """Ingest the files landed since the last run (available-now), then stop.
+
+    The checkpoint defaults to ``<table_root>/_checkpoints/landing`` so it
+    lives beside the tables in the shared folder.
+    """
+    from feedlake.session import use_utc
+
+    use_utc(spark)
+    checkpoint_dir = checkpoint_dir or f"{table_root}/_checkpoints/landing"
+    run_batches(
+        landing_stream(spark, landing_dir),
+        checkpoint_dir,
+        lambda batch, _: ingest_landing_batch(feeds.parse_documents(batch), table_root),
+    )

@@ -120,3 +120,38 @@ def test_empty_landing_gives_typed_empty_tables(spark, tmp_path):  # S10, P16
     prices = spark.read.schema(chart_table("price")).parquet(str(tmp_path / "tables" / "chart_prices"))
     assert prices.count() == 0 and dict(prices.dtypes)["price"] == "double"
     assert spark.read.parquet(str(tmp_path / "tables" / "spot")).columns[:4] == ["coin_id", "currency", "price", "quote_ts"]
+
+
+def test_latest_files_per_feed(spark, tmp_path):  # S6
+    d = write_landing(
+        tmp_path / "raw",
+        {
+            "coins_list_20250722_000000.json": "[]",
+            "coins_list_20250723_000000.json": "[]",
+            "simple_price_20250701_000000.json": "{}",
+        },
+    )
+    from feedlake.sources.landing import latest_files
+
+    got = {r.kind: r.file_name for r in latest_files(describe_files(scan_landing(spark, d))).collect()}
+    assert got == {"catalog": "coins_list_20250723_000000.json", "spot": "simple_price_20250701_000000.json"}
+
+
+def test_stream_ingest_job_twice_equals_once(spark, tmp_path):  # R1
+    from feedlake.streaming.ingest import run_ingest_stream
+
+    d = write_landing(tmp_path / "raw", {"market_chart_btc_20250722_000000.json": chart([[1000, 1], [2000, 2]])})
+    root = str(tmp_path / "tables")
+    run_ingest_stream(spark, d, root)
+    run_ingest_stream(spark, d, root)
+    assert spark.read.parquet(f"{root}/chart_prices").count() == 2
+
+
+def test_inspect_table(spark, tmp_path):  # Entry C
+    from feedlake.plans.inspect_table import inspect
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", dt.date(2025, 1, 1), None)], "coin_id string, date date, v double").write.parquet(path)
+    out = inspect(spark, path, partitions=["date"])
+    assert {r.column_name: r.nulls for r in out["nulls"].collect()}["v"] == 1
+    assert [r.value for r in out["time_values"].collect()] == ["2025-01-01"]
