@@ -102,35 +102,42 @@ def ingest_landing_batch(
     """Write one micro-batch of landed documents to the feed tables (append).
 
     Used by ``foreachBatch``: each batch is an ordinary DataFrame, so the
-    same transforms as the batch job apply.  Chart points are appended with
-    their snapshot time; ``merge.latest_per_key`` resolves overlaps on read.
+    same transforms as the batch job apply.  The batch is parsed once and
+    persisted while its five writers run.  Chart points are appended with
+    their snapshot time; ``latest_chart`` resolves overlaps on read.
     """
+    from pyspark import StorageLevel
+
     from feedlake.sinks.tables import write_table
 
-    charts = batch.filter(F.col("kind") == "chart")
-    write_table(
-        feeds.chart_points(charts, "prices", "price"),
-        f"{table_root}/chart_prices",
-        partition_by=("coin_id", "date"),
-        sort_by=("timestamp",),
-        mode="append",
-        count_rows=False,
-    )
-    write_table(
-        feeds.chart_points(charts, "total_volumes", "volume"),
-        f"{table_root}/chart_volumes",
-        partition_by=("coin_id", "date"),
-        sort_by=("timestamp",),
-        mode="append",
-        count_rows=False,
-    )
-    write_table(
-        feeds.spot_long(batch.filter(F.col("kind") == "spot")), f"{table_root}/spot", mode="append", count_rows=False
-    )
-    write_table(
-        feeds.catalog_rows(batch.filter(F.col("kind") == "catalog")), f"{table_root}/catalog", mode="append", count_rows=False
-    )
-    write_table(feeds.quarantine(batch), f"{table_root}/quarantine", mode="append", count_rows=False)
+    parsed = batch if feeds.CHART_COL in batch.columns else feeds.parse_documents(batch, keep_doc=False)
+    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        charts = parsed.filter(F.col("kind") == "chart")
+        for field, value, table in (("prices", "price", "chart_prices"), ("total_volumes", "volume", "chart_volumes")):
+            write_table(
+                feeds.chart_points(charts, field, value),
+                f"{table_root}/{table}",
+                partition_by=("coin_id", "date"),
+                sort_by=("timestamp",),
+                mode="append",
+                count_rows=False,
+            )
+        write_table(
+            feeds.spot_long(parsed.filter(F.col("kind") == "spot")),
+            f"{table_root}/spot",
+            mode="append",
+            count_rows=False,
+        )
+        write_table(
+            feeds.catalog_rows(parsed.filter(F.col("kind") == "catalog")),
+            f"{table_root}/catalog",
+            mode="append",
+            count_rows=False,
+        )
+        write_table(feeds.quarantine(parsed), f"{table_root}/quarantine", mode="append", count_rows=False)
+    finally:
+        parsed.unpersist()
 
 
 def latest_chart(spark: SparkSession, table_root: str, value_name: str = "price") -> DataFrame:
@@ -152,5 +159,5 @@ def run_ingest_stream(spark: SparkSession, landing_dir: str, table_root: str, ch
     run_batches(
         landing_stream(spark, landing_dir),
         checkpoint_dir,
-        lambda batch, _: ingest_landing_batch(feeds.parse_documents(batch), table_root),
+        lambda batch, _: ingest_landing_batch(batch, table_root),
     )
