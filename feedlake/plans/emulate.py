@@ -162,15 +162,16 @@ def landing_zone(events: DataFrame, customer: DataFrame, pages: DataFrame) -> Da
     )
 
 
-def _fingerprint(spark: SparkSession, sources: Sequence[DataFrame]) -> str:
-    """Hash of the input files' paths, lengths and modification times."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+def _fingerprint(sources: Sequence[DataFrame]) -> str:
+    """Hash of the input files' paths and total size.
+
+    Both come from the file index Spark built when the sources were
+    defined, so no per-file status call is made on the driver.
+    """
     parts = []
     for df in sources:
-        for f in sorted(df.inputFiles()):
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            st = path.getFileSystem(conf).getFileStatus(path)
-            parts.append(f"{f}|{st.getLen()}|{st.getModificationTime()}")
+        size = str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        parts.append("|".join(sorted(df.inputFiles())) + f"#{size}")
     return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:16]
 
 
@@ -184,11 +185,11 @@ def landed_files(
 
     Files land once and are scanned many times, so the emulated landing zone
     is materialised under the shared folder, keyed by the source files'
-    fingerprint, and reused while a ``_SUCCESS`` marker says it is complete.
+    paths and total size, and reused while a ``_SUCCESS`` marker says it is complete.
     ``maxRecordsPerFile=1`` gives exactly one document per file in one flat
     directory, without a shuffle.
     """
-    path = f"{shared_root(spark)}/landing-cache/{name}-{_fingerprint(spark, sources)}"
+    path = f"{shared_root(spark)}/landing-cache/{name}-{_fingerprint(sources)}"
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not marker.getFileSystem(conf).exists(marker):
