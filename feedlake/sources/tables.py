@@ -59,3 +59,29 @@ def table_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def discover_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """Tables under ``root``: every sub-directory holding a committed table.
+
+    A directory with a ``_delta_log`` is a Delta table; any other directory
+    with visible content (data files or ``key=value`` partition folders) is
+    a table in ``fmt``.  Only the top two levels are listed on the driver -
+    metadata only, no data is read.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(conf)
+    found = {}
+    for status in fs.listStatus(base):
+        if not status.isDirectory():
+            continue
+        path = status.getPath()
+        name = path.getName()
+        if name.startswith(("_", ".")):
+            continue
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_delta_log")):
+            found[name] = spark.read.format("delta").load(path.toString())
+        elif any(not c.getPath().getName().startswith(("_", ".")) for c in fs.listStatus(path)):
+            found[name] = spark.read.format(fmt).load(path.toString())
+    return dict(sorted(found.items()))

@@ -155,3 +155,21 @@ def test_inspect_table(spark, tmp_path):  # Entry C
     out = inspect(spark, path, partitions=["date"])
     assert {r.column_name: r.nulls for r in out["nulls"].collect()}["v"] == 1
     assert [r.value for r in out["time_values"].collect()] == ["2025-01-01"]
+
+
+def test_discover_tables_and_inventory(spark, tmp_path):  # S11, A1
+    from feedlake.sources.tables import discover_tables, table_inventory
+
+    d = write_landing(
+        tmp_path / "raw",
+        {
+            "simple_price_20250722_192230.json": '{"bitcoin":{"usd":119800},"ethereum":{"usd":3715.55}}',
+            "market_chart_bitcoin_20250722_100000.json": chart([[1753142400000, 1]], [[1753142400000, 9]]),
+        },
+    )
+    root = str(tmp_path / "tables")
+    run_ingest(spark, d, root)
+    tables = discover_tables(spark, root)
+    assert set(tables) >= {"chart_prices", "chart_volumes", "spot", "spot_latest", "quarantine"}
+    counts = {r.table_name: r.n_rows for r in table_inventory(tables).collect()}
+    assert counts["spot"] == 2 and counts["chart_prices"] == 1 and counts["quarantine"] == 0
