@@ -3,14 +3,15 @@
 One scan of the landing directory feeds every output table.  Every document is
 parsed once (``feeds.parse_documents``) and the parsed frame - typed
 columns and a short text prefix, not the raw text - is persisted (memory
-and disk) because six writers and the report read it; if an executor is
+and disk) because seven writers and the report read it; if an executor is
 lost, its blocks are recomputed from the scan.  Chart snapshots are merged set-based (latest snapshot wins per
 (asset, time)), so the result no longer depends on file listing order.
 
 Outputs under ``table_root``:
-  catalog        latest snapshot of the asset list
+  catalog        latest snapshot of the asset list, with ingestion time
   spot           every quote, long form, with its snapshot time
   spot_latest    latest quote per (asset, currency)
+  spot_wide      latest quotes, one row per asset, one column per currency
   chart_prices   merged points, partitioned by (coin_id, date)
   chart_volumes  merged points, partitioned by (coin_id, date)
   quarantine     unusable documents and rows, with a reason
@@ -47,13 +48,23 @@ def run_ingest(
         latest_catalog = catalog.join(
             catalog.agg(F.max("snapshot_ts").alias("snapshot_ts")), "snapshot_ts"
         )
-        write_table(latest_catalog.select("id", "symbol", "name", "snapshot_ts"), f"{table_root}/catalog")
+        write_table(
+            latest_catalog.select(
+                "id", "symbol", "name", "snapshot_ts", F.current_timestamp().alias("ingestion_timestamp")
+            ),
+            f"{table_root}/catalog",
+        )
 
         spot = feeds.spot_long(by_kind["spot"])
         write_table(spot, f"{table_root}/spot")
+        latest_spot = merge.latest_per_key(spot, ["coin_id", "currency"], ["snapshot_ts", "file_name"])
+        write_table(latest_spot, f"{table_root}/spot_latest")
+        # Wide form: one double column per currency.  The pivot discovers the
+        # currency names (a distinct over a few dozen values, capped by
+        # spark.sql.pivotMaxValues), then aggregates in one pass.
         write_table(
-            merge.latest_per_key(spot, ["coin_id", "currency"], ["snapshot_ts", "file_name"]),
-            f"{table_root}/spot_latest",
+            feeds.spot_wide(latest_spot, order=("snapshot_ts", "file_name")),
+            f"{table_root}/spot_wide",
         )
 
         for field, value, table in (("prices", "price", "chart_prices"), ("total_volumes", "volume", "chart_volumes")):

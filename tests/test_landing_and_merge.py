@@ -173,3 +173,20 @@ def test_discover_tables_and_inventory(spark, tmp_path):  # S11, A1
     assert set(tables) >= {"chart_prices", "chart_volumes", "spot", "spot_latest", "quarantine"}
     counts = {r.table_name: r.n_rows for r in table_inventory(tables).collect()}
     assert counts["spot"] == 2 and counts["chart_prices"] == 1 and counts["quarantine"] == 0
+
+
+def test_run_ingest_wide_spot_and_catalog_stamp(spark, tmp_path):  # P8, F8
+    d = write_landing(
+        tmp_path / "raw",
+        {
+            "simple_price_20250722_192230.json": '{"bitcoin":{"usd":1,"eur":2},"ethereum":{"usd":3}}',
+            "simple_price_20250722_192231.json": '{"bitcoin":{"usd":10}}',
+            "coins_list_20250722_192230.json": '[{"id":"bitcoin","symbol":"btc","name":"Bitcoin"}]',
+        },
+    )
+    root = str(tmp_path / "tables")
+    run_ingest(spark, d, root)
+    wide = {r.coin_id: (r.usd, r.eur) for r in spark.read.parquet(f"{root}/spot_wide").collect()}
+    assert wide == {"bitcoin": (10.0, 2.0), "ethereum": (3.0, None)}
+    cat = spark.read.parquet(f"{root}/catalog").collect()
+    assert len(cat) == 1 and cat[0].ingestion_timestamp is not None
