@@ -87,3 +87,28 @@ def test_merge_is_order_independent(spark, points, seed):
         if key not in expected or (s, float(v)) > expected[key]:
             expected[key] = (s, float(v))
     assert [p for _, p in results[0]] == [expected[t][1] for t in sorted(expected)]
+
+
+def _read_schemas(plan: str) -> list[str]:
+    return [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
+
+
+def test_catalogue_scans_read_only_needed_columns(spark):
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+
+    q = entry.queries()
+    chart = _read_schemas(plan_of(q["chart_prices"](spark, SF_SMALL)))
+    assert chart and all("props" not in s for s in chart)
+    spot = _read_schemas(plan_of(q["spot_long"](spark, SF_SMALL)))
+    assert spot and all("user_id" not in s and "value" not in s for s in spot)
+    labels = _read_schemas(plan_of(q["label_select"](spark, SF_SMALL)))
+    assert labels and all("props" not in s for s in labels)
+
+
+def test_catalogue_pruned_read_uses_partition_filters(spark):
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+
+    plan = plan_of(entry.queries()["partition_pruned_read"](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(date" in plan and "GreaterThan(price,100.0)" in plan
