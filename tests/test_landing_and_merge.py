@@ -190,3 +190,27 @@ def test_run_ingest_wide_spot_and_catalog_stamp(spark, tmp_path):  # P8, F8
     assert wide == {"bitcoin": (10.0, 2.0), "ethereum": (3.0, None)}
     cat = spark.read.parquet(f"{root}/catalog").collect()
     assert len(cat) == 1 and cat[0].ingestion_timestamp is not None
+
+
+def test_batch_equals_stream(spark, tmp_path):  # SURVEY §5 (d)
+    from feedlake.streaming.ingest import latest_chart, run_ingest_stream
+
+    files = {
+        "market_chart_btc_20250722_000000.json": chart([[1000, 1], [2000, 2]], [[1000, 5]]),
+        "market_chart_btc_20250723_000000.json": chart([[2000, 20], [3000, 30]], [[1000, 6]]),
+        "market_chart_eth_20250723_000000.json": chart([[1000, 7]]),
+        "simple_price_20250722_000000.json": '{"btc":{"usd":3,"eur":"x"}}',
+    }
+    d = write_landing(tmp_path / "raw", files)
+    batch_root, stream_root = str(tmp_path / "b"), str(tmp_path / "s")
+    run_ingest(spark, d, batch_root)
+    run_ingest_stream(spark, d, stream_root)
+    for value, table in (("price", "chart_prices"), ("volume", "chart_volumes")):
+        b = sorted((r.coin_id, r.timestamp, r[value]) for r in spark.read.parquet(f"{batch_root}/{table}").collect())
+        s = sorted((r.coin_id, r.timestamp, r[value]) for r in latest_chart(spark, stream_root, value).collect())
+        assert b == s and b
+    for table in ("spot", "quarantine"):
+        cols = ["coin_id", "currency", "price"] if table == "spot" else ["file_name", "reason"]
+        b = sorted(tuple(r) for r in spark.read.parquet(f"{batch_root}/{table}").select(*cols).collect())
+        s = sorted(tuple(r) for r in spark.read.parquet(f"{stream_root}/{table}").select(*cols).collect())
+        assert b == s and b
