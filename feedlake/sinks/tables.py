@@ -85,12 +85,28 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def export_json_documents(df: DataFrame, path: str, group_col: str, partition_col: str | None = None) -> None:
-    """Indented JSON documents, one root array per ``group_col`` value.
-
-    Each group is written as one multi-line document file, readable with
-    ``multiLine``.  Callers bound the group size (e.g. ``id div 1000``).
+def export_json_documents(
+    df: DataFrame,
+    path: str,
+    group_col: str,
+    partition_col: str | None = None,
+    max_items: int = 1000,
+) -> None:
+    """Indented JSON documents, root arrays of the rows of each ``group_col`` value.
+
+    A group is split into ``ceil(n / max_items)`` documents by a hash of the
+    row, so no document (and no ``collect_list``) grows with a hot group;
+    the split is deterministic, so a retried task writes the same documents.
+    Each document is one multi-line file, readable with ``multiLine``.
     """
-    items = F.collect_list(F.struct(*[c for c in df.columns if c != group_col]))
-    docs = df.groupBy(group_col).agg(F.to_json(items, {"pretty": "true"}).alias("value"))
-    docs.write.mode("overwrite").partitionBy(partition_col or group_col).text(path)
+    cols = [c for c in df.columns if c != group_col]
+    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
+    n_parts = F.ceil(F.col("_n") / F.lit(max_items))
+    split = df.join(sizes, group_col).withColumn(
+        "_part", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), n_parts)
+    )
+    items = F.collect_list(F.struct(*cols))
+    docs = split.groupBy(group_col, "_part").agg(F.to_json(items, {"pretty": "true"}).alias("value"))
+    # one document per file: a multi-line JSON file holds exactly one value
+    writer = docs.drop("_part").write.mode("overwrite").option("maxRecordsPerFile", 1)
+    writer.partitionBy(partition_col or group_col).text(path)

@@ -99,3 +99,14 @@ def test_dedup_within_watermark(spark, tmp_path):  # R2 stream
     sink = str(tmp_path / "sink")
     streaming.run_available_now(streaming.dedup_within_watermark(both, ["id"], "ts"), sink, str(tmp_path / "ck"))
     assert spark.read.parquet(sink).count() == 20
+
+
+def test_json_documents_split_hot_groups(spark, tmp_path):  # no unbounded document
+    df = spark.createDataFrame([(i, 0 if i < 90 else 1, f"n{i}") for i in range(100)], "id long, grp long, name string")
+    path = str(tmp_path / "docs")
+    sinks.export_json_documents(df, path, group_col="grp", max_items=20)
+    docs = spark.read.text(path, wholetext=True).collect()
+    sizes = sorted(len(json.loads(d.value)) for d in docs)
+    assert sum(sizes) == 100 and len(docs) == 6  # 90 rows -> 5 documents, 10 rows -> 1
+    back = sources.read_json_documents(spark, path, df.select("id", "name").schema)
+    assert sorted(r.id for r in back.collect()) == list(range(100))
