@@ -13,6 +13,7 @@ one document; nothing is sampled or dropped.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -191,7 +192,14 @@ def landed_files(
     """
     path = f"{shared_root(spark)}/landing-cache/{name}-{_fingerprint(sources)}"
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not marker.getFileSystem(conf).exists(marker):
-        docs().write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(conf)
+    if fs.exists(Path(f"{path}/_SUCCESS")):
+        return path
+    # Stage under a unique name, then rename into place: a concurrent writer
+    # never sees (or deletes) a half-written directory.
+    staging = f"{path}.staging-{uuid.uuid4().hex[:8]}"
+    docs().write.mode("overwrite").option("maxRecordsPerFile", 1).text(staging)
+    if not fs.rename(Path(staging), Path(path)) and not fs.exists(Path(f"{path}/_SUCCESS")):
+        raise RuntimeError(f"could not publish landed files at {path}")
     return path
