@@ -110,3 +110,55 @@ def export_json_documents(
     # one document per file: a multi-line JSON file holds exactly one value
     writer = docs.drop("_part").write.mode("overwrite").option("maxRecordsPerFile", 1)
     writer.partitionBy(partition_col or group_col).text(path)
+
+
+def table_exists(spark, path: str) -> bool:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+
+
+def touched_partitions(spark, path: str, new: DataFrame, schema, partition_by: Sequence[str] = ("coin_id", "date")) -> DataFrame:
+    """Existing rows of the partitions ``new`` touches.
+
+    The date range of ``new`` (two scalars) becomes a literal partition
+    filter, so only those date directories are listed and read; the
+    semi-join on all partition columns then keeps exactly the touched ones.
+    """
+    lo, hi = new.agg(F.min("date"), F.max("date")).first()
+    old = spark.read.schema(schema).parquet(path)
+    if lo is None:
+        return old.limit(0)
+    old = old.filter(F.col("date").between(F.lit(lo), F.lit(hi)))
+    return old.join(new.select(*partition_by).distinct(), list(partition_by), "left_semi")
+
+
+def merge_into_chart_table(
+    spark,
+    points: DataFrame,
+    path: str,
+    value_name: str = "price",
+    keys: Sequence[str] = ("coin_id", "timestamp"),
+    partition_by: Sequence[str] = ("coin_id", "date"),
+) -> int | None:
+    """Merge new chart points into a partitioned table, latest snapshot wins.
+
+    Only the partitions the new points touch are read back
+    (``touched_partitions``), merged with the new points, and rewritten by
+    dynamic partition overwrite; all other partitions stay as they are.  A
+    table cannot be read and overwritten in one plan, so the merged rows are
+    checkpointed (reliably, in the shared ``spark.checkpoint.dir``) first,
+    which also makes the rewrite restartable after an executor loss.
+    """
+    from feedlake.operators.merge import merge_chart_snapshots
+    from feedlake.schemas import chart_table
+    from feedlake.session import shared_root
+
+    shared_root(spark)  # make sure a checkpoint folder is set
+    schema = chart_table(value_name)
+    new = points.select(*[f.name for f in schema.fields])
+    if table_exists(spark, path):
+        new = touched_partitions(spark, path, new, schema, partition_by).unionByName(new)
+    merged = merge_chart_snapshots(new, value_name, keys).checkpoint(eager=True)
+    return write_table(merged, path, partition_by=partition_by, sort_by=("timestamp",), refresh="touched")

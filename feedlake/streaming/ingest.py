@@ -98,25 +98,32 @@ def dedup_within_watermark(
 def ingest_landing_batch(
     batch: DataFrame,
     table_root: str,
+    charts_mode: str = "append",
 ) -> None:
     """Write one micro-batch of landed documents to the feed tables (append).
 
     Used by ``foreachBatch``: each batch is an ordinary DataFrame, so the
     same transforms as the batch job apply.  The batch is parsed once and
-    persisted while its five writers run.  Chart points are appended with
-    their snapshot time; ``latest_chart`` resolves overlaps on read.
+    persisted while its five writers run.  With ``charts_mode="append"``
+    chart points are appended with their snapshot time and ``latest_chart``
+    resolves overlaps on read; with ``"merge"`` they are merged into the
+    touched partitions on write (``merge_into_chart_table``).
     """
     from pyspark import StorageLevel
 
-    from feedlake.sinks.tables import write_table
+    from feedlake.sinks.tables import merge_into_chart_table, write_table
 
     parsed = batch if feeds.CHART_COL in batch.columns else feeds.parse_documents(batch, keep_doc=False)
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         charts = parsed.filter(F.col("kind") == "chart")
         for field, value, table in (("prices", "price", "chart_prices"), ("total_volumes", "volume", "chart_volumes")):
+            pts = feeds.chart_points(charts, field, value)
+            if charts_mode == "merge":
+                merge_into_chart_table(batch.sparkSession, pts, f"{table_root}/{table}", value)
+                continue
             write_table(
-                feeds.chart_points(charts, field, value),
+                pts,
                 f"{table_root}/{table}",
                 partition_by=("coin_id", "date"),
                 sort_by=("timestamp",),
@@ -146,7 +153,13 @@ def latest_chart(spark: SparkSession, table_root: str, value_name: str = "price"
     return merge.merge_chart_snapshots(spark.read.parquet(f"{table_root}/{table}"), value_name)
 
 
-def run_ingest_stream(spark: SparkSession, landing_dir: str, table_root: str, checkpoint_dir: str | None = None) -> None:
+def run_ingest_stream(
+    spark: SparkSession,
+    landing_dir: str,
+    table_root: str,
+    checkpoint_dir: str | None = None,
+    charts_mode: str = "append",
+) -> None:
     """Ingest the files landed since the last run (available-now), then stop.
 
     The checkpoint defaults to ``<table_root>/_checkpoints/landing`` so it
@@ -159,5 +172,5 @@ def run_ingest_stream(spark: SparkSession, landing_dir: str, table_root: str, ch
     run_batches(
         landing_stream(spark, landing_dir),
         checkpoint_dir,
-        lambda batch, _: ingest_landing_batch(batch, table_root),
+        lambda batch, _: ingest_landing_batch(batch, table_root, charts_mode),
     )

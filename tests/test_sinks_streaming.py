@@ -110,3 +110,36 @@ def test_json_documents_split_hot_groups(spark, tmp_path):  # no unbounded docum
     assert sum(sizes) == 100 and len(docs) == 6  # 90 rows -> 5 documents, 10 rows -> 1
     back = sources.read_json_documents(spark, path, df.select("id", "name").schema)
     assert sorted(r.id for r in back.collect()) == list(range(100))
+
+
+def test_merge_into_chart_table_touched_partitions_only(spark, tmp_path):  # §7.3, Q1, Q9
+    from feedlake.schemas import chart_table
+
+    t = lambda d, h: dt.datetime(2025, 7, d, h)
+    snap1, snap2 = dt.datetime(2025, 7, 22), dt.datetime(2025, 7, 23)
+    schema = chart_table("price")
+    first = spark.createDataFrame(
+        [("btc", t(21, 1), 1.0, dt.date(2025, 7, 21), snap1), ("btc", t(22, 1), 2.0, dt.date(2025, 7, 22), snap1)], schema
+    )
+    second = spark.createDataFrame(
+        [("btc", t(22, 1), 20.0, dt.date(2025, 7, 22), snap2), ("btc", t(22, 2), 30.0, dt.date(2025, 7, 22), snap2)], schema
+    )
+    path = str(tmp_path / "prices")
+    sinks.merge_into_chart_table(spark, first, path)
+    plan = sinks.touched_partitions(spark, path, second, schema)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "(date#" in plan and ">= 2025-07-22" in plan
+    sinks.merge_into_chart_table(spark, second, path)
+    got = sorted((r.timestamp, r.price) for r in spark.read.schema(schema).parquet(path).collect())
+    assert got == [(t(21, 1), 1.0), (t(22, 1), 20.0), (t(22, 2), 30.0)]
+
+
+def test_stream_merge_mode_keeps_one_point_per_time(spark, tmp_path):  # R2 merge on write
+    from feedlake.schemas import chart_table
+
+    landing = write_landing(tmp_path / "raw", {"market_chart_btc_20250722_000000.json": json.dumps({"prices": [[1000, 1], [2000, 2]]})})
+    root = str(tmp_path / "tables")
+    streaming.run_ingest_stream(spark, landing, root, charts_mode="merge")
+    write_landing(tmp_path / "raw", {"market_chart_btc_20250723_000000.json": json.dumps({"prices": [[2000, 20], [3000, 30]]})})
+    streaming.run_ingest_stream(spark, landing, root, charts_mode="merge")
+    prices = spark.read.schema(chart_table("price")).parquet(f"{root}/chart_prices")
+    assert sorted(r.price for r in prices.collect()) == [1.0, 20.0, 30.0]
