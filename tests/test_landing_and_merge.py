@@ -4,7 +4,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import write_landing
 from feedlake.functions.columns import route_by_name, shape_kind
