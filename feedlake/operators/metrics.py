@@ -101,6 +101,11 @@ def sample_grid(
     )
 
 
+def _increase(prev: Column, cur: Column) -> Column:
+    """Counter increase between consecutive samples; a drop is a reset."""
+    return F.when(prev.isNull(), None).when(cur >= prev, cur - prev).otherwise(cur)
+
+
 def counter_rate(
     samples: DataFrame,
     series: Sequence[str],
@@ -109,6 +114,7 @@ def counter_rate(
     window: str = "5 minutes",
     window_seconds: int = 300,
     tie: str | None = None,
+    slice_seconds: int = 10,
 ) -> DataFrame:
     """Per-second increase of a counter in each tumbling window.
 
@@ -116,20 +122,34 @@ def counter_rate(
     window; a drop means the counter was reset, so the increment is the new
     value.  No extrapolation to the window edges.  ``(series..., window_start,
     rate, n_samples)``.
+
+    Ordered work never spans more than ``slice_seconds`` of one series: a window
+    function finds increments inside each (series, slice); per slice, the
+    first and last sample and the summed increments are aggregated; the
+    increments across consecutive non-empty slices of a window come from a
+    lag over those aggregates (at most window/slice rows per group).
+    ``slice_seconds`` must divide the window length.
     """
-    win_start = F.window(ts, window).start
-    ordered = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    w = Window.partitionBy(*series, "window_start").orderBy(*ordered)
-    prev = F.lag(value).over(w)
-    inc = F.when(prev.isNull(), None).when(F.col(value) >= prev, F.col(value) - prev).otherwise(F.col(value))
-    return (
-        samples.withColumn("window_start", win_start)
-        .withColumn("_inc", inc)
-        .groupBy(*series, "window_start")
-        .agg(
-            (F.coalesce(F.sum("_inc"), F.lit(0.0)) / F.lit(float(window_seconds))).alias("rate"),
-            F.count(F.lit(1)).alias("n_samples"),
-        )
+    order = [F.col(ts)] + ([F.col(tie)] if tie else [])
+    key = F.struct(*order)
+    slice_key = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(slice_seconds * 1_000_000))
+    df = samples.withColumns({"window_start": F.window(ts, window).start, "_slice": slice_key})
+    w_in = Window.partitionBy(*series, "window_start", "_slice").orderBy(*order)
+    df = df.withColumn("_inc", _increase(F.lag(value).over(w_in), F.col(value)))
+    slices = df.groupBy(*series, "window_start", "_slice").agg(
+        F.min_by(value, key).alias("_first"),
+        F.max_by(value, key).alias("_last"),
+        F.sum("_inc").alias("_inc_in"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    w_s = Window.partitionBy(*series, "window_start").orderBy("_slice")
+    slices = slices.withColumn("_inc_edge", _increase(F.lag("_last").over(w_s), F.col("_first")))
+    return slices.groupBy(*series, "window_start").agg(
+        (
+            (F.coalesce(F.sum("_inc_in"), F.lit(0.0)) + F.coalesce(F.sum("_inc_edge"), F.lit(0.0)))
+            / F.lit(float(window_seconds))
+        ).alias("rate"),
+        F.sum("_n").alias("n_samples"),
     )
 
 

@@ -106,3 +106,23 @@ def test_sample_grid_last_sample(spark):  # M4
     df = spark.createDataFrame(rows, "name string, id long, ts timestamp_ntz, value double")
     got = sorted((r.slot_start, r.value, r.n_samples) for r in metrics.sample_grid(df, ["name"], tie="id").collect())
     assert got == [(t0, 2.0, 2), (t0 + dt.timedelta(seconds=30), 3.0, 1)]
+
+
+def test_counter_rate_matches_brute_force_with_hot_burst(spark):  # M1, skew
+    rng = random.Random(3)
+    t0 = dt.datetime(2025, 1, 1)
+    rows = []
+    for i in range(800):
+        hot = i < 500
+        secs = rng.randint(0, 299) if hot else rng.randint(0, 3000)  # a burst inside one window
+        rows.append((i, "hot" if hot else "cold", t0 + dt.timedelta(seconds=secs, microseconds=rng.randint(0, 999999)), float(rng.randint(0, 50))))
+    pdf = pd.DataFrame(rows, columns=["id", "name", "ts", "value"])
+    df = spark.createDataFrame(pdf, "id long, name string, ts timestamp_ntz, value double")
+    got = {(r.name, r.window_start): (round(r.rate, 9), r.n_samples) for r in metrics.counter_rate(df, ["name"], tie="id").collect()}
+    expected = {}
+    pdf["w"] = pdf.ts.dt.floor("5min")
+    for (name, w), g in pdf.sort_values(["ts", "id"]).groupby(["name", "w"]):
+        vals = list(g.value)
+        inc = sum((b - a) if b >= a else b for a, b in zip(vals, vals[1:]))
+        expected[(name, w.to_pydatetime())] = (round(inc / 300, 9), len(vals))
+    assert got == expected
