@@ -54,7 +54,12 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and df.columns[:2] == ["coin_id", "date"]
 
 
-@pytest.mark.parametrize("name", ["chart_prices", "spot_long", "run_report", "sustained_threshold", "null_counts"])
-def test_no_python_worker_in_plan(spark, name):
+TOP_K = {"preview_rows", "distinct_time_values"}  # the limit is the feature
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_is_jvm_only_and_whole_table(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
+    limited = any(op in plan for op in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject", "LocalLimit"))
+    assert limited == (name in TOP_K)
