@@ -1,6 +1,6 @@
 """Session set-up and shared-folder helpers.
 
-Every job in this package assumes three session properties:
+Every job in this package assumes these session properties:
 
 * ``spark.sql.session.timeZone = UTC`` - dates and epoch conversions must not
   depend on where the driver runs (the landed data is UTC).
