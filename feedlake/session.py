@@ -76,7 +76,9 @@ def shared_root(spark: SparkSession) -> str:
     machine-local folder would not be visible to the other executors.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    # the configured folder itself (stable across sessions) before the
+    # per-context sub-folder Spark creates for RDD checkpoints
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not sc.master.startswith("local"):
