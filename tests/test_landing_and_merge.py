@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 
 from conftest import write_landing
 from feedlake.functions.columns import route_by_name, shape_kind
@@ -213,3 +214,18 @@ def test_batch_equals_stream(spark, tmp_path):  # SURVEY §5 (d)
         b = sorted(tuple(r) for r in spark.read.parquet(f"{batch_root}/{table}").select(*cols).collect())
         s = sorted(tuple(r) for r in spark.read.parquet(f"{stream_root}/{table}").select(*cols).collect())
         assert b == s and b
+
+
+REAL_SPOT = os.environ.get("FEEDLAKE_SPOT_SAMPLE_DIR", "")
+
+
+@pytest.mark.skipif(not os.path.isdir(REAL_SPOT), reason="set FEEDLAKE_SPOT_SAMPLE_DIR to a directory of landed spot files")
+def test_real_landed_spot_files(spark, tmp_path):  # Q1, Q2, Q15 on 33 real landed spot documents
+    root = str(tmp_path / "tables")
+    report = {r.kind: r for r in run_ingest(spark, REAL_SPOT, root).collect()}
+    assert (report["spot"].n_files, report["spot"].n_rows, report["spot"].n_bad) == (33, 66, 0)
+    latest = {r.coin_id: r.price for r in spark.read.parquet(f"{root}/spot_latest").collect()}
+    assert latest == {"bitcoin": 119042.0, "ethereum": 3739.8}
+    wide = {r.coin_id: r.usd for r in spark.read.parquet(f"{root}/spot_wide").collect()}
+    assert wide == latest
+    assert dict(spark.read.parquet(f"{root}/spot").dtypes)["price"] == "double"
