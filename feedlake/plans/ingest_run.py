@@ -45,9 +45,9 @@ def run_ingest(
         by_kind = {k: routed.filter(F.col("kind") == k) for k in ("chart", "spot", "catalog")}
 
         catalog = feeds.catalog_rows(by_kind["catalog"])
-        latest_catalog = catalog.join(
-            catalog.agg(F.max("snapshot_ts").alias("snapshot_ts")), "snapshot_ts"
-        )
+        # the one latest file (snapshot time, then name): a one-row aggregate
+        latest_file = catalog.agg(F.max_by("file_name", F.struct("snapshot_ts", "file_name")).alias("file_name"))
+        latest_catalog = catalog.join(F.broadcast(latest_file), "file_name")
         write_table(
             latest_catalog.select(
                 "id", "symbol", "name", "snapshot_ts", F.current_timestamp().alias("ingestion_timestamp")

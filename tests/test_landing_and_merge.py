@@ -229,3 +229,18 @@ def test_real_landed_spot_files(spark, tmp_path):  # Q1, Q2, Q15 on 33 real land
     wide = {r.coin_id: r.usd for r in spark.read.parquet(f"{root}/spot_wide").collect()}
     assert wide == latest
     assert dict(spark.read.parquet(f"{root}/spot").dtypes)["price"] == "double"
+
+
+def test_latest_catalog_is_one_file(spark, tmp_path):  # S6 for the catalog table
+    d = write_landing(
+        tmp_path / "raw",
+        {
+            "coins_list_20250722_000000.json": '[{"id":"a","symbol":"a","name":"A"}]',
+            "coins_list_20250723_000000.json": '[{"id":"a","symbol":"a","name":"A1"},{"id":"b","symbol":"b","name":"B"}]',
+            "coins_list_x_20250723_000000.json": '[{"id":"a","symbol":"a","name":"A2"}]',
+        },
+    )
+    root = str(tmp_path / "tables")
+    run_ingest(spark, d, root)
+    rows = sorted((r.id, r.name) for r in spark.read.parquet(f"{root}/catalog").collect())
+    assert rows == [("a", "A2")]  # same second: the later name wins, one file only
