@@ -145,15 +145,23 @@ def spot_long(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTE
 def spot_quote(
     docs: DataFrame, currency: str = "usd", doc_col: str = "doc", keep: Sequence[str] = CONTEXT
 ) -> DataFrame:
-    """Assets that carry a quote in ``currency``: ``(coin_id, <currency>, quote_ts)``."""
+    """Assets that carry a numeric quote in ``currency``: ``(coin_id, <currency>, quote_ts)``.
+
+    As in ``spot_long``, a null quote is dropped and a non-numeric one is
+    left to the quarantine, so the column never holds a null price.
+    """
     assets = docs.select(
         *_context(docs, keep), F.explode(_parsed(docs, "spot", doc_col)).alias("coin_id", "_quotes")
     )
-    return assets.filter(F.map_contains_key("_quotes", currency)).select(
-        "coin_id",
-        F.col("_quotes")[currency].try_cast("double").alias(currency),
-        _quote_time(F.col("_quotes")).alias("quote_ts"),
-        *_context(docs, keep),
+    return (
+        assets.filter(F.map_contains_key("_quotes", currency))
+        .select(
+            "coin_id",
+            F.col("_quotes")[currency].try_cast("double").alias(currency),
+            _quote_time(F.col("_quotes")).alias("quote_ts"),
+            *_context(docs, keep),
+        )
+        .filter(F.col(currency).isNotNull())
     )
 
 
@@ -228,9 +236,16 @@ def _repeat(reason: str, n: Column) -> Column:
     return F.array_repeat(F.lit(reason), F.coalesce(n, F.lit(0)))
 
 
+def _bad_time(p: Column) -> Column:
+    return _pair_ok(p) & epoch_ms_to_ts(F.get(p, 0)).isNull()
+
+
 def _chart_reasons(parsed: Column, fields: Sequence[str] = ("prices", "total_volumes")) -> Column:
-    shorts = [_repeat(f"short pair in {f}", F.size(F.filter(parsed[f], lambda p: ~_pair_ok(p)))) for f in fields]
-    return F.when(parsed.isNull(), F.array(F.lit("not a JSON object"))).otherwise(F.concat(*shorts))
+    reasons = []
+    for f in fields:
+        reasons.append(_repeat(f"short pair in {f}", F.size(F.filter(parsed[f], lambda p: ~_pair_ok(p)))))
+        reasons.append(_repeat(f"time out of range in {f}", F.size(F.filter(parsed[f], _bad_time))))
+    return F.when(parsed.isNull(), F.array(F.lit("not a JSON object"))).otherwise(F.concat(*reasons))
 
 
 def _spot_reasons(parsed: Column) -> Column:

@@ -99,7 +99,7 @@ SELECT user_id AS coin_id,
 FROM events GROUP BY user_id""",
     "spot_usd": """
 SELECT CAST(event_id AS VARCHAR) AS coin_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
-FROM events WHERE json_exists(props, '$.k')""",
+FROM events WHERE json_exists(props, '$.k') AND TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) IS NOT NULL""",
     "cast_measures": """
 SELECT l_orderkey, CAST(l_partkey AS DOUBLE) AS l_partkey, CAST(l_suppkey AS DOUBLE) AS l_suppkey, l_linenumber,
        CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice,

@@ -127,3 +127,15 @@ def test_spot_last_updated_is_a_time_not_a_currency(spark):  # Q17
     from feedlake.operators.report import run_report
 
     assert run_report(d).first().n_rows == 2
+
+
+def test_chart_time_out_of_range_is_quarantined(spark):  # contract: nothing disappears silently
+    d = docs(spark, ("market_chart_btc_20250722_192230.json", '{"prices":[[1e30,5],[1000,6]]}'))
+    assert [r.price for r in feeds.chart_points(d).collect()] == [6.0]
+    assert [r.reason for r in feeds.quarantine(d).collect()] == ["time out of range in prices"]
+
+
+def test_spot_quote_keeps_numeric_quotes_only(spark):  # P7, Q13, Q14
+    d = docs(spark, ("simple_price_20250722_192230.json", '{"a":{"usd":1},"b":{"usd":null},"c":{"usd":"x"},"d":{"eur":2}}'))
+    assert [(r.coin_id, r.usd) for r in feeds.spot_quote(d, "usd").collect()] == [("a", 1.0)]
+    assert [r.reason for r in feeds.quarantine(d).collect()] == ["non-numeric quote c.usd"]
