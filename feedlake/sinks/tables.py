@@ -99,17 +99,19 @@ def export_json_documents(
     the split is deterministic, so a retried task writes the same documents.
     Each document is one multi-line file, readable with ``multiLine``.
     """
-    cols = [c for c in df.columns if c != group_col]
-    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
+    part_col = partition_col or group_col
+    keys = list(dict.fromkeys([group_col, part_col]))
+    cols = [c for c in df.columns if c != part_col]  # the partition value lives in the directory
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     n_parts = F.ceil(F.col("_n") / F.lit(max_items))
-    split = df.join(sizes, group_col).withColumn(
-        "_part", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), n_parts)
-    )
+    split = df.join(sizes, keys).withColumn("_part", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), n_parts))
     items = F.collect_list(F.struct(*cols))
-    docs = split.groupBy(group_col, "_part").agg(F.to_json(items, {"pretty": "true"}).alias("value"))
+    docs = split.groupBy(*keys, "_part").agg(F.to_json(items, {"pretty": "true"}).alias("value")).drop(
+        *[k for k in keys if k != part_col]
+    )
     # one document per file: a multi-line JSON file holds exactly one value
     writer = docs.drop("_part").write.mode("overwrite").option("maxRecordsPerFile", 1)
-    writer.partitionBy(partition_col or group_col).text(path)
+    writer.partitionBy(part_col).text(path)
 
 
 def table_exists(spark, path: str) -> bool:
@@ -141,6 +143,7 @@ def merge_into_chart_table(
     value_name: str = "price",
     keys: Sequence[str] = ("coin_id", "timestamp"),
     partition_by: Sequence[str] = ("coin_id", "date"),
+    count_rows: bool = True,
 ) -> int | None:
     """Merge new chart points into a partitioned table, latest snapshot wins.
 
@@ -161,4 +164,6 @@ def merge_into_chart_table(
     if table_exists(spark, path):
         new = touched_partitions(spark, path, new, schema, partition_by).unionByName(new)
     merged = merge_chart_snapshots(new, value_name, keys).checkpoint(eager=True)
-    return write_table(merged, path, partition_by=partition_by, sort_by=("timestamp",), refresh="touched")
+    return write_table(
+        merged, path, partition_by=partition_by, sort_by=("timestamp",), refresh="touched", count_rows=count_rows
+    )

@@ -120,7 +120,7 @@ def ingest_landing_batch(
         for field, value, table in (("prices", "price", "chart_prices"), ("total_volumes", "volume", "chart_volumes")):
             pts = feeds.chart_points(charts, field, value)
             if charts_mode == "merge":
-                merge_into_chart_table(batch.sparkSession, pts, f"{table_root}/{table}", value)
+                merge_into_chart_table(batch.sparkSession, pts, f"{table_root}/{table}", value, count_rows=False)
                 continue
             write_table(
                 pts,

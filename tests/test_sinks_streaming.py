@@ -143,3 +143,11 @@ def test_stream_merge_mode_keeps_one_point_per_time(spark, tmp_path):  # R2 merg
     streaming.run_ingest_stream(spark, landing, root, charts_mode="merge")
     prices = spark.read.schema(chart_table("price")).parquet(f"{root}/chart_prices")
     assert sorted(r.price for r in prices.collect()) == [1.0, 20.0, 30.0]
+
+
+def test_json_documents_partition_column_differs_from_group(spark, tmp_path):
+    df = spark.createDataFrame([(i, i % 2, i // 5, f"n{i}") for i in range(20)], "id long, grp long, day long, name string")
+    path = str(tmp_path / "docs")
+    sinks.export_json_documents(df, path, group_col="grp", partition_col="day", max_items=3)
+    back = sources.read_json_documents(spark, path, df.select("id", "grp", "name").schema)
+    assert sorted((r.id, r.grp, r.day) for r in back.collect()) == [(i, i % 2, i // 5) for i in range(20)]
