@@ -133,8 +133,9 @@ def shape_kind(doc: str | Column) -> Column:
     catalog      - array whose first element has ``id`` and ``symbol``
     spot         - non-empty object whose every value is an object (this
                    includes the ``bitcoin``/``ethereum`` documents)
-    invalid      - text that is not a JSON object or array
-    unrecognised - any other JSON
+    invalid      - neither a JSON object nor a JSON array (malformed text, or
+                   a bare scalar, which no feed lands)
+    unrecognised - any other object or array
     """
     from pyspark.sql import types as T
 

@@ -53,6 +53,7 @@ def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     counts = non_null_counts(df, present)
     return (
         wanted.join(F.broadcast(counts), "column_name", "left")
+        .orderBy("position")
         .select("column_name", "present", "non_null")
     )
 
@@ -91,7 +92,7 @@ def time_columns(df: DataFrame, needles: Sequence[str] = TIME_NEEDLES) -> list[s
 
 
 def distinct_time_values(df: DataFrame, n: int = 10, needles: Sequence[str] = TIME_NEEDLES) -> DataFrame:
-    """First ``n`` distinct values of each time-like column, in order.
+    """The ``n`` smallest distinct values of each time-like column.
 
     ``(column_name, value)`` with the value as text so columns of different
     types fit one result.  Each part is a distinct + top-k, which Spark

@@ -200,6 +200,10 @@ def landed_files(
     # never sees (or deletes) a half-written directory.
     staging = f"{path}.staging-{uuid.uuid4().hex[:8]}"
     docs().write.mode("overwrite").option("maxRecordsPerFile", 1).text(staging)
-    if not fs.rename(Path(staging), Path(path)) and not fs.exists(Path(f"{path}/_SUCCESS")):
-        raise RuntimeError(f"could not publish landed files at {path}")
-    return path
+    if fs.exists(Path(path)):
+        # published meanwhile by another writer, or a partial directory left
+        # by an interrupted older run: use the complete copy, delete nothing
+        return path if fs.exists(Path(f"{path}/_SUCCESS")) else staging
+    if fs.rename(Path(staging), Path(path)):
+        return path
+    return path if fs.exists(Path(f"{path}/_SUCCESS")) else staging

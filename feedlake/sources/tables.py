@@ -55,6 +55,8 @@ def table_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         for name, df in tables.items()
     ]
+    if not parts:
+        return SparkSession.getActiveSession().createDataFrame([], "table_name string, n_rows long")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

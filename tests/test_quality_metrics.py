@@ -126,3 +126,11 @@ def test_counter_rate_matches_brute_force_with_hot_burst(spark):  # M1, skew
         inc = sum((b - a) if b >= a else b for a, b in zip(vals, vals[1:]))
         expected[(name, w.to_pydatetime())] = (round(inc / 300, 9), len(vals))
     assert got == expected
+
+
+def test_required_columns_keep_order_and_empty_inventory(spark):
+    from feedlake.sources.tables import table_inventory
+
+    df = spark.createDataFrame([(1, "x")], "b int, a string")
+    assert [r.column_name for r in quality.required_columns(df, ["z", "a", "b", "y"]).collect()] == ["z", "a", "b", "y"]
+    assert table_inventory({}).count() == 0
