@@ -275,7 +275,10 @@ def _catalog_reasons(parsed: Column) -> Column:
 
 
 def problem_reasons(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind") -> Column:
-    """``array<string>`` of reasons per document (empty when all is usable)."""
+    """``array<string>`` of reasons per document (empty when all is usable).
+
+    Call it on ``parse_documents(docs)``: on raw text each use parses inline.
+    """
     kind = F.col(kind_col)
     return (
         F.when(kind == "chart", _chart_reasons(_parsed(docs, "chart", doc_col)))
@@ -309,6 +312,11 @@ def quarantine(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
     doc_prefix)``, one row per problem.
     """
 
+    if CHART_COL not in routed.columns:
+        # parse in its own projection: inside the nested CASE a document's
+        # parse would otherwise be evaluated once per use
+        routed = parse_documents(routed, doc_col)
+
     def ref(c):
         return F.col(c) if c in routed.columns else F.lit(None).cast("string")
 

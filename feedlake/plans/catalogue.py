@@ -535,7 +535,7 @@ def sample_grid(spark, sf_dir):
 def quarantine(spark, sf_dir):
     """Per-event spot documents, error events landed truncated: ok vs reason."""
     docs = emulate.spot_doc_per_event(table(spark, sf_dir, "events"), broken_types=("error",))
-    routed = landing.describe_files(docs)
+    routed = feeds.parse_documents(landing.describe_files(docs))
     first_reason = F.try_element_at(feeds.problem_reasons(routed), F.lit(1))
     return routed.groupBy(F.coalesce(first_reason, F.lit("ok")).alias("status")).agg(
         F.count(F.lit(1)).alias("n_docs")
