@@ -126,7 +126,23 @@ def is_json_array(doc: str | Column) -> Column:
     return F.ltrim(col_(doc)).startswith("[")
 
 
-def shape_kind(doc: str | Column) -> Column:
+def shape_probes(doc: str | Column) -> dict[str, Column]:
+    """The measurements shape classification needs, one parse each."""
+    from pyspark.sql import types as T
+
+    doc = col_(doc)
+    values = F.map_values(F.from_json(doc, T.MapType(T.StringType(), T.StringType())))
+    return {
+        "_keys": json_keys(doc),
+        "_array_len": F.json_array_length(doc),
+        "_first_id": F.get_json_object(doc, "$[0].id"),
+        "_first_symbol": F.get_json_object(doc, "$[0].symbol"),
+        "_all_objects": F.forall(values, lambda v: F.coalesce(F.ltrim(v).startswith("{"), F.lit(False))),
+        "_is_array": is_json_array(doc),
+    }
+
+
+def shape_from_probes(p: dict[str, Column]) -> Column:
     """Feed of a document judged by its shape alone.
 
     chart        - object with ``prices`` or ``total_volumes``
@@ -137,23 +153,21 @@ def shape_kind(doc: str | Column) -> Column:
                    a bare scalar, which no feed lands)
     unrecognised - any other object or array
     """
-    from pyspark.sql import types as T
-
-    doc = col_(doc)
-    keys = json_keys(doc)
-    first_id = F.get_json_object(doc, "$[0].id")
-    first_symbol = F.get_json_object(doc, "$[0].symbol")
-    values = F.map_values(F.from_json(doc, T.MapType(T.StringType(), T.StringType())))
-    all_objects = F.forall(values, lambda v: F.coalesce(F.ltrim(v).startswith("{"), F.lit(False)))
+    keys = p["_keys"]
     return (
         F.when(F.array_contains(keys, "prices") | F.array_contains(keys, "total_volumes"), "chart")
-        .when(is_json_array(doc) & first_id.isNotNull() & first_symbol.isNotNull(), "catalog")
-        .when((F.size(keys) > 0) & all_objects, "spot")
-        .when(keys.isNull() & F.json_array_length(doc).isNull(), "invalid")
+        .when(p["_is_array"] & p["_first_id"].isNotNull() & p["_first_symbol"].isNotNull(), "catalog")
+        .when((F.size(keys) > 0) & p["_all_objects"], "spot")
+        .when(keys.isNull() & p["_array_len"].isNull(), "invalid")
         .otherwise(UNRECOGNISED)
     )
 
 
+def shape_kind(doc: str | Column) -> Column:
+    """Single-expression form of ``shape_from_probes`` (see there)."""
+    return shape_from_probes(shape_probes(doc))
+
+
 def pretty_json(*cols: str | Column) -> Column:
     """Indented JSON text of the given columns (one object per row)."""
     return F.to_json(F.struct(*[col_(c) for c in cols]), {"pretty": "true"})

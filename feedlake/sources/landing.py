@@ -21,7 +21,8 @@ from feedlake.functions.columns import (
     UNRECOGNISED,
     chart_asset_id,
     route_by_name,
-    shape_kind,
+    shape_from_probes,
+    shape_probes,
     snapshot_time,
 )
 
@@ -71,8 +72,15 @@ def describe_files(
 
 
 def describe_shapes(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """Add ``shape`` - the feed judged from the document itself."""
-    return docs.withColumn("shape", shape_kind(doc_col))
+    """Add ``shape`` - the feed judged from the document itself.
+
+    The probes (keys, array length, ...) are computed in their own
+    projection, so each parses the document once even though the
+    classification refers to some of them several times.
+    """
+    probes = shape_probes(doc_col)
+    probed = docs.withColumns(probes)
+    return probed.withColumn("shape", shape_from_probes({k: F.col(k) for k in probes})).drop(*probes)
 
 
 def split_by_kind(docs: DataFrame) -> dict[str, DataFrame]:
