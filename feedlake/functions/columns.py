@@ -47,19 +47,32 @@ def col_(c: str | Column) -> Column:
 # -- time ---------------------------------------------------------------------
 
 
+# Epoch range accepted as a point in time: 0001-01-01 to 9999-12-31 (UTC).
+# Outside it, timestamp_millis/seconds would overflow (an error under ANSI).
+MIN_EPOCH_MS = -62_135_596_800_000
+MAX_EPOCH_MS = 253_402_300_799_999
+
+
+def epoch_ms_in_range(ms: str | Column) -> Column:
+    """Numeric (or numeric text) epoch ms inside the supported range."""
+    return col_(ms).try_cast("double").between(F.lit(float(MIN_EPOCH_MS)), F.lit(float(MAX_EPOCH_MS)))
+
+
 def epoch_ms_to_ts(ms: str | Column) -> Column:
     """Epoch milliseconds (number, possibly fractional) -> timestamp.
 
     Same value as the reference's ``(ms / 1000).cast("timestamp")`` to the
     microsecond for integral inputs; fractional milliseconds are truncated.
-    ``try_cast`` keeps an out-of-range number from failing the whole job.
+    Out of range -> null (never an overflow error that fails the job).
     """
-    return F.timestamp_millis(col_(ms).try_cast("long"))
+    return F.when(epoch_ms_in_range(ms), F.timestamp_millis(col_(ms).try_cast("long")))
 
 
 def epoch_s_to_ts(seconds: str | Column) -> Column:
-    """Epoch seconds -> timestamp (``from_unixtime`` would give a string)."""
-    return F.timestamp_seconds(col_(seconds).try_cast("long"))
+    """Epoch seconds -> timestamp (``from_unixtime`` would give a string); null out of range."""
+    s = col_(seconds).try_cast("double")
+    in_range = s.between(F.lit(float(MIN_EPOCH_MS // 1000)), F.lit(float(MAX_EPOCH_MS // 1000)))
+    return F.when(in_range, F.timestamp_seconds(s.try_cast("long")))
 
 
 def ts_to_epoch_ms(ts: str | Column) -> Column:

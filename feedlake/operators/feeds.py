@@ -23,7 +23,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.functions.columns import epoch_ms_to_ts, epoch_s_to_ts, json_keys
+from feedlake.functions.columns import epoch_ms_in_range, epoch_ms_to_ts, epoch_s_to_ts, json_keys
 from feedlake.schemas import CATALOG_DOC, CHART_DOC, SPOT_DOC
 
 CONTEXT = ("file_name", "snapshot_ts")
@@ -237,7 +237,7 @@ def _repeat(reason: str, n: Column) -> Column:
 
 
 def _bad_time(p: Column) -> Column:
-    return _pair_ok(p) & epoch_ms_to_ts(F.get(p, 0)).isNull()
+    return _pair_ok(p) & ~epoch_ms_in_range(F.get(p, 0))
 
 
 def _chart_reasons(parsed: Column, fields: Sequence[str] = ("prices", "total_volumes")) -> Column:
@@ -292,7 +292,7 @@ def typed_row_count(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind
     """Rows the document yields in its feed's main table (chart: prices)."""
     kind = F.col(kind_col)
     chart = _parsed(docs, "chart", doc_col)["prices"]
-    chart_rows = F.size(F.filter(chart, lambda p: _pair_ok(p) & epoch_ms_to_ts(F.get(p, 0)).isNotNull()))
+    chart_rows = F.size(F.filter(chart, lambda p: _pair_ok(p) & epoch_ms_in_range(F.get(p, 0))))
     spot_values = F.flatten(
         F.transform(
             F.map_values(_parsed(docs, "spot", doc_col)),

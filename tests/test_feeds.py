@@ -139,3 +139,15 @@ def test_spot_quote_keeps_numeric_quotes_only(spark):  # P7, Q13, Q14
     d = docs(spark, ("simple_price_20250722_192230.json", '{"a":{"usd":1},"b":{"usd":null},"c":{"usd":"x"},"d":{"eur":2}}'))
     assert [(r.coin_id, r.usd) for r in feeds.spot_quote(d, "usd").collect()] == [("a", 1.0)]
     assert [r.reason for r in feeds.quarantine(d).collect()] == ["non-numeric quote c.usd"]
+
+
+def test_epoch_overflow_never_fails_the_job(spark):  # Q11 under ANSI
+    d = docs(spark, ("market_chart_btc_20250722_192230.json", '{"prices":[[1e17,5],[-1e17,6],[1e15,7],[1000,8]]}'))
+    assert sorted(r.price for r in feeds.chart_points(d).collect()) == [8.0]
+    reasons = [r.reason for r in feeds.quarantine(d).collect()]
+    assert reasons == ["time out of range in prices"] * 3
+    from feedlake.operators.report import run_report
+
+    assert run_report(d).first().n_rows == 1
+    spot = docs(spark, ("simple_price_20250722_192230.json", '{"a":{"usd":1,"last_updated_at":1e17}}'))
+    assert feeds.spot_long(spot).first().quote_ts is None
