@@ -151,3 +151,34 @@ def test_json_documents_partition_column_differs_from_group(spark, tmp_path):
     sinks.export_json_documents(df, path, group_col="grp", partition_col="day", max_items=3)
     back = sources.read_json_documents(spark, path, df.select("id", "grp", "name").schema)
     assert sorted((r.id, r.grp, r.day) for r in back.collect()) == [(i, i % 2, i // 5) for i in range(20)]
+
+
+def test_merge_and_ingest_are_idempotent(spark, tmp_path):  # retries after a lost job give the same tables
+    from feedlake.plans.ingest_run import run_ingest
+    from feedlake.schemas import chart_table
+
+    schema = chart_table("price")
+    pts = spark.createDataFrame(
+        [("btc", dt.datetime(2025, 7, 22, h), float(h), dt.date(2025, 7, 22), dt.datetime(2025, 7, 23)) for h in range(5)],
+        schema,
+    )
+    path = str(tmp_path / "prices")
+    sinks.merge_into_chart_table(spark, pts, path)
+    once = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect())
+    sinks.merge_into_chart_table(spark, pts, path)
+    assert sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect()) == once
+
+    landing = write_landing(
+        tmp_path / "raw",
+        {
+            "market_chart_btc_20250722_000000.json": json.dumps({"prices": [[1000, 1], [2000, 2]]}),
+            "simple_price_20250722_000000.json": '{"btc":{"usd":3}}',
+        },
+    )
+    root = str(tmp_path / "tables")
+    tables = ("chart_prices", "spot", "spot_latest", "quarantine")
+    run_ingest(spark, landing, root)
+    first = {t: sorted(map(str, spark.read.parquet(f"{root}/{t}").drop("ingestion_timestamp").collect())) for t in tables}
+    run_ingest(spark, landing, root)
+    again = {t: sorted(map(str, spark.read.parquet(f"{root}/{t}").drop("ingestion_timestamp").collect())) for t in tables}
+    assert again == first
