@@ -29,9 +29,18 @@ def _q(s: str) -> str:
 
 MS = "date_trunc('millisecond', ts)"
 
+# chart points exist only for pairs with both a time and a value
+CHART_EVENTS = "(SELECT * FROM events WHERE ts IS NOT NULL AND value IS NOT NULL)"
+
 CHART_POINTS = f"""
 SELECT event_type AS coin_id, {MS} AS "timestamp", value AS price, CAST(ts AS DATE) AS date
-FROM events"""
+FROM {CHART_EVENTS}"""
+
+# one spot row per numeric quote in an event's props
+SPOT_QUOTES = """
+(SELECT CAST(event_id AS VARCHAR) AS coin_id, e.key AS currency, TRY_CAST(e.value AS DOUBLE) AS price
+ FROM events, UNNEST(map_entries(CAST(CAST(props AS JSON) AS MAP(VARCHAR, VARCHAR)))) AS u(e)
+ WHERE TRY_CAST(e.value AS DOUBLE) IS NOT NULL)"""
 
 CHART_TABLE_COUNTS = f"""
 SELECT coin_id, date, count(*) AS n_points, min(price) AS min_price, max(price) AS max_price
@@ -44,7 +53,7 @@ _pivot = ",\n  ".join(
 _url_case = " ".join(f"WHEN contains(url, {_q(n)}) THEN {_q(k)}" for n, k in URL_RULES)
 
 _merge_parts = "\nUNION ALL\n".join(
-    f"SELECT event_type AS coin_id, {MS} AS t, value + {float(s)} AS price, {s} AS snap FROM events "
+    f"SELECT event_type AS coin_id, {MS} AS t, value + {float(s)} AS price, {s} AS snap FROM {CHART_EVENTS} "
     f"WHERE day(ts) BETWEEN {a} AND {b}"
     for s, a, b in MERGE_SNAPSHOTS
 )
@@ -78,21 +87,18 @@ ORACLE: dict[str, str] = {
     "chart_volumes": """
 SELECT l_returnflag AS coin_id, date_trunc('millisecond', l_shipdate) AS "timestamp", l_quantity AS volume,
        CAST(l_shipdate AS DATE) AS date
-FROM lineitem""",
+FROM lineitem WHERE l_shipdate IS NOT NULL AND l_quantity IS NOT NULL""",
     "series_stats": f"""
 SELECT event_type AS coin_id, CAST(ts AS DATE) AS date, count(value) AS n_points,
        min({MS}) AS first_ts, max({MS}) AS last_ts, round(avg(value), 6) AS mean_price,
        min(value) AS min_price, max(value) AS max_price
-FROM events GROUP BY 1, 2""",
+FROM {CHART_EVENTS} GROUP BY 1, 2""",
     "catalog_project": """
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS symbol, c_name AS name FROM customer""",
     "json_document_scan": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""",
     "landing_scan": "SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars FROM pages",
-    "spot_long": """
-SELECT CAST(event_id AS VARCHAR) AS coin_id, e.key AS currency, TRY_CAST(e.value AS DOUBLE) AS price
-FROM events, UNNEST(map_entries(CAST(CAST(props AS JSON) AS MAP(VARCHAR, VARCHAR)))) AS u(e)
-WHERE TRY_CAST(e.value AS DOUBLE) IS NOT NULL""",
+    "spot_long": f"SELECT * FROM {SPOT_QUOTES}",
     "spot_wide": f"""
 SELECT user_id AS coin_id,
   {_pivot}
@@ -131,16 +137,16 @@ WHERE rn = 1""",
     "partition_refresh": f"""
 SELECT coin_id, date, count(*) AS n_points, max(price) AS max_price FROM (
   SELECT event_type AS coin_id, CAST(ts AS DATE) AS date,
-         CASE WHEN CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM events) THEN 0.0 ELSE value END AS price
-  FROM events)
+         CASE WHEN CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM {CHART_EVENTS}) THEN 0.0 ELSE value END AS price
+  FROM {CHART_EVENTS})
 GROUP BY coin_id, date""",
     "partition_pruned_read": f"""
 SELECT * FROM ({CHART_POINTS}) WHERE date >= DATE '{PRUNE_FROM_DATE}' AND price > {PRUNE_MIN_PRICE}""",
     "partition_listing": f"""
-SELECT DISTINCT event_type AS coin_id, CAST(ts AS DATE) AS date FROM events ORDER BY 1, 2""",
-    "write_verify": """
-SELECT 'chart_prices' AS table_name, count(*) AS rows_written, count(*) AS rows_read FROM events
-UNION ALL SELECT 'spot', count(*), count(*) FROM events
+SELECT DISTINCT event_type AS coin_id, CAST(ts AS DATE) AS date FROM {CHART_EVENTS} ORDER BY 1, 2""",
+    "write_verify": f"""
+SELECT 'chart_prices' AS table_name, count(*) AS rows_written, count(*) AS rows_read FROM {CHART_EVENTS}
+UNION ALL SELECT 'spot', count(*), count(*) FROM {SPOT_QUOTES}
 UNION ALL SELECT 'catalog', count(*), count(*) FROM customer""",
     "csv_export": "SELECT * FROM customer",
     "json_export": "SELECT * FROM part",
@@ -224,9 +230,9 @@ SELECT CASE WHEN event_type = 'error' THEN 'not a keyed JSON object' ELSE 'ok' E
 FROM events GROUP BY 1""",
     "run_report": f"""
 SELECT 'chart' AS kind, (SELECT count(*) FROM (SELECT DISTINCT event_type, CAST(ts AS DATE), event_id // {CHART_CHUNK} FROM events)) AS n_files,
-       (SELECT count(*) FROM events) AS n_rows, CAST(0 AS BIGINT) AS n_bad, 'ok' AS status
+       (SELECT count(*) FROM {CHART_EVENTS}) AS n_rows, CAST(0 AS BIGINT) AS n_bad, 'ok' AS status
 UNION ALL SELECT 'spot', (SELECT count(*) FROM (SELECT DISTINCT event_id // {SPOT_CHUNK} FROM events)),
-       (SELECT count(*) FROM events), 0, 'ok'
+       (SELECT count(*) FROM {SPOT_QUOTES}), 0, 'ok'
 UNION ALL SELECT 'catalog', (SELECT count(*) FROM (SELECT DISTINCT c_custkey // {CATALOG_CHUNK} FROM customer)),
        (SELECT count(*) FROM customer), 0, 'ok'
 UNION ALL SELECT 'unrecognised', (SELECT count(*) FROM pages), 0, 0, 'skipped'""",
