@@ -134,3 +134,24 @@ def test_required_columns_keep_order_and_empty_inventory(spark):
     df = spark.createDataFrame([(1, "x")], "b int, a string")
     assert [r.column_name for r in quality.required_columns(df, ["z", "a", "b", "y"]).collect()] == ["z", "a", "b", "y"]
     assert table_inventory({}).count() == 0
+
+
+def test_json_type_profile_against_brute_force(spark):  # F17 (rows-only in the catalogue)
+    import json
+    import re
+
+    docs = [("a", '{"k": 1}'), ("a", '{"k": 2, "s": "x"}'), ("b", '{"n": {"x": 1}}'), ("b", "not json"), ("c", '{"k": 1.5}')]
+    df = spark.createDataFrame(docs, "g string, doc string")
+    got = {r.g: r.json_type for r in quality.json_type_profile(df, "doc", ["g"]).collect()}
+    expected_keys = {}
+    for g, d in docs:
+        try:
+            expected_keys.setdefault(g, set()).update(json.loads(d).keys())
+        except ValueError:
+            expected_keys.setdefault(g, set())
+    for g, keys in expected_keys.items():
+        top = re.match(r"^OBJECT<(.*)>$", got[g])
+        assert top, got[g]
+        names = set(re.findall(r"(?:^|, )(\w+): ", top.group(1).split("OBJECT<")[0] if "OBJECT<" in top.group(1) else top.group(1)))
+        assert names == keys, (g, got[g])
+    assert got["a"] == "OBJECT<k: BIGINT, s: STRING>"
