@@ -30,6 +30,15 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return _unpivot_one_row(row, columns, "column_name", "nulls")
 
 
+def nullness_only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace ``columns`` by booleans that are null exactly where they were.
+
+    Null counts are unchanged, but a join or shuffle that follows no longer
+    carries the values (e.g. whole document texts).
+    """
+    return df.withColumns({c: F.when(F.col(c).isNotNull(), F.lit(True)) for c in columns})
+
+
 def non_null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns = list(columns)
     row = df.agg(*[F.count(F.col(c)).alias(c) for c in columns])

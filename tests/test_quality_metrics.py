@@ -155,3 +155,11 @@ def test_json_type_profile_against_brute_force(spark):  # F17 (rows-only in the
         names = set(re.findall(r"(?:^|, )(\w+): ", top.group(1).split("OBJECT<")[0] if "OBJECT<" in top.group(1) else top.group(1)))
         assert names == keys, (g, got[g])
     assert got["a"] == "OBJECT<k: BIGINT, s: STRING>"
+
+
+def test_nullness_only_keeps_null_counts(spark):
+    df = spark.createDataFrame([(1, "long text", None), (2, None, 3.0), (3, None, None)], "id int, t string, v double")
+    slim = quality.nullness_only(df, ["t", "v"])
+    assert dict(slim.dtypes)["t"] == "boolean"
+    full = {r.column_name: r.nulls for r in quality.null_counts(df).collect()}
+    assert {r.column_name: r.nulls for r in quality.null_counts(slim).collect()} == full == {"id": 0, "t": 2, "v": 2}
