@@ -53,6 +53,18 @@ MIN_EPOCH_MS = -62_135_596_800_000
 MAX_EPOCH_MS = 253_402_300_799_999
 
 
+FINITE_NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+
+
+def finite_number(value: str | Column) -> Column:
+    """Number or decimal text -> double; null for anything else, and for
+    text that only a lenient cast takes as a number (NaN, Infinity, ``1.5d``)
+    or that overflows."""
+    value = col_(value)
+    number = F.when(value.cast("string").rlike(FINITE_NUMBER), value.try_cast("double"))
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def epoch_ms_in_range(ms: str | Column) -> Column:
     """Numeric (or numeric text) epoch ms inside the supported range."""
     return col_(ms).try_cast("double").between(F.lit(float(MIN_EPOCH_MS)), F.lit(float(MAX_EPOCH_MS)))
@@ -61,11 +73,11 @@ def epoch_ms_in_range(ms: str | Column) -> Column:
 def epoch_ms_to_ts(ms: str | Column) -> Column:
     """Epoch milliseconds (number, possibly fractional) -> timestamp.
 
-    Same value as the reference's ``(ms / 1000).cast("timestamp")`` to the
-    microsecond for integral inputs; fractional milliseconds are truncated.
+    Fractional milliseconds are kept to the microsecond, rounded half up.
     Out of range -> null (never an overflow error that fails the job).
     """
-    return F.when(epoch_ms_in_range(ms), F.timestamp_millis(col_(ms).try_cast("long")))
+    micros = F.round(col_(ms).try_cast("double") * F.lit(1000.0)).try_cast("long")
+    return F.when(epoch_ms_in_range(ms), F.timestamp_micros(micros))
 
 
 def epoch_s_to_ts(seconds: str | Column) -> Column:

@@ -22,18 +22,29 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from feedlake.functions.columns import epoch_ms_in_range, epoch_ms_to_ts, epoch_s_to_ts, json_keys
-from feedlake.schemas import CATALOG_DOC, CHART_DOC, SPOT_DOC
+from pyspark.sql import types as T
+
+from feedlake.functions.columns import epoch_ms_in_range, epoch_ms_to_ts, epoch_s_to_ts, finite_number
+from feedlake.schemas import (
+    CATALOG_DOC,
+    CATALOG_ITEM,
+    CHART_DOC,
+    CHART_FIELDS,
+    PAIR,
+    PAIR_LIST,
+    SPOT_DOC,
+    SPOT_ENTRY,
+    TEXT_LIST,
+    TEXT_MAP,
+)
 
 CONTEXT = ("file_name", "snapshot_ts")
-PREFIX_CHARS = 200
 
 # Fixed value: the per-asset update-time key the spot endpoint adds when asked.
 SPOT_TIME_KEY = "last_updated_at"
 
 # Columns added by parse_documents.
-CHART_COL, SPOT_COL, CATALOG_COL, PREFIX_COL = "_chart", "_spot", "_catalog", "_doc_prefix"
+CHART_COL, SPOT_COL, CATALOG_COL, REJECTED_COL = "_chart", "_spot", "_catalog", "_rejected_doc"
 
 
 def _context(docs: DataFrame, keep: Sequence[str]) -> list[Column]:
@@ -43,21 +54,57 @@ def _context(docs: DataFrame, keep: Sequence[str]) -> list[Column]:
 # -- parsing -------------------------------------------------------------------------
 #
 # A parse is null exactly when the document is not usable as its feed:
-# chart - not a JSON object; spot - not an object of objects; catalog - not
-# a JSON array.  (from_json alone would turn malformed text into a struct of
-# nulls for the chart schema, hence the cheap shape guards.)
+# chart - not a JSON object; spot - not a JSON object; catalog - not a JSON
+# array.  A well-formed document is tokenised once.  Only when a part of it
+# doesn't fit the feed is it parsed again, part by part, so that the damage
+# stays with the part: a bad pair, entry or element becomes null (with a
+# reason), its neighbours keep their rows.
+
+_DAMAGED = "_damaged"
 
 
 def parse_chart(doc: Column) -> Column:
-    return F.when(json_keys(doc).isNotNull(), F.from_json(doc, CHART_DOC))
+    """struct of the pair lists, and ``bad``: present fields that are no list.
+
+    ``from_json`` fills the extra column with the text of a document that
+    doesn't fit, which tells a damaged field from an absent one."""
+    fit = T.StructType([*CHART_DOC.fields, T.StructField(_DAMAGED, T.StringType())])
+    fast = F.from_json(doc, fit, {"columnNameOfCorruptRecord": _DAMAGED})
+    parts = F.from_json(doc, TEXT_MAP)
+
+    def slow(field: str) -> Column:
+        return F.transform(F.from_json(parts[field], TEXT_LIST), lambda pair: F.from_json(pair, PAIR))
+
+    bad = F.filter(
+        F.array(*[F.when(parts[f].isNotNull() & F.from_json(parts[f], TEXT_LIST).isNull(), F.lit(f)) for f in CHART_FIELDS]),
+        lambda f: f.isNotNull(),
+    )
+    whole = F.struct(*[fast[f].alias(f) for f in CHART_FIELDS], F.array().cast(TEXT_LIST).alias("bad"))
+    rescued = F.struct(*[slow(f).cast(PAIR_LIST).alias(f) for f in CHART_FIELDS], bad.alias("bad"))
+    return F.when(fast.isNotNull() & fast[_DAMAGED].isNull(), whole).when(parts.isNotNull(), rescued)
 
 
 def parse_spot(doc: Column) -> Column:
-    return F.from_json(doc, SPOT_DOC)
+    """Quote map per asset; null for an asset whose entry is no object."""
+    parts = F.from_json(doc, TEXT_MAP)
+    return F.coalesce(
+        F.from_json(doc, SPOT_DOC), F.transform_values(parts, lambda _, entry: F.from_json(entry, SPOT_ENTRY))
+    )
 
 
 def parse_catalog(doc: Column) -> Column:
-    return F.when(F.json_array_length(doc).isNotNull(), F.from_json(doc, CATALOG_DOC))
+    """Elements of the root array; null for one that is no object."""
+    is_array = F.ltrim(doc).startswith("[")
+    return F.when(
+        is_array,
+        F.coalesce(
+            F.from_json(doc, CATALOG_DOC),
+            F.transform(
+                F.from_json(doc, TEXT_LIST),
+                lambda item: F.when(F.ltrim(item).startswith("{"), F.from_json(item, CATALOG_ITEM)),
+            ),
+        ),
+    )
 
 
 _PARSERS: dict[str, tuple[str, Callable[[Column], Column]]] = {
@@ -70,13 +117,13 @@ _PARSERS: dict[str, tuple[str, Callable[[Column], Column]]] = {
 def parse_documents(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind", keep_doc: bool = True) -> DataFrame:
     """Parse each document once, by its kind, into ``_chart``/``_spot``/``_catalog``.
 
-    With ``keep_doc=False`` the raw text is replaced by its first characters
-    (``_doc_prefix``, for the quarantine), which is what a persisted frame
-    should hold.
+    ``_rejected_doc`` is the whole text of a document that has a problem and
+    null for the others.  With ``keep_doc=False`` it replaces the raw text,
+    which is what a persisted frame should hold: the few rejected texts.
     """
     kind, doc = F.col(kind_col), F.col(doc_col)
     out = docs.withColumns({col: F.when(kind == k, parse(doc)) for k, (col, parse) in _PARSERS.items()})
-    out = out.withColumn(PREFIX_COL, F.substring(doc, 1, PREFIX_CHARS))
+    out = out.withColumn(REJECTED_COL, F.when(F.size(problem_reasons(out, doc_col, kind_col)) > 0, doc))
     return out if keep_doc else out.drop(doc_col)
 
 
@@ -89,7 +136,8 @@ def _parsed(docs: DataFrame, kind: str, doc_col: str) -> Column:
 
 
 def _catalog_item_ok(i: Column) -> Column:
-    return F.coalesce(i["id"].isNotNull() & i["symbol"].isNotNull() & i["name"].isNotNull(), F.lit(False))
+    present = i["id"].isNotNull() & i["symbol"].isNotNull() & i["name"].isNotNull()
+    return F.coalesce(i.isNotNull() & present, F.lit(False))
 
 
 def catalog_rows(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTEXT) -> DataFrame:
@@ -120,7 +168,8 @@ def spot_long(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTE
     """``{asset: {currency: value}}`` -> ``(coin_id, currency, price, quote_ts)``.
 
     Integral and fractional quotes both become double; a null quote is
-    dropped; a non-numeric quote loses only its own row (quarantined).
+    dropped; a quote that is no finite number loses only its own row, an
+    entry that is no object only its own asset (both quarantined).
     ``quote_ts`` is the asset's ``last_updated_at`` (epoch seconds) when the
     document carries it, else null; it is not a currency.
     """
@@ -136,7 +185,7 @@ def spot_long(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTE
     return quotes.select(
         "coin_id",
         "currency",
-        F.col("_raw").try_cast("double").alias("price"),
+        finite_number("_raw").alias("price"),
         "quote_ts",
         *_context(docs, keep),
     ).filter(F.col("price").isNotNull())
@@ -157,7 +206,7 @@ def spot_quote(
         assets.filter(F.map_contains_key("_quotes", currency))
         .select(
             "coin_id",
-            F.col("_quotes")[currency].try_cast("double").alias(currency),
+            finite_number(F.col("_quotes")[currency]).alias(currency),
             _quote_time(F.col("_quotes")).alias("quote_ts"),
             *_context(docs, keep),
         )
@@ -188,8 +237,13 @@ def spot_wide(
 # -- chart (market_chart_<id>) --------------------------------------------------------
 
 
+def _pair_short(p: Column) -> Column:
+    """No list, or without two cells that hold something."""
+    return p.isNull() | F.get(p, 0).isNull() | F.get(p, 1).isNull()
+
+
 def _pair_ok(p: Column) -> Column:
-    return F.get(p, 0).isNotNull() & F.get(p, 1).isNotNull()
+    return F.coalesce(finite_number(F.get(p, 0)).isNotNull() & finite_number(F.get(p, 1)).isNotNull(), F.lit(False))
 
 
 def chart_points(
@@ -202,16 +256,18 @@ def chart_points(
 ) -> DataFrame:
     """``[[epoch_ms, v], ...]`` under ``field`` -> ``(coin_id, timestamp, v, date)``.
 
-    A document without ``field`` gives no rows.  Pairs with fewer than two
-    numbers are quarantined; extra elements are ignored.  ``date`` is the
-    UTC calendar date of the point.
+    A document without ``field`` gives no rows.  Pairs without two finite
+    numbers are quarantined one by one; extra elements are ignored.
+    ``date`` is the UTC calendar date of the point.
     """
-    if CHART_COL in docs.columns:
-        parsed = F.col(CHART_COL)
-    else:  # malformed text parses to a struct of nulls: no pairs, no guard needed
-        parsed = F.from_json(F.col(doc_col), CHART_DOC)
+    parsed = _parsed(docs, "chart", doc_col)
     pairs = docs.select(*_context(docs, (asset_col, *keep)), F.explode(parsed[field]).alias("_pair"))
-    ms, val = F.get("_pair", 0), F.get("_pair", 1)
+    pairs = pairs.select(
+        *_context(docs, (asset_col, *keep)),
+        finite_number(F.get("_pair", 0)).alias("_ms"),
+        finite_number(F.get("_pair", 1)).alias("_val"),
+    )
+    ms, val = F.col("_ms"), F.col("_val")
     return (
         pairs.filter(ms.isNotNull() & val.isNotNull())
         .select(
@@ -240,37 +296,45 @@ def _bad_time(p: Column) -> Column:
     return _pair_ok(p) & ~epoch_ms_in_range(F.get(p, 0))
 
 
-def _chart_reasons(parsed: Column, fields: Sequence[str] = ("prices", "total_volumes")) -> Column:
-    reasons = []
+def _chart_reasons(parsed: Column, fields: Sequence[str] = CHART_FIELDS) -> Column:
+    reasons = [F.transform(parsed["bad"], lambda f: F.concat(f, F.lit(" is not a list")))]
     for f in fields:
-        reasons.append(_repeat(f"short pair in {f}", F.size(F.filter(parsed[f], lambda p: ~_pair_ok(p)))))
+        bad = lambda p: ~_pair_short(p) & ~_pair_ok(p)
+        reasons.append(_repeat(f"short pair in {f}", F.size(F.filter(parsed[f], _pair_short))))
+        reasons.append(_repeat(f"non-numeric pair in {f}", F.size(F.filter(parsed[f], bad))))
         reasons.append(_repeat(f"time out of range in {f}", F.size(F.filter(parsed[f], _bad_time))))
     return F.when(parsed.isNull(), F.array(F.lit("not a JSON object"))).otherwise(F.concat(*reasons))
 
 
 def _spot_reasons(parsed: Column) -> Column:
+    entries = F.map_entries(parsed)
     bad_quotes = F.flatten(
         F.transform(
-            F.map_entries(parsed),
+            entries,
             lambda asset: F.transform(
                 F.filter(
                     F.coalesce(
                         F.map_entries(_only_quotes(asset["value"])),
                         F.array().cast("array<struct<key:string,value:string>>"),
                     ),
-                    lambda q: q["value"].isNotNull() & q["value"].try_cast("double").isNull(),
+                    lambda q: q["value"].isNotNull() & finite_number(q["value"]).isNull(),
                 ),
                 lambda q: F.concat(F.lit("non-numeric quote "), asset["key"], F.lit("."), q["key"]),
             ),
         )
     )
-    return F.when(parsed.isNull(), F.array(F.lit("not a keyed JSON object"))).otherwise(bad_quotes)
+    bad_entries = F.transform(
+        F.filter(entries, lambda asset: asset["value"].isNull()),
+        lambda asset: F.concat(F.lit("no quotes under "), asset["key"]),
+    )
+    return F.when(parsed.isNull(), F.array(F.lit("not a keyed JSON object"))).otherwise(F.concat(bad_entries, bad_quotes))
 
 
 def _catalog_reasons(parsed: Column) -> Column:
-    missing = F.size(F.filter(parsed, lambda i: ~_catalog_item_ok(i)))
+    no_object = F.size(F.filter(parsed, lambda i: i.isNull()))
+    missing = F.size(F.filter(parsed, lambda i: i.isNotNull() & ~_catalog_item_ok(i)))
     return F.when(parsed.isNull(), F.array(F.lit("not a JSON array"))).otherwise(
-        _repeat("missing required field", missing)
+        F.concat(_repeat("element is not an object", no_object), _repeat("missing required field", missing))
     )
 
 
@@ -299,7 +363,7 @@ def typed_row_count(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind
             lambda q: F.coalesce(F.map_values(_only_quotes(q)), F.array().cast("array<string>")),
         )
     )
-    spot_rows = F.size(F.filter(spot_values, lambda v: v.try_cast("double").isNotNull()))
+    spot_rows = F.size(F.filter(spot_values, lambda v: finite_number(v).isNotNull()))
     catalog_rows_n = F.size(F.filter(_parsed(docs, "catalog", doc_col), _catalog_item_ok))
     n = F.when(kind == "chart", chart_rows).when(kind == "spot", spot_rows).when(kind == "catalog", catalog_rows_n)
     return F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)).cast("long")
@@ -309,7 +373,8 @@ def quarantine(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
     """Everything that could not be used, with a reason, across all feeds.
 
     One pass over the documents: ``(file_name, file_path, kind, reason,
-    doc_prefix)``, one row per problem.
+    rejected_doc)``, one row per problem.  The whole text of the document
+    comes with the first of its problems only, so that it is stored once.
     """
 
     if CHART_COL not in routed.columns:
@@ -320,14 +385,15 @@ def quarantine(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
     def ref(c):
         return F.col(c) if c in routed.columns else F.lit(None).cast("string")
 
-    prefix = F.col(PREFIX_COL) if PREFIX_COL in routed.columns else F.substring(F.col(doc_col), 1, PREFIX_CHARS)
-    return routed.select(
+    rows = routed.select(
         ref("file_name").alias("file_name"),
         ref("file_path").alias("file_path"),
         F.col("kind"),
-        F.explode(problem_reasons(routed, doc_col)).alias("reason"),
-        prefix.alias("doc_prefix"),
+        F.col(REJECTED_COL),
+        F.posexplode(problem_reasons(routed, doc_col)).alias("_n", "reason"),
     )
+    text = F.when(F.col("_n") == 0, F.col(REJECTED_COL)).alias("rejected_doc")
+    return rows.select("file_name", "file_path", "kind", "reason", text)
 
 
 def _problems_of(kind: str):

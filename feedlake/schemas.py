@@ -21,18 +21,21 @@ CATALOG_ITEM = T.StructType(
 )
 CATALOG_DOC = T.ArrayType(CATALOG_ITEM)
 
-# simple_price: {asset: {currency: value}}.  Inner values are read as text
-# and try_cast afterwards, so one bad quote loses one row, not the document.
-SPOT_DOC = T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))
-
-# market_chart_<id>: {"prices": [[epoch_ms, v], ...], "total_volumes": [...]}
-PAIR_LIST = T.ArrayType(T.ArrayType(T.DoubleType()))
-CHART_DOC = T.StructType(
-    [
-        T.StructField("prices", PAIR_LIST),
-        T.StructField("total_volumes", PAIR_LIST),
-    ]
-)
+# simple_price: {asset: {currency: value}}.  Values are read as text and
+# checked afterwards, so one bad quote loses one row, not the document.
+SPOT_ENTRY = T.MapType(T.StringType(), T.StringType())
+SPOT_DOC = T.MapType(T.StringType(), SPOT_ENTRY)
+
+# market_chart_<id>: {"prices": [[epoch_ms, v], ...], "total_volumes": [...]}.
+# Cells are text for the same reason.
+PAIR = T.ArrayType(T.StringType())
+PAIR_LIST = T.ArrayType(PAIR)
+CHART_FIELDS = ("prices", "total_volumes")
+CHART_DOC = T.StructType([T.StructField(f, PAIR_LIST) for f in CHART_FIELDS])
+
+# Raw parts, for documents of which a part doesn't fit
+TEXT_MAP = T.MapType(T.StringType(), T.StringType())
+TEXT_LIST = T.ArrayType(T.StringType())
 
 # -- output tables -------------------------------------------------------------
 
@@ -69,7 +72,7 @@ QUARANTINE_TABLE = T.StructType(
         T.StructField("file_path", T.StringType()),
         T.StructField("kind", T.StringType()),
         T.StructField("reason", T.StringType()),
-        T.StructField("doc_prefix", T.StringType()),
+        T.StructField("rejected_doc", T.StringType()),
     ]
 )
 
