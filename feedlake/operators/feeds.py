@@ -372,8 +372,8 @@ def typed_row_count(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind
 def quarantine(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
     """Everything that could not be used, with a reason, across all feeds.
 
-    One pass over the documents: ``(file_name, file_path, kind, reason,
-    rejected_doc)``, one row per problem.  The whole text of the document
+    One pass over the documents: ``(file_name, file_path, kind, problem_no,
+    reason, rejected_doc)``, one row per problem.  The whole text of the document
     comes with the first of its problems only, so that it is stored once.
     """
 
@@ -390,10 +390,10 @@ def quarantine(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
         ref("file_path").alias("file_path"),
         F.col("kind"),
         F.col(REJECTED_COL),
-        F.posexplode(problem_reasons(routed, doc_col)).alias("_n", "reason"),
+        F.posexplode(problem_reasons(routed, doc_col)).alias("problem_no", "reason"),
     )
-    text = F.when(F.col("_n") == 0, F.col(REJECTED_COL)).alias("rejected_doc")
-    return rows.select("file_name", "file_path", "kind", "reason", text)
+    text = F.when(F.col("problem_no") == 0, F.col(REJECTED_COL)).alias("rejected_doc")
+    return rows.select("file_name", "file_path", "kind", "problem_no", "reason", text)
 
 
 def _problems_of(kind: str):

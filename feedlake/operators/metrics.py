@@ -11,6 +11,7 @@ all samples is still spread over many tasks.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,6 +67,25 @@ def state_counts_filled(
     return counts.unionByName(zeros).groupBy("state").agg(F.max("n").alias("n"))
 
 
+def exposition(families: Sequence[tuple[str, str, DataFrame]], label: str = "state") -> DataFrame:
+    """The whole text of an exposition, ``(metric, line_no, line)``.
+
+    Each family is (metric name, help text, ``(state, n)`` counts) and gives
+    its help line (0), its type line (1), then its samples by state (nulls
+    last).  Rows are bounded by the number of states."""
+    parts = []
+    for metric, text, counts in families:
+        rank = F.row_number().over(Window.orderBy(F.col("state").asc_nulls_last()))  # a few states
+        samples = counts.select(
+            F.lit(metric).alias("metric"),
+            (rank + 1).cast("long").alias("line_no"),
+            metric_line(metric, label, F.col("state"), F.col("n")).alias("line"),
+        )
+        heads = [(metric, 0, f"# HELP {metric} {text}"), (metric, 1, f"# TYPE {metric} gauge")]
+        parts.append(counts.sparkSession.createDataFrame(heads, "metric string, line_no long, line string").unionByName(samples))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def metric_lines(counts: DataFrame, metric: str = RUN_METRIC, label: str = "state") -> DataFrame:
     """Exposition lines ``metric{state="x"} n`` from ``(state, n)`` rows."""
     return counts.select(
@@ -79,7 +99,9 @@ def label_select(samples: DataFrame, selector: Mapping[str, str], labels_col: st
     """Samples whose label map matches every ``key = value`` of the selector."""
     cond: Column | None = None
     for k, v in selector.items():
-        c = F.try_element_at(F.col(labels_col), F.lit(k)) == F.lit(v)
+        # plain map access folds into the column a built map takes the label
+        # from, so the filter reaches the scan; an absent label is null
+        c = F.col(labels_col)[k] == F.lit(v)
         cond = c if cond is None else (cond & c)
     return samples if cond is None else samples.filter(cond)
 
@@ -106,13 +128,25 @@ def _increase(prev: Column, cur: Column) -> Column:
     return F.when(prev.isNull(), None).when(cur >= prev, cur - prev).otherwise(cur)
 
 
+def _seconds(interval: str) -> int:
+    """Whole seconds of an interval text such as ``5 minutes``."""
+    units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+    parts = interval.split()
+    if len(parts) != 2 or not parts[0].isdigit() or parts[1].rstrip("s") not in units or int(parts[0]) < 1:
+        raise ValueError(f"an interval like '5 minutes' is needed, not {interval!r}")
+    return int(parts[0]) * units[parts[1].rstrip("s")]
+
+
+def _slice(ts: str, seconds: int) -> Column:
+    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(seconds * 1_000_000))
+
+
 def counter_rate(
     samples: DataFrame,
     series: Sequence[str],
     ts: str = "ts",
     value: str = "value",
     window: str = "5 minutes",
-    window_seconds: int = 300,
     tie: str | None = None,
     slice_seconds: int = 10,
 ) -> DataFrame:
@@ -120,8 +154,8 @@ def counter_rate(
 
     Increments are taken between consecutive samples of a series inside the
     window; a drop means the counter was reset, so the increment is the new
-    value.  No extrapolation to the window edges.  ``(series..., window_start,
-    rate, n_samples)``.
+    value.  No extrapolation to the window edges; a window with a single
+    sample has no rate (null).  ``(series..., window_start, rate, n_samples)``.
 
     Ordered work never spans more than ``slice_seconds`` of one series: a window
     function finds increments inside each (series, slice); per slice, the
@@ -130,10 +164,12 @@ def counter_rate(
     lag over those aggregates (at most window/slice rows per group).
     ``slice_seconds`` must divide the window length.
     """
+    seconds = _seconds(window)
+    if slice_seconds < 1 or seconds % slice_seconds:
+        raise ValueError("slice_seconds must divide the window")
     order = [F.col(ts)] + ([F.col(tie)] if tie else [])
     key = F.struct(*order)
-    slice_key = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(slice_seconds * 1_000_000))
-    df = samples.withColumns({"window_start": F.window(ts, window).start, "_slice": slice_key})
+    df = samples.withColumns({"window_start": F.window(ts, window).start, "_slice": _slice(ts, slice_seconds)})
     w_in = Window.partitionBy(*series, "window_start", "_slice").orderBy(*order)
     df = df.withColumn("_inc", _increase(F.lag(value).over(w_in), F.col(value)))
     slices = df.groupBy(*series, "window_start", "_slice").agg(
@@ -144,19 +180,13 @@ def counter_rate(
     )
     w_s = Window.partitionBy(*series, "window_start").orderBy("_slice")
     slices = slices.withColumn("_inc_edge", _increase(F.lag("_last").over(w_s), F.col("_first")))
+    increase = F.coalesce(F.sum("_inc_in"), F.lit(0.0)) + F.coalesce(F.sum("_inc_edge"), F.lit(0.0))
     return slices.groupBy(*series, "window_start").agg(
-        (
-            (F.coalesce(F.sum("_inc_in"), F.lit(0.0)) + F.coalesce(F.sum("_inc_edge"), F.lit(0.0)))
-            / F.lit(float(window_seconds))
-        ).alias("rate"),
+        F.when(F.sum("_n") > 1, increase / F.lit(float(seconds))).alias("rate"),
         F.sum("_n").alias("n_samples"),
     )
 
 
-def _bucketed(samples: DataFrame, ts: str, bucket: str) -> DataFrame:
-    return samples.withColumn("_bucket", F.window(ts, bucket).start)
-
-
 def sustained_threshold(
     samples: DataFrame,
     series: Sequence[str],
@@ -165,43 +195,81 @@ def sustained_threshold(
     ts: str = "ts",
     value: str = "value",
     tie: str | None = None,
-    bucket: str = "1 day",
+    slice_seconds: int = 60,
+    max_gap_seconds: int | None = None,
 ) -> DataFrame:
     """Runs of consecutive samples above ``threshold`` lasting at least
     ``min_duration_seconds`` (last minus first sample time).
 
-    Gaps and islands without ordering a whole series in one task.  A run is
-    identified by the last sample *not* above the threshold before it (its
-    ordering key); that is a running maximum, which splits in two levels:
+    ``max_gap_seconds`` ends a run where the next sample is further away than
+    that; ``None`` lets a run span any silence.  A null value is not above
+    the threshold; a series with null labels is a series.
 
-    * inside a (series, bucket) partition, a window keeps the running
-      maximum of below-threshold keys;
-    * for the first rows of a bucket, the maximum over all earlier buckets
-      comes from a per-bucket aggregate (partial aggregation, no window)
-      followed by a running maximum over one row per series and bucket.
+    Gaps and islands without ordering a series in one task.  Samples are
+    ordered inside (series, slice) partitions of ``slice_seconds`` only and
+    become stretches.  A stretch that holds neither the first nor the last
+    sample of its slice is complete; the others, two a slice at most, are
+    joined inside (series, day) partitions, and the first and last of each
+    day across days.  Complete stretches pass by in partitions of their own.
+    The samples are scanned once, and nothing is joined back.
 
     Returns ``(series..., start_ts, end_ts, n_samples)``.
     """
+    if slice_seconds < 1 or 86400 % slice_seconds:
+        raise ValueError("slice_seconds must divide a day")
     order_cols = [ts] + ([tie] if tie else [])
-    below_key = F.when(~F.col("_above"), F.struct(*[F.col(c) for c in order_cols]))
-    df = _bucketed(samples, ts, bucket).withColumn("_above", F.col(value) > F.lit(threshold))
-
-    per_bucket = df.groupBy(*series, "_bucket").agg(F.max(below_key).alias("_last_below"))
-    w_b = Window.partitionBy(*series).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.select(*series, "_bucket", F.max("_last_below").over(w_b).alias("_carried"))
-
-    w_in = Window.partitionBy(*series, "_bucket").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    runs = (
-        df.withColumn("_below_in", F.max(below_key).over(w_in))
-        .filter("_above")
-        .join(carried, [*series, "_bucket"])
-        .withColumn("_run", F.coalesce("_below_in", "_carried"))
-        .groupBy(*series, "_run")
-        .agg(
-            F.min(ts).alias("start_ts"),
-            F.max(ts).alias("end_ts"),
-            F.count(F.lit(1)).alias("n_samples"),
-        )
+    gap = F.lit(None).cast("long") if max_gap_seconds is None else F.lit(max_gap_seconds * 1_000_000)
+    df = samples.select(
+        *series,
+        *dict.fromkeys(order_cols),
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("_from"),
+        _slice(ts, slice_seconds).alias("_slice"),
+        F.coalesce(F.col(value) > F.lit(threshold), F.lit(False)).alias("_above"),
+    )
+    df = df.withColumns(
+        {"_to": F.col("_from"), "start_ts": F.col(ts), "end_ts": F.col(ts), "n_samples": F.lit(1).cast("long"),
+         "_first": F.lit(True), "_last": F.lit(True), "_done": F.lit(None).cast(_DONE)}
+    )
+    stretches = _joined(df, series, ["_slice"], order_cols, gap, 0)
+    stretches = stretches.withColumn("_day", F.floor(F.col("_slice") * F.lit(slice_seconds) / F.lit(86400)))
+    days = _joined(stretches.withColumnRenamed("_run", "_part"), series, ["_day"], ["_slice", "_part"], gap, 1)
+    runs = _joined(days.withColumnRenamed("_run", "_day_run"), series, [], ["_day", "_day_run"], gap, 2)
+    span = F.col("_to") - F.col("_from")
+    runs = runs.filter(F.col("_above") & (span >= F.lit(min_duration_seconds * 1_000_000)))
+    return runs.select(*series, "start_ts", "end_ts", "n_samples")
+
+
+#: Name of a complete stretch of samples: level, container, number.
+_DONE = "struct<level:int,c:bigint,n:bigint>"
+
+
+def _joined(parts: DataFrame, series: Sequence[str], inside: Sequence[str], order: Sequence[str], gap: Column, level: int) -> DataFrame:
+    """Parts joined with the one before where both are above, they meet (the
+    last of its container and the first of the next) and no gap lies between.
+
+    ``_done`` names a complete part (level, container, number) and is null for
+    an open one, so that a complete part has a partition of its own.  Of the
+    result, ``_first`` and ``_last`` say whether a run is the first or last of
+    its container, which keeps it open; the other runs are complete, and
+    those not above the threshold go."""
+    keys = [*series, *inside, "_done"]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    far = F.coalesce(F.col("_from") - F.lag("_to").over(w) > gap, F.lit(False))
+    meets = F.col("_above") & F.lag("_above").over(w) & F.lag("_last").over(w) & F.col("_first") & ~far
+    new = F.when(F.coalesce(meets, F.lit(False)), 0).otherwise(1)
+    numbered = parts.withColumn("_run", F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = numbered.groupBy(*keys, "_run", "_above").agg(
+        F.min("_from").alias("_from"),
+        F.max("_to").alias("_to"),
+        F.min("start_ts").alias("start_ts"),
+        F.max("end_ts").alias("end_ts"),
+        F.sum("n_samples").alias("n_samples"),
     )
-    span = F.unix_micros(F.col("end_ts").cast("timestamp")) - F.unix_micros(F.col("start_ts").cast("timestamp"))
-    return runs.filter(span >= F.lit(min_duration_seconds * 1_000_000)).drop("_run")
+    whole = Window.partitionBy(*keys)
+    first, last = F.col("_run") == F.min("_run").over(whole), F.col("_run") == F.max("_run").over(whole)
+    runs = runs.withColumns({"_first": first, "_last": last})
+    if inside:
+        name = F.struct(F.lit(level).alias("level"), F.col(inside[0]).cast("long").alias("c"), F.col("_run").cast("long").alias("n"))
+        inner = ~(F.col("_first") | F.col("_last"))
+        runs = runs.withColumn("_done", F.coalesce(F.col("_done"), F.when(inner, name).cast(_DONE)))
+    return runs.filter(F.col("_above") | F.col("_done").isNull())

@@ -151,13 +151,25 @@ def json_shape_profile(df: DataFrame, doc_col: str, id_cols: Sequence[str]) -> D
 
 
 def json_type_profile(df: DataFrame, doc_col: str, group: Sequence[str] = ()) -> DataFrame:
-    """Merged type of every document (per group), e.g. ``OBJECT<k: BIGINT>``.
+    """``(group..., key, json_type, n)``: JSON type of every top-level key's
+    values, counted over all documents (map-side combined, one small shuffle).
 
-    ``schema_of_variant_agg`` merges per-task partial schemas, so it is one
-    distributed aggregation, not a sample read on the driver.
+    Types are the JSON names: object, array, string, number, boolean, null.
+    Documents that are no JSON object have no keys.
     """
-    agg = F.schema_of_variant_agg(F.try_parse_json(doc_col)).alias("json_type")
-    return df.groupBy(*group).agg(agg) if group else df.agg(agg)
+    parsed = df.select(*group, F.try_parse_json(doc_col).alias("_doc"))
+    fields = df.sparkSession.sql("SELECT d.*, f.key, f.value FROM {parsed} d, LATERAL variant_explode(_doc) f", parsed=parsed)
+    kind = F.schema_of_variant("value")
+    json_type = (
+        F.when(kind.startswith("OBJECT"), "object")
+        .when(kind.startswith("ARRAY"), "array")
+        .when(kind == "STRING", "string")
+        .when(kind == "BOOLEAN", "boolean")
+        .when(kind == "VOID", "null")
+        .otherwise("number")
+    )
+    keyed = fields.filter(F.col("key").isNotNull())  # array elements have a position only
+    return keyed.groupBy(*group, "key", json_type.alias("json_type")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def text_shape_profile(df: DataFrame, text_col: str, id_cols: Sequence[str], head_chars: int = 200) -> DataFrame:

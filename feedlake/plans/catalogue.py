@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from feedlake.functions import columns as C
 from feedlake.operators import feeds, merge, metrics, quality, report
-from feedlake.plans import emulate
-from feedlake.session import scratch_path, use_utc
+from feedlake.plans import emulate, ingest_run
+from feedlake.session import scratch_path, shared_root, use_utc
 from feedlake.sinks import tables as sinks
 from feedlake.sources import landing, tables as sources
 from feedlake.streaming import ingest as streaming
@@ -30,7 +30,6 @@ TABLES = (
 ).split()
 
 # Query parameters (chosen for the driver tables; not reference values).
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 EVENT_TYPE_LABELS = {
     "click": ("Click", "CLK"),
     "error": ("Error", "ERR"),
@@ -42,6 +41,7 @@ URL_RULES = (("?", "query"), ("#", "fragment"), ("blog.", "blog"), (".html", "st
 PRUNE_FROM_DATE = "2024-01-15"
 PRUNE_MIN_PRICE = 100.0
 THRESHOLD = 50.0
+MAX_GAP = 240
 CUSTOMER_REQUIRED = ("c_custkey", "c_name", "c_phone", "c_mktsegment")
 CUSTOMER_WANTED = ("key", "name", "seg")
 ORDER_STATES = ("F", "O", "P")
@@ -115,6 +115,8 @@ def json_document_scan(spark, sf_dir):
         orders.withColumn("chunk", F.floor(F.col("o_orderkey") / emulate.ORDERS_CHUNK).cast("long")),
         path,
         group_col="chunk",
+        id_col="o_orderkey",
+        max_items=emulate.ORDERS_CHUNK,
     )
     schema = T.StructType([f for f in orders.schema.fields])
     back = sources.read_json_documents(spark, path, schema, multi_line=True)
@@ -125,12 +127,7 @@ def json_document_scan(spark, sf_dir):
 def landing_scan(spark, sf_dir):
     """Every page landed as its own JSON file; one-pass whole-text scan."""
     pages = table(spark, sf_dir, "pages")
-    path = emulate.landed_files(
-        spark,
-        "pages",
-        [pages],
-        lambda: pages.select(F.to_json(F.struct("page_id", "url", "html")).alias("value")),
-    )
+    path = emulate.landed_files(spark, "pages", pages.select(F.to_json(F.struct("page_id", "url", "html")).alias("value")))
     scanned = landing.scan_landing(spark, path, glob="*.txt")
     parsed = F.from_json("doc", "page_id long, url string, html string")
     return scanned.select(
@@ -152,7 +149,7 @@ def spot_wide(spark, sf_dir):
     """Latest value per user and event type, one column per type."""
     e = table(spark, sf_dir, "events")
     long = e.select(F.col("user_id").alias("coin_id"), F.col("event_type").alias("currency"), F.col("value").alias("price"), "ts", "event_id")
-    return feeds.spot_wide(long, EVENT_TYPES, order=("ts", "event_id"))
+    return feeds.spot_wide(long, order=("ts", "event_id"))
 
 
 @query
@@ -217,15 +214,20 @@ def latest_snapshot(spark, sf_dir):
 def chart_merge(spark, sf_dir):
     """Three overlapping chart snapshots; the latest snapshot wins per point."""
     e = table(spark, sf_dir, "events")
-    parts = []
-    for snap, first_day, last_day in MERGE_SNAPSHOTS:
-        dom = F.dayofmonth("ts")
-        sub = e.filter((dom >= first_day) & (dom <= last_day)).withColumn("value", F.col("value") + F.lit(float(snap)))
-        docs = emulate.chart_docs_from_events(sub).withColumn(
-            "file_name", F.regexp_replace("file_name", r"_\d{8}_\d{6}\.json$", f"_2025010{snap}_000000.json")
-        )
-        parts.append(docs)
-    docs = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    day = F.dayofmonth("ts")
+    taken = F.array(
+        *[
+            F.when(
+                day.between(first, last),
+                F.struct(F.lit(f"2025-01-0{snap}").cast("timestamp").alias("at"), (F.col("value") + F.lit(float(snap))).alias("value")),
+            )
+            for snap, first, last in MERGE_SNAPSHOTS
+        ]
+    )
+    seen = e.select("event_id", "event_type", "user_id", "ts", F.explode(F.array_compact(taken)).alias("_s"))
+    docs = emulate.chart_docs_from_events(
+        seen.select("event_id", "event_type", "user_id", "ts", "_s.value", "_s.at"), snapshot_col="at"
+    )
     pts = feeds.chart_points(landing.describe_files(docs), "prices", "price")
     merged = merge.merge_chart_snapshots(pts, "price")
     return _ntz(merged.select("coin_id", "timestamp", "price"), "timestamp")
@@ -244,7 +246,7 @@ def _write_chart_table(spark, sf_dir, refresh="full"):
         sort_by=("timestamp",),
         refresh=refresh,
     )
-    return path, n, pts
+    return path, n
 
 
 CHART_TABLE_SCHEMA = T.StructType(
@@ -270,7 +272,7 @@ def table_roundtrip(spark, sf_dir):
 @query
 def partitioned_overwrite(spark, sf_dir):
     """Chart points written partitioned by (coin_id, date); counts read back."""
-    path, _, _ = _write_chart_table(spark, sf_dir)
+    path, _ = _write_chart_table(spark, sf_dir)
     back = sources.read_table(spark, path, schema=CHART_TABLE_SCHEMA)
     return back.groupBy("coin_id", "date").agg(
         F.count(F.lit(1)).alias("n_points"), F.min("price").alias("min_price"), F.max("price").alias("max_price")
@@ -280,9 +282,12 @@ def partitioned_overwrite(spark, sf_dir):
 @query
 def partition_refresh(spark, sf_dir):
     """Touched-partition refresh: the first day is rewritten with price 0."""
-    path, _, pts = _write_chart_table(spark, sf_dir)
-    first_day = pts.agg(F.min("date").alias("date"))
-    fresh = pts.join(F.broadcast(first_day), "date").withColumn("price", F.lit(0.0))
+    path, _ = _write_chart_table(spark, sf_dir)
+    written = sources.read_table(spark, path, schema=CHART_TABLE_SCHEMA)
+    first_day = written.agg(F.min("date")).first()[0]  # from the partition values
+    # the partitions about to be replaced are read into a checkpoint first
+    shared_root(spark)
+    fresh = written.filter(F.col("date") == F.lit(first_day)).withColumn("price", F.lit(0.0)).checkpoint(eager=True)
     sinks.write_table(
         fresh.select("coin_id", "timestamp", "price", "date"),
         path,
@@ -296,10 +301,19 @@ def partition_refresh(spark, sf_dir):
     )
 
 
+@query
+def discovered_tables(spark, sf_dir):
+    """Tables found under a root, with their rows."""
+    root = scratch_path(spark, "tables")
+    for name in ("nation", "supplier", "orders"):
+        sinks.write_table(table(spark, sf_dir, name), f"{root}/{name}")
+    return sources.table_inventory(sources.discover_tables(spark, root))
+
+
 @query
 def partition_pruned_read(spark, sf_dir):
     """Date filter answered by partition pruning, price filter pushed down."""
-    path, _, _ = _write_chart_table(spark, sf_dir)
+    path, _ = _write_chart_table(spark, sf_dir)
     back = sources.read_table(spark, path, schema=CHART_TABLE_SCHEMA)
     hit = back.filter((F.col("date") >= F.lit(PRUNE_FROM_DATE).cast("date")) & (F.col("price") > PRUNE_MIN_PRICE))
     return _ntz(hit.select("coin_id", "timestamp", "price", "date"), "timestamp")
@@ -308,7 +322,7 @@ def partition_pruned_read(spark, sf_dir):
 @query
 def partition_listing(spark, sf_dir):
     """Distinct partitions of the chart table, sorted."""
-    path, _, _ = _write_chart_table(spark, sf_dir)
+    path, _ = _write_chart_table(spark, sf_dir)
     back = sources.read_table(spark, path, schema=CHART_TABLE_SCHEMA)
     return quality.partition_listing(back, ["coin_id", "date"])
 
@@ -317,7 +331,7 @@ def partition_listing(spark, sf_dir):
 def write_verify(spark, sf_dir):
     """Rows written (observed during the write) against rows read back."""
     results = []
-    path, n, _ = _write_chart_table(spark, sf_dir)
+    path, n = _write_chart_table(spark, sf_dir)
     results.append(("chart_prices", n, path))
     spot = feeds.spot_long(emulate.spot_docs_from_events(table(spark, sf_dir, "events")))
     spath = scratch_path(spark, "spot")
@@ -336,11 +350,12 @@ def write_verify(spark, sf_dir):
 
 @query
 def csv_export(spark, sf_dir):
-    """Customer exported as CSV with a header and read back typed."""
-    c = table(spark, sf_dir, "customer")
+    """Documents (line breaks, quotes, blanks) exported as CSV with a header
+    and read back typed."""
+    d = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "csv")
-    sinks.export_csv(c, path)
-    return sources.read_csv(spark, path, c.schema)
+    sinks.export_csv(d, path)
+    return sources.read_csv(spark, path, d.schema)
 
 
 @query
@@ -440,7 +455,7 @@ def json_shape_profile(spark, sf_dir):
 
 @query
 def json_type_profile(spark, sf_dir):
-    """Merged JSON type of props per event type."""
+    """JSON type of each props key, counted per event type."""
     return quality.json_type_profile(table(spark, sf_dir, "events"), "props", ["event_type"])
 
 
@@ -496,14 +511,28 @@ def metric_lines(spark, sf_dir):
     return metrics.metric_lines(metrics.state_counts(_order_log(spark, sf_dir)))
 
 
+@query
+def metric_exposition(spark, sf_dir):
+    """Help, type and sample lines of the run metric, and of the task metric
+    whose log is empty (known states at 0)."""
+    runs = metrics.state_counts(_order_log(spark, sf_dir))
+    no_tasks = _order_log(spark, sf_dir).filter(F.col("run_id").isNull())
+    tasks = metrics.state_counts_filled(no_tasks, metrics.TASK_STATES, only_if_empty=True)
+    return metrics.exposition(
+        [(metrics.RUN_METRIC, "Number of runs by state", runs), (metrics.TASK_METRIC, "Number of tasks by state", tasks)]
+    )
+
+
 def _samples(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_type", "event_id", "user_id", "ts", "value")
 
 
 @query
 def counter_rate(spark, sf_dir):
-    """Per-second increase of each event type's counter per 5 minutes."""
-    r = metrics.counter_rate(_samples(spark, sf_dir), ["event_type"], "ts", "value", tie="event_id")
+    """Per-second increase of each event type's counter per 5 minutes.  The
+    event id rises within a type, and restarts from 0 every 1000 ids."""
+    e = _samples(spark, sf_dir).withColumn("counter", (F.col("event_id") % 1000).cast("double"))
+    r = metrics.counter_rate(e, ["event_type"], "ts", "counter", tie="event_id")
     return r.withColumn("rate", F.round("rate", 6))
 
 
@@ -524,6 +553,16 @@ def sustained_threshold(spark, sf_dir):
     )
 
 
+@query
+def sustained_threshold_gap(spark, sf_dir):
+    """The same with a gap limit, over a series without a label that holds a
+    third of all samples and more."""
+    e = _samples(spark, sf_dir).withColumn("label", F.when(~F.col("event_type").isin("click", "view"), F.col("event_type")))
+    return metrics.sustained_threshold(
+        e, ["label"], THRESHOLD, 300, "ts", "value", tie="event_id", max_gap_seconds=MAX_GAP
+    )
+
+
 @query
 def sample_grid(spark, sf_dir):
     """Last sample of each event type per 30-second slot."""
@@ -553,6 +592,46 @@ def run_report(spark, sf_dir):
     return report.run_report(landing.describe_files(zone))
 
 
+@query
+def feed_damage(spark, sf_dir):
+    """Documents with a known share of damaged parts: kept rows and problems
+    per feed (the names of assets cut from the reasons)."""
+    zone = emulate.damaged_zone(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"))
+    routed = feeds.parse_documents(landing.describe_files(zone))
+    rows = report.run_report(routed).select("kind", F.lit("rows").alias("what"), F.col("n_rows").alias("n"))
+    what = F.regexp_replace("reason", r"(quotes? \w+).*", "$1")
+    problems = feeds.quarantine(routed).groupBy("kind", what.alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.unionByName(problems)
+
+
+@query
+def latest_landed_file(spark, sf_dir):
+    """Newest landed file per feed."""
+    zone = emulate.landing_zone(
+        table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "pages")
+    )
+    return landing.latest_files(landing.describe_files(zone)).select("kind", "file_name")
+
+
+def _table_rows(spark, root, names):
+    # counting needs no columns; a table without rows has no file to infer any from
+    return sources.table_inventory({n: spark.read.schema("batch string").parquet(f"{root}/{n}") for n in names})
+
+
+@query
+def ingest_two_runs(spark, sf_dir):
+    """Landed documents ingested in two runs; the second no longer sees the
+    first run's files.  Rows per table equal those of one run."""
+    zone = landing.describe_files(
+        emulate.landing_zone(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "pages"))
+    )
+    root = scratch_path(spark, "two-runs")
+    later = F.pmod(F.xxhash64("file_path"), F.lit(2)) == 1
+    for part in (zone.filter(~later), zone.filter(later)):
+        ingest_run.ingest_documents(spark, part, root)
+    return _table_rows(spark, root, ("chart_prices", "chart_volumes", "spot", "spot_latest", "quarantine"))
+
+
 # -- streaming -----------------------------------------------------------------------------------------------
 
 
@@ -566,14 +645,31 @@ def stream_ingest(spark, sf_dir):
     return spark.read.schema(schema).parquet(sink).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+@query
+def landing_batches(spark, sf_dir):
+    """Landed documents through the streaming ingest; every micro-batch runs
+    twice, as after a failure.  Rows per table are those of one run."""
+    zone = emulate.landing_zone(
+        table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "pages")
+    )
+    landed, root = scratch_path(spark, "landed-documents"), scratch_path(spark, "stream-tables")
+    zone.write.parquet(landed)
+    stream = landing.describe_files(streaming.file_stream(spark, landed, zone.schema, max_files_per_trigger=4))
+
+    def twice(batch, key):
+        for _ in range(2):
+            streaming.ingest_landing_batch(batch, root, key)
+
+    streaming.run_batches(stream, scratch_path(spark, "stream-ckpt"), twice)
+    return _table_rows(spark, root, ("chart_prices", "chart_volumes", "spot", "catalog", "quarantine"))
+
+
 @query
 def stream_dedup(spark, sf_dir):
-    """Every event arrives twice; watermark de-duplication keeps one."""
+    """Every event arrives twice; exact de-duplication keeps one."""
     schema = table(spark, sf_dir, "events").schema
     sink, ckpt = scratch_path(spark, "dedup-sink"), scratch_path(spark, "dedup-ckpt")
     first = streaming.file_stream(spark, sf_dir, schema, glob="events.parquet")
     again = streaming.file_stream(spark, sf_dir, schema, glob="events.parquet")
-    both = first.unionByName(again).withColumn("event_time", F.col("ts").cast("timestamp"))
-    deduped = streaming.dedup_within_watermark(both, ["event_id"], "event_time", "1 hour")
-    streaming.run_available_now(deduped.drop("event_time"), sink, ckpt)
-    return spark.read.schema(schema).parquet(sink).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"))
+    streaming.run_dedup(first.unionByName(again), sink, ckpt, ["event_id"], "ts")
+    return spark.read.parquet(sink).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"))

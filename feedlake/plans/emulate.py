@@ -12,20 +12,17 @@ one document; nothing is sampled or dropped.
 
 from __future__ import annotations
 
-import hashlib
-import uuid
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.columns import ts_to_epoch_ms
-from feedlake.session import shared_root
+from feedlake.session import scratch_path
 
 CHART_CHUNK = 256
 SPOT_CHUNK = 256
 CATALOG_CHUNK = 1000
 ORDERS_CHUNK = 1000
+DAMAGE_EVERY = {"chart": 7, "spot": 5, "catalog": 11}
 
 
 def _chunk(col: str, size: int):
@@ -56,24 +53,29 @@ def _pair(ms, value):
     return F.array(ms.cast("double"), value.cast("double"))
 
 
-def chart_docs_from_events(events: DataFrame, value_col: str = "value", chunk: int = CHART_CHUNK) -> DataFrame:
+def chart_docs_from_events(
+    events: DataFrame, value_col: str = "value", chunk: int = CHART_CHUNK, snapshot_col: str | None = None
+) -> DataFrame:
     """``market_chart_<event_type>_<stamp>.json`` documents.
 
     ``prices`` pairs are ``[epoch_ms(ts), value]``; ``total_volumes`` pairs
     carry ``user_id`` as the volume.  One document per (event_type, date,
-    event_id div chunk).
+    event_id div chunk), stamped with its last time - or per snapshot time
+    too, and stamped with it, where ``snapshot_col`` is given.
     """
     ms = ts_to_epoch_ms("ts")
+    snapshot = [F.col(snapshot_col).alias("_snapshot")] if snapshot_col else []
     grouped = events.groupBy(
-        "event_type", F.to_date("ts").alias("_day"), _chunk("event_id", chunk).alias("_chunk")
+        "event_type", F.to_date("ts").alias("_day"), _chunk("event_id", chunk).alias("_chunk"), *snapshot
     ).agg(
         F.collect_list(_pair(ms, F.col(value_col))).alias("prices"),
         F.collect_list(_pair(ms, F.col("user_id"))).alias("total_volumes"),
         F.max("ts").alias("_last"),
     )
+    stamp, where = (F.col("_snapshot"), [F.col("_snapshot")]) if snapshot_col else (F.col("_last"), [])
     return grouped.select(
-        _name("market_chart", F.col("event_type"), stamp=_stamp("_last")).alias("file_name"),
-        _path("chart", F.col("event_type"), F.col("_day"), F.col("_chunk")),
+        _name("market_chart", F.col("event_type"), stamp=_stamp(stamp)).alias("file_name"),
+        _path("chart", F.col("event_type"), F.col("_day"), F.col("_chunk"), *where),
         F.to_json(F.struct("prices", "total_volumes")).alias("doc"),
     )
 
@@ -163,47 +165,43 @@ def landing_zone(events: DataFrame, customer: DataFrame, pages: DataFrame) -> Da
     )
 
 
-def _fingerprint(sources: Sequence[DataFrame]) -> str:
-    """Hash of the input files' paths and total size.
+def landed_files(spark: SparkSession, name: str, docs: DataFrame, buckets: int = 64) -> str:
+    """Directory of newly landed files, one document (column ``value``) per
+    file, spread over ``buckets`` sub-directories by a hash of the text."""
+    path = scratch_path(spark, f"landed-{name}")
+    bucket = F.pmod(F.xxhash64("value"), F.lit(buckets)).alias("bucket")
+    docs.select("value", bucket).write.option("maxRecordsPerFile", 1).partitionBy("bucket").text(path)
+    return path
 
-    Both come from the file index Spark built when the sources were
-    defined, so no per-file status call is made on the driver.
-    """
-    parts = []
-    for df in sources:
-        size = str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        parts.append("|".join(sorted(df.inputFiles())) + f"#{size}")
-    return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:16]
-
-
-def landed_files(
-    spark: SparkSession,
-    name: str,
-    sources: Sequence[DataFrame],
-    docs: Callable[[], DataFrame],
-) -> str:
-    """Directory of landed files, one document per file, written once.
-
-    Files land once and are scanned many times, so the emulated landing zone
-    is materialised under the shared folder, keyed by the source files'
-    paths and total size, and reused while a ``_SUCCESS`` marker says it is complete.
-    ``maxRecordsPerFile=1`` gives exactly one document per file in one flat
-    directory, without a shuffle.
-    """
-    path = f"{shared_root(spark)}/landing-cache/{name}-{_fingerprint(sources)}"
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(path).getFileSystem(conf)
-    if fs.exists(Path(f"{path}/_SUCCESS")):
-        return path
-    # Stage under a unique name, then rename into place: a concurrent writer
-    # never sees (or deletes) a half-written directory.
-    staging = f"{path}.staging-{uuid.uuid4().hex[:8]}"
-    docs().write.mode("overwrite").option("maxRecordsPerFile", 1).text(staging)
-    if fs.exists(Path(path)):
-        # published meanwhile by another writer, or a partial directory left
-        # by an interrupted older run: use the complete copy, delete nothing
-        return path if fs.exists(Path(f"{path}/_SUCCESS")) else staging
-    if fs.rename(Path(staging), Path(path)):
-        return path
-    return path if fs.exists(Path(f"{path}/_SUCCESS")) else staging
+
+# -- damage -------------------------------------------------------------------------------
+
+
+def damaged_zone(events: DataFrame, customer: DataFrame, every: dict[str, int] | None = None) -> DataFrame:
+    """Chart, spot and catalog documents in which a known share of the parts
+    is damaged: every ``every[kind]``-th chart value is a word, spot entry a
+    number, catalog element a number."""
+    every = every or DAMAGE_EVERY
+    hit = {k: F.col("c_custkey" if k == "catalog" else "event_id") % n == 0 for k, n in every.items()}
+    ms = F.coalesce(ts_to_epoch_ms("ts").cast("string"), F.lit("null"))
+    value = F.when(hit["chart"], F.lit('"x"')).otherwise(F.coalesce(F.col("value").cast("string"), F.lit("null")))
+    pair = F.concat(F.lit("["), ms, F.lit(","), value, F.lit("]"))
+    charts = events.groupBy("event_type", F.to_date("ts").alias("_day"), _chunk("event_id", CHART_CHUNK).alias("_chunk")).agg(
+        F.concat_ws(",", F.collect_list(pair)).alias("_body"), F.max("ts").alias("_last")
+    )
+    charts = charts.select(
+        _name("market_chart", F.col("event_type"), stamp=_stamp("_last")).alias("file_name"),
+        _path("chart", F.col("event_type"), F.col("_day"), F.col("_chunk")),
+        F.concat(F.lit('{"prices":['), F.col("_body"), F.lit("]}")).alias("doc"),
+    )
+    spots = spot_docs_from_events(events.withColumn("props", F.when(hit["spot"], F.lit("5")).otherwise(F.col("props"))))
+    item = F.to_json(
+        F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("symbol"), F.col("c_name").alias("name"))
+    )
+    items = F.collect_list(F.when(hit["catalog"], F.lit("5")).otherwise(item))
+    catalogs = customer.groupBy(_chunk("c_custkey", CATALOG_CHUNK).alias("_chunk")).agg(F.concat_ws(",", items).alias("_body"))
+    catalogs = catalogs.select(
+        _name("coins_list").alias("file_name"), _path("catalog", F.col("_chunk")),
+        F.concat(F.lit("["), F.col("_body"), F.lit("]")).alias("doc"),
+    )
+    return charts.unionByName(spots).unionByName(catalogs)

@@ -2,8 +2,7 @@
 
 Each statement computes, straight from the driver tables, what the Spark
 query computes through landed documents, writers and readers.  Column names
-and types match the Spark side.  ``json_type_profile`` has no oracle: the
-type text is Spark's own notation.
+and types match the Spark side.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from __future__ import annotations
 from feedlake.plans.catalogue import (
     CUSTOMER_REQUIRED,
     EVENT_TYPE_LABELS,
-    EVENT_TYPES,
     MERGE_SNAPSHOTS,
     ORDER_STATES,
     PRUNE_FROM_DATE,
@@ -46,6 +44,10 @@ CHART_TABLE_COUNTS = f"""
 SELECT coin_id, date, count(*) AS n_points, min(price) AS min_price, max(price) AS max_price
 FROM ({CHART_POINTS}) GROUP BY coin_id, date"""
 
+# the types of the driver's events, stated here on their own: the query finds
+# its columns in the data, and another type would show as another column
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
 _pivot = ",\n  ".join(
     f"arg_max(value, (ts, event_id)) FILTER (WHERE event_type = {_q(t)}) AS {t}" for t in EVENT_TYPES
 )
@@ -148,7 +150,11 @@ SELECT DISTINCT event_type AS coin_id, CAST(ts AS DATE) AS date FROM {CHART_EVEN
 SELECT 'chart_prices' AS table_name, count(*) AS rows_written, count(*) AS rows_read FROM {CHART_EVENTS}
 UNION ALL SELECT 'spot', count(*), count(*) FROM {SPOT_QUOTES}
 UNION ALL SELECT 'catalog', count(*), count(*) FROM customer""",
-    "csv_export": "SELECT * FROM customer",
+    "csv_export": "SELECT * FROM documents",
+    "discovered_tables": """
+SELECT 'nation' AS table_name, count(*) AS n_rows FROM nation
+UNION ALL SELECT 'orders', count(*) FROM orders
+UNION ALL SELECT 'supplier', count(*) FROM supplier""",
     "json_export": "SELECT * FROM part",
     "preview_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "schema_profile": "\nUNION ALL\n".join(
@@ -180,6 +186,11 @@ SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch_s, dat
     "json_shape_profile": """
 SELECT event_id, CAST(len(json_keys(props)) AS BIGINT) AS n_items, array_to_string(json_keys(props), ',') AS keys
 FROM events""",
+    "json_type_profile": """
+SELECT event_type, e.key AS key, CASE json_type(e.value) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array'
+         WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS json_type,
+       count(*) AS n
+FROM events, UNNEST(map_entries(CAST(CAST(props AS JSON) AS MAP(VARCHAR, JSON)))) AS u(e) GROUP BY ALL""",
     "text_shape_profile": f"""
 SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, CAST({_lines} AS BIGINT) AS n_lines,
        ({_lines}) = 1 AS single_line, substr(text, 1, 200) AS head
@@ -199,13 +210,24 @@ SELECT s, CAST(0 AS BIGINT) FROM (VALUES {_known}) k(s) WHERE s NOT IN (SELECT s
     "metric_lines": """
 SELECT state, n, 'airflow_dag_run_count{state="' || coalesce(state, 'None') || '"} ' || CAST(n AS VARCHAR) AS line
 FROM (SELECT nullif(o_orderstatus, 'P') AS state, count(nullif(o_orderstatus, 'P')) AS n FROM orders GROUP BY 1)""",
+    "metric_exposition": """
+WITH c AS (SELECT nullif(o_orderstatus, 'P') AS state, count(nullif(o_orderstatus, 'P')) AS n FROM orders GROUP BY 1),
+t AS (SELECT unnest(['success','running','failed','up_for_retry','upstream_failed','skipped','up_for_reschedule','queued','scheduled']) AS state)
+SELECT 'airflow_dag_run_count' AS metric, CAST(0 AS BIGINT) AS line_no, '# HELP airflow_dag_run_count Number of runs by state' AS line
+UNION ALL SELECT 'airflow_dag_run_count', 1, '# TYPE airflow_dag_run_count gauge'
+UNION ALL SELECT 'airflow_dag_run_count', 1 + row_number() OVER (ORDER BY state NULLS LAST),
+       'airflow_dag_run_count{state="' || coalesce(state, 'None') || '"} ' || CAST(n AS VARCHAR) FROM c
+UNION ALL SELECT 'airflow_task_instance_count', 0, '# HELP airflow_task_instance_count Number of tasks by state'
+UNION ALL SELECT 'airflow_task_instance_count', 1, '# TYPE airflow_task_instance_count gauge'
+UNION ALL SELECT 'airflow_task_instance_count', 1 + row_number() OVER (ORDER BY state),
+       'airflow_task_instance_count{state="' || state || '"} 0' FROM t""",
     "counter_rate": """
 WITH s AS (
-  SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, value,
-         lag(value) OVER (PARTITION BY event_type, time_bucket(INTERVAL 5 MINUTE, ts) ORDER BY ts, event_id) AS prev
+  SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, CAST(event_id % 1000 AS DOUBLE) AS c,
+         lag(CAST(event_id % 1000 AS DOUBLE)) OVER (PARTITION BY event_type, time_bucket(INTERVAL 5 MINUTE, ts) ORDER BY ts, event_id) AS prev
   FROM events)
 SELECT event_type, window_start,
-       round(coalesce(sum(CASE WHEN prev IS NULL THEN NULL WHEN value >= prev THEN value - prev ELSE value END), 0.0) / 300.0, 6) AS rate,
+       round(sum(CASE WHEN prev IS NULL THEN NULL WHEN c >= prev THEN c - prev ELSE c END) / 300.0, 6) AS rate,
        count(*) AS n_samples
 FROM s GROUP BY 1, 2""",
     "label_select": "SELECT event_id, ts, value FROM events WHERE event_type = 'click'",
@@ -218,6 +240,15 @@ WITH s AS (
 SELECT event_type, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n_samples
 FROM s WHERE above GROUP BY event_type, grp
 HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= 300000000""",
+    "sustained_threshold_gap": """
+WITH s AS (
+  SELECT CASE WHEN event_type NOT IN ('click', 'view') THEN event_type END AS label, event_id, ts, value > 50.0 AS above FROM events),
+m AS (
+  SELECT *, CASE WHEN above AND lag(above) OVER w AND epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 240000000 THEN 0 ELSE 1 END AS starts
+  FROM s WINDOW w AS (PARTITION BY label ORDER BY ts, event_id)),
+g AS (SELECT *, sum(starts) OVER (PARTITION BY label ORDER BY ts, event_id) AS run FROM m)
+SELECT label, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n_samples
+FROM g WHERE above GROUP BY label, run HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= 300000000""",
     "sample_grid": """
 SELECT event_type, slot_start, value, n_samples FROM (
   SELECT event_type, time_bucket(INTERVAL 30 SECOND, ts) AS slot_start, value,
@@ -236,6 +267,37 @@ UNION ALL SELECT 'spot', (SELECT count(*) FROM (SELECT DISTINCT event_id // {SPO
 UNION ALL SELECT 'catalog', (SELECT count(*) FROM (SELECT DISTINCT c_custkey // {CATALOG_CHUNK} FROM customer)),
        (SELECT count(*) FROM customer), 0, 'ok'
 UNION ALL SELECT 'unrecognised', (SELECT count(*) FROM pages), 0, 0, 'skipped'""",
+    "feed_damage": f"""
+SELECT 'chart' AS kind, 'rows' AS what, count(*) AS n FROM {CHART_EVENTS} WHERE event_id % 7 <> 0
+UNION ALL SELECT 'chart', 'non-numeric pair in prices', count(*) FROM events WHERE ts IS NOT NULL AND event_id % 7 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'chart', 'short pair in prices', count(*) FROM events
+  WHERE ts IS NULL OR (value IS NULL AND event_id % 7 <> 0) HAVING count(*) > 0
+UNION ALL SELECT 'spot', 'rows', count(*) FROM {SPOT_QUOTES} WHERE CAST(coin_id AS BIGINT) % 5 <> 0
+UNION ALL SELECT 'spot', 'no quotes under', count(*) FROM events WHERE event_id % 5 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'catalog', 'rows', count(*) FROM customer WHERE c_custkey % 11 <> 0
+UNION ALL SELECT 'catalog', 'element is not an object', count(*) FROM customer WHERE c_custkey % 11 = 0 HAVING count(*) > 0""",
+    "latest_landed_file": f"""
+WITH f AS (
+  SELECT 'chart' AS kind, date_trunc('second', max(ts)) AS s,
+         'market_chart_' || event_type || '_' || strftime(max(ts), '%Y%m%d_%H%M%S') || '.json' AS file_name
+  FROM events GROUP BY event_type, CAST(ts AS DATE), event_id // {CHART_CHUNK}
+  UNION ALL SELECT 'spot', date_trunc('second', max(ts)), 'simple_price_' || strftime(max(ts), '%Y%m%d_%H%M%S') || '.json'
+  FROM events GROUP BY event_id // {SPOT_CHUNK}
+  UNION ALL SELECT 'catalog', TIMESTAMP '2025-01-01', 'coins_list_20250101_000000.json' FROM customer
+  UNION ALL SELECT 'unrecognised', TIMESTAMP '1970-01-01', 'page_' || CAST(page_id AS VARCHAR) || '.html' FROM pages)
+SELECT kind, max_by(file_name, (s, file_name)) AS file_name FROM f GROUP BY kind""",
+    "ingest_two_runs": f"""
+SELECT 'chart_prices' AS table_name, count(*) AS n_rows FROM (SELECT DISTINCT event_type, {MS} FROM {CHART_EVENTS})
+UNION ALL SELECT 'chart_volumes', count(*) FROM (SELECT DISTINCT event_type, {MS} FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL)
+UNION ALL SELECT 'spot', count(*) FROM {SPOT_QUOTES}
+UNION ALL SELECT 'spot_latest', count(*) FROM (SELECT DISTINCT coin_id, currency FROM {SPOT_QUOTES})
+UNION ALL SELECT 'quarantine', CAST(0 AS BIGINT)""",
+    "landing_batches": f"""
+SELECT 'chart_prices' AS table_name, count(*) AS n_rows FROM {CHART_EVENTS}
+UNION ALL SELECT 'chart_volumes', count(*) FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL
+UNION ALL SELECT 'spot', count(*) FROM {SPOT_QUOTES}
+UNION ALL SELECT 'catalog', count(*) FROM customer
+UNION ALL SELECT 'quarantine', CAST(0 AS BIGINT)""",
     "stream_ingest": "SELECT event_type, count(*) AS n_events FROM events GROUP BY 1",
     "stream_dedup": "SELECT event_type, count(DISTINCT event_id) AS n_events FROM events GROUP BY 1",
 }

@@ -54,6 +54,11 @@ SPOT_LONG_TABLE = T.StructType(
 )
 
 
+# the ingest job's spot tables: each quote with the file it came from
+SPOT_LATEST_TABLE = T.StructType([*SPOT_LONG_TABLE.fields, T.StructField("file_name", T.StringType())])
+SPOT_TABLE = T.StructType([*SPOT_LATEST_TABLE.fields, T.StructField("snapshot_date", T.DateType())])
+
+
 def chart_table(value_name: str) -> T.StructType:
     return T.StructType(
         [
@@ -71,6 +76,7 @@ QUARANTINE_TABLE = T.StructType(
         T.StructField("file_name", T.StringType()),
         T.StructField("file_path", T.StringType()),
         T.StructField("kind", T.StringType()),
+        T.StructField("problem_no", T.IntegerType()),
         T.StructField("reason", T.StringType()),
         T.StructField("rejected_doc", T.StringType()),
     ]

@@ -14,9 +14,15 @@ the previous files for Spark's commit protocol to keep or replace.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from feedlake.sources.tables import CSV_NULL_LIKE, CSV_OPTIONS
 
 
 def write_table(
@@ -36,8 +42,7 @@ def write_table(
     (dynamic overwrite) and keeps all others.  The row count is collected
     by an ``Observation`` during the write itself - no second job.  Pass
     ``count_rows=False`` inside ``foreachBatch``, where observations of the
-    micro-batch frame are not available; ``None`` is returned then, and
-    also when the input had no partitions at all.
+    micro-batch frame are not available; ``None`` is returned then.
     """
     if refresh not in ("full", "touched"):
         raise ValueError("refresh must be 'full' or 'touched'")
@@ -57,17 +62,16 @@ def write_table(
 
 
 def _observed_rows(obs: Observation | None) -> int | None:
-    """Row count from the observation, ``None`` when none was delivered.
-
-    An input without partitions (e.g. an empty landing zone) runs no task,
-    so no metrics row exists; the data was still written.
-    """
+    """Row count from the observation; 0 for an input without rows."""
     if obs is None:
         return None
     try:
-        return int(obs.get.get("rows", 0))
-    except Exception:  # noqa: BLE001 - py4j raises a generic error for a missing row
-        return None
+        return int(obs.get["rows"])
+    except Py4JJavaError as error:
+        # the one known case: nothing to write, no task ran, no metrics row
+        if error.java_exception.getClass().getSimpleName() != "AssertionError":
+            raise
+        return 0
 
 
 def verify_written(spark, path: str, expected_rows: int, fmt: str = "parquet") -> dict:
@@ -77,7 +81,18 @@ def verify_written(spark, path: str, expected_rows: int, fmt: str = "parquet") -
 
 
 def export_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.mode("overwrite").option("header", str(header).lower()).csv(path)
+    """CSV that ``read_csv`` reads back unchanged: quotes are doubled, blanks
+    and line breaks kept, the empty text (quoted) differs from null (``\\N``);
+    a text that looks like the null mark gets one more backslash."""
+    marked = df.select(
+        *[
+            F.when(F.col(f.name).rlike(CSV_NULL_LIKE), F.concat(F.lit("\\"), F.col(f.name))).otherwise(F.col(f.name)).alias(f.name)
+            if isinstance(f.dataType, StringType)
+            else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+    marked.write.mode("overwrite").options(**CSV_OPTIONS, header=str(header).lower()).csv(path)
 
 
 def export_json(df: DataFrame, path: str) -> None:
@@ -89,29 +104,27 @@ def export_json_documents(
     df: DataFrame,
     path: str,
     group_col: str,
-    partition_col: str | None = None,
+    id_col: str,
     max_items: int = 1000,
+    buckets: int = 64,
 ) -> None:
-    """Indented JSON documents, root arrays of the rows of each ``group_col`` value.
-
-    A group is split into ``ceil(n / max_items)`` documents by a hash of the
-    row, so no document (and no ``collect_list``) grows with a hot group;
-    the split is deterministic, so a retried task writes the same documents.
-    Each document is one multi-line file, readable with ``multiLine``.
+    """Indented JSON documents, root arrays of rows of one ``group_col`` value.
+
+    A document holds the rows of a group whose ``id_col`` (a unique number)
+    falls in one range of ``max_items``, so neither a document nor a
+    ``collect_list`` grows with a hot group, the split needs no join and no
+    second scan, a null group is a group, and a retried task writes the same
+    documents.  Each document is one multi-line file, readable with
+    ``multiLine``; files lie in ``buckets`` directories whatever the keys.
     """
-    part_col = partition_col or group_col
-    keys = list(dict.fromkeys([group_col, part_col]))
-    cols = [c for c in df.columns if c != part_col]  # the partition value lives in the directory
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    n_parts = F.ceil(F.col("_n") / F.lit(max_items))
-    split = df.join(sizes, keys).withColumn("_part", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), n_parts))
-    items = F.collect_list(F.struct(*cols))
-    docs = split.groupBy(*keys, "_part").agg(F.to_json(items, {"pretty": "true"}).alias("value")).drop(
-        *[k for k in keys if k != part_col]
+    part = F.floor(F.col(id_col) / F.lit(max_items))
+    docs = df.groupBy(F.col(group_col).alias("_group"), part.alias("_part")).agg(
+        F.to_json(F.collect_list(F.struct(*df.columns)), {"pretty": "true"}).alias("value")
     )
+    bucket = F.pmod(F.xxhash64("_group", "_part"), F.lit(buckets)).alias("bucket")
     # one document per file: a multi-line JSON file holds exactly one value
-    writer = docs.drop("_part").write.mode("overwrite").option("maxRecordsPerFile", 1)
-    writer.partitionBy(part_col).text(path)
+    writer = docs.select("value", bucket).write.mode("overwrite").option("maxRecordsPerFile", 1)
+    writer.partitionBy("bucket").text(path)
 
 
 def table_exists(spark, path: str) -> bool:
@@ -121,49 +134,97 @@ def table_exists(spark, path: str) -> bool:
     return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
-def touched_partitions(spark, path: str, new: DataFrame, schema, partition_by: Sequence[str] = ("coin_id", "date")) -> DataFrame:
-    """Existing rows of the partitions ``new`` touches.
-
-    The date range of ``new`` (two scalars) becomes a literal partition
-    filter, so only those date directories are listed and read; the
-    semi-join on all partition columns then keeps exactly the touched ones.
-    """
-    lo, hi = new.agg(F.min("date"), F.max("date")).first()
-    old = spark.read.schema(schema).parquet(path)
-    if lo is None:
-        return old.limit(0)
-    old = old.filter(F.col("date").between(F.lit(lo), F.lit(hi)))
-    return old.join(new.select(*partition_by).distinct(), list(partition_by), "left_semi")
+def partition_filter(new: DataFrame, column: str, most: int = 1000) -> Column | None:
+    """A literal filter on a partition column that keeps the values ``new``
+    has: a list while they are few, else their range.  So only those
+    directories are listed and read, and one stray old value doesn't widen
+    the list to everything in between.  ``None`` if ``new`` has no rows."""
+    values = [r[0] for r in new.select(column).distinct().limit(most + 1).collect()]
+    if not values:
+        return None
+    known = [v for v in values if v is not None]
+    if len(values) <= most:
+        kept = F.col(column).isin(known) if known else F.lit(False)
+        return kept | F.col(column).isNull() if None in values else kept
+    lo, hi, nulls = new.agg(F.min(column), F.max(column), F.max(F.col(column).isNull())).first()
+    kept = F.col(column).between(F.lit(lo), F.lit(hi))
+    return kept | F.col(column).isNull() if nulls else kept
 
 
-def merge_into_chart_table(
+def touched_partitions(
     spark,
-    points: DataFrame,
     path: str,
-    value_name: str = "price",
-    keys: Sequence[str] = ("coin_id", "timestamp"),
+    new: DataFrame,
+    schema,
     partition_by: Sequence[str] = ("coin_id", "date"),
+    date_col: str = "date",
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Existing rows of the partitions ``new`` touches: a literal filter on
+    ``date_col`` prunes the directories, then a null-safe semi-join on all
+    partition columns keeps exactly the touched ones."""
+    old = spark.read.format(fmt).schema(schema).load(path)
+    wanted = partition_filter(new, date_col)
+    if wanted is None:
+        return old.filter(F.lit(False))
+    keys = new.select(*[F.col(c).alias(f"_new_{c}") for c in partition_by]).distinct()
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in partition_by])
+    return old.filter(wanted).join(keys, same, "left_semi")
+
+
+def merge_into_table(
+    spark,
+    rows: DataFrame,
+    path: str,
+    schema,
+    keys: Sequence[str],
+    order: Sequence[str],
+    partition_by: Sequence[str] = (),
+    date_col: str = "date",
+    sort_by: Sequence[str] = (),
+    fmt: str = "parquet",
     count_rows: bool = True,
 ) -> int | None:
-    """Merge new chart points into a partitioned table, latest snapshot wins.
+    """Merge rows into a table, the greatest ``order`` per ``keys`` wins.
 
-    Only the partitions the new points touch are read back
-    (``touched_partitions``), merged with the new points, and rewritten by
-    dynamic partition overwrite; all other partitions stay as they are.  A
-    table cannot be read and overwritten in one plan, so the merged rows are
+    A partitioned table reads back and rewrites only the partitions the new
+    rows touch (dynamic overwrite); all others stay as they are.  A table
+    cannot be read and overwritten in one plan, so the merged rows are
     checkpointed (reliably, in the shared ``spark.checkpoint.dir``) first,
     which also makes the rewrite restartable after an executor loss.
+    Merging the same rows again changes nothing.
     """
-    from feedlake.operators.merge import merge_chart_snapshots
-    from feedlake.schemas import chart_table
+    from feedlake.operators.merge import latest_per_key
     from feedlake.session import shared_root
 
     shared_root(spark)  # make sure a checkpoint folder is set
-    schema = chart_table(value_name)
-    new = points.select(*[f.name for f in schema.fields])
+    new = rows.select(*[f.name for f in schema.fields])
     if table_exists(spark, path):
-        new = touched_partitions(spark, path, new, schema, partition_by).unionByName(new)
-    merged = merge_chart_snapshots(new, value_name, keys).checkpoint(eager=True)
-    return write_table(
-        merged, path, partition_by=partition_by, sort_by=("timestamp",), refresh="touched", count_rows=count_rows
+        if partition_by:
+            old = touched_partitions(spark, path, new, schema, partition_by, date_col, fmt)
+        else:
+            old = spark.read.format(fmt).schema(schema).load(path)
+        new = old.unionByName(new)
+    merged = latest_per_key(new, keys, order).checkpoint(eager=True)
+    refresh = "touched" if partition_by else "full"
+    return write_table(merged, path, partition_by=partition_by, sort_by=sort_by, refresh=refresh, fmt=fmt, count_rows=count_rows)
+
+
+def merge_into_chart_table(
+    spark,
+    points: DataFrame,
+    path: str,
+    value_name: str = "price",
+    keys: Sequence[str] = ("coin_id", "timestamp"),
+    partition_by: Sequence[str] = ("coin_id", "date"),
+    date_col: str = "date",
+    fmt: str = "parquet",
+    count_rows: bool = True,
+) -> int | None:
+    """Merge chart points into a partitioned table, the latest snapshot wins."""
+    from feedlake.schemas import chart_table
+
+    return merge_into_table(
+        spark, points, path, chart_table(value_name), keys, ("snapshot_ts", value_name), partition_by, date_col,
+        sort_by=("timestamp",), fmt=fmt, count_rows=count_rows,
     )

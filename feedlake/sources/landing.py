@@ -91,7 +91,13 @@ def split_by_kind(docs: DataFrame) -> dict[str, DataFrame]:
 
 def latest_files(described: DataFrame, by: tuple[str, ...] = ("kind",)) -> DataFrame:
     """Newest landed file per feed (or per ``by``): snapshot time from the
-    name, modification time as tie-break.  An aggregate, not a sort."""
+    name, then modification time, then name.
+
+    The winners are found by an aggregate over names and times alone; the
+    documents are only touched by the semi-join that keeps the winners'."""
     from feedlake.operators.merge import latest_per_key
 
-    return latest_per_key(described, list(by), ["snapshot_ts", "file_mtime", "file_name"])
+    order = [c for c in ("snapshot_ts", "file_mtime", "file_name", "file_path") if c in described.columns]
+    newest = latest_per_key(described.select(*by, *order), list(by), order)
+    file = "file_path" if "file_path" in order else "file_name"
+    return described.join(newest.select(F.col(file).alias("_newest")), F.col(file) == F.col("_newest"), "left_semi")

@@ -41,8 +41,31 @@ def read_json_documents(
     return reader.json(path)
 
 
+#: Options with which a CSV export reads back unchanged.
+CSV_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "lineSep": "\n",
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+#: Texts that are the null mark, or are it after more backslashes.
+CSV_NULL_LIKE = r"^\\+N$"
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", "true").csv(path)
+    """CSV as ``export_csv`` writes it; line breaks inside a value are kept,
+    so a file is read by one task (the writer keeps files bounded)."""
+    raw = spark.read.schema(schema).options(**CSV_OPTIONS, header="true", multiLine="true", emptyValue="").csv(path)
+    return raw.select(
+        *[
+            F.when(F.col(f.name).rlike(r"^\\{2,}N$"), F.expr(f"substring(`{f.name}`, 2)")).otherwise(F.col(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else F.col(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def table_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:

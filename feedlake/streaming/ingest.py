@@ -11,12 +11,15 @@ lost driver) resumes from the last committed micro-batch.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.operators import feeds, merge
+from feedlake.schemas import chart_table
 from feedlake.sources.landing import describe_files
 
 
@@ -69,11 +72,21 @@ def run_available_now(stream: DataFrame, sink_dir: str, checkpoint_dir: str, fmt
         raise query.exception()
 
 
-def run_batches(stream: DataFrame, checkpoint_dir: str, handle: Callable[[DataFrame, int], None]) -> None:
-    """Available-now run with a per-micro-batch handler (``foreachBatch``)."""
+def run_batches(stream: DataFrame, checkpoint_dir: str, handle: Callable[[DataFrame, str], None]) -> None:
+    """Available-now run with a per-micro-batch handler (``foreachBatch``).
+
+    The handler gets the micro-batch and its key, ``<stream id>-<batch id>``:
+    the same when a failed batch is run again, and different for every other
+    batch of every checkpoint.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        handle(batch, f"{stream_id}-{batch_id}")
+
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint_dir)
-        .foreachBatch(handle)
+        .foreachBatch(run)
         .trigger(availableNow=True)
         .start()
     )
@@ -82,36 +95,70 @@ def run_batches(stream: DataFrame, checkpoint_dir: str, handle: Callable[[DataFr
         raise query.exception()
 
 
-def dedup_within_watermark(
-    stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 hour"
-) -> DataFrame:
-    """Drop repeats of ``keys`` arriving within ``delay`` of event time.
+def write_batch(
+    rows: DataFrame, path: str, batch_key: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+) -> None:
+    """Write a micro-batch's rows into partitions of its own (``batch``), so
+    that a batch that runs again replaces what it wrote before."""
+    from feedlake.sinks.tables import write_table
 
-    Keeps the *first* arrival.  State per key is dropped once the watermark
-    passes, so state stays bounded by the arrival rate times ``delay``.
-    Rows later than the watermark are dropped by the engine; use
-    ``ingest_landing_batch`` (latest snapshot wins) where values can differ.
+    write_table(
+        rows.withColumn("batch", F.lit(batch_key)), path, partition_by=(*partition_by, "batch"), sort_by=sort_by,
+        refresh="touched", count_rows=False,
+    )
+
+
+def dedup_batch(batch: DataFrame, batch_key: str, sink_dir: str, keys: Sequence[str], event_time: str) -> None:
+    """Add the rows of a micro-batch whose ``keys`` the sink hasn't yet.
+
+    Exact for any number and order of files: there is no watermark that a
+    late row could miss, and no state that grows.  Of repeats inside a batch
+    the row with the smallest event time stays (of equal ones the smallest
+    row).  A repeat carries its event time, so only the days the batch touches are
+    read from the sink (partition ``day``), and of those only the keys.
     """
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    from feedlake.sinks.tables import partition_filter, table_exists
+
+    spark, others = batch.sparkSession, [c for c in batch.columns if c not in keys]
+    first = batch.groupBy(*keys).agg(F.min(F.struct(F.col(event_time).alias("_at"), *others)).alias("_first"))
+    rows = first.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in others]).select(*batch.columns)
+    rows = rows.withColumn("day", F.to_date(event_time))
+    if table_exists(spark, sink_dir):
+        wanted = partition_filter(rows, "day")
+        schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.StringType())])
+        seen = spark.read.schema(schema).parquet(sink_dir).filter(F.col("batch") != batch_key)
+        if wanted is not None:
+            known = seen.filter(wanted).select(*[F.col(c).alias(f"_seen_{c}") for c in (*keys, "day")])
+            same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_seen_{c}")) for c in (*keys, "day")])
+            rows = rows.join(known, same, "left_anti")
+    write_batch(rows, sink_dir, batch_key, partition_by=("day",))
+
+
+def run_dedup(stream: DataFrame, sink_dir: str, checkpoint_dir: str, keys: Sequence[str], event_time: str) -> None:
+    """Available-now run of ``dedup_batch`` over a stream."""
+    run_batches(stream, checkpoint_dir, lambda batch, key: dedup_batch(batch, key, sink_dir, keys, event_time))
 
 
 def ingest_landing_batch(
     batch: DataFrame,
     table_root: str,
+    batch_key: str,
     charts_mode: str = "append",
 ) -> None:
-    """Write one micro-batch of landed documents to the feed tables (append).
+    """Write one micro-batch of landed documents to the feed tables.
 
     Used by ``foreachBatch``: each batch is an ordinary DataFrame, so the
     same transforms as the batch job apply.  The batch is parsed once and
-    persisted while its five writers run.  With ``charts_mode="append"``
-    chart points are appended with their snapshot time and ``latest_chart``
-    resolves overlaps on read; with ``"merge"`` they are merged into the
-    touched partitions on write (``merge_into_chart_table``).
+    persisted while its five writers run.  Every table is partitioned by the
+    batch's key and a batch replaces only its own partitions, so a batch
+    that failed between two writers can run again.  With
+    ``charts_mode="append"`` chart points keep their snapshot time and
+    ``latest_chart`` resolves overlaps on read; with ``"merge"`` they are
+    merged into the touched partitions on write (``merge_into_chart_table``).
     """
     from pyspark import StorageLevel
 
-    from feedlake.sinks.tables import merge_into_chart_table, write_table
+    from feedlake.sinks.tables import merge_into_chart_table
 
     parsed = batch if feeds.CHART_COL in batch.columns else feeds.parse_documents(batch, keep_doc=False)
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -119,30 +166,14 @@ def ingest_landing_batch(
         charts = parsed.filter(F.col("kind") == "chart")
         for field, value, table in (("prices", "price", "chart_prices"), ("total_volumes", "volume", "chart_volumes")):
             pts = feeds.chart_points(charts, field, value)
+            path = f"{table_root}/{table}"
             if charts_mode == "merge":
-                merge_into_chart_table(batch.sparkSession, pts, f"{table_root}/{table}", value, count_rows=False)
-                continue
-            write_table(
-                pts,
-                f"{table_root}/{table}",
-                partition_by=("coin_id", "date"),
-                sort_by=("timestamp",),
-                mode="append",
-                count_rows=False,
-            )
-        write_table(
-            feeds.spot_long(parsed.filter(F.col("kind") == "spot")),
-            f"{table_root}/spot",
-            mode="append",
-            count_rows=False,
-        )
-        write_table(
-            feeds.catalog_rows(parsed.filter(F.col("kind") == "catalog")),
-            f"{table_root}/catalog",
-            mode="append",
-            count_rows=False,
-        )
-        write_table(feeds.quarantine(parsed), f"{table_root}/quarantine", mode="append", count_rows=False)
+                merge_into_chart_table(batch.sparkSession, pts, path, value, count_rows=False)
+            else:
+                write_batch(pts, path, batch_key, partition_by=("coin_id", "date"), sort_by=("timestamp",))
+        write_batch(feeds.spot_long(parsed.filter(F.col("kind") == "spot")), f"{table_root}/spot", batch_key)
+        write_batch(feeds.catalog_rows(parsed.filter(F.col("kind") == "catalog")), f"{table_root}/catalog", batch_key)
+        write_batch(feeds.quarantine(parsed), f"{table_root}/quarantine", batch_key)
     finally:
         parsed.unpersist()
 
@@ -150,7 +181,9 @@ def ingest_landing_batch(
 def latest_chart(spark: SparkSession, table_root: str, value_name: str = "price") -> DataFrame:
     """Merged view over the appended chart table: one point per (asset, time)."""
     table = "chart_prices" if value_name == "price" else "chart_volumes"
-    return merge.merge_chart_snapshots(spark.read.parquet(f"{table_root}/{table}"), value_name)
+    schema = T.StructType([*chart_table(value_name).fields, T.StructField("batch", T.StringType())])
+    points = spark.read.schema(schema).parquet(f"{table_root}/{table}").drop("batch")
+    return merge.merge_chart_snapshots(points, value_name)
 
 
 def run_ingest_stream(
@@ -172,5 +205,5 @@ def run_ingest_stream(
     run_batches(
         landing_stream(spark, landing_dir),
         checkpoint_dir,
-        lambda batch, _: ingest_landing_batch(batch, table_root, charts_mode),
+        lambda batch, key: ingest_landing_batch(batch, table_root, key, charts_mode),
     )

@@ -119,7 +119,10 @@ def test_empty_landing_gives_typed_empty_tables(spark, tmp_path):  # S10, P16
 
     prices = spark.read.schema(chart_table("price")).parquet(str(tmp_path / "tables" / "chart_prices"))
     assert prices.count() == 0 and dict(prices.dtypes)["price"] == "double"
-    assert spark.read.parquet(str(tmp_path / "tables" / "spot")).columns[:4] == ["coin_id", "currency", "price", "quote_ts"]
+    from feedlake.schemas import SPOT_TABLE
+
+    assert spark.read.schema(SPOT_TABLE).parquet(str(tmp_path / "tables" / "spot")).count() == 0
+    assert spark.read.parquet(str(tmp_path / "tables" / "spot_latest")).columns[:4] == ["coin_id", "currency", "price", "quote_ts"]
 
 
 def test_latest_files_per_feed(spark, tmp_path):  # S6
@@ -216,21 +219,73 @@ def test_batch_equals_stream(spark, tmp_path):  # SURVEY §5 (d)
         assert b == s and b
 
 
-REAL_SPOT = os.environ.get("FEEDLAKE_SPOT_SAMPLE_DIR", "")
-
-
-@pytest.mark.skipif(not os.path.isdir(REAL_SPOT), reason="set FEEDLAKE_SPOT_SAMPLE_DIR to a directory of landed spot files")
-def test_real_landed_spot_files(spark, tmp_path):  # Q1, Q2, Q15 on 33 real landed spot documents
+def test_spot_files_of_a_landing_zone(spark, tmp_path):  # Q1, Q2, Q15 on 33 spot documents, two assets each
+    files = {
+        f"simple_price_20250722_{10 + i // 60:02d}{i % 60:02d}00.json": json.dumps(
+            {"bitcoin": {"usd": 119000 + i}, "ethereum": {"usd": 3700.25 + i}}
+        )
+        for i in range(33)
+    }
     root = str(tmp_path / "tables")
-    report = {r.kind: r for r in run_ingest(spark, REAL_SPOT, root).collect()}
+    report = {r.kind: r for r in run_ingest(spark, write_landing(tmp_path / "raw", files), root).collect()}
     assert (report["spot"].n_files, report["spot"].n_rows, report["spot"].n_bad) == (33, 66, 0)
     latest = {r.coin_id: r.price for r in spark.read.parquet(f"{root}/spot_latest").collect()}
-    assert latest == {"bitcoin": 119042.0, "ethereum": 3739.8}
-    wide = {r.coin_id: r.usd for r in spark.read.parquet(f"{root}/spot_wide").collect()}
-    assert wide == latest
+    assert latest == {"bitcoin": 119032.0, "ethereum": 3732.25}
+    assert {r.coin_id: r.usd for r in spark.read.parquet(f"{root}/spot_wide").collect()} == latest
     assert dict(spark.read.parquet(f"{root}/spot").dtypes)["price"] == "double"
 
 
+def test_ingest_keeps_what_archived_files_brought(spark, tmp_path):
+    """Two runs over the same day; the first run's files are gone in the second."""
+    root = str(tmp_path / "tables")
+    first = {
+        "market_chart_btc_20250722_000000.json": chart([[1000, 1], [2000, 2]], [[1000, 5]]),
+        "simple_price_20250722_000000.json": '{"btc":{"usd":3,"eur":"x"}}',
+        "coins_list_20250723_000000.json": '[{"id":"a","symbol":"a","name":"newer"}]',
+    }
+    second = {
+        "market_chart_btc_20250723_000000.json": chart([[2000, 20], [3000, 30]]),
+        "simple_price_20250723_000000.json": '{"btc":{"usd":4}}',
+        "coins_list_20250722_000000.json": '[{"id":"a","symbol":"a","name":"older"}]',
+    }
+    run_ingest(spark, write_landing(tmp_path / "day1", first), root)
+    run_ingest(spark, write_landing(tmp_path / "day2", second), root)
+    assert sorted(r.price for r in spark.read.parquet(f"{root}/chart_prices").collect()) == [1.0, 20.0, 30.0]
+    assert spark.read.parquet(f"{root}/chart_volumes").count() == 1
+    assert sorted(r.price for r in spark.read.parquet(f"{root}/spot").collect()) == [3.0, 4.0]
+    assert [r.price for r in spark.read.parquet(f"{root}/spot_latest").collect()] == [4.0]
+    assert [r.name for r in spark.read.parquet(f"{root}/catalog").collect()] == ["newer"]
+    assert spark.read.parquet(f"{root}/quarantine").count() == 1
+    run_ingest(spark, str(tmp_path / "day2"), root, refresh="full")
+    assert sorted(r.price for r in spark.read.parquet(f"{root}/chart_prices").collect()) == [20.0, 30.0]
+
+
+def test_landed_files_always_hold_the_current_content(spark, tmp_path):
+    from feedlake.plans.emulate import landed_files
+
+    for text in ("aaa", "bbb"):  # same size, other content
+        docs = spark.createDataFrame([(text,), (text + "2",), (text,)], "value string")
+        path = landed_files(spark, "case", docs, buckets=2)
+        assert sorted(r.doc.strip() for r in scan_landing(spark, path, glob="*.txt").collect()) == [text, text, text + "2"]
+
+
+def test_unlisted_type_is_a_column_of_the_pivot(spark):
+    from feedlake.operators.feeds import spot_wide
+
+    long = spark.createDataFrame([("u", "click", 1.0, 1), ("u", "brand_new", 2.0, 1)], "coin_id string, currency string, price double, snapshot_ts int")
+    assert spot_wide(long).first().asDict() == {"coin_id": "u", "click": 1.0, "brand_new": 2.0}
+
+
+def test_latest_files_carry_no_text_through_the_aggregate(spark, tmp_path):  # S6
+    from feedlake.sources.landing import latest_files
+
+    d = write_landing(tmp_path / "raw", {"coins_list_20250722_000000.json": "[]"})
+    plan = latest_files(describe_files(scan_landing(spark, d)))._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "Aggregate [" in line:
+            assert "doc#" not in line
+
+
 def test_latest_catalog_is_one_file(spark, tmp_path):  # S6 for the catalog table
     d = write_landing(
         tmp_path / "raw",

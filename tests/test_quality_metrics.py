@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from feedlake.operators import metrics, quality
@@ -68,37 +69,81 @@ def test_label_select(spark):  # M2
     assert [r.value for r in metrics.label_select(df, {"job": "a"}).collect()] == [1.0]
 
 
-def brute_force_runs(pdf, threshold, min_seconds):
+def brute_force_runs(pdf, threshold, min_seconds, max_gap=None):
     out = []
-    for name, g in pdf.sort_values(["ts", "id"]).groupby("name"):
+    for name, g in pdf.sort_values(["ts", "id"]).groupby("name", dropna=False):
         run = []
         for _, row in g.iterrows():
+            if run and (not row.value > threshold or (max_gap and (row.ts - run[-1]).total_seconds() > max_gap)):
+                out.append((name if isinstance(name, str) else "null", run[0], run[-1], len(run)))
+                run = []
             if row.value > threshold:
                 run.append(row.ts)
-            else:
-                if run:
-                    out.append((name, run[0], run[-1], len(run)))
-                run = []
         if run:
-            out.append((name, run[0], run[-1], len(run)))
+            out.append((name if isinstance(name, str) else "null", run[0], run[-1], len(run)))
     return sorted(r for r in out if (r[2] - r[1]).total_seconds() >= min_seconds)
 
 
-def test_sustained_threshold_matches_brute_force_across_buckets(spark):  # M3
-    rng = random.Random(7)
+@pytest.mark.parametrize("threshold,slice_seconds,max_gap", [(3.0, 60, None), (1.0, 3600, None), (0.5, 900, 200), (1.0, 30, 90)])
+def test_sustained_threshold_matches_brute_force(spark, threshold, slice_seconds, max_gap):  # M3
+    """Null series, ties, null values, runs over slice and day edges."""
+    rng = random.Random(slice_seconds)
     t0 = dt.datetime(2025, 1, 1, 22, 0, 0)
     rows = []
-    for i in range(600):
-        name = "hot" if rng.random() < 0.6 else "cold"
-        rows.append((i, name, t0 + dt.timedelta(seconds=rng.randint(0, 6 * 3600)), float(rng.randint(0, 10))))
+    for i in range(900):
+        name = rng.choice(["hot", "hot", "hot", "cold", None])
+        value = None if rng.random() < 0.02 else float(rng.randint(0, 10))
+        rows.append((i, name, t0 + dt.timedelta(seconds=rng.randint(0, 30 * 3600) // 7 * 7), value))
     pdf = pd.DataFrame(rows, columns=["id", "name", "ts", "value"])
-    df = spark.createDataFrame(pdf, "id long, name string, ts timestamp_ntz, value double")
-    got = metrics.sustained_threshold(df, ["name"], 3.0, 120, "ts", "value", tie="id", bucket="1 hour")
-    got = sorted((r.name, r.start_ts, r.end_ts, r.n_samples) for r in got.collect())
-    expected = [(n, a.to_pydatetime(), b.to_pydatetime(), k) for n, a, b, k in brute_force_runs(pdf, 3.0, 120)]
+    df = spark.createDataFrame(rows, "id long, name string, ts timestamp_ntz, value double")
+    got = metrics.sustained_threshold(
+        df, ["name"], threshold, 120, "ts", "value", tie="id", slice_seconds=slice_seconds, max_gap_seconds=max_gap
+    )
+    got = sorted((r.name or "null", r.start_ts, r.end_ts, r.n_samples) for r in got.collect())
+    expected = [(n, a.to_pydatetime(), b.to_pydatetime(), k) for n, a, b, k in brute_force_runs(pdf, threshold, 120, max_gap)]
     assert got == expected and len(got) > 5
 
 
+def test_two_distant_samples_are_no_sustained_run_with_a_gap_limit(spark):  # M3
+    t0 = dt.datetime(2025, 1, 1)
+    rows = [("s", t0, 9.0), ("s", t0 + dt.timedelta(days=2), 9.0)]
+    df = spark.createDataFrame(rows, "name string, ts timestamp_ntz, value double")
+    assert metrics.sustained_threshold(df, ["name"], 5.0).count() == 1
+    assert metrics.sustained_threshold(df, ["name"], 5.0, max_gap_seconds=3600).count() == 0
+
+
+def test_counter_rate_parameters(spark):  # M1
+    t0 = dt.datetime(2025, 1, 1)
+    rows = [("s", t0, 0.0), ("s", t0 + dt.timedelta(seconds=50), 60.0), ("s", t0 + dt.timedelta(seconds=61), 61.0)]
+    df = spark.createDataFrame(rows, "name string, ts timestamp_ntz, value double")
+    got = {r.window_start: (r.rate, r.n_samples) for r in metrics.counter_rate(df, ["name"], window="1 minute").collect()}
+    assert got == {t0: (1.0, 2), t0 + dt.timedelta(minutes=1): (None, 1)}
+    for bad in ({"slice_seconds": 7}, {"window": "soon"}, {"window": "0 seconds"}):
+        with pytest.raises(ValueError):
+            metrics.counter_rate(df, ["name"], **bad)
+
+
+def test_label_selector_reaches_the_scan(spark, tmp_path):  # M2
+    spark.createDataFrame([("a", 1.0), (None, 2.0), ("b", 3.0)], "kind string, value double").write.parquet(str(tmp_path / "s"))
+    labelled = spark.read.parquet(str(tmp_path / "s")).withColumn("labels", F.create_map(F.lit("type"), F.col("kind")))
+    out = metrics.label_select(labelled, {"type": "a"}).select("value")
+    assert "EqualTo(kind,a)" in out._jdf.queryExecution().executedPlan().toString()
+    assert [r.value for r in out.collect()] == [1.0]
+    assert metrics.label_select(labelled, {"none": "a"}).count() == 0
+
+
+def test_exposition_has_headers_and_task_states(spark):  # F22
+    runs = spark.createDataFrame([("success", 2), (None, 0)], "state string, n long")
+    tasks = metrics.state_counts_filled(spark.createDataFrame([], "state string"), metrics.TASK_STATES, only_if_empty=True)
+    rows = metrics.exposition([(metrics.RUN_METRIC, "Runs by state", runs), (metrics.TASK_METRIC, "Tasks by state", tasks)])
+    lines = [r.line for r in rows.orderBy("metric", "line_no").collect()]
+    assert lines[:4] == [
+        "# HELP airflow_dag_run_count Runs by state", "# TYPE airflow_dag_run_count gauge",
+        'airflow_dag_run_count{state="success"} 2', 'airflow_dag_run_count{state="None"} 0',
+    ]
+    assert len(lines) == 4 + 2 + len(metrics.TASK_STATES) and lines[6].endswith(" 0")
+
+
 def test_sample_grid_last_sample(spark):  # M4
     t0 = dt.datetime(2025, 1, 1)
     rows = [("s", 1, t0 + dt.timedelta(seconds=1), 1.0), ("s", 2, t0 + dt.timedelta(seconds=29), 2.0),
@@ -118,13 +163,13 @@ def test_counter_rate_matches_brute_force_with_hot_burst(spark):  # M1, skew
         rows.append((i, "hot" if hot else "cold", t0 + dt.timedelta(seconds=secs, microseconds=rng.randint(0, 999999)), float(rng.randint(0, 50))))
     pdf = pd.DataFrame(rows, columns=["id", "name", "ts", "value"])
     df = spark.createDataFrame(pdf, "id long, name string, ts timestamp_ntz, value double")
-    got = {(r.name, r.window_start): (round(r.rate, 9), r.n_samples) for r in metrics.counter_rate(df, ["name"], tie="id").collect()}
+    got = {(r.name, r.window_start): (r.rate if r.rate is None else round(r.rate, 9), r.n_samples) for r in metrics.counter_rate(df, ["name"], tie="id").collect()}
     expected = {}
     pdf["w"] = pdf.ts.dt.floor("5min")
     for (name, w), g in pdf.sort_values(["ts", "id"]).groupby(["name", "w"]):
         vals = list(g.value)
         inc = sum((b - a) if b >= a else b for a, b in zip(vals, vals[1:]))
-        expected[(name, w.to_pydatetime())] = (round(inc / 300, 9), len(vals))
+        expected[(name, w.to_pydatetime())] = (round(inc / 300, 9) if len(vals) > 1 else None, len(vals))
     assert got == expected
 
 

@@ -33,12 +33,20 @@ def test_latest_per_key_combines_before_the_shuffle(spark):
     assert hot.id == 2999
 
 
-def test_sustained_threshold_never_windows_a_whole_series(spark):
+def test_sustained_threshold_orders_bounded_slices_only(spark):
     df = hot_frame(spark).withColumnRenamed("key", "series")
     plan = plan_of(metrics.sustained_threshold(df, ["series"], 50.0, 60, "ts", "value", tie="id"))
-    for line in plan.splitlines():
-        if "Window [" in line and "specifiedwindowframe(RowFrame, unboundedpreceding$(), currentrow$())" in line:
-            assert "_bucket" in line.split("windowspecdefinition(")[1].split(",")[1]
+    assert plan.count("Scan ExistingRDD") == 1 and "Join" not in plan
+    specs = [line.split("windowspecdefinition(")[1] for line in plan.splitlines() if "windowspecdefinition(" in line]
+    by_time = [spec for spec in specs if "ts#" in spec.split("specifiedwindowframe")[0]]
+    assert by_time and all("_slice#" in spec for spec in by_time)
+
+
+def test_chart_merge_reads_events_once(spark):
+    from feedlake.plans.catalogue import QUERIES
+
+    plan = plan_of(QUERIES["chart_merge"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("FileScan parquet") == 1
 
 
 def test_counter_rate_window_partitioned_by_time_window(spark):
