@@ -310,8 +310,11 @@ def near_duplicates(
     rows = staged(with_fingerprint(rows, "text", "fp", shingle).drop("text"), "fingerprints")
     prints = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints")
     linked = _classes(prints, max_bits, hot_bucket)
-    own = prints.join(linked, "fp", "left").select(
-        F.col("fp").alias("p"), F.coalesce("component_id", "rep").alias("component_id")
+    # staged, so that the last join has two plain exchanges and Spark can
+    # split the rows of a fingerprint that very many documents share
+    own = staged(
+        prints.join(linked, "fp", "left").select(F.col("fp").alias("p"), F.coalesce("component_id", "rep").alias("component_id")),
+        "fingerprint-classes",
     )
     return rows.join(own, F.col("fp") == F.col("p")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
