@@ -61,11 +61,12 @@ CLOSES = {
 }
 CONTAINERS = {"ul", "ol", "dl", "table", "article", "main", "section", "body", "html", "blockquote", "div", "aside", "nav", "td", "th"}
 NAMES = {
-    "nav", "navbar", "navigation", "menu", "menubar", "header", "masthead", "footer", "sidebar", "ad", "ads", "advert",
+    "nav", "navbar", "navigation", "menu", "menubar", "footer", "sidebar", "ad", "ads", "advert",
     "adverts", "advertisement", "sponsor", "sponsored", "promo", "banner", "cookie", "cookies", "consent", "notice",
     "popup", "modal", "newsletter", "subscribe", "share", "sharing", "social", "related", "breadcrumb", "breadcrumbs",
     "comment", "comments", "disqus", "toolbar", "pagination", "widget", "login", "signup",
 }
+HEADERS = {"header", "masthead"}  # of the page; an article's own header is text
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "toolbar"}
 
 
@@ -83,8 +84,10 @@ def _named_boilerplate(tag: str, attributes: str, in_main: bool) -> bool:
         elif name.lower() == "role":
             if value in ROLES:
                 return True
-        elif NAMES & set(re.split(r"[^a-z]+", value)):
-            return True
+        else:
+            names = set(re.split(r"[^a-z]+", value))
+            if names & NAMES or (names & HEADERS and not in_main):
+                return True
     return False
 
 

@@ -22,6 +22,7 @@ CASES = [
     (page("<article><p>a</p><form><input value='x'><p>mail</p></form><aside>more</aside><p>b</p></article>"), "a\nb"),
     (page("<div role='navigation'>m</div><div class=\"cookie-notice\">ok?</div><p>body text</p>"), "body text"),
     (page("<main><ul><li>one<li>two</ul><table><tr><td>c1<td>c2</table></main>"), "one\ntwo\nc1\nc2"),
+    (page("<article><div class='entry-header'><h1>H</h1></div><p>b</p></article>", "<div id='page-header'>site</div>"), "H\nb"),
     ("<p>no wrapper</p> tail", "no wrapper\ntail"),
     ("", ""),
     (None, ""),
