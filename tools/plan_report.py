@@ -71,14 +71,15 @@ def main() -> None:
     args = ap.parse_args()
     spark = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "16").getOrCreate()
+        .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "16")
+        .config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as entry
+    from feedlake.plans.catalogue import QUERIES
 
     cols = ["shuffles", "broadcasts", "aggregates", "windows", "joins", "generators", "python", "scans"]
     rows = []
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, args.sf)._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         rows.append("| " + " | ".join([f"`{name}`"] + [s[c] for c in cols]) + " |")
