@@ -15,8 +15,8 @@ rounds on ``seed_docs`` documents; every further round covers all training
 documents.  The score is the exact likelihood by scaled forward recursion;
 a very long text is cut in pieces whose transfer matrices are multiplied.
 
-Word counts are too many to broadcast.  The ``top_words`` most frequent are,
-at most 33 bytes each; a document's other words are joined with the counts,
+Word counts are too many to broadcast.  The (up to) ``top_words`` most
+frequent are, at most 33 bytes each; a document's other words are joined with the counts,
 grouped per document beforehand, so a common word never meets the join.
 
 Defined results: null, empty and blank texts are one end token; a null id is
@@ -42,6 +42,8 @@ from feedlake.llm.common import annotate, held_out, staged, text_slices, texts_o
 FOLDS = 5
 STATES, ROUNDS = 8, 3
 TOP_WORDS, OWN_WORDS, ENDINGS = 50_000, 2_000, 1_024
+#: Levels of the count histogram per natural logarithm.
+COUNT_LEVELS = 50
 SEED_DOCS, SEED_TOKENS, SEED_ROUNDS = 400, 1_000, 12
 #: Keys a task counts before it hands them on; tokens handled side by side.
 COUNT_KEYS, SIDE_TOKENS = 400_000, 500_000
@@ -125,7 +127,16 @@ def vocabulary(counts: DataFrame, top_words: int = TOP_WORDS, own_words: int = O
     totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = F.col("key") == F.lit(END)
     plain = counts.where(ends | (F.substring("key", 1, 1) != F.lit(b" ")))  # no digests
-    top = [(bytes(r.key), r.n) for r in plain.orderBy(ends.desc(), F.desc("n"), "key").limit(top_words).collect()]
+    # the frequent words by a threshold, from a histogram of log counts: a
+    # sort would send so many rows from every task
+    level = F.floor(F.log("n") * COUNT_LEVELS)
+    room, least = top_words, None
+    for row in sorted(plain.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        if row.words > room:  # a few thousand levels at most
+            break
+        room, least = room - row.words, row.level
+    frequent = plain.where(ends | (level >= F.lit(least))) if least is not None else plain.where(ends)
+    top = sorted(((bytes(r.key), r.n) for r in frequent.collect()), key=lambda r: (r[0] != END, -r[1], r[0]))
     own = [k for k, _ in top if k != END][: min(own_words, OWN_WORDS)]
     classes = {END: 0, **{k: 1 + i for i, k in enumerate(own)}}
 
