@@ -152,18 +152,12 @@ def is_json_array(doc: str | Column) -> Column:
 
 
 def shape_probes(doc: str | Column) -> dict[str, Column]:
-    """The measurements shape classification needs, one parse each."""
-    from pyspark.sql import types as T
-
+    """The measurements shape classification needs: one parse of a document
+    into its fields, or into its elements."""
     doc = col_(doc)
-    values = F.map_values(F.from_json(doc, T.MapType(T.StringType(), T.StringType())))
     return {
-        "_keys": json_keys(doc),
-        "_array_len": F.json_array_length(doc),
-        "_first_id": F.get_json_object(doc, "$[0].id"),
-        "_first_symbol": F.get_json_object(doc, "$[0].symbol"),
-        "_all_objects": F.forall(values, lambda v: F.coalesce(F.ltrim(v).startswith("{"), F.lit(False))),
-        "_is_array": is_json_array(doc),
+        "_fields": F.when(F.ltrim(doc).startswith("{"), F.from_json(doc, "map<string,string>")),
+        "_items": F.when(is_json_array(doc), F.from_json(doc, "array<string>")),
     }
 
 
@@ -178,12 +172,13 @@ def shape_from_probes(p: dict[str, Column]) -> Column:
                    a bare scalar, which no feed lands)
     unrecognised - any other object or array
     """
-    keys = p["_keys"]
+    fields, first = p["_fields"], F.get(p["_items"], 0)
+    all_objects = F.forall(F.map_values(fields), lambda v: F.coalesce(F.ltrim(v).startswith("{"), F.lit(False)))
     return (
-        F.when(F.array_contains(keys, "prices") | F.array_contains(keys, "total_volumes"), "chart")
-        .when(p["_is_array"] & p["_first_id"].isNotNull() & p["_first_symbol"].isNotNull(), "catalog")
-        .when((F.size(keys) > 0) & p["_all_objects"], "spot")
-        .when(keys.isNull() & p["_array_len"].isNull(), "invalid")
+        F.when(F.map_contains_key(fields, "prices") | F.map_contains_key(fields, "total_volumes"), "chart")
+        .when(F.get_json_object(first, "$.id").isNotNull() & F.get_json_object(first, "$.symbol").isNotNull(), "catalog")
+        .when((F.size(fields) > 0) & all_objects, "spot")
+        .when(fields.isNull() & p["_items"].isNull(), "invalid")
         .otherwise(UNRECOGNISED)
     )
 
