@@ -38,9 +38,16 @@ def test_every_query_has_an_oracle_and_is_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
+TOP_K = {"preview_rows", "distinct_time_values"}  # the limit is the feature
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
-def test_query_matches_oracle(spark, con, name):
+def test_query_matches_oracle_and_stays_in_the_jvm(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
+    limited = any(op in plan for op in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject", "LocalLimit"))
+    assert limited == (name in TOP_K)
     rows = df.collect()
     rel = con.sql(ORACLE[name])
     cols = sorted(df.columns)
@@ -54,14 +61,3 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and df.columns[:2] == ["coin_id", "date"]
-
-
-TOP_K = {"preview_rows", "distinct_time_values"}  # the limit is the feature
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plan_is_jvm_only_and_whole_table(spark, name):
-    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
-    limited = any(op in plan for op in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject", "LocalLimit"))
-    assert limited == (name in TOP_K)
