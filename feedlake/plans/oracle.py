@@ -7,18 +7,23 @@ and types match the Spark side.
 
 from __future__ import annotations
 
-from feedlake.plans.catalogue import (
-    CUSTOMER_REQUIRED,
-    EVENT_TYPE_LABELS,
-    MERGE_SNAPSHOTS,
-    ORDER_STATES,
-    PRUNE_FROM_DATE,
-    PRUNE_MIN_PRICE,
-    TABLES,
-    THRESHOLD,
-    URL_RULES,
+# The query parameters, stated here on their own: an error in the catalogue's
+# must show as a difference, not be shared.
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
 )
-from feedlake.plans.emulate import CATALOG_CHUNK, CHART_CHUNK, SPOT_CHUNK
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+EVENT_TYPE_LABELS = {
+    "click": ("Click", "CLK"), "error": ("Error", "ERR"), "purchase": ("Purchase", "PUR"), "signup": ("Sign-up", "SGN"),
+    "view": ("View", "VEW"),
+}
+URL_RULES = (("?", "query"), ("#", "fragment"), ("blog.", "blog"), (".html", "static"))
+CUSTOMER_REQUIRED = ("c_custkey", "c_name", "c_phone", "c_mktsegment")
+ORDER_STATES = ("F", "O", "P")
+MERGE_SNAPSHOTS = ((1, 1, 15), (2, 10, 25), (3, 20, 31))
+PRUNE_FROM_DATE, PRUNE_MIN_PRICE, THRESHOLD = "2024-01-15", 100.0, 50.0
+CHART_CHUNK, SPOT_CHUNK, CATALOG_CHUNK = 256, 256, 1000
 
 
 def _q(s: str) -> str:
@@ -44,10 +49,6 @@ CHART_TABLE_COUNTS = f"""
 SELECT coin_id, date, count(*) AS n_points, min(price) AS min_price, max(price) AS max_price
 FROM ({CHART_POINTS}) GROUP BY coin_id, date"""
 
-# the types of the driver's events, stated here on their own: the query finds
-# its columns in the data, and another type would show as another column
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-
 _pivot = ",\n  ".join(
     f"arg_max(value, (ts, event_id)) FILTER (WHERE event_type = {_q(t)}) AS {t}" for t in EVENT_TYPES
 )
