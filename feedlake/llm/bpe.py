@@ -35,7 +35,7 @@ from feedlake.llm.common import annotate
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces in each of the two generations of a worker's cache.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 150_000
 #: Pieces up to this many bytes are merged side by side, and cached; longer
 #: ones are merged one by one with a heap.
 SHORT_BYTES = 64

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -12,9 +13,9 @@ from pyspark.sql.types import StructType
 
 from feedlake.session import scratch_path
 
-#: Characters of text handled at once inside a task: bounds the Python memory
-#: of a batch whatever the batch's row count (a longer text is a slice alone).
-SLICE_CHARS = 2_000_000
+#: UTF-8 bytes of text handled at once inside a task: bounds the Python memory
+#: whatever an Arrow batch holds (a longer text is a slice alone).
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,21 +30,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_slices(texts: list[str], chars: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Index ranges of consecutive texts with about ``chars`` characters each."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > chars:
-            yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
-    """Python texts of an Arrow column, nulls as empty texts."""
-    return [t or "" for t in column.to_pylist()]
+def text_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[list[str]]:
+    """The texts of an Arrow column, nulls as empty texts, in lists of about
+    ``size`` bytes each; only one list exists as Python texts at a time."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())).to_numpy()
+    start = 0
+    while start < len(column):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(ends.searchsorted(before + size, "right")))
+        yield [t or "" for t in column.slice(start, stop - start).to_pylist()]
+        start = stop
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -78,10 +74,9 @@ def annotate(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            texts = texts_of(batch.column(source))
             parts: list[list] = [[] for _ in types]
-            for a, b in text_slices(texts):
-                for part, values in zip(parts, compute(texts[a:b]), strict=True):
+            for texts in text_slices(batch.column(source)):
+                for part, values in zip(parts, compute(texts), strict=True):
                     part.append(values if isinstance(values, pa.Array) else pa.array(values))
             arrays = [
                 pa.concat_arrays([v.cast(t) for v in part]) if part else pa.array([], t)

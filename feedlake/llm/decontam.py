@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import annotate, free_name, staged, text_slices, texts_of
+from feedlake.llm.common import annotate, free_name, staged, text_slices
 
 WINDOW = 13
 SHINGLE = 3
@@ -232,9 +232,8 @@ def _indexes(docs: DataFrame, text_col: str, benchmark: DataFrame, item_col: str
             index = shared.value
             totals = [np.zeros(len(t.grams), dtype=np.int64) for t in index.tables]
             for batch in batches:
-                texts = texts_of(batch.column(0))
-                for a, b in text_slices(texts):
-                    ids = _flat(texts[a:b], index.vocab)[0]
+                for texts in text_slices(batch.column(0)):
+                    ids = _flat(texts, index.vocab)[0]
                     for table, total in zip(index.tables, totals, strict=True):
                         keys = shingle_keys(ids, len(index.vocab) + 1, table.shingle)
                         keys = keys[keys >= 0]

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import annotate, held_out, staged, text_slices, texts_of
+from feedlake.llm.common import annotate, held_out, staged, text_slices
 
 FOLDS = 5
 STATES, ROUNDS = 8, 3
@@ -88,13 +88,12 @@ def count_tokens(texts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([keys, pa.array(counts.values(), pa.int64())], names=["key", "n"])
 
         for batch in batches:
-            texts = texts_of(batch.column(0))
-            for a, b in text_slices(texts):
-                part = Counter([w for t in texts[a:b] for w in words_of(t)])
+            for texts in text_slices(batch.column(0)):
+                part = Counter([w for t in texts for w in words_of(t)])
                 for word in [w for w in part if len(w) > KEY_BYTES]:
                     part[key_of(word)] += part.pop(word)
                 counts.update(part)
-                counts[END] += b - a
+                counts[END] += len(texts)
                 if len(counts) >= COUNT_KEYS:
                     yield out()
                     counts.clear()
