@@ -4,8 +4,8 @@ Every element's subtree outside the article is hashed (its tag, classes and
 normalised content).  Spark counts, per host, the pages that hold each hash;
 subtrees on ``MIN_PAGES`` pages and on ``SHARE`` of the host's pages or more
 are that site's template and are deleted, as are elements whose tag, role or
-class names them as menu, header, footer, sidebar, notice, advert, form,
-script, style or comments.  What is left of the article (of the body, for a
+whole class names mark them as menu, header, footer, sidebar, notice, advert,
+form, script, style or comments, unless they wrap the page's only article.  What is left of the article (of the body, for a
 page that marks no article) is the main text.
 
 Text inside ``<article>`` or ``<main>`` is never deleted for recurring: a line
@@ -40,7 +40,8 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?:[\"'][^>]*+)?+)(?:>|\Z)",
     re.DOTALL,
 )
-_NAMED = re.compile(r"(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
+#: One attribute: its name and its value, which is read over as a whole.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 #: Elements by their part in a page.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -60,35 +61,49 @@ CLOSES = {
     "tbody": {"tr", "td", "th", "thead", "tbody"}, "option": {"option"}, "body": {"head"},
 }
 CONTAINERS = {"ul", "ol", "dl", "table", "article", "main", "section", "body", "html", "blockquote", "div", "aside", "nav", "td", "th"}
+#: Whole class names.  A name that merely contains one of them is left to the host's counts.
 NAMES = {
     "nav", "navbar", "navigation", "menu", "menubar", "footer", "sidebar", "ad", "ads", "advert",
     "adverts", "advertisement", "sponsor", "sponsored", "promo", "banner", "cookie", "cookies", "consent", "notice",
     "popup", "modal", "newsletter", "subscribe", "share", "sharing", "social", "related", "breadcrumb", "breadcrumbs",
     "comment", "comments", "disqus", "toolbar", "pagination", "widget", "login", "signup",
+    "cookie-notice", "cookie-banner", "cookie-consent", "cookie-bar", "site-nav", "main-nav", "nav-menu", "site-footer",
+    "page-footer", "share-buttons", "social-share", "social-links", "related-posts", "newsletter-signup", "ad-slot",
+    "ad-container", "comment-list", "comments-area",
 }
-HEADERS = {"header", "masthead"}  # of the page; an article's own header is text
+HEADERS = {"header", "masthead", "site-header", "page-header"}  # of the page; an article's own header is text
+#: Whole ids of boxes; other ids are often slugs of a heading.
+IDS = {"comments", "disqus_thread", "sidebar", "footer", "nav", "navbar", "menu", "breadcrumbs"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "toolbar"}
+#: How an element is named: not at all, in a way that a wrapper of the article may be, or for certain.
+TEXT, WRAPPER, CERTAIN = 0, 1, 2
 
 
-def _named_boilerplate(tag: str, attributes: str, in_main: bool) -> bool:
+def _named_boilerplate(tag: str, attributes: str, in_main: bool) -> int:
     """Whether the tag or its attributes mark the element as not main text."""
+    if tag in ("html", "body"):
+        return TEXT
     if tag in DROPPED or (tag == "header" and not in_main):
-        return True
-    if not attributes or tag in ("html", "body", "article", "main") and "comment" not in attributes.lower():
-        return False
-    for name, *values in _NAMED.findall(attributes):
-        value = next((v for v in values if v), "").lower()
-        if name.lower() == "hidden":
-            if not value:
-                return True
-        elif name.lower() == "role":
+        return WRAPPER if tag in ("form", "fieldset") else CERTAIN
+    found = TEXT
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), next((v for v in values if v), "").lower()
+        if tag in MAIN:
+            if name == "class" and not {"comment", "comments"}.isdisjoint(value.split()):
+                return CERTAIN
+        elif name == "hidden":
+            if value != "until-found":
+                return CERTAIN
+        elif name == "role":
             if value in ROLES:
-                return True
-        else:
-            names = set(re.split(r"[^a-z]+", value))
-            if names & NAMES or (names & HEADERS and not in_main):
-                return True
-    return False
+                return CERTAIN
+        elif name == "class":
+            names = value.split()
+            if not NAMES.isdisjoint(names) or not (in_main or HEADERS.isdisjoint(names)):
+                found = WRAPPER
+        elif name == "id" and value in IDS and tag in ("div", "section", "ul", "ol"):
+            found = WRAPPER
+    return found
 
 
 class _Open:
@@ -96,19 +111,23 @@ class _Open:
 
     __slots__ = ("tag", "attributes", "blocks", "parts", "skip", "main", "hash")
 
-    def __init__(self, tag: str, attributes: str, blocks: int, skip: bool, main: bool):
+    def __init__(self, tag: str, attributes: str, blocks: int, skip: int, main: bool):
         self.tag, self.attributes, self.blocks, self.skip, self.main = tag, attributes, blocks, skip, main
         self.hash = xxhash.xxh64(f"<{tag} {attributes.strip()}>")
 
 
-def read_page(source: str, template: frozenset[int] = frozenset()) -> tuple[str, set[int]]:
-    """(main text, hashes of the subtrees outside the article that hold text)."""
+def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool = False) -> tuple[str, set[int]]:
+    """(main text, hashes of the subtrees outside the article that hold text).
+
+    An article in an element named as boilerplate counts if the page has no
+    other one (``wrapped``): then that element is a wrapper, whatever its name.
+    """
     body: list[str | None] = []  # blocks of the page; those of a deleted subtree become None
     inside: list[bool] = []  # whether a block lies in the article
     text: list[str] = []
-    stack: list[_Open] = [_Open("", "", 0, False, False)]
+    stack: list[_Open] = [_Open("", "", 0, TEXT, False)]
     hashes: set[int] = set()
-    has_main = False
+    has_main = has_wrapped = False
 
     def flush() -> None:
         if text:
@@ -168,7 +187,10 @@ def read_page(source: str, template: frozenset[int] = frozenset()) -> tuple[str,
             continue
         top = stack[-1]
         attributes = found[3].rstrip("/")
-        skip = top.skip or _named_boilerplate(tag, attributes, top.main)
+        skip = max(top.skip, _named_boilerplate(tag, attributes, top.main))
+        if tag in MAIN and skip == WRAPPER and not top.main:
+            has_wrapped = True
+            skip = TEXT if wrapped else skip
         main = top.main or (tag in MAIN and not skip)
         has_main |= main
         stack.append(_Open(tag, attributes if not main else "", len(body), skip, main))
@@ -177,6 +199,8 @@ def read_page(source: str, template: frozenset[int] = frozenset()) -> tuple[str,
             at = end.start() if end else size
     flush()
     close(1)
+    if has_wrapped and not has_main:
+        return read_page(source, template, True)
     kept = [b for b, m in zip(body, inside, strict=True) if b is not None and (m or not has_main)]
     return "\n".join(kept), hashes
 

@@ -37,6 +37,23 @@ def test_main_text_of_a_page(source, want):
     assert html_main.read_page(source or "")[0] == want
 
 
+@pytest.mark.parametrize(
+    "source,want",
+    [
+        (page("<div class='layout has-sidebar'><article><p>story</p></article></div>"), "story"),
+        (page("<div class='layout sidebar'><article><p>story</p></article><p>side</p></div>"), "story"),
+        (page("<form class='promo'><main><p>story</p></main></form>"), "story"),
+        (page("<div class='related'><article><p>card</p></article></div><article><p>story</p></article>"), "story"),
+        (page("<article><h2 id='related-work'>Related</h2><section id='social-history'><p>b</p></section></article>"), "Related\nb"),
+        (page("<article><div style='overflow:hidden'><p title='a hidden gem'>c</p></div><p hidden='hidden'>d</p></article>"), "c"),
+        (page("<article><p data-class='ad' data-hidden>e</p><p aria-hidden=false>f</p></article>"), "e\nf"),
+        (page("<div hidden><article><p>secret</p></article></div><p>shown</p>"), "shown"),
+    ],
+)
+def test_only_whole_names_mark_boilerplate(source, want):
+    assert html_main.read_page(source)[0] == want
+
+
 def test_recurring_subtrees_of_a_host_go(spark):
     rows = []
     for i in range(30):
