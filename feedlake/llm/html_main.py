@@ -1,7 +1,7 @@
 """Main text of web pages by site template removal (operator 6).
 
 Every element's subtree outside the article is hashed (its tag, classes and
-normalised content).  Spark counts, per host, the pages that hold each hash;
+normalised content).  Spark counts, per host, the distinct pages that hold each hash;
 subtrees on ``MIN_PAGES`` pages and on ``SHARE`` of the host's pages or more
 are that site's template and are deleted, as are elements whose tag, role or
 whole class names mark them as menu, header, footer, sidebar, notice, advert,
@@ -17,7 +17,8 @@ by host; the few hosts' lists are small, and Spark may split a hot host.
 
 Defined results: null and empty html, and pages without main text, give the
 empty text; a page without a host in its URL has no template; repeated pages
-each give a row and count as pages; empty input gives empty output.
+each give a row, and pages of a host with the same html count as one page;
+empty input gives empty output.
 """
 
 from __future__ import annotations
@@ -211,27 +212,29 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """(host, hashes): the recurring subtrees of each host that has some;
-    ``pages`` has (host, html)."""
+def page_hashes(pages: DataFrame) -> DataFrame:
+    """(host, digest, hashes): the subtrees of each distinct content of a
+    host; ``pages`` has (host, digest, html)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, found = [], []
-            for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                mine = read_page(source or "")[1]
-                hosts += [host] * (len(mine) + 1)
-                found += [None, *mine]  # the null counts the page itself
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.int64())], names=["host", "hash"])
-
-    counts = pages.where("host IS NOT NULL").select("host", "html").mapInArrow(run, "host string, hash long")
-    counts = staged(
-        counts.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("hash").isNull() | (F.col("n") >= min_pages)),
-        "subtree-counts",
-    )
-    sizes = counts.where("hash IS NULL").select(F.col("host").alias("h"), F.col("n").alias("pages"))
+            found = [sorted(read_page(source or "")[1]) for source in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["host", "digest", "hashes"]
+            )
+
+    found = pages.where("host IS NOT NULL").select("host", "digest", "html")
+    found = found.mapInArrow(run, "host string, digest binary, hashes array<long>")
+    return found.groupBy("host", "digest").agg(F.first("hashes").alias("hashes"))  # equal contents have equal hashes
+
+
+def templates(contents: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+    """(host, hashes): the recurring subtrees of each host that has some;
+    ``contents`` is of ``page_hashes``."""
+    sizes = contents.groupBy(F.col("host").alias("h")).agg(F.count(F.lit(1)).alias("pages"))
+    counts = contents.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
     return (
-        counts.where("hash IS NOT NULL")
+        counts.where(F.col("n") >= min_pages)
         .join(sizes, F.col("host") == F.col("h"))
         .where(F.col("n") >= F.col("pages") * share)
         .groupBy("host")
@@ -248,7 +251,9 @@ def extract(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"),
         host_of(F.col(url_col)).alias("host"),
     )
-    known = staged(templates(rows, min_pages, share), "site-templates").withColumnRenamed("host", "t_host")
+    rows = rows.withColumn("digest", F.unhex(F.md5(F.coalesce("html", F.lit("")).cast("binary"))))
+    contents = staged(page_hashes(rows), "page-hashes")
+    known = staged(templates(contents, min_pages, share), "site-templates").withColumnRenamed("host", "t_host")
     joined = rows.join(known, F.col("host") == F.col("t_host"), "left").select("page_id", "url", "html", "hashes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

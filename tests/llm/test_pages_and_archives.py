@@ -72,6 +72,16 @@ def test_recurring_subtrees_of_a_host_go(spark):
     assert html_main.extract(spark.createDataFrame([], PAGES)).collect() == []
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    rows = [(i, f"https://c.example/{i}", page(f"<div><p>Story {i}</p></div>")) for i in range(16)]
+    rows += [(100 + i, f"https://c.example/16?ref={i}", page("<div><p>The copied story</p></div>")) for i in range(4)]
+    rows += [(200, "https://d.example/", "<p>one url</p>")] * 6
+    out = html_main.extract(spark.createDataFrame(rows, PAGES)).collect()
+    assert len(out) == len(rows)
+    assert {r.text for r in out if r.page_id in (100, 101, 102, 103)} == {"The copied story"}
+    assert {r.text for r in out if r.page_id == 200} == {"one url"}
+
+
 def test_extra_columns_and_repeated_pages(spark):
     rows = [(1, "https://a.example/", "<p>x</p>", "t"), (1, "https://a.example/", "<p>x</p>", "u"), (None, None, None, None)]
     pages = spark.createDataFrame(rows, PAGES + ", text string")
