@@ -1,23 +1,26 @@
 """Main text of web pages by site template removal (operator 6).
 
-Every element's subtree outside the article is hashed (its tag, classes and
-normalised content).  Spark counts, per host, the distinct pages that hold each hash;
-subtrees on ``MIN_PAGES`` pages and on ``SHARE`` of the host's pages or more
-are that site's template and are deleted, as are elements whose tag, role or
-whole class names mark them as menu, header, footer, sidebar, notice, advert,
-form, script, style or comments, unless they wrap the page's only article.  What is left of the article (of the body, for a
+Every element's subtree outside the article is hashed (its tag, attributes and
+normalised content).  Spark counts, per host, the distinct pages that hold each
+hash.  A subtree that recurs is that site's template and is deleted: one of
+some length from ``MIN_PAGES`` distinct pages on, a number that grows with the
+logarithm of the host's pages (``MIN_PAGES`` for each power of ten); a short
+one, such as a number in a cell, and one of more than ``MOST_CHARS`` characters
+on ``MIN_PAGES`` and ``SHARE`` of the pages.  Deleted are, too,
+elements whose tag, role or whole class names mark them as menu, header,
+footer, sidebar, notice, advert, form, script, style or comments, unless they
+wrap the page's only article.  What is left of the article (of the body, for a
 page that marks no article) is the main text.
 
 Text inside ``<article>`` or ``<main>`` is never deleted for recurring: a line
 that many articles of a host share is still part of each.
 
-The list of a host's template hashes is bounded: a subtree on a share of the
-pages can't have more than (elements per page / share) peers.  Pages join it
-by host; the few hosts' lists are small, and Spark may split a hot host.
+Distinct contents meet their host's template hashes by host and hash, pages
+their own list by host and digest, both by shuffle: no list grows with a host.
 
 Defined results: null and empty html, and pages without main text, give the
 empty text; a page without a host in its URL has no template; repeated pages
-each give a row, and pages of a host with the same html count as one page;
+each give a row, and pages of a host with the same text count as one page;
 empty input gives empty output.
 """
 
@@ -35,6 +38,9 @@ from pyspark.sql import functions as F
 from feedlake.llm.common import staged
 
 MIN_PAGES, SHARE = 4, 0.1
+#: The number of pages decides, not the share, from so many characters of a box or a line up to MOST_CHARS:
+#: less may be in any text, more may be an article that many pages show.
+LONG_BOX, LONG_LINE, MOST_CHARS = 12, 30, 1_000
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -56,6 +62,10 @@ BLOCKS = {
     "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 } | DROPPED
 MAIN = {"article", "main"}
+BOXES = {
+    "div", "section", "ul", "ol", "dl", "table", "header", "center", "details", "figure", "address", "hgroup", "footer",
+    "nav", "aside", "form", "menu", "fieldset", "dialog",
+}
 #: An element that starts closes an open one of these, up to a container.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -110,15 +120,16 @@ def _named_boilerplate(tag: str, attributes: str, in_main: bool) -> int:
 class _Open:
     """An element that has been opened: where its content starts."""
 
-    __slots__ = ("tag", "attributes", "blocks", "parts", "skip", "main", "hash")
+    __slots__ = ("tag", "attributes", "blocks", "chars", "skip", "main", "hash")
 
-    def __init__(self, tag: str, attributes: str, blocks: int, skip: int, main: bool):
+    def __init__(self, tag: str, attributes: str, blocks: int, chars: int, skip: int, main: bool):
+        self.chars = chars
         self.tag, self.attributes, self.blocks, self.skip, self.main = tag, attributes, blocks, skip, main
         self.hash = xxhash.xxh64(f"<{tag} {attributes.strip()}>")
 
 
-def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool = False) -> tuple[str, set[int]]:
-    """(main text, hashes of the subtrees outside the article that hold text).
+def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool = False) -> tuple[str, set[int], int]:
+    """(main text, hashes of the subtrees outside the article that hold text, digest of all text).
 
     An article in an element named as boilerplate counts if the page has no
     other one (``wrapped``): then that element is a wrapper, whatever its name.
@@ -126,18 +137,24 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
     body: list[str | None] = []  # blocks of the page; those of a deleted subtree become None
     inside: list[bool] = []  # whether a block lies in the article
     text: list[str] = []
-    stack: list[_Open] = [_Open("", "", 0, TEXT, False)]
+    stack: list[_Open] = [_Open("", "", 0, 0, TEXT, False)]
     hashes: set[int] = set()
     has_main = has_wrapped = False
+    chars = 0  # of the blocks so far
+    digest = xxhash.xxh3_64()
 
     def flush() -> None:
+        nonlocal chars
         if text:
             block = " ".join("".join(text).split())
             text.clear()
             if block:
                 body.append(None if stack[-1].skip else block)
                 inside.append(stack[-1].main)
+                chars += len(block)
                 stack[-1].hash.update(block)
+                if stack[-1].tag not in RAW:
+                    digest.update(block + "\n")
 
     def close(depth: int) -> None:
         while len(stack) > depth:
@@ -145,7 +162,8 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
                 flush()
             top = stack.pop()
             filled = len(body) > top.blocks
-            value = top.hash.intdigest() - (1 << 63)
+            least = LONG_BOX if top.tag in BOXES else LONG_LINE
+            value = (top.hash.intdigest() - (1 << 63)) & ~1 | (least <= chars - top.chars <= MOST_CHARS)  # the last bit: by number
             if filled and not top.main:
                 hashes.add(value)
                 if value in template:
@@ -194,7 +212,7 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
             skip = TEXT if wrapped else skip
         main = top.main or (tag in MAIN and not skip)
         has_main |= main
-        stack.append(_Open(tag, attributes if not main else "", len(body), skip, main))
+        stack.append(_Open(tag, attributes if not main else "", len(body), chars, skip, main))
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE).search(source, at)
             at = end.start() if end else size
@@ -203,7 +221,7 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
     if has_wrapped and not has_main:
         return read_page(source, template, True)
     kept = [b for b, m in zip(body, inside, strict=True) if b is not None and (m or not has_main)]
-    return "\n".join(kept), hashes
+    return "\n".join(kept), hashes, digest.intdigest() - (1 << 63)
 
 
 def host_of(url: Column) -> Column:
@@ -213,33 +231,46 @@ def host_of(url: Column) -> Column:
 
 
 def page_hashes(pages: DataFrame) -> DataFrame:
-    """(host, digest, hashes): the subtrees of each distinct content of a
-    host; ``pages`` has (host, digest, html)."""
+    """(host, digest, hashes, content): the subtrees of each distinct html of
+    a host, and a digest of its text; ``pages`` has (host, digest, html)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(read_page(source or "")[1]) for source in batch.column(2).to_pylist()]
+            found, texts = [], []
+            for source in batch.column(2).to_pylist():
+                _, mine, text = read_page(source or "")
+                found.append(sorted(mine))
+                texts.append(text)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["host", "digest", "hashes"]
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64())), pa.array(texts, pa.int64())],
+                names=["host", "digest", "hashes", "content"],
             )
 
     found = pages.where("host IS NOT NULL").select("host", "digest", "html")
-    found = found.mapInArrow(run, "host string, digest binary, hashes array<long>")
-    return found.groupBy("host", "digest").agg(F.first("hashes").alias("hashes"))  # equal contents have equal hashes
+    found = found.mapInArrow(run, "host string, digest binary, hashes array<long>, content long")
+    # equal pages have equal hashes
+    return found.groupBy("host", "digest").agg(F.first("hashes").alias("hashes"), F.first("content").alias("content"))
 
 
 def templates(contents: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """(host, hashes): the recurring subtrees of each host that has some;
-    ``contents`` is of ``page_hashes``."""
-    sizes = contents.groupBy(F.col("host").alias("h")).agg(F.count(F.lit(1)).alias("pages"))
-    counts = contents.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        counts.where(F.col("n") >= min_pages)
-        .join(sizes, F.col("host") == F.col("h"))
-        .where(F.col("n") >= F.col("pages") * share)
-        .groupBy("host")
-        .agg(F.collect_list("hash").alias("hashes"))
-    )
+    """(host, hash): the recurring subtrees of each host; ``contents`` is of
+    ``page_hashes``."""
+    count = F.count(F.lit(1))
+    sizes = contents.select(F.col("host").alias("h"), "content").distinct().groupBy("h").agg(count.alias("pages"))
+    each = contents.select("host", F.explode("hashes").alias("hash"), "content").distinct()
+    counts = each.groupBy("host", "hash").agg(count.alias("n"))
+    by_share = F.col("pages") * F.lit(share)
+    by_number = F.least(by_share, F.lit(min_pages) * F.log10("pages"))
+    least = F.when(F.col("hash").bitwiseAND(F.lit(1)) == 1, by_number).otherwise(by_share)
+    return counts.where(F.col("n") >= min_pages).join(sizes, F.col("host") == F.col("h")).where(F.col("n") >= least).select("host", "hash")
+
+
+def page_templates(contents: DataFrame, known: DataFrame) -> DataFrame:
+    """(host, digest, hashes): the template subtrees of each content that has some."""
+    mine = contents.select("host", "digest", F.explode("hashes").alias("hash"))
+    known = known.select(F.col("host").alias("k_host"), F.col("hash").alias("k_hash"))
+    found = mine.join(known, (F.col("host") == F.col("k_host")) & (F.col("hash") == F.col("k_hash")))
+    return found.groupBy("host", "digest").agg(F.collect_list("hash").alias("hashes"))
 
 
 def extract(
@@ -253,8 +284,10 @@ def extract(
     )
     rows = rows.withColumn("digest", F.unhex(F.md5(F.coalesce("html", F.lit("")).cast("binary"))))
     contents = staged(page_hashes(rows), "page-hashes")
-    known = staged(templates(contents, min_pages, share), "site-templates").withColumnRenamed("host", "t_host")
-    joined = rows.join(known, F.col("host") == F.col("t_host"), "left").select("page_id", "url", "html", "hashes")
+    known = page_templates(contents, staged(templates(contents, min_pages, share), "site-templates"))
+    known = staged(known, "page-templates").select(F.col("host").alias("t_host"), F.col("digest").alias("t_digest"), "hashes")
+    same = (F.col("host") == F.col("t_host")) & (F.col("digest") == F.col("t_digest"))
+    joined = rows.join(known, same, "left").select("page_id", "url", "html", "hashes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -76,10 +76,29 @@ def test_copies_of_a_page_are_one_page(spark):
     rows = [(i, f"https://c.example/{i}", page(f"<div><p>Story {i}</p></div>")) for i in range(16)]
     rows += [(100 + i, f"https://c.example/16?ref={i}", page("<div><p>The copied story</p></div>")) for i in range(4)]
     rows += [(200, "https://d.example/", "<p>one url</p>")] * 6
+    rows += [(300, f"https://e.example/?s={i}", f"<script>var s={i}</script><p>The story of one page, with a token</p>") for i in range(6)]
     out = html_main.extract(spark.createDataFrame(rows, PAGES)).collect()
     assert len(out) == len(rows)
     assert {r.text for r in out if r.page_id in (100, 101, 102, 103)} == {"The copied story"}
     assert {r.text for r in out if r.page_id == 200} == {"one url"}
+    assert {r.text for r in out if r.page_id == 300} == {"The story of one page, with a token"}
+
+
+def test_templates_of_a_part_of_a_large_host_go(spark):
+    def body(i):
+        menu = "<div><ul><li>Section start</li><li>Section news</li></ul></div>" if i % 100 < 9 else ""
+        line = "<p>This notice is shown with a few of the stories only.</p>" if 20 <= i % 100 < 29 else ""
+        few = "<div><p>A passage that three stories share.</p></div>" if 50 <= i < 53 else ""
+        cell = f"<table><tr><td>7<td>row {i}</table>" if 60 <= i < 69 else ""
+        return page(f"{menu}<div><p>Story {i}</p>{cell}</div>{line}{few}")
+
+    rows = [(i, f"https://big.example/{i}", body(i)) for i in range(400)]
+    rows += [(1000 + i, f"https://small.example/{i}", body(i)) for i in range(100)]
+    out = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert (out[3], out[103], out[1003]) == ("Story 3", "Story 103", "Story 3")
+    assert (out[25], out[325], out[1025]) == ("Story 25", "Story 325", "Story 25")
+    assert out[65] == "Story 65\n7\nrow 65"  # a short cell is no template for its number of pages
+    assert out[51] == "Story 51\nA passage that three stories share."
 
 
 def test_extra_columns_and_repeated_pages(spark):
