@@ -1,7 +1,8 @@
 """Main text of web pages by site template removal (operator 6).
 
 Every element's subtree outside the article is hashed (its tag, attributes and
-normalised content).  Spark counts, per host, the distinct pages that hold each
+normalised content), and every box of up to ``MOST_CHARS`` characters in it (tag
+and content).  Spark counts, per host, the distinct pages that hold each
 hash.  A subtree that recurs is that site's template and is deleted: one of
 some length from ``MIN_PAGES`` distinct pages on, a number that grows with the
 logarithm of the host's pages (``MIN_PAGES`` for each power of ten); a short
@@ -12,8 +13,10 @@ footer, sidebar, notice, advert, form, script, style or comments, unless they
 wrap the page's only article.  What is left of the article (of the body, for a
 page that marks no article) is the main text.
 
-Text inside ``<article>`` or ``<main>`` is never deleted for recurring: a line
-that many articles of a host share is still part of each.
+Lines inside ``<article>`` or ``<main>`` (paragraphs, headings, items, cells)
+are not deleted for recurring by themselves: a line that many articles of a
+host share is still part of each.  Boxes there are, unless nothing of the
+article would be left.
 
 Distinct contents meet their host's template hashes by host and hash, pages
 their own list by host and digest, both by shuffle: no list grows with a host.
@@ -29,6 +32,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -62,6 +66,7 @@ BLOCKS = {
     "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 } | DROPPED
 MAIN = {"article", "main"}
+WHOLE = MAIN | RAW | {"html", "head", "body"}  # never a template
 BOXES = {
     "div", "section", "ul", "ol", "dl", "table", "header", "center", "details", "figure", "address", "hgroup", "footer",
     "nav", "aside", "form", "menu", "fieldset", "dialog",
@@ -129,16 +134,17 @@ class _Open:
 
 
 def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool = False) -> tuple[str, set[int], int]:
-    """(main text, hashes of the subtrees outside the article that hold text, digest of all text).
+    """(main text, hashes of the subtrees that hold text, digest of all text).
 
     An article in an element named as boilerplate counts if the page has no
     other one (``wrapped``): then that element is a wrapper, whatever its name.
     """
-    body: list[str | None] = []  # blocks of the page; those of a deleted subtree become None
+    body: list[str | None] = []  # blocks of the page, None in named boilerplate
     inside: list[bool] = []  # whether a block lies in the article
     text: list[str] = []
     stack: list[_Open] = [_Open("", "", 0, 0, TEXT, False)]
     hashes: set[int] = set()
+    spans: list[tuple[int, int, bool]] = []  # blocks of template subtrees, and whether in the article
     has_main = has_wrapped = False
     chars = 0  # of the blocks so far
     digest = xxhash.xxh3_64()
@@ -164,10 +170,11 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
             filled = len(body) > top.blocks
             least = LONG_BOX if top.tag in BOXES else LONG_LINE
             value = (top.hash.intdigest() - (1 << 63)) & ~1 | (least <= chars - top.chars <= MOST_CHARS)  # the last bit: by number
-            if filled and not top.main:
+            # in the article, boxes only; never the article, nor it by what is around it
+            if filled and top.tag not in WHOLE and (not top.main or (top.tag in BOXES and chars - top.chars <= MOST_CHARS)):
                 hashes.add(value)
                 if value in template:
-                    body[top.blocks :] = [None] * (len(body) - top.blocks)
+                    spans.append((top.blocks, len(body), top.main))
             stack[-1].hash.update(value.to_bytes(8, "little", signed=True))
 
     def close_open(tags: set[str], limits: set[str]) -> None:
@@ -220,7 +227,17 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
     close(1)
     if has_wrapped and not has_main:
         return read_page(source, template, True)
-    kept = [b for b, m in zip(body, inside, strict=True) if b is not None and (m or not has_main)]
+    left = [b is not None and (m or not has_main) for b, m in zip(body, inside, strict=True)]
+    article = any(left) and has_main
+    steps = [[0] * (len(body) + 1), [0] * (len(body) + 1)]  # spans around the article or in it that start less those that end
+    for start, stop, of_main in spans:
+        steps[of_main][start] += 1
+        steps[of_main][stop] -= 1
+    around, within = accumulate(steps[0]), accumulate(steps[1])
+    cut = [b and not w and (m or not a) for b, m, a, w in zip(left, inside, around, within, strict=False)]
+    if article and not any(cut):
+        cut = left  # boxes that are all of an article are its text
+    kept = [b for b, c in zip(body, cut, strict=True) if c]
     return "\n".join(kept), hashes, digest.intdigest() - (1 << 63)
 
 

@@ -84,6 +84,22 @@ def test_copies_of_a_page_are_one_page(spark):
     assert {r.text for r in out if r.page_id == 300} == {"The story of one page, with a token"}
 
 
+def test_recurring_boxes_in_an_article_go(spark):
+    def body(i):
+        offer = f"<div class='x{i}'><p>Get our weekly letter by mail!</p><ul><li>Tweet<li>Mail</ul></div>"
+        tag = ("article", "main")[i % 2]
+        return page(f"<div id='wrap'><{tag}><h1>Title</h1><div><p>Story {i}</p><p>A line that all stories share, still text.</p></div>{offer}</{tag}></div>")
+
+    rows = [(i, f"https://a.example/{i}", body(i)) for i in range(40)]
+    rows += [(100 + i, f"https://b.example/{i}", body(i)) for i in range(3)]
+    rows += [(200 + i, f"https://c.example/{i}", page(f"<p>on {i}</p><article><div><p>The same story on many pages.</p></div></article>")) for i in range(9)]
+    out = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    for i in range(40):
+        assert out[i] == f"Title\nStory {i}\nA line that all stories share, still text."
+    assert "weekly" in out[100]  # three pages are no template
+    assert {out[200 + i] for i in range(9)} == {"The same story on many pages."}
+
+
 def test_templates_of_a_part_of_a_large_host_go(spark):
     def body(i):
         menu = "<div><ul><li>Section start</li><li>Section news</li></ul></div>" if i % 100 < 9 else ""
