@@ -10,9 +10,9 @@ known words and one unknown word per class.
 
 Baum-Welch trains transitions and class emissions: tasks sum expected counts
 over their documents, Spark adds them up by cell, and the driver renormalises
-a table whose size is set by parameters.  The first guess comes from a few
-rounds on about ``SEED_DOCS`` documents; every further round covers all training
-documents.  The score is the exact likelihood by scaled forward recursion;
+a table whose size is set by parameters.  The first guess comes from the pairs
+of neighbours of all training documents, counted in Spark by left class and
+right group; every round covers all training documents.  The score is the exact likelihood by scaled forward recursion;
 a very long text is cut in pieces whose transfer matrices are multiplied.
 
 Word counts are too many to broadcast.  The (up to) ``top_words`` most
@@ -44,7 +44,9 @@ STATES, ROUNDS = 8, 3
 TOP_WORDS, OWN_WORDS, ENDINGS = 50_000, 2_000, 1_024
 #: Levels of the count histogram per natural logarithm.
 COUNT_LEVELS = 50
-SEED_DOCS, SEED_TOKENS, SEED_ROUNDS = 400, 1_000, 12
+#: First guess: groups of the right class of a pair, the first ones for the end
+#: and the most frequent words; rounds on the table of pairs.
+GROUPS, OWN_GROUPS, PAIR_ROUNDS = 64, 48, 60
 #: Keys a task counts before it hands them on; tokens handled side by side.
 COUNT_KEYS, SIDE_TOKENS = 400_000, 500_000
 #: Training cuts documents into segments; scoring cuts above EXACT tokens only.
@@ -217,6 +219,18 @@ def encoder(shared) -> Callable[[], Callable[[list[str]], list]]:
     return make
 
 
+def side_by_side(seqs: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The sequences in lists of up to ``SIDE_TOKENS`` tokens (a longer one alone)."""
+    lo = 0
+    while lo < len(seqs):
+        hi, tokens = lo, 0
+        while hi < len(seqs) and (hi == lo or tokens + len(seqs[hi]) <= SIDE_TOKENS):
+            tokens += len(seqs[hi])
+            hi += 1
+        yield seqs[lo:hi]
+        lo = hi
+
+
 # --- the model -----------------------------------------------------------------
 
 
@@ -340,15 +354,43 @@ def maximise(counts: np.ndarray, k: int, share: np.ndarray) -> Hmm:
     )
 
 
-def first_guess(seqs: list[np.ndarray], k: int, share: np.ndarray, rounds: int = SEED_ROUNDS) -> Hmm:
-    """States that start as blurred copies of the corpus and settle on a few
-    documents."""
+def group_of() -> np.ndarray:
+    """Group of every class, for the right side of a pair."""
+    classes = np.arange(CLASSES)
+    return np.where(classes < OWN_GROUPS, classes, OWN_GROUPS + classes % (GROUPS - OWN_GROUPS))
+
+
+def pair_counts(seqs: list[np.ndarray]) -> np.ndarray:
+    """(CLASSES, GROUPS): how often a class precedes a group, in all texts."""
+    out, group = np.zeros(CLASSES * GROUPS, dtype=np.int64), group_of()
+    for part in side_by_side(seqs):
+        flat, stops = np.concatenate(part), np.cumsum([len(s) for s in part])
+        cells = flat[:-1] * GROUPS + group[flat[1:]]
+        inner = np.ones(len(cells), dtype=bool)
+        inner[stops[:-1] - 1] = False  # no pair across texts
+        out += np.bincount(cells[inner], minlength=len(out))
+    return out.reshape(CLASSES, GROUPS)
+
+
+def first_guess(pairs: np.ndarray, k: int, share: np.ndarray, rounds: int = PAIR_ROUNDS) -> Hmm:
+    """States that start as blurred copies of the corpus and settle on the
+    pairs of neighbours of all training texts."""
     noise = np.random.default_rng(7).gamma(1.0, size=(len(share), k))
     emit = share[:, None] * (0.5 + noise)
-    model = Hmm(np.full(k, 1 / k), np.full((k, k), 0.1 / k) + 0.9 * np.eye(k), emit / emit.sum(axis=0))
-    for _ in range(rounds if seqs else 0):
-        model = maximise(model.expected(seqs), k, share)
-    return model
+    emit /= emit.sum(axis=0)
+    joint = (np.full((k, k), 0.1 / k) + 0.9 * np.eye(k)) / k  # of a pair's two states
+    group = group_of()
+    for _ in range(rounds):
+        right = np.zeros((GROUPS, k))
+        np.add.at(right, group, emit)
+        ahead = joint @ right.T  # (k, GROUPS)
+        ratio = pairs / np.maximum(emit @ ahead, 1e-300)
+        left = emit * (ratio @ ahead.T)  # expected counts
+        joint *= emit.T @ ratio @ right
+        joint = (joint + 0.1) / (joint + 0.1).sum()
+        left += SMOOTH * share[:, None]
+        emit = left / left.sum(axis=0)
+    return Hmm(joint.sum(axis=1), joint / joint.sum(axis=1, keepdims=True), emit)
 
 
 def _sequences(column: pa.Array) -> list[np.ndarray]:
@@ -358,11 +400,19 @@ def _sequences(column: pa.Array) -> list[np.ndarray]:
 def train(encoded: DataFrame, vocab: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Hmm:
     """Baum-Welch over all rows of ``encoded`` (column ``classes``)."""
     share = (vocab.class_tokens + 0.5) / (vocab.class_tokens + 0.5).sum()
-    # about SEED_DOCS rows by a hash of their number; a sort would send as many from every task
-    part = min(1.0, SEED_DOCS / max(1, encoded.count()))
-    chosen = encoded.where(F.pmod(F.xxhash64("row"), F.lit(1 << 40)) < F.lit(int(part * (1 << 40))))
-    some = chosen.select(F.substring("classes", 1, 2 * SEED_TOKENS).alias("c")).limit(2 * SEED_DOCS).collect()
-    model = first_guess([np.frombuffer(r.c, "<i2").astype(np.int64) for r in some], states, share)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES * GROUPS, dtype=np.int64)
+        for batch in batches:
+            total += pair_counts(_sequences(batch.column(0))).ravel()
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "v"])
+
+    found = encoded.select("classes").mapInArrow(count, "cell long, v long").groupBy("cell").agg(F.sum("v").alias("v"))
+    pairs = np.zeros(CLASSES * GROUPS)
+    table = found.toArrow()  # its size is set by the parameters
+    pairs[table["cell"].to_numpy()] = table["v"].to_numpy()
+    model = first_guess(pairs.reshape(CLASSES, GROUPS), states, share)
     size = states + states * states + CLASSES * states
     for _ in range(rounds):
 

@@ -153,6 +153,29 @@ def test_baum_welch_counts_and_rising_likelihood():
     assert logs[-1] > logs[0]
 
 
+def test_pairs_of_whole_texts():
+    rng = np.random.default_rng(4)
+    seqs = [rng.integers(0, hmm_lm.CLASSES, n) for n in (1, 2, 3000, 1, 40)]
+    want, group = np.zeros((hmm_lm.CLASSES, hmm_lm.GROUPS)), hmm_lm.group_of()
+    for seq in seqs:
+        for a, b in zip(seq[:-1], seq[1:], strict=True):
+            want[a, group[b]] += 1
+    assert (hmm_lm.pair_counts(seqs) == want).all()
+    assert hmm_lm.pair_counts([]).sum() == 0
+
+
+def test_scores_do_not_depend_on_the_files(docs_of):
+    rnd = random.Random(9)
+    worlds = [["le", "la", "maison", "eau"], ["the", "house", "water", "of"], ["das", "haus", "und", "wasser"]]
+    rows = [(d, " ".join(rnd.choice(worlds[d % 3]) for _ in range(20))) for d in range(1500)]
+    docs = docs_of(rows)
+    one, other = (
+        {r.doc_id: r.score for r in hmm_lm.text_scores(d, states=4, rounds=1).collect()}
+        for d in (docs.coalesce(1), docs.repartition(3, "doc_id"))
+    )
+    assert all(math.isclose(one[d], other[d], rel_tol=1e-6) for d, _ in rows)
+
+
 def test_language_model_without_training_text(docs_of):
     assert hmm_lm.text_scores(docs_of([])).collect() == []
     only = next(d for d in range(100) if fold(d, 5) == 1)
