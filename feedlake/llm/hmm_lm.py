@@ -9,7 +9,7 @@ word's probability in a state is the product and the model is normalised over
 known words and one unknown word per class.
 
 Baum-Welch trains transitions and class emissions: tasks sum expected counts
-over their documents, Spark adds them up by cell, and the driver renormalises
+over their whole documents, Spark adds them up by cell, and the driver renormalises
 a table whose size is set by parameters.  The first guess comes from the pairs
 of neighbours of all training documents, counted in Spark by left class and
 right group; every round covers all training documents.  The score is the exact likelihood by scaled forward recursion;
@@ -49,8 +49,8 @@ COUNT_LEVELS = 50
 GROUPS, OWN_GROUPS, PAIR_ROUNDS = 64, 48, 60
 #: Keys a task counts before it hands them on; tokens handled side by side.
 COUNT_KEYS, SIDE_TOKENS = 400_000, 500_000
-#: Training cuts documents into segments; scoring cuts above EXACT tokens only.
-SEGMENT, EXACT = 256, 8_192
+#: Training keeps the states of so many steps at a time; scoring cuts longer texts than EXACT tokens.
+BLOCK, EXACT = 16_384, 8_192
 #: Weight of the corpus share of a class in a state's emissions.
 SMOOTH = 50.0
 #: Words up to this many bytes are keys themselves, longer ones by a digest;
@@ -295,51 +295,54 @@ class Hmm:
         return log
 
     def expected(self, seqs: list[np.ndarray]) -> np.ndarray:
-        """Baum-Welch counts, flat: starts (K), moves (K, K), emissions
-        (classes, K).  Sequences are cut into segments; a later segment starts
-        from any state."""
+        """Baum-Welch counts over whole sequences, flat: starts (K), moves
+        (K, K), emissions (classes, K).  Of a sequence beyond ``BLOCK`` tokens
+        the states at the blocks' ends are kept, and block after block, last
+        first, is run again."""
         k = len(self.start)
         starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros(self.emit.shape)
-        pieces = [(s[a : a + SEGMENT], a == 0) for s in seqs for a in range(0, len(s), SEGMENT)]
-        pieces.sort(key=lambda p: -len(p[0]))
-        rows = max(1, SIDE_TOKENS // SEGMENT)
-        for lo in range(0, len(pieces), rows):
-            part = pieces[lo : lo + rows]
-            sizes = np.array([len(p) for p, _ in part])
-            firsts = np.array([f for _, f in part])
+        emit, move, start = (v.astype(np.float32) for v in (self.emit, self.move, self.start))
+        for part in side_by_side(sorted(seqs, key=lambda s: -len(s))):
+            sizes = np.array([len(s) for s in part])
             steps = int(sizes[0])
-            active = [int(np.searchsorted(-sizes, -t)) for t in range(steps)]  # rows longer than t
-            begin, flat = np.cumsum(sizes) - sizes, np.concatenate([p for p, _ in part])
-            begins = np.where(firsts[:, None], self.start, np.full(k, 1 / k))
-            alpha: list[np.ndarray] = []
-            seen: list[np.ndarray] = []
-            scales: list[np.ndarray] = []
-            emit, move = self.emit.astype(np.float32), self.move.astype(np.float32)
-            for t in range(steps):
-                n = active[t]
-                e = emit[flat[begin[:n] + t]]
-                now = (begins.astype(np.float32) if t == 0 else alpha[-1][:n] @ move) * e
-                scale = now.sum(axis=1, keepdims=True)
-                alpha.append(now / scale)
-                seen.append(e)
-                scales.append(scale)
-            beta = np.ones((active[-1], k), dtype=np.float32)
-            weights = np.empty((len(flat), k), dtype=np.float32)
-            for t in range(steps - 1, -1, -1):
-                n = active[t]
-                if t < steps - 1:
-                    m = active[t + 1]
-                    ahead = seen[t + 1] * beta / scales[t + 1]
-                    moves += (alpha[t][:m].T @ ahead) * self.move
-                    beta = np.ones((n, k), dtype=np.float32)
-                    beta[:m] = ahead @ move.T
-                gamma = alpha[t] * beta
-                weights[begin[:n] + t] = gamma
-                if t == 0:
-                    starts += gamma[firsts[:n]].sum(axis=0)
-            for j in range(k):
-                emits[:, j] += np.bincount(flat, weights=weights[:, j], minlength=len(emits))
-        return np.concatenate([starts, moves.ravel(), emits.ravel()])
+            active = np.searchsorted(-sizes, -np.arange(steps)).tolist()  # rows longer than t
+            begin, flat = np.cumsum(sizes) - sizes, np.concatenate(part)
+
+            def forward(last: np.ndarray | None, lo: int, hi: int, keep: bool):
+                """Symbols, their emissions, scales and states at steps lo to hi."""
+                out: list[tuple[np.ndarray, ...]] = []
+                for t in range(lo, hi):
+                    n = active[t]  # noqa: B023
+                    symbols = flat[begin[:n] + t]  # noqa: B023
+                    e = emit[symbols]
+                    now = start * e if last is None else (last[:n] @ move) * e
+                    scale = now.sum(axis=1, keepdims=True)
+                    last = now / scale
+                    if keep:
+                        out.append((symbols, e, scale, last))
+                return out, last
+
+            blocks = range(0, steps, BLOCK)
+            ends: list[np.ndarray | None] = [None]
+            for lo in blocks[:-1]:
+                ends.append(forward(ends[-1], lo, lo + BLOCK, False)[1])
+            ahead = np.empty((0, k), dtype=np.float32)
+            for lo, last in zip(reversed(blocks), reversed(ends), strict=True):
+                kept, _ = forward(last, lo, min(lo + BLOCK, steps), True)
+                weights: list[np.ndarray] = []
+                for _symbols, e, scale, alpha in reversed(kept):
+                    m = len(ahead)
+                    beta = np.ones(alpha.shape, dtype=np.float32)
+                    if m:
+                        moves += alpha[:m].T @ ahead
+                        beta[:m] = ahead @ move.T
+                    weights.append(alpha * beta)
+                    ahead = e * beta / scale
+                symbols, weight = np.concatenate([x[0] for x in reversed(kept)]), np.concatenate(weights)
+                for j in range(k):
+                    emits[:, j] += np.bincount(symbols, weights=weight[:, j], minlength=len(emits))
+            starts += weights[-1].sum(axis=0)
+        return np.concatenate([starts, (moves * self.move).ravel(), emits.ravel()])
 
 
 def maximise(counts: np.ndarray, k: int, share: np.ndarray) -> Hmm:

@@ -153,6 +153,35 @@ def test_baum_welch_counts_and_rising_likelihood():
     assert logs[-1] > logs[0]
 
 
+def test_expected_counts_of_whole_long_texts(monkeypatch):
+    rng = np.random.default_rng(8)
+    k, c = 3, 9
+    model = hmm_lm.Hmm(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), size=k), rng.dirichlet(np.ones(c), size=k).T)
+    seqs = [rng.integers(0, c, n) for n in (700, 1, 256, 257, 1200, 2)]
+    starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((c, k))
+    for seq in seqs:
+        alpha, beta = [model.start * model.emit[seq[0]]], [np.ones(k)]
+        alpha[0] = alpha[0] / alpha[0].sum()
+        for x in seq[1:]:
+            now = alpha[-1] @ model.move * model.emit[x]
+            alpha.append(now / now.sum())
+        for x in seq[:0:-1]:
+            now = model.move @ (model.emit[x] * beta[-1])
+            beta.append(now / now.sum())
+        beta.reverse()
+        for t, x in enumerate(seq):
+            gamma = alpha[t] * beta[t] / (alpha[t] * beta[t]).sum()
+            emits[x] += gamma
+            starts += gamma if t == 0 else 0
+            if t:
+                both = alpha[t - 1][:, None] * model.move * (model.emit[x] * beta[t])
+                moves += both / both.sum()
+    want = np.concatenate([starts, moves.ravel(), emits.ravel()])
+    assert np.allclose(model.expected(seqs), want, rtol=1e-4)
+    monkeypatch.setattr(hmm_lm, "BLOCK", 100)
+    assert np.allclose(model.expected(seqs), want, rtol=1e-4)
+
+
 def test_pairs_of_whole_texts():
     rng = np.random.default_rng(4)
     seqs = [rng.integers(0, hmm_lm.CLASSES, n) for n in (1, 2, 3000, 1, 40)]
