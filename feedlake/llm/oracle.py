@@ -68,8 +68,29 @@ SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
        CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN revisit THEN first_id END AS refers_to
 FROM r"""
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.rid AS anchor, a.vec_id AS anchor_id, r.rid, r.vec_id, a.label = r.label AS same,
+         CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+  FROM v a JOIN v r ON r.vec_id IS DISTINCT FROM a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor, anchor_id, rid AS positive, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, vec_id NULLS LAST) AS INT) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5"""
+
 ORACLE: dict[str, str] = {
     "op3_benchmark_decontamination": _DECONTAMINATION,
     "op8_quality_rules": _RULES,
     "op10_warc_archives": _ARCHIVES,
+    "op11_hard_negatives": _NEGATIVES,
 }

@@ -5,8 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from feedlake.llm import bpe, decontam, hmm_lm, html_main, pii, quality_qda, quality_rules, simhash, token_count, warc
+from pyspark.sql import functions as F
+
+from feedlake.llm import (
+    bpe,
+    decontam,
+    hard_negatives,
+    hmm_lm,
+    html_main,
+    pii,
+    quality_qda,
+    quality_rules,
+    simhash,
+    token_count,
+    warc,
+)
 from feedlake.llm.common import table
 
 
@@ -50,6 +63,12 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -63,5 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_simhash_near_duplicates,
         op10_warc_archives,
+        op11_hard_negatives,
     )
 }

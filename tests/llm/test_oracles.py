@@ -12,7 +12,7 @@ from feedlake.llm.queries import QUERIES
 @pytest.fixture(scope="module")
 def tables(sf_dir):
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "pages"):
+    for name in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
     return con
 
