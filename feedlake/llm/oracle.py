@@ -71,10 +71,10 @@ FROM r"""
 _NEGATIVES = """
 WITH v AS (
   SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+         [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS q
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT a.rid AS anchor, a.vec_id AS anchor_id, r.rid, r.vec_id, a.label = r.label AS same,
          CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
