@@ -13,10 +13,12 @@ from feedlake.llm import (
     hard_negatives,
     hmm_lm,
     html_main,
+    language_id,
     pii,
     quality_qda,
     quality_rules,
     simhash,
+    spelling_variants,
     token_count,
     warc,
 )
@@ -69,6 +71,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,5 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_simhash_near_duplicates,
         op10_warc_archives,
         op11_hard_negatives,
+        op12_spelling_variants,
+        op13_language_id,
     )
 }
