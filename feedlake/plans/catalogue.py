@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -301,6 +302,48 @@ def partition_refresh(spark, sf_dir):
     )
 
 
+def _attempt(write: Callable[[], object]) -> None:
+    """Run a write that must fail on the rows marked lost."""
+    try:
+        write()
+    except PySparkException as error:
+        if "row lost" not in str(error):
+            raise
+    else:
+        raise AssertionError("the write did not fail")
+
+
+@query
+def failed_overwrite_kept(spark, sf_dir):
+    """Orders in four tables; a full overwrite, a full and a touched refresh
+    of partitions and a merge that each fail half way; every row is still there."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    lost = F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("row lost")).cast("double"))
+    bad = o.withColumn("o_totalprice", lost.otherwise(F.lit(0.0)))
+    schema = T.StructType([o.schema["o_orderkey"], o.schema["o_totalprice"], o.schema["o_orderstatus"]])
+    by = ("o_orderstatus",)
+
+    def merge_in(rows: DataFrame, path: str) -> None:
+        sinks.merge_into_table(
+            spark, rows, path, schema, ["o_orderkey"], ["o_totalprice"], partition_by=by, date_col="o_orderstatus"
+        )
+
+    writes = {
+        "full": lambda rows, path: sinks.write_table(rows, path),
+        "partitioned": lambda rows, path: sinks.write_table(rows, path, partition_by=by),
+        "touched": lambda rows, path: sinks.write_table(rows, path, partition_by=by, refresh="touched"),
+        "merge": merge_in,
+    }
+    parts = []
+    for form, write in writes.items():
+        path = scratch_path(spark, f"kept-{form}")
+        write(o, path)
+        _attempt(lambda: write(bad, path))
+        parts.append(sources.read_table(spark, path, schema=schema).withColumn("form", F.lit(form)))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return rows.select("form", "o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 @query
 def discovered_tables(spark, sf_dir):
     """Tables found under a root, with their rows."""

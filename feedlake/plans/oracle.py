@@ -136,6 +136,9 @@ SELECT coin_id, t AS "timestamp", price FROM (
   FROM ({_merge_parts}))
 WHERE rn = 1""",
     "table_roundtrip": "SELECT * FROM supplier",
+    "failed_overwrite_kept": """
+SELECT form, o_orderkey, o_orderstatus, o_totalprice
+FROM orders, (VALUES ('full'), ('partitioned'), ('touched'), ('merge')) f(form)""",
     "partitioned_overwrite": CHART_TABLE_COUNTS,
     "partition_refresh": f"""
 SELECT coin_id, date, count(*) AS n_points, max(price) AS max_price FROM (

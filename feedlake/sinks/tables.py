@@ -7,8 +7,9 @@ of all rows is split over several tasks instead of one.  Rows are sorted by
 ``sort_by`` inside each file so Parquet row-group min/max statistics skip
 data on time filters.
 
-Nothing here deletes a directory before writing; a failed overwrite leaves
-the previous files for Spark's commit protocol to keep or replace.
+An overwrite stages its files beside the table's and swaps them in when all
+are written (``sinks.commit``), so a write that fails, at whatever point,
+leaves the former rows in place.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from feedlake.sinks import commit
 from feedlake.sources.tables import CSV_NULL_LIKE, CSV_OPTIONS
 
 
@@ -37,9 +39,10 @@ def write_table(
 ) -> int | None:
     """Write ``df`` and return the number of rows written.
 
-    ``refresh="full"`` replaces the whole table (static overwrite);
-    ``refresh="touched"`` replaces only the partitions present in ``df``
-    (dynamic overwrite) and keeps all others.  The row count is collected
+    ``refresh="full"`` replaces the whole table; ``refresh="touched"``
+    replaces only the partitions present in ``df`` and keeps all others.  Both
+    keep the former files until every new one is written, so ``df`` may read
+    the table it replaces.  The row count is collected
     by an ``Observation`` during the write itself - no second job.  Pass
     ``count_rows=False`` inside ``foreachBatch``, where observations of the
     micro-batch frame are not available; ``None`` is returned then.
@@ -53,11 +56,18 @@ def write_table(
         out = out.sortWithinPartitions(*partition_by, *sort_by)
     elif sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    writer = out.write.format(fmt).mode(mode)
+    writer = out.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-        writer = writer.option("partitionOverwriteMode", "dynamic" if refresh == "touched" else "static")
-    writer.save(path)
+    touched = bool(partition_by) and refresh == "touched"
+    if mode == "overwrite" and fmt != "delta":
+        commit_id = commit.new_id()
+        writer.save(commit.staging_path(path, commit_id))
+        commit.commit(df.sparkSession, path, commit_id, len(partition_by) if touched else None)
+    else:  # appends add files only; Delta replaces through its own log
+        if touched and mode == "overwrite":
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.mode(mode).save(path)
     return _observed_rows(obs)
 
 
@@ -128,10 +138,8 @@ def export_json_documents(
 
 
 def table_exists(spark, path: str) -> bool:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+    commit.settle(spark, path)
+    return any(n != "_SUCCESS" for n in commit.TableFiles(spark, path).visible())
 
 
 def partition_filter(new: DataFrame, column: str, most: int = 1000) -> Column | None:
@@ -188,16 +196,13 @@ def merge_into_table(
     """Merge rows into a table, the greatest ``order`` per ``keys`` wins.
 
     A partitioned table reads back and rewrites only the partitions the new
-    rows touch (dynamic overwrite); all others stay as they are.  A table
-    cannot be read and overwritten in one plan, so the merged rows are
-    checkpointed (reliably, in the shared ``spark.checkpoint.dir``) first,
-    which also makes the rewrite restartable after an executor loss.
+    rows touch; all others stay as they are.  The former rows are read from
+    the table itself, whose files stay until the merged ones are complete, so
+    nothing is copied in between and a merge that fails changes nothing.
     Merging the same rows again changes nothing.
     """
     from feedlake.operators.merge import latest_per_key
-    from feedlake.session import shared_root
 
-    shared_root(spark)  # make sure a checkpoint folder is set
     new = rows.select(*[f.name for f in schema.fields])
     if table_exists(spark, path):
         if partition_by:
@@ -205,7 +210,7 @@ def merge_into_table(
         else:
             old = spark.read.format(fmt).schema(schema).load(path)
         new = old.unionByName(new)
-    merged = latest_per_key(new, keys, order).checkpoint(eager=True)
+    merged = latest_per_key(new, keys, order)
     refresh = "touched" if partition_by else "full"
     return write_table(merged, path, partition_by=partition_by, sort_by=sort_by, refresh=refresh, fmt=fmt, count_rows=count_rows)
 

@@ -10,7 +10,13 @@ from pyspark.sql import types as T
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    """Table scan; ``fmt="delta"`` works when Delta is on the classpath."""
+    """Table scan; ``fmt="delta"`` works when Delta is on the classpath.
+
+    A replacement of the table that was committed but interrupted is finished
+    first (``sinks.commit``)."""
+    from feedlake.sinks.commit import settle
+
+    settle(spark, path)
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from feedlake.operators import feeds, merge
 from feedlake.schemas import chart_table
 from feedlake.sources.landing import describe_files
+from feedlake.sources.tables import read_table
 
 
 def file_stream(
@@ -182,7 +183,7 @@ def latest_chart(spark: SparkSession, table_root: str, value_name: str = "price"
     """Merged view over the appended chart table: one point per (asset, time)."""
     table = "chart_prices" if value_name == "price" else "chart_volumes"
     schema = T.StructType([*chart_table(value_name).fields, T.StructField("batch", T.StringType())])
-    points = spark.read.schema(schema).parquet(f"{table_root}/{table}").drop("batch")
+    points = read_table(spark, f"{table_root}/{table}", schema=schema).drop("batch")
     return merge.merge_chart_snapshots(points, value_name)
 
 
