@@ -8,8 +8,8 @@ explicit schemas (``from_json``), never on the driver.
 Parse once.  JSON parsing is the dominant cost of this workload, and one
 landing run feeds several outputs (prices, volumes, quarantine, report).
 ``parse_documents`` parses every document once, by its routed kind, into
-typed columns; every function below reads those columns when present and
-parses inline only when they are absent.
+typed columns; every transform below reads those columns when present and
+otherwise parses its own feed's, in projections of its own.
 
 Problems never fail the job and never silently disappear: ``problem_reasons``
 lists, per document, why it or some of its rows cannot be used;
@@ -44,7 +44,8 @@ CONTEXT = ("file_name", "snapshot_ts")
 SPOT_TIME_KEY = "last_updated_at"
 
 # Columns added by parse_documents.
-CHART_COL, SPOT_COL, CATALOG_COL, REJECTED_COL = "_chart", "_spot", "_catalog", "_rejected_doc"
+CHART_COL, SPOT_COL, CATALOG_COL = "_chart", "_spot", "_catalog"
+REASONS_COL, REJECTED_COL = "_reasons", "_rejected_doc"
 
 
 def _context(docs: DataFrame, keep: Sequence[str]) -> list[Column]:
@@ -59,77 +60,110 @@ def _context(docs: DataFrame, keep: Sequence[str]) -> list[Column]:
 # doesn't fit the feed is it parsed again, part by part, so that the damage
 # stays with the part: a bad pair, entry or element becomes null (with a
 # reason), its neighbours keep their rows.
+#
+# Each step is a projection of its own whose columns the next one uses more
+# than once; the optimizer doesn't merge such projections, so a parse is
+# written once in the plan.  Two things would copy it back into a condition:
+# an ``explode`` (the optimizer filters empty arrays below it, on the
+# expression itself) and a parse used inside a generator.  Hence the outer
+# explodes over columns below, whose null rows the transforms drop anyway.
 
 _DAMAGED = "_damaged"
 
 
-def parse_chart(doc: Column) -> Column:
-    """struct of the pair lists, and ``bad``: present fields that are no list.
+def _steps(docs: DataFrame, *steps: dict[str, Column]) -> DataFrame:
+    for step in steps:
+        docs = docs.withColumns(step)
+    return docs
 
-    ``from_json`` fills the extra column with the text of a document that
-    doesn't fit, which tells a damaged field from an absent one."""
-    fit = T.StructType([*CHART_DOC.fields, T.StructField(_DAMAGED, T.StringType())])
-    fast = F.from_json(doc, fit, {"columnNameOfCorruptRecord": _DAMAGED})
-    parts = F.from_json(doc, TEXT_MAP)
 
-    def slow(field: str) -> Column:
-        return F.transform(F.from_json(parts[field], TEXT_LIST), lambda pair: F.from_json(pair, PAIR))
+def _of_kind(kind: str, kind_col: str | None, parse: Column) -> Column:
+    return parse if kind_col is None else F.when(F.col(kind_col) == kind, parse)
 
-    bad = F.filter(
-        F.array(*[F.when(parts[f].isNotNull() & F.from_json(parts[f], TEXT_LIST).isNull(), F.lit(f)) for f in CHART_FIELDS]),
-        lambda f: f.isNotNull(),
-    )
-    whole = F.struct(*[fast[f].alias(f) for f in CHART_FIELDS], F.array().cast(TEXT_LIST).alias("bad"))
-    rescued = F.struct(*[slow(f).cast(PAIR_LIST).alias(f) for f in CHART_FIELDS], bad.alias("bad"))
-    return F.when(fast.isNotNull() & fast[_DAMAGED].isNull(), whole).when(parts.isNotNull(), rescued)
 
+def parse_charts(
+    docs: DataFrame, doc_col: str = "doc", kind_col: str | None = None, fields: Sequence[str] = CHART_FIELDS
+) -> DataFrame:
+    """Adds ``_chart``: the pair lists, and ``bad``: present fields that are no list.
 
-def parse_spot(doc: Column) -> Column:
-    """Quote map per asset; null for an asset whose entry is no object."""
-    parts = F.from_json(doc, TEXT_MAP)
-    return F.coalesce(
-        F.from_json(doc, SPOT_DOC), F.transform_values(parts, lambda _, entry: F.from_json(entry, SPOT_ENTRY))
+    ``from_json`` fills the extra column with the text of a document that
+    doesn't fit, which tells a damaged field from an absent one."""
+    doc, fit, parts = F.col(doc_col), F.col("_fit"), F.col("_parts")
+    schema = T.StructType([f for f in CHART_DOC.fields if f.name in fields] + [T.StructField(_DAMAGED, T.StringType())])
+    fits = fit.isNotNull() & fit[_DAMAGED].isNull()
+    whole = F.struct(*[fit[f].alias(f) for f in fields], F.array().cast(TEXT_LIST).alias("bad"))
+
+    def pairs(field: str) -> Column:
+        return F.transform(F.col(f"_list_{field}"), lambda pair: F.from_json(pair, PAIR)).cast(PAIR_LIST)
+
+    bad = F.array_compact(F.array(*[F.when(parts[f].isNotNull() & F.col(f"_list_{f}").isNull(), F.lit(f)) for f in fields]))
+    rescued = F.struct(*[pairs(f).alias(f) for f in fields], bad.alias("bad"))
+    out = _steps(
+        docs,
+        {"_fit": _of_kind("chart", kind_col, F.from_json(doc, schema, {"columnNameOfCorruptRecord": _DAMAGED}))},
+        {"_parts": _of_kind("chart", kind_col, F.when(~fits, F.from_json(doc, TEXT_MAP)))},
+        {f"_list_{f}": F.when(parts.isNotNull(), F.from_json(parts[f], TEXT_LIST)) for f in fields},
+        {CHART_COL: F.when(fits, whole).when(parts.isNotNull(), rescued)},
+    )
+    return out.drop("_fit", "_parts", *[f"_list_{f}" for f in fields])
+
+
+def parse_spots(docs: DataFrame, doc_col: str = "doc", kind_col: str | None = None) -> DataFrame:
+    """Adds ``_spot``: a quote map per asset; null for an asset whose entry is
+    no object."""
+    doc, fit = F.col(doc_col), F.col("_fit")
+    parts = F.transform_values("_parts", lambda _, entry: F.from_json(entry, SPOT_ENTRY))
+    out = _steps(
+        docs,
+        {"_fit": _of_kind("spot", kind_col, F.from_json(doc, SPOT_DOC))},
+        {"_parts": _of_kind("spot", kind_col, F.when(fit.isNull(), F.from_json(doc, TEXT_MAP)))},
+        {SPOT_COL: F.coalesce(fit, parts)},
     )
+    return out.drop("_fit", "_parts")
 
 
-def parse_catalog(doc: Column) -> Column:
-    """Elements of the root array; null for one that is no object."""
+def parse_catalogs(docs: DataFrame, doc_col: str = "doc", kind_col: str | None = None) -> DataFrame:
+    """Adds ``_catalog``: the elements of the root array; null for one that is
+    no object."""
+    doc, fit = F.col(doc_col), F.col("_fit")
     is_array = F.ltrim(doc).startswith("[")
-    return F.when(
-        is_array,
-        F.coalesce(
-            F.from_json(doc, CATALOG_DOC),
-            F.transform(
-                F.from_json(doc, TEXT_LIST),
-                lambda item: F.when(F.ltrim(item).startswith("{"), F.from_json(item, CATALOG_ITEM)),
-            ),
-        ),
+    element = lambda item: F.when(F.ltrim(item).startswith("{"), F.from_json(item, CATALOG_ITEM))
+    out = _steps(
+        docs,
+        {"_fit": _of_kind("catalog", kind_col, F.when(is_array, F.from_json(doc, CATALOG_DOC)))},
+        {"_parts": _of_kind("catalog", kind_col, F.when(is_array & fit.isNull(), F.from_json(doc, TEXT_LIST)))},
+        {CATALOG_COL: F.coalesce(fit, F.transform("_parts", element))},
     )
+    return out.drop("_fit", "_parts")
 
 
-_PARSERS: dict[str, tuple[str, Callable[[Column], Column]]] = {
-    "chart": (CHART_COL, parse_chart),
-    "spot": (SPOT_COL, parse_spot),
-    "catalog": (CATALOG_COL, parse_catalog),
+_PARSERS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
+    "chart": (CHART_COL, parse_charts),
+    "spot": (SPOT_COL, parse_spots),
+    "catalog": (CATALOG_COL, parse_catalogs),
 }
 
 
 def parse_documents(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind", keep_doc: bool = True) -> DataFrame:
     """Parse each document once, by its kind, into ``_chart``/``_spot``/``_catalog``.
 
-    ``_rejected_doc`` is the whole text of a document that has a problem and
-    null for the others.  With ``keep_doc=False`` it replaces the raw text,
-    which is what a persisted frame should hold: the few rejected texts.
+    ``_reasons`` lists its problems.  ``_rejected_doc`` is the whole text of a
+    document that has one and null for the others.  With ``keep_doc=False`` it
+    replaces the raw text, which is what a persisted frame should hold: the
+    few rejected texts.
     """
-    kind, doc = F.col(kind_col), F.col(doc_col)
-    out = docs.withColumns({col: F.when(kind == k, parse(doc)) for k, (col, parse) in _PARSERS.items()})
-    out = out.withColumn(REJECTED_COL, F.when(F.size(problem_reasons(out, doc_col, kind_col)) > 0, doc))
+    out = docs
+    for _, parse in _PARSERS.values():
+        out = parse(out, doc_col, kind_col)
+    out = out.withColumn(REASONS_COL, _reasons_of(kind_col))
+    out = out.withColumn(REJECTED_COL, F.when(F.size(REASONS_COL) > 0, F.col(doc_col)))
     return out if keep_doc else out.drop(doc_col)
 
 
-def _parsed(docs: DataFrame, kind: str, doc_col: str) -> Column:
+def _parsed(docs: DataFrame, kind: str, doc_col: str, **options) -> DataFrame:
+    """``docs`` with the kind's typed column, parsed here if it isn't yet."""
     col, parse = _PARSERS[kind]
-    return F.col(col) if col in docs.columns else parse(F.col(doc_col))
+    return docs if col in docs.columns else parse(docs, doc_col, **options)
 
 
 # -- catalog (coins_list) --------------------------------------------------------
@@ -146,7 +180,8 @@ def catalog_rows(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CO
     All three fields are required; elements missing one are quarantined.
     ``[]`` gives zero rows.
     """
-    items = docs.select(*_context(docs, keep), F.explode(_parsed(docs, "catalog", doc_col)).alias("_item"))
+    parsed = _parsed(docs, "catalog", doc_col)
+    items = parsed.select(*_context(docs, keep), F.explode_outer(CATALOG_COL).alias("_item"))
     return items.filter(_catalog_item_ok(F.col("_item"))).select(
         "_item.id", "_item.symbol", "_item.name", *_context(docs, keep)
     )
@@ -173,15 +208,16 @@ def spot_long(docs: DataFrame, doc_col: str = "doc", keep: Sequence[str] = CONTE
     ``quote_ts`` is the asset's ``last_updated_at`` (epoch seconds) when the
     document carries it, else null; it is not a currency.
     """
-    assets = docs.select(
-        *_context(docs, keep), F.explode(_parsed(docs, "spot", doc_col)).alias("coin_id", "_quotes")
+    assets = _parsed(docs, "spot", doc_col).select(
+        *_context(docs, keep), F.explode_outer(SPOT_COL).alias("coin_id", "_quotes")
     )
+    # the update time is a pair like the quotes here, and goes after
     quotes = assets.select(
         *_context(docs, keep),
         "coin_id",
         _quote_time(F.col("_quotes")).alias("quote_ts"),
-        F.explode(_only_quotes(F.col("_quotes"))).alias("currency", "_raw"),
-    )
+        F.explode_outer("_quotes").alias("currency", "_raw"),
+    ).filter(F.col("currency") != SPOT_TIME_KEY)
     return quotes.select(
         "coin_id",
         "currency",
@@ -199,8 +235,8 @@ def spot_quote(
     As in ``spot_long``, a null quote is dropped and a non-numeric one is
     left to the quarantine, so the column never holds a null price.
     """
-    assets = docs.select(
-        *_context(docs, keep), F.explode(_parsed(docs, "spot", doc_col)).alias("coin_id", "_quotes")
+    assets = _parsed(docs, "spot", doc_col).select(
+        *_context(docs, keep), F.explode_outer(SPOT_COL).alias("coin_id", "_quotes")
     )
     return (
         assets.filter(F.map_contains_key("_quotes", currency))
@@ -260,8 +296,8 @@ def chart_points(
     numbers are quarantined one by one; extra elements are ignored.
     ``date`` is the UTC calendar date of the point.
     """
-    parsed = _parsed(docs, "chart", doc_col)
-    pairs = docs.select(*_context(docs, (asset_col, *keep)), F.explode(parsed[field]).alias("_pair"))
+    parsed = _parsed(docs, "chart", doc_col, fields=(field,))
+    pairs = parsed.select(*_context(docs, (asset_col, *keep)), F.explode_outer(f"{CHART_COL}.{field}").alias("_pair"))
     pairs = pairs.select(
         *_context(docs, (asset_col, *keep)),
         finite_number(F.get("_pair", 0)).alias("_ms"),
@@ -338,33 +374,36 @@ def _catalog_reasons(parsed: Column) -> Column:
     )
 
 
-def problem_reasons(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind") -> Column:
-    """``array<string>`` of reasons per document (empty when all is usable).
-
-    Call it on ``parse_documents(docs)``: on raw text each use parses inline.
-    """
+def _reasons_of(kind_col: str) -> Column:
     kind = F.col(kind_col)
     return (
-        F.when(kind == "chart", _chart_reasons(_parsed(docs, "chart", doc_col)))
-        .when(kind == "spot", _spot_reasons(_parsed(docs, "spot", doc_col)))
-        .when(kind == "catalog", _catalog_reasons(_parsed(docs, "catalog", doc_col)))
+        F.when(kind == "chart", _chart_reasons(F.col(CHART_COL)))
+        .when(kind == "spot", _spot_reasons(F.col(SPOT_COL)))
+        .when(kind == "catalog", _catalog_reasons(F.col(CATALOG_COL)))
         .otherwise(F.array().cast("array<string>"))
     )
 
 
-def typed_row_count(docs: DataFrame, doc_col: str = "doc", kind_col: str = "kind") -> Column:
-    """Rows the document yields in its feed's main table (chart: prices)."""
-    kind = F.col(kind_col)
-    chart = _parsed(docs, "chart", doc_col)["prices"]
+def problem_reasons(parsed: DataFrame) -> Column:
+    """``array<string>`` of reasons per document of ``parse_documents`` (empty
+    when all of it is usable)."""
+    return parsed[REASONS_COL]
+
+
+def typed_row_count(parsed: DataFrame, kind_col: str = "kind") -> Column:
+    """Rows a document of ``parse_documents`` yields in its feed's main table
+    (chart: prices)."""
+    kind = parsed[kind_col]
+    chart = parsed[CHART_COL]["prices"]
     chart_rows = F.size(F.filter(chart, lambda p: _pair_ok(p) & epoch_ms_in_range(F.get(p, 0))))
     spot_values = F.flatten(
         F.transform(
-            F.map_values(_parsed(docs, "spot", doc_col)),
+            F.map_values(parsed[SPOT_COL]),
             lambda q: F.coalesce(F.map_values(_only_quotes(q)), F.array().cast("array<string>")),
         )
     )
     spot_rows = F.size(F.filter(spot_values, lambda v: finite_number(v).isNotNull()))
-    catalog_rows_n = F.size(F.filter(_parsed(docs, "catalog", doc_col), _catalog_item_ok))
+    catalog_rows_n = F.size(F.filter(parsed[CATALOG_COL], _catalog_item_ok))
     n = F.when(kind == "chart", chart_rows).when(kind == "spot", spot_rows).when(kind == "catalog", catalog_rows_n)
     return F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)).cast("long")
 
@@ -377,9 +416,7 @@ def quarantine(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
     comes with the first of its problems only, so that it is stored once.
     """
 
-    if CHART_COL not in routed.columns:
-        # parse in its own projection: inside the nested CASE a document's
-        # parse would otherwise be evaluated once per use
+    if REASONS_COL not in routed.columns:
         routed = parse_documents(routed, doc_col)
 
     def ref(c):
@@ -390,8 +427,8 @@ def quarantine(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
         ref("file_path").alias("file_path"),
         F.col("kind"),
         F.col(REJECTED_COL),
-        F.posexplode(problem_reasons(routed, doc_col)).alias("problem_no", "reason"),
-    )
+        F.posexplode_outer(REASONS_COL).alias("problem_no", "reason"),
+    ).filter(F.col("problem_no").isNotNull())
     text = F.when(F.col("problem_no") == 0, F.col(REJECTED_COL)).alias("rejected_doc")
     return rows.select("file_name", "file_path", "kind", "problem_no", "reason", text)
 

@@ -187,6 +187,182 @@ def counter_rate(
     )
 
 
+def _grid_end(ts: str, micros: int) -> Column:
+    """Number of the grid step at or after the time: step ``e`` sees the
+    samples of ((e - 1) * step, e * step]."""
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    rest = F.pmod(at, F.lit(micros))
+    return ((at - rest) / F.lit(micros)).cast("long") + (rest > 0).cast("long")
+
+
+def _steps_in(window: str, step: str) -> tuple[int, int]:
+    """(steps in the window, microseconds of a step)."""
+    whole, part = _seconds(window), _seconds(step)
+    if whole % part:
+        raise ValueError("the step must divide the window")
+    return whole // part, part * 1_000_000
+
+
+def _step_time(samples: DataFrame, ts: str, micros: int) -> Column:
+    return F.timestamp_micros(F.col("_end") * F.lit(micros)).cast(samples.schema[ts].dataType).alias("step_ts")
+
+
+def sliding_rate(
+    samples: DataFrame,
+    series: Sequence[str],
+    ts: str = "ts",
+    value: str = "value",
+    window: str = "5 minutes",
+    step: str = "1 minute",
+    tie: str | None = None,
+) -> DataFrame:
+    """Per-second increase of a counter over the range that ends at every
+    grid step, ``rate(x[5m])``: ``(series..., step_ts, rate, n_samples)``.
+
+    A range is open on the left, closed on the right: (end - window, end].
+    Increments are taken between consecutive samples inside it (a drop is a
+    reset), without extrapolation to its edges, and divided by its length.  A
+    range of fewer than two samples gives no row; a null value adds nothing.
+
+    A slice of one step becomes a state (first, last, increase, count); states
+    merge associatively.  Slices are cut into blocks of as many steps as the
+    range has, so a range is the end of one block and the beginning of the
+    next: running merges from both ends inside (series, block) partitions,
+    put together per (series, step).  The cost doesn't depend on how often
+    ranges overlap, and no task orders more than a slice's samples or a
+    block's slices of one series.
+    """
+    steps, micros = _steps_in(window, step)
+    order = [F.col(ts)] + ([F.col(tie)] if tie else [])
+    inside = Window.partitionBy(*series, "_end").orderBy(*order)
+    df = samples.select(*series, *dict.fromkeys([ts, value] + ([tie] if tie else []))).withColumn("_end", _grid_end(ts, micros))
+    df = df.withColumn("_inc", _increase(F.lag(value).over(inside), F.col(value)))
+    slices = df.groupBy(*series, "_end").agg(
+        F.min_by(value, F.struct(*order)).alias("_first"),
+        F.max_by(value, F.struct(*order)).alias("_last"),
+        F.coalesce(F.sum("_inc"), F.lit(0.0)).alias("_inc"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    zero = F.lit(0.0)
+    slices = slices.withColumn("_block", F.floor(F.col("_end") / F.lit(steps)) * F.lit(steps))  # its first step
+    up = Window.partitionBy(*series, "_block").orderBy("_end")
+    from_before = F.coalesce(_increase(F.lag("_last").over(up), F.col("_first")), zero)
+    to_next = F.coalesce(_increase(F.col("_last"), F.lead("_first").over(up)), zero)
+    slices = slices.withColumns(
+        {
+            "_up": F.col("_inc") + from_before,
+            "_down": F.col("_inc") + to_next,
+            "_until": F.coalesce(F.lead("_end").over(up) - 1, F.col("_block") + F.lit(steps - 1)),
+            "_since": F.coalesce(F.lag("_end").over(up) + 1, F.col("_block") + 1),
+        }
+    )
+    ahead = up.rowsBetween(Window.unboundedPreceding, 0)
+    back = up.rowsBetween(0, Window.unboundedFollowing)
+
+    def state(first: Column, last: Column, inc: Column, n: Column) -> Column:
+        return F.struct(first.alias("first"), last.alias("last"), inc.alias("inc"), n.alias("n"))
+
+    slices = slices.withColumns(
+        {
+            "_begun": state(F.first("_first").over(ahead), F.col("_last"), F.sum("_up").over(ahead), F.sum("_n").over(ahead)),
+            "_ended": state(F.col("_first"), F.last("_last").over(back), F.sum("_down").over(back), F.sum("_n").over(back)),
+        }
+    )
+    none = F.lit(None)
+
+    def seen(ends: Column, newer: Column, older: Column) -> Column:
+        return F.transform(ends, lambda e: F.struct(e.alias("end"), newer.alias("newer"), older.alias("older")))
+
+    begun, ended = F.col("_begun"), F.col("_ended")
+    shape = slices.schema["_begun"].dataType
+    since, shift = F.greatest("_since", F.col("_block") + 1), F.lit(steps - 1)
+    both = F.concat(
+        seen(F.sequence("_end", "_until"), begun, none.cast(shape)),
+        F.when(F.col("_end") >= since, seen(F.sequence(since + shift, F.col("_end") + shift), none.cast(shape), ended)).otherwise(F.array()),
+    )
+    parts = slices.select(*series, F.explode(both).alias("_s"))
+    ranges = parts.groupBy(*series, F.col("_s.end").alias("_end")).agg(
+        F.max("_s.newer").alias("_newer"), F.max("_s.older").alias("_older")  # at most one of each
+    )
+    newer, older = F.col("_newer"), F.col("_older")
+    meet = F.coalesce(_increase(older["last"], newer["first"]), zero)
+    increase = F.coalesce(older["inc"], zero) + F.coalesce(newer["inc"], zero) + meet
+    n = F.coalesce(older["n"], F.lit(0)) + F.coalesce(newer["n"], F.lit(0))
+    return ranges.where(n > 1).select(
+        *series, _step_time(samples, ts, micros), (increase / F.lit(float(_seconds(window)))).alias("rate"), n.alias("n_samples")
+    )
+
+
+def instant_values(
+    samples: DataFrame,
+    series: Sequence[str],
+    ts: str = "ts",
+    value: str = "value",
+    step: str = "30 seconds",
+    lookback: str = "5 minutes",
+    tie: str | None = None,
+) -> DataFrame:
+    """Value of each series at every grid step: its last sample of the
+    look-back (step - lookback, step], ``(series..., step_ts, value,
+    sample_ts)``.  After that long a silence a series is stale: no row.
+
+    The last sample of each slice is carried forward to the next slice that
+    has one, or to the end of its look-back, inside (series, block) partitions
+    of as many steps as the look-back has; what the block before carries
+    over is outbid per (series, step) by a newer one.
+    """
+    steps, micros = _steps_in(lookback, step)
+    order = F.struct(F.col(ts), F.col(tie)) if tie else F.struct(F.col(ts))
+    slices = samples.groupBy(*series, _grid_end(ts, micros).alias("_end")).agg(
+        F.max_by(F.struct(F.col(value).alias("value"), F.col(ts).alias("ts")), order).alias("_last")
+    )
+    block = F.floor(F.col("_end") / F.lit(steps))
+    following = F.lead("_end").over(Window.partitionBy(*series, block).orderBy("_end"))
+    stale = F.col("_end") + F.lit(steps - 1)
+    carried = slices.withColumn("_until", F.least(F.coalesce(following - 1, stale), stale)).select(
+        *series, F.col("_end").alias("_from"), "_last", F.explode(F.sequence("_end", "_until")).alias("_end")
+    )
+    newest = carried.groupBy(*series, "_end").agg(F.max_by("_last", "_from").alias("_last"))
+    return newest.select(*series, _step_time(samples, ts, micros), F.col("_last.value").alias(value), F.col("_last.ts").alias("sample_ts"))
+
+
+def alert_changes(
+    samples: DataFrame,
+    series: Sequence[str],
+    threshold: float,
+    hold: str = "5 minutes",
+    ts: str = "ts",
+    value: str = "value",
+    step: str = "1 minute",
+    lookback: str = "5 minutes",
+    tie: str | None = None,
+) -> DataFrame:
+    """State changes of an alert "above ``threshold`` for ``hold``",
+    ``(series..., step_ts, state)``, evaluated at every grid step.
+
+    Above the threshold (instant value, ``instant_values``) an alert is
+    ``pending``, and ``firing`` from the step at which it has been pending for
+    ``hold``; at the first step that is not above, or where the series is
+    stale, it is ``inactive``.  A null value is not above.
+
+    Between two changes nothing happens but "still above", so the machine's
+    steps compose: runs of consecutive steps above are joined slice by slice
+    (``sustained_threshold``), and each run gives its two or three changes.
+    """
+    period, held = _seconds(step), _seconds(hold)
+    values = instant_values(samples, series, ts, value, step, lookback, tie)
+    runs = sustained_threshold(
+        values, series, threshold, 0, "step_ts", value, slice_seconds=3600, max_gap_seconds=period
+    )
+    wait = -(-held // period) * period  # the first step at which ``hold`` is over
+    at = lambda c, seconds: F.col(c) + F.expr(f"interval {seconds} seconds")
+    change = lambda when, state: F.struct(when.alias("step_ts"), F.lit(state).alias("state"))
+    firing = F.when(at("start_ts", wait) <= F.col("end_ts"), change(at("start_ts", wait), "firing"))
+    pending = [change(F.col("start_ts"), "pending")] if wait else []
+    changes = F.array_compact(F.array(*pending, firing, change(at("end_ts", period), "inactive")))
+    return runs.select(*series, F.explode(changes).alias("_c")).select(*series, "_c.step_ts", "_c.state")
+
+
 def sustained_threshold(
     samples: DataFrame,
     series: Sequence[str],

@@ -18,11 +18,11 @@ def run_report(routed: DataFrame, doc_col: str = "doc") -> DataFrame:
     file of the kind was quarantined, else ``partial``; unrecognised files
     are counted, never parsed.
     """
-    parsed = routed if feeds.CHART_COL in routed.columns else feeds.parse_documents(routed, doc_col)
+    parsed = routed if feeds.REASONS_COL in routed.columns else feeds.parse_documents(routed, doc_col)
     per_doc = parsed.select(
         "kind",
-        feeds.typed_row_count(parsed, doc_col).alias("_rows"),
-        (F.size(feeds.problem_reasons(parsed, doc_col)) > 0).cast("long").alias("_bad"),
+        feeds.typed_row_count(parsed).alias("_rows"),
+        (F.size(feeds.problem_reasons(parsed)) > 0).cast("long").alias("_bad"),
     )
     out = per_doc.groupBy("kind").agg(
         F.count(F.lit(1)).alias("n_files"),

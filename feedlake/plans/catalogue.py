@@ -11,6 +11,7 @@ the driver tables' time columns.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 from feedlake.functions import columns as C
 from feedlake.operators import feeds, merge, metrics, quality, report
 from feedlake.plans import emulate, ingest_run
+from feedlake.schemas import CATALOG_TABLE, QUARANTINE_TABLE, SPOT_LATEST_TABLE, chart_table
 from feedlake.session import scratch_path, shared_root, use_utc
 from feedlake.sinks import tables as sinks
 from feedlake.sources import landing, tables as sources
@@ -353,6 +355,23 @@ def discovered_tables(spark, sf_dir):
     return sources.table_inventory(sources.discover_tables(spark, root))
 
 
+@query
+def nested_tables(spark, sf_dir):
+    """Tables at several depths under a root that also holds folders of raw
+    files and an empty one, with their rows."""
+    root = scratch_path(spark, "nested")
+    chart = feeds.chart_points(_chart_docs(spark, sf_dir), "prices", "price")
+    sinks.write_table(
+        chart.select("coin_id", "timestamp", "price", "date"), f"{root}/market/charts/all/prices", partition_by=("date",)
+    )
+    sinks.write_table(table(spark, sf_dir, "supplier"), f"{root}/market/parties")
+    sinks.write_table(table(spark, sf_dir, "nation"), f"{root}/nation")
+    # as a fetcher lands them: raw files, no job's marker
+    raw = table(spark, sf_dir, "region").select(F.to_json(F.struct("*")).alias("value"))
+    raw.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").text(f"{root}/market/raw")
+    return sources.table_inventory(sources.discover_tables(spark, root))
+
+
 @query
 def partition_pruned_read(spark, sf_dir):
     """Date filter answered by partition pruning, price filter pushed down."""
@@ -579,6 +598,30 @@ def counter_rate(spark, sf_dir):
     return r.withColumn("rate", F.round("rate", 6))
 
 
+@query
+def sliding_rate(spark, sf_dir):
+    """Rate of each event type's counter over the five minutes that end at
+    every minute."""
+    e = _samples(spark, sf_dir).withColumn("counter", (F.col("event_id") % 1000).cast("double"))
+    r = metrics.sliding_rate(e, ["event_type"], "ts", "counter", "5 minutes", "1 minute", tie="event_id")
+    return r.withColumn("rate", F.round("rate", 6))
+
+
+@query
+def instant_values(spark, sf_dir):
+    """Value of each event type at every 30-second step, up to 5 minutes old."""
+    return metrics.instant_values(_samples(spark, sf_dir), ["event_type"], "ts", "value", "30 seconds", "5 minutes", tie="event_id")
+
+
+@query
+def alert_changes(spark, sf_dir):
+    """Pending, firing and inactive per event type: value above the threshold
+    for two minutes, evaluated every 30 seconds, samples up to 2 minutes old."""
+    return metrics.alert_changes(
+        _samples(spark, sf_dir), ["event_type"], THRESHOLD, "2 minutes", "ts", "value", "30 seconds", "2 minutes", tie="event_id"
+    )
+
+
 @query
 def label_select(spark, sf_dir):
     """Samples selected by label ``type = click``."""
@@ -656,15 +699,45 @@ def latest_landed_file(spark, sf_dir):
     return landing.latest_files(landing.describe_files(zone)).select("kind", "file_name")
 
 
-def _table_rows(spark, root, names):
-    # counting needs no columns; a table without rows has no file to infer any from
-    return sources.table_inventory({n: spark.read.schema("batch string").parquet(f"{root}/{n}") for n in names})
+@query
+def newest_landed_file(spark, sf_dir):
+    """Newest file per feed of a directory of landed files, found by name
+    without opening the others, and its rows."""
+    landed = scratch_path(spark, "landed-names")
+    emulate.named_files(emulate.spot_docs_from_events(table(spark, sf_dir, "events")), landed)
+    # catalogs a second apart, by their number
+    catalogs = emulate.catalog_docs_from_customer(table(spark, sf_dir, "customer"))
+    taken = F.timestamp_seconds(F.lit(1735689600) + F.regexp_extract("file_path", "[0-9]+$", 0).cast("long"))
+    name = F.concat(F.lit("coins_list_"), F.date_format(taken, C.SNAPSHOT_FORMAT), F.lit(".json"))
+    emulate.named_files(catalogs.withColumn("file_name", name), landed)
+    newest = landing.read_newest(spark, landed, glob="*.txt", recursive=True, name_pattern=emulate.NAME_IN_PATH)
+    parsed = feeds.parse_documents(newest)
+    return parsed.select("kind", "file_name", feeds.typed_row_count(parsed).alias("n_rows"))
+
+
+def _contents(spark, root, names):
+    """Rows of the ingest tables as (table_name, coin_id, item, value)."""
+    micros = F.unix_micros("timestamp").cast("string")
+    layout = {
+        "chart_prices": (chart_table("price"), "coin_id", micros, F.col("price")),
+        "chart_volumes": (chart_table("volume"), "coin_id", micros, F.col("volume")),
+        "spot": (SPOT_LATEST_TABLE, "coin_id", F.col("currency"), F.col("price")),
+        "spot_latest": (SPOT_LATEST_TABLE, "coin_id", F.col("currency"), F.col("price")),
+        "catalog": (CATALOG_TABLE, "id", F.col("symbol"), F.lit(None).cast("double")),
+        "quarantine": (QUARANTINE_TABLE, "file_name", F.col("reason"), F.col("problem_no").cast("double")),
+    }
+    parts = []
+    for name in names:
+        schema, coin, item, value = layout[name]
+        rows = sources.read_table(spark, f"{root}/{name}", schema=schema)
+        parts.append(rows.select(F.lit(name).alias("table_name"), F.col(coin).alias("coin_id"), item.alias("item"), value.alias("value")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
 def ingest_two_runs(spark, sf_dir):
     """Landed documents ingested in two runs; the second no longer sees the
-    first run's files.  Rows per table equal those of one run."""
+    first run's files.  The tables' rows equal those of one run."""
     zone = landing.describe_files(
         emulate.landing_zone(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "pages"))
     )
@@ -672,7 +745,25 @@ def ingest_two_runs(spark, sf_dir):
     later = F.pmod(F.xxhash64("file_path"), F.lit(2)) == 1
     for part in (zone.filter(~later), zone.filter(later)):
         ingest_run.ingest_documents(spark, part, root)
-    return _table_rows(spark, root, ("chart_prices", "chart_volumes", "spot", "spot_latest", "quarantine"))
+    return _contents(spark, root, ("chart_prices", "chart_volumes", "spot", "spot_latest", "quarantine"))
+
+
+@query
+def quarantine_history(spark, sf_dir):
+    """Damaged documents ingested twice over, in two parts: the quarantine
+    holds each problem once, and its files are those of the first time."""
+    zone = landing.describe_files(emulate.damaged_zone(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer")))
+    routed = feeds.parse_documents(zone).persist()
+    path = f"{scratch_path(spark, 'history')}/quarantine"
+    later = F.pmod(F.xxhash64("file_path"), F.lit(2)) == 1
+    try:
+        for part in (routed.filter(~later), routed, routed):
+            ingest_run.store_quarantine(spark, feeds.quarantine(part), path, "merge")
+    finally:
+        routed.unpersist()
+    kept = sources.read_table(spark, path, schema=QUARANTINE_TABLE)
+    what = F.regexp_replace("reason", r"(quotes? \w+).*", "$1")
+    return kept.groupBy("kind", what.alias("what")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # -- streaming -----------------------------------------------------------------------------------------------
@@ -688,10 +779,30 @@ def stream_ingest(spark, sf_dir):
     return spark.read.schema(schema).parquet(sink).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+@query
+def landed_file_stream(spark, sf_dir):
+    """Landed spot files streamed as whole texts, several files a trigger, in
+    two runs between which the second half of the files lands."""
+    docs = emulate.spot_docs_from_events(table(spark, sf_dir, "events"))
+    landed, sink, ckpt = (scratch_path(spark, f"landed-stream-{n}") for n in ("files", "sink", "ckpt"))
+
+    def write(batch, key):
+        streaming.write_batch(feeds.spot_long(batch.filter(F.col("kind") == "spot")), sink, key)
+
+    later = F.pmod(F.xxhash64("file_path"), F.lit(2)) == 1
+    for part in (docs.filter(~later), docs.filter(later)):
+        emulate.named_files(part, landed)
+        stream = streaming.landing_stream(
+            spark, landed, "*.txt", max_files_per_trigger=128, recursive=True, name_pattern=emulate.NAME_IN_PATH
+        )
+        streaming.run_batches(stream, ckpt, write)
+    return sources.read_table(spark, sink, schema=SPOT_LATEST_TABLE).select("coin_id", "currency", "price")
+
+
 @query
 def landing_batches(spark, sf_dir):
     """Landed documents through the streaming ingest; every micro-batch runs
-    twice, as after a failure.  Rows per table are those of one run."""
+    twice, as after a failure.  The tables' rows are those of one run."""
     zone = emulate.landing_zone(
         table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "pages")
     )
@@ -704,15 +815,17 @@ def landing_batches(spark, sf_dir):
             streaming.ingest_landing_batch(batch, root, key)
 
     streaming.run_batches(stream, scratch_path(spark, "stream-ckpt"), twice)
-    return _table_rows(spark, root, ("chart_prices", "chart_volumes", "spot", "catalog", "quarantine"))
+    return _contents(spark, root, ("chart_prices", "chart_volumes", "spot", "catalog", "quarantine"))
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Every event arrives twice; exact de-duplication keeps one."""
-    schema = table(spark, sf_dir, "events").schema
-    sink, ckpt = scratch_path(spark, "dedup-sink"), scratch_path(spark, "dedup-ckpt")
-    first = streaming.file_stream(spark, sf_dir, schema, glob="events.parquet")
-    again = streaming.file_stream(spark, sf_dir, schema, glob="events.parquet")
-    streaming.run_dedup(first.unionByName(again), sink, ckpt, ["event_id"], "ts")
-    return spark.read.parquet(sink).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"))
+    """Events land, then land again, in several files; over two runs of the
+    stream each event is kept once."""
+    e = table(spark, sf_dir, "events")
+    landed, sink, ckpt = (scratch_path(spark, f"dedup-{n}") for n in ("files", "sink", "ckpt"))
+    for salt in (0, 1):
+        e.repartition(4, F.xxhash64("event_id", F.lit(salt))).write.mode("append").parquet(landed)
+        stream = streaming.file_stream(spark, landed, e.schema, max_files_per_trigger=3)
+        streaming.run_dedup(stream, sink, ckpt, ["event_id"], "ts")
+    return sources.read_table(spark, sink, schema=e.schema).select(*e.columns)

@@ -174,6 +174,17 @@ def landed_files(spark: SparkSession, name: str, docs: DataFrame, buckets: int =
     return path
 
 
+#: Name of a landed file by its folder (see ``named_files``).
+NAME_IN_PATH = r"/file_name=([^/]+)/"
+
+
+def named_files(docs: DataFrame, path: str) -> None:
+    """Add landed documents to a directory, each a file of its own in a folder
+    of its name (Spark's writers name files themselves)."""
+    files = docs.select("file_name", F.col("doc").alias("value"))
+    files.write.option("maxRecordsPerFile", 1).partitionBy("file_name").mode("append").text(path)
+
+
 # -- damage -------------------------------------------------------------------------------
 
 

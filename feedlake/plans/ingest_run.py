@@ -2,7 +2,7 @@
 
 One scan of the landing directory feeds every output table.  Every document is
 parsed once (``feeds.parse_documents``) and the parsed frame - typed
-columns and a short text prefix, not the raw text - is persisted (memory
+columns and the rejected texts, not the raw ones - is persisted (memory
 and disk) because seven writers and the report read it; if an executor is
 lost, its blocks are recomputed from the scan.  Chart snapshots are merged set-based (latest snapshot wins per
 (asset, time)), so the result doesn't depend on file listing order.
@@ -20,7 +20,7 @@ Outputs under ``table_root``:
   spot_wide      latest quotes, one row per asset, one column per currency
   chart_prices   merged points, partitioned by (coin_id, date)
   chart_volumes  merged points, partitioned by (coin_id, date)
-  quarantine     unusable documents and rows, with a reason
+  quarantine     unusable documents and rows, with a reason, by snapshot date
 """
 
 from __future__ import annotations
@@ -29,10 +29,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.functions.columns import snapshot_time
 from feedlake.operators import feeds, merge, report
 from feedlake.schemas import QUARANTINE_TABLE, SPOT_LATEST_TABLE, SPOT_TABLE, chart_table
 from feedlake.session import use_utc
-from feedlake.sinks.tables import merge_into_table, table_exists, write_table
+from feedlake.sinks.tables import append_new_rows, merge_into_table, table_exists, write_table
 from feedlake.sources.landing import describe_files, scan_landing
 
 
@@ -89,10 +90,7 @@ def ingest_documents(spark: SparkSession, described: DataFrame, table_root: str,
                 ["coin_id", "timestamp"], ["snapshot_ts", value], partition_by=("coin_id", "date"), sort_by=("timestamp",),
             )
 
-        store(
-            "quarantine", feeds.quarantine(routed), QUARANTINE_TABLE,
-            ["file_path", "file_name", "problem_no"], ["reason"],
-        )
+        store_quarantine(spark, feeds.quarantine(routed), f"{table_root}/quarantine", refresh)
         rep = report.run_report(routed)
         rows = rep.collect()  # one row per feed kind: bounded by the routing rules
         return spark.createDataFrame(rows, rep.schema)
@@ -100,6 +98,18 @@ def ingest_documents(spark: SparkSession, described: DataFrame, table_root: str,
         routed.unpersist()
 
 
+def store_quarantine(spark: SparkSession, problems: DataFrame, path: str, refresh: str) -> None:
+    """Problems by the day in the file's name.  A file's problems don't change,
+    so a merging run only adds those it hasn't seen; a file that comes back
+    with other ones adds those."""
+    rows = problems.withColumn("snapshot_date", F.to_date(snapshot_time("file_name")))
+    day = ("snapshot_date",)
+    if refresh == "merge":
+        append_new_rows(spark, rows, path, QUARANTINE_TABLE, ["file_path", "file_name", "problem_no", "reason"], day, day[0])
+    else:
+        write_table(rows.select(*[f.name for f in QUARANTINE_TABLE.fields]), path, partition_by=day)
+
+
 def _store_catalog(spark: SparkSession, catalog: DataFrame, path: str, refresh: str) -> None:
     """The one latest catalog file (snapshot time, then name), of those landed
     now and, when merging, of the table's."""

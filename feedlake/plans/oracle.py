@@ -45,6 +45,17 @@ SPOT_QUOTES = """
  FROM events, UNNEST(map_entries(CAST(CAST(props AS JSON) AS MAP(VARCHAR, VARCHAR)))) AS u(e)
  WHERE TRY_CAST(e.value AS DOUBLE) IS NOT NULL)"""
 
+# kept rows and problems per feed of the documents with a known share of damaged parts
+FEED_DAMAGE = f"""
+SELECT 'chart' AS kind, 'rows' AS what, count(*) AS n FROM {CHART_EVENTS} WHERE event_id % 7 <> 0
+UNION ALL SELECT 'chart', 'non-numeric pair in prices', count(*) FROM events WHERE ts IS NOT NULL AND event_id % 7 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'chart', 'short pair in prices', count(*) FROM events
+  WHERE ts IS NULL OR (value IS NULL AND event_id % 7 <> 0) HAVING count(*) > 0
+UNION ALL SELECT 'spot', 'rows', count(*) FROM {SPOT_QUOTES} WHERE CAST(coin_id AS BIGINT) % 5 <> 0
+UNION ALL SELECT 'spot', 'no quotes under', count(*) FROM events WHERE event_id % 5 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'catalog', 'rows', count(*) FROM customer WHERE c_custkey % 11 <> 0
+UNION ALL SELECT 'catalog', 'element is not an object', count(*) FROM customer WHERE c_custkey % 11 = 0 HAVING count(*) > 0"""
+
 CHART_TABLE_COUNTS = f"""
 SELECT coin_id, date, count(*) AS n_points, min(price) AS min_price, max(price) AS max_price
 FROM ({CHART_POINTS}) GROUP BY coin_id, date"""
@@ -234,6 +245,33 @@ SELECT event_type, window_start,
        round(sum(CASE WHEN prev IS NULL THEN NULL WHEN c >= prev THEN c - prev ELSE c END) / 300.0, 6) AS rate,
        count(*) AS n_samples
 FROM s GROUP BY 1, 2""",
+    "sliding_rate": """
+WITH s AS (
+  SELECT event_type, event_id, ts, CAST(event_id % 1000 AS DOUBLE) AS c,
+         unnest(range(CAST(ceil(epoch_us(ts) / 60000000) AS BIGINT), CAST(ceil(epoch_us(ts) / 60000000) AS BIGINT) + 5)) AS e
+  FROM events),
+d AS (SELECT *, lag(c) OVER (PARTITION BY event_type, e ORDER BY ts, event_id) AS prev FROM s)
+SELECT event_type, make_timestamp(e * 60000000) AS step_ts, count(*) AS n_samples,
+       round(sum(CASE WHEN prev IS NULL THEN NULL WHEN c >= prev THEN c - prev ELSE c END) / 300.0, 6) AS rate
+FROM d GROUP BY event_type, e HAVING count(*) > 1""",
+    "instant_values": """
+SELECT event_type, make_timestamp(e * 30000000) AS step_ts, value, ts AS sample_ts FROM (
+  SELECT event_type, event_id, ts, value,
+         unnest(range(CAST(ceil(epoch_us(ts) / 30000000) AS BIGINT), CAST(ceil(epoch_us(ts) / 30000000) AS BIGINT) + 10)) AS e
+  FROM events)
+QUALIFY row_number() OVER (PARTITION BY event_type, e ORDER BY ts DESC, event_id DESC) = 1""",
+    "alert_changes": f"""
+WITH v AS (
+  SELECT event_type, e, value FROM (
+    SELECT event_type, event_id, ts, value,
+           unnest(range(CAST(ceil(epoch_us(ts) / 30000000) AS BIGINT), CAST(ceil(epoch_us(ts) / 30000000) AS BIGINT) + 4)) AS e
+    FROM events)
+  QUALIFY row_number() OVER (PARTITION BY event_type, e ORDER BY ts DESC, event_id DESC) = 1),
+g AS (SELECT event_type, e, e - row_number() OVER (PARTITION BY event_type ORDER BY e) AS grp FROM v WHERE value > {THRESHOLD}),
+r AS (SELECT event_type, min(e) AS a, max(e) AS b FROM g GROUP BY event_type, grp)
+SELECT event_type, make_timestamp(a * 30000000) AS step_ts, 'pending' AS state FROM r
+UNION ALL SELECT event_type, make_timestamp((a + 4) * 30000000), 'firing' FROM r WHERE a + 4 <= b
+UNION ALL SELECT event_type, make_timestamp((b + 1) * 30000000), 'inactive' FROM r""",
     "label_select": "SELECT event_id, ts, value FROM events WHERE event_type = 'click'",
     "sustained_threshold": f"""
 WITH s AS (
@@ -271,15 +309,8 @@ UNION ALL SELECT 'spot', (SELECT count(*) FROM (SELECT DISTINCT event_id // {SPO
 UNION ALL SELECT 'catalog', (SELECT count(*) FROM (SELECT DISTINCT c_custkey // {CATALOG_CHUNK} FROM customer)),
        (SELECT count(*) FROM customer), 0, 'ok'
 UNION ALL SELECT 'unrecognised', (SELECT count(*) FROM pages), 0, 0, 'skipped'""",
-    "feed_damage": f"""
-SELECT 'chart' AS kind, 'rows' AS what, count(*) AS n FROM {CHART_EVENTS} WHERE event_id % 7 <> 0
-UNION ALL SELECT 'chart', 'non-numeric pair in prices', count(*) FROM events WHERE ts IS NOT NULL AND event_id % 7 = 0 HAVING count(*) > 0
-UNION ALL SELECT 'chart', 'short pair in prices', count(*) FROM events
-  WHERE ts IS NULL OR (value IS NULL AND event_id % 7 <> 0) HAVING count(*) > 0
-UNION ALL SELECT 'spot', 'rows', count(*) FROM {SPOT_QUOTES} WHERE CAST(coin_id AS BIGINT) % 5 <> 0
-UNION ALL SELECT 'spot', 'no quotes under', count(*) FROM events WHERE event_id % 5 = 0 HAVING count(*) > 0
-UNION ALL SELECT 'catalog', 'rows', count(*) FROM customer WHERE c_custkey % 11 <> 0
-UNION ALL SELECT 'catalog', 'element is not an object', count(*) FROM customer WHERE c_custkey % 11 = 0 HAVING count(*) > 0""",
+    "feed_damage": FEED_DAMAGE,
+    "quarantine_history": f"SELECT * FROM ({FEED_DAMAGE}) WHERE what <> 'rows'",
     "latest_landed_file": f"""
 WITH f AS (
   SELECT 'chart' AS kind, date_trunc('second', max(ts)) AS s,
@@ -290,18 +321,35 @@ WITH f AS (
   UNION ALL SELECT 'catalog', TIMESTAMP '2025-01-01', 'coins_list_20250101_000000.json' FROM customer
   UNION ALL SELECT 'unrecognised', TIMESTAMP '1970-01-01', 'page_' || CAST(page_id AS VARCHAR) || '.html' FROM pages)
 SELECT kind, max_by(file_name, (s, file_name)) AS file_name FROM f GROUP BY kind""",
+    "newest_landed_file": f"""
+WITH f AS (
+  SELECT max(ts) AS last, sum((SELECT count(*) FROM {SPOT_QUOTES} q WHERE q.coin_id = CAST(event_id AS VARCHAR))) AS n_rows
+  FROM events GROUP BY event_id // {SPOT_CHUNK})
+SELECT 'spot' AS kind, 'simple_price_' || strftime(max(last), '%Y%m%d_%H%M%S') || '.json' AS file_name,
+       CAST(max_by(n_rows, last) AS BIGINT) AS n_rows FROM f
+UNION ALL SELECT 'catalog', strftime(TIMESTAMP '2025-01-01' + to_seconds(c_custkey // {CATALOG_CHUNK}), 'coins_list_%Y%m%d_%H%M%S.json'), count(*)
+FROM customer WHERE c_custkey // {CATALOG_CHUNK} = (SELECT max(c_custkey // {CATALOG_CHUNK}) FROM customer)
+GROUP BY c_custkey // {CATALOG_CHUNK}""",
     "ingest_two_runs": f"""
-SELECT 'chart_prices' AS table_name, count(*) AS n_rows FROM (SELECT DISTINCT event_type, {MS} FROM {CHART_EVENTS})
-UNION ALL SELECT 'chart_volumes', count(*) FROM (SELECT DISTINCT event_type, {MS} FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL)
-UNION ALL SELECT 'spot', count(*) FROM {SPOT_QUOTES}
-UNION ALL SELECT 'spot_latest', count(*) FROM (SELECT DISTINCT coin_id, currency FROM {SPOT_QUOTES})
-UNION ALL SELECT 'quarantine', CAST(0 AS BIGINT)""",
+WITH d AS (SELECT *, date_trunc('second', max(ts) OVER (PARTITION BY event_type, CAST(ts AS DATE), event_id // {CHART_CHUNK})) AS s FROM events),
+m AS (SELECT event_type, CAST(epoch_us({MS}) AS VARCHAR) AS item, s, value, CAST(user_id AS DOUBLE) AS volume FROM d)
+SELECT 'chart_prices' AS table_name, event_type AS coin_id, item, max_by(value, (s, value)) AS value
+FROM m WHERE item IS NOT NULL AND value IS NOT NULL GROUP BY event_type, item
+UNION ALL SELECT 'chart_volumes', event_type, item, max_by(volume, (s, volume))
+FROM m WHERE item IS NOT NULL AND volume IS NOT NULL GROUP BY event_type, item
+UNION ALL SELECT 'spot', * FROM {SPOT_QUOTES}
+UNION ALL SELECT 'spot_latest', * FROM {SPOT_QUOTES}""",
     "landing_batches": f"""
-SELECT 'chart_prices' AS table_name, count(*) AS n_rows FROM {CHART_EVENTS}
-UNION ALL SELECT 'chart_volumes', count(*) FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL
-UNION ALL SELECT 'spot', count(*) FROM {SPOT_QUOTES}
-UNION ALL SELECT 'catalog', count(*) FROM customer
-UNION ALL SELECT 'quarantine', CAST(0 AS BIGINT)""",
+SELECT 'chart_prices' AS table_name, event_type AS coin_id, CAST(epoch_us({MS}) AS VARCHAR) AS item, value FROM {CHART_EVENTS}
+UNION ALL SELECT 'chart_volumes', event_type, CAST(epoch_us({MS}) AS VARCHAR), CAST(user_id AS DOUBLE)
+FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL
+UNION ALL SELECT 'spot', * FROM {SPOT_QUOTES}
+UNION ALL SELECT 'catalog', CAST(c_custkey AS VARCHAR), c_mktsegment, NULL FROM customer""",
+    "landed_file_stream": f"SELECT * FROM {SPOT_QUOTES}",
+    "nested_tables": f"""
+SELECT 'market/charts/all/prices' AS table_name, count(*) AS n_rows FROM ({CHART_POINTS})
+UNION ALL SELECT 'market/parties', count(*) FROM supplier
+UNION ALL SELECT 'nation', count(*) FROM nation""",
     "stream_ingest": "SELECT event_type, count(*) AS n_events FROM events GROUP BY 1",
-    "stream_dedup": "SELECT event_type, count(DISTINCT event_id) AS n_events FROM events GROUP BY 1",
+    "stream_dedup": "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1",
 }

@@ -79,6 +79,7 @@ QUARANTINE_TABLE = T.StructType(
         T.StructField("problem_no", T.IntegerType()),
         T.StructField("reason", T.StringType()),
         T.StructField("rejected_doc", T.StringType()),
+        T.StructField("snapshot_date", T.DateType()),
     ]
 )
 

@@ -215,6 +215,39 @@ def merge_into_table(
     return write_table(merged, path, partition_by=partition_by, sort_by=sort_by, refresh=refresh, fmt=fmt, count_rows=count_rows)
 
 
+def append_new_rows(
+    spark,
+    rows: DataFrame,
+    path: str,
+    schema,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    date_col: str,
+    fmt: str = "parquet",
+) -> bool:
+    """Add the rows whose ``keys`` the touched partitions don't hold yet;
+    whether there were any.
+
+    For a history whose rows never change: nothing is rewritten, only key
+    columns of the touched partitions are read back, and a run without news
+    writes no file.  Run again after a failure, it adds what is missing.
+    """
+    new = rows.select(*[f.name for f in schema.fields])
+    if table_exists(spark, path):
+        known = touched_partitions(spark, path, new, schema, partition_by, date_col, fmt)
+        known = known.select(*[F.col(c).alias(f"_known_{c}") for c in (*keys, *partition_by)])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in (*keys, *partition_by)])
+        new = new.join(known, same, "left_anti")
+    if new.isEmpty():
+        if not commit.TableFiles(spark, path).visible():
+            # a table without rows still has a schema: one empty file in the null partition
+            null_partition = "/".join(f"{c}=__HIVE_DEFAULT_PARTITION__" for c in partition_by)
+            new.drop(*partition_by).limit(0).write.format(fmt).save(f"{path}/{null_partition}")
+        return False
+    write_table(new, path, partition_by=partition_by, fmt=fmt, mode="append", count_rows=False)
+    return True
+
+
 def merge_into_chart_table(
     spark,
     points: DataFrame,

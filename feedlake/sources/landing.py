@@ -13,7 +13,10 @@ millions of few-kB files does not become millions of tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.columns import (
@@ -44,15 +47,27 @@ def scan_landing(
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     # text() has its own wholetext argument, which overrides .option()
-    raw = reader.text(path, wholetext=True)
-    extra = [c for c in raw.columns if c != "value"]
+    return _described(reader.text(path, wholetext=True), None, {"doc": "value"})
+
+
+def landed_name(pattern: str | None = None) -> Column:
+    """The name of a row's file; ``pattern`` (its first group) takes it from
+    the path instead.  Spark gives both as addresses, with ``%20`` for a blank."""
+    name = F.regexp_extract("_metadata.file_path", pattern, 1) if pattern else F.col("_metadata.file_name")
+    return F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def _described(raw: DataFrame, name_pattern: str | None, content: dict[str, str]) -> DataFrame:
+    """Name, path, size and time of each row's file, the given content, and
+    the partition columns."""
+    own = {"value", "path", "modificationTime", "length", "content"}
     return raw.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        landed_name(name_pattern).alias("file_name"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").alias("file_mtime"),
-        F.col("value").alias("doc"),
-        *extra,
+        *[F.col(c).alias(name) for name, c in content.items()],
+        *[c for c in raw.columns if c not in own],
     )
 
 
@@ -89,15 +104,74 @@ def split_by_kind(docs: DataFrame) -> dict[str, DataFrame]:
     return {kind: docs.filter(F.col("kind") == kind) for kind in kinds}
 
 
-def latest_files(described: DataFrame, by: tuple[str, ...] = ("kind",)) -> DataFrame:
-    """Newest landed file per feed (or per ``by``): snapshot time from the
-    name, then modification time, then name.
+def scan_names(
+    spark: SparkSession, path: str, glob: str = "*.json", recursive: bool = False, name_pattern: str | None = None
+) -> DataFrame:
+    """Names, sizes and times of the landed files, ``(file_name, file_path,
+    file_size, file_mtime)`` and partition columns; no file is opened.
 
-    The winners are found by an aggregate over names and times alone; the
-    documents are only touched by the semi-join that keeps the winners'."""
+    The binary file source answers this from the files' status as long as its
+    ``content`` column isn't asked for.  ``name_pattern`` takes the name from
+    the path (its first group) where files lie in a folder of their name.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    return _described(reader.load(path), name_pattern, {})
+
+
+def newest_names(described: DataFrame, by: tuple[str, ...] = ("kind",)) -> DataFrame:
+    """Per feed (or per ``by``) the name row of its newest file: snapshot time
+    from the name, then modification time, then name."""
     from feedlake.operators.merge import latest_per_key
 
     order = [c for c in ("snapshot_ts", "file_mtime", "file_name", "file_path") if c in described.columns]
-    newest = latest_per_key(described.select(*by, *order), list(by), order)
-    file = "file_path" if "file_path" in order else "file_name"
+    return latest_per_key(described, list(by), order)
+
+
+#: So many winners are read by their paths; more, by a join on the path.
+MOST_PATHS = 1000
+
+
+def read_newest(
+    spark: SparkSession,
+    path: str,
+    glob: str = "*.json",
+    by: tuple[str, ...] = ("kind",),
+    recursive: bool = False,
+    name_pattern: str | None = None,
+) -> DataFrame:
+    """The newest landed file per feed (or per ``by``) with its document.
+
+    The winners come from the names alone; then only their files are opened.
+    A feed has one winner, so there are a few paths; more than ``MOST_PATHS``
+    (``by`` an asset, say) never come to the driver but meet the scan in a join.
+    """
+    names = scan_names(spark, path, glob, recursive, name_pattern)
+    newest = newest_names(describe_files(names), by)
+    paths = [r.file_path for r in newest.select("file_path").limit(MOST_PATHS + 1).collect()]
+    reader = spark.read.option("pathGlobFilter", glob)
+    reader = reader.option("recursiveFileLookup", "true") if recursive else reader.option("basePath", path)
+    few = 0 < len(paths) <= MOST_PATHS
+    docs = reader.text([_as_path(p) for p in paths] if few else path, wholetext=True)
+    docs = describe_files(_described(docs, name_pattern, {"doc": "value"}))
+    if few:
+        return docs
+    return docs.join(newest.select(F.col("file_path").alias("_newest")), F.col("file_path") == F.col("_newest"), "left_semi")
+
+
+def _as_path(uri: str) -> str:
+    """A listed file's address as a path to load: no part of it is a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+def latest_files(described: DataFrame, by: tuple[str, ...] = ("kind",)) -> DataFrame:
+    """Newest landed file per feed (or per ``by``) of a frame of documents.
+
+    The winners are found by an aggregate over names and times alone; the
+    documents are only touched by the semi-join that keeps the winners'.
+    ``read_newest`` does the same for a directory without opening the others."""
+    narrow = [c for c in (*by, "snapshot_ts", "file_mtime", "file_name", "file_path") if c in described.columns]
+    newest = newest_names(described.select(*dict.fromkeys(narrow)), by)
+    file = "file_path" if "file_path" in described.columns else "file_name"
     return described.join(newest.select(F.col(file).alias("_newest")), F.col(file) == F.col("_newest"), "left_semi")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +76,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+#: Directories listed at once.
+LISTERS = 16
+
+
 def table_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table_name, n_rows)`` for every table, as one union of counts.
 
@@ -92,27 +98,51 @@ def table_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def discover_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Tables under ``root``: every sub-directory holding a committed table.
+def table_paths(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, str]:
+    """Tables at any depth under ``root``: relative name -> format.
 
-    A directory with a ``_delta_log`` is a Delta table; any other directory
-    with visible content (data files or ``key=value`` partition folders) is
-    a table in ``fmt``.  Only the top two levels are listed on the driver -
-    metadata only, no data is read.
+    A directory is a table if it holds a ``_delta_log``, a job's ``_SUCCESS``
+    marker, ``key=value`` partitions or data files of ``fmt``; what lies below
+    a table is the table's.  Any other directory is searched, one without a
+    table is passed over.  Only directories above the partitions are listed,
+    a level at a time, on the driver; no data is read.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(conf)
-    found = {}
-    for status in fs.listStatus(base):
-        if not status.isDirectory():
-            continue
-        path = status.getPath()
-        name = path.getName()
-        if name.startswith(("_", ".")):
-            continue
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_delta_log")):
-            found[name] = spark.read.format("delta").load(path.toString())
-        elif any(not c.getPath().getName().startswith(("_", ".")) for c in fs.listStatus(path)):
-            found[name] = spark.read.format(fmt).load(path.toString())
+    from feedlake.sinks.commit import RECORD, TableFiles, settle
+
+    files = TableFiles(spark, root)
+    base = root.rstrip("/")
+
+    def look(name: str) -> tuple[str | None, list[str]]:
+        entries = files.names(name)
+        if any(n == RECORD for n, _ in entries):
+            settle(spark, f"{base}/{name}")
+            entries = files.names(name)
+        if ("_delta_log", True) in entries:
+            return "delta", []
+        own = {n for n, is_dir in entries if not is_dir}
+        folders = [n for n, is_dir in entries if is_dir and not n.startswith(("_", "."))]
+        if name and ("_SUCCESS" in own or any("=" in n for n in folders) or any(n.endswith(f".{fmt}") and n[0] not in "_." for n in own)):
+            return fmt, []
+        return None, [f"{name}/{n}".lstrip("/") for n in folders]
+
+    found, level = {}, [""]
+    while level:
+        with ThreadPoolExecutor(LISTERS) as pool:
+            seen = list(pool.map(look, level))
+        found.update({name: kind for name, (kind, _) in zip(level, seen, strict=True) if kind})
+        level = [name for _, below in seen for name in below]
     return dict(sorted(found.items()))
+
+
+def discover_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The tables of ``table_paths`` as frames, by relative name.  A table
+    without a data file (none was ever written) has no rows and no columns."""
+    frames = {}
+    for name, kind in table_paths(spark, root, fmt).items():
+        try:
+            frames[name] = spark.read.format(kind).load(f"{root.rstrip('/')}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            frames[name] = spark.createDataFrame([], T.StructType([]))
+    return frames

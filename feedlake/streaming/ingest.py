@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from feedlake.operators import feeds, merge
 from feedlake.schemas import chart_table
-from feedlake.sources.landing import describe_files
+from feedlake.sources.landing import describe_files, landed_name
 from feedlake.sources.tables import read_table
 
 
@@ -40,16 +40,27 @@ def file_stream(
     return reader.load(source_dir)
 
 
-def landing_stream(spark: SparkSession, landing_dir: str, glob: str = "*.json") -> DataFrame:
-    """Newly landed documents as a stream of ``(file_name, file_path, doc, kind, ...)``."""
-    raw = (
-        spark.readStream.format("text")
-        .option("wholetext", "true")
-        .option("pathGlobFilter", glob)
-        .load(landing_dir)
-    )
+def landing_stream(
+    spark: SparkSession,
+    landing_dir: str,
+    glob: str = "*.json",
+    max_files_per_trigger: int | None = None,
+    recursive: bool = False,
+    name_pattern: str | None = None,
+) -> DataFrame:
+    """Newly landed documents as a stream of ``(file_name, file_path, doc, kind, ...)``.
+
+    ``name_pattern`` takes the name from the path (its first group) where
+    files lie in a folder of their name.
+    """
+    reader = spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    raw = reader.load(landing_dir)
     docs = raw.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        landed_name(name_pattern).alias("file_name"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("value").alias("doc"),
     )
@@ -161,7 +172,7 @@ def ingest_landing_batch(
 
     from feedlake.sinks.tables import merge_into_chart_table
 
-    parsed = batch if feeds.CHART_COL in batch.columns else feeds.parse_documents(batch, keep_doc=False)
+    parsed = batch if feeds.REASONS_COL in batch.columns else feeds.parse_documents(batch, keep_doc=False)
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         charts = parsed.filter(F.col("kind") == "chart")
