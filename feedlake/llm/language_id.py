@@ -51,7 +51,7 @@ TOLERANCE, MAX_ROUNDS = 1e-3, 20
 SHARED_WEIGHT, PIECE_WEIGHT = 100.0, 0.5
 #: Code points of a run, of a slice of a text; words a task remembers, of what length.
 RUN, PIECE = 256, 1 << 20
-FLUSH_WORDS, CACHE_WORDS = 200_000, 300_000
+FLUSH_WORDS, CACHE_WORDS = 200_000, 500_000
 #: Cells (words x places x languages) of one recursion.
 CELLS = 4 << 20
 UNKNOWN = "und"
@@ -66,25 +66,42 @@ _BYTE = 0xF0000
 # -- vocabulary ------------------------------------------------------------------
 
 
-@dataclass
 class Vocabulary:
-    """Piece numbers by text, and -1 for texts that only begin pieces."""
-
-    numbers: dict[str, int]
-    size: int
-    known: frozenset[str]
-    has_bytes: bool
+    """Piece numbers by text, and the pieces' trie in arrays."""
 
-    @staticmethod
-    def of(pieces: list[str], byte_pieces: list[str] | None = None) -> Vocabulary:
+    def __init__(self, pieces: list[str], byte_pieces: list[str] | None = None):
         """``byte_pieces``: the 256 pieces of single bytes, in order."""
         spelt = [chr(_BYTE + b) for b in range(256)] if byte_pieces else [chr(_BYTE)]
         texts = list(dict.fromkeys(p for p in pieces if p)) + spelt
-        numbers = {p: i for i, p in enumerate(texts)}
-        for p in texts:
-            for end in range(1, len(p)):
-                numbers.setdefault(p[:end], -1)
-        return Vocabulary(numbers, len(texts), frozenset(p for p in pieces if len(p) == 1), bool(byte_pieces))
+        self.numbers = {p: i for i, p in enumerate(texts)}
+        self.size = len(texts)
+        self.known = frozenset(p for p in pieces if len(p) == 1)
+        self.has_bytes = bool(byte_pieces)
+        symbols = sorted(self.known.union(spelt, *texts))
+        #: number of each code point; 0 for those in no piece
+        self.symbol = np.zeros(0x110000, np.int32)
+        self.symbol[[ord(c) for c in symbols]] = np.arange(1, len(symbols) + 1)
+        #: whether a code point is a piece by itself (or a byte's sign)
+        self.single = np.zeros(0x110000, bool)
+        self.single[[ord(c) for c in self.known.union(spelt)]] = True
+        nodes, piece = {"": 0}, [-1]
+        arcs = []
+        for text in texts:
+            for end in range(1, len(text) + 1):
+                if text[:end] not in nodes:
+                    nodes[text[:end]] = len(piece)
+                    arcs.append((nodes[text[: end - 1]], self.symbol[ord(text[end - 1])], len(piece)))
+                    piece.append(-1)
+            piece[nodes[text]] = self.numbers[text]
+        self.piece = np.array(piece, np.int64)
+        self.width = len(symbols) + 1
+        table = np.array(arcs, np.int64).reshape(-1, 3)
+        keys = table[:, 0] * self.width + table[:, 1]
+        order = np.argsort(keys)
+        self._keys, self._next = keys[order], table[order, 2]
+        self._first = np.zeros(self.width, np.int64)  # 0: no piece begins so
+        begin = table[:, 0] == 0
+        self._first[table[begin, 1]] = table[begin, 2]
 
     def spell(self, word: str) -> str:
         """The word, each code point without a piece as its bytes' signs."""
@@ -94,6 +111,23 @@ class Vocabulary:
             return "".join(c if c in self.known else chr(_BYTE) for c in word)
         return "".join(c if c in self.known else "".join(chr(_BYTE + b) for b in c.encode()) for c in word)
 
+    def matches(self, codes: np.ndarray, stop: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """Every piece at every place, length by length: (places, length,
+        pieces).  ``stop``: per place, where its word ends."""
+        symbols = self.symbol[codes].astype(np.int64)
+        at, node, length = np.arange(len(codes)), self._first[symbols], 1
+        while len(at):
+            numbers = self.piece[node]
+            found = numbers >= 0
+            yield at[found], length, numbers[found]
+            inside = at + length < stop[at]
+            at, node = at[inside], node[inside]
+            keys = node * self.width + symbols[at + length]
+            place = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+            goes = (self._keys[place] == keys) & (node > 0)
+            at, node = at[goes], self._next[place[goes]]
+            length += 1
+
 
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str = MODEL) -> Vocabulary:
@@ -112,7 +146,7 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     in_bytes = [i for i in numbers if model.is_byte(i)]
     skipped = set(special) | set(in_bytes)
     plain = [model.id_to_piece(i) for i in numbers if i not in skipped]
-    return Vocabulary.of(plain, [model.id_to_piece(i) for i in in_bytes] if len(in_bytes) == 256 else None)
+    return Vocabulary(plain, [model.id_to_piece(i) for i in in_bytes] if len(in_bytes) == 256 else None)
 
 
 def words_of(text: str) -> Iterator[list[str]]:
@@ -137,29 +171,26 @@ class Lattice:
     """Every piece at every place of some words, sorted for the recursions."""
 
     def __init__(self, words: list[str], voc: Vocabulary):
-        numbers, flat, ends = voc.numbers, [], []
-        word_at = []
-        for at, word in enumerate(words):
-            word = voc.spell("▁" + word)
-            n = len(word)
-            ends.append(n)
-            before = len(flat)
-            for i in range(n):
-                for j in range(i + 1, n + 1):
-                    piece = numbers.get(word[i:j])
-                    if piece is None:
-                        break
-                    if piece >= 0:
-                        flat.append((i, j, piece))
-            word_at.append(len(flat) - before)
-        self.ends = np.array(ends, dtype=np.int64)
+        spelt = ["▁" + w for w in words]
+        codes = np.frombuffer("".join(spelt).encode("utf-32-le"), np.uint32)
+        if not voc.single[codes].all():
+            spelt = [voc.spell(w) for w in spelt]
+            codes = np.frombuffer("".join(spelt).encode("utf-32-le"), np.uint32)
+        self.ends = np.array([len(w) for w in spelt], dtype=np.int64)
         self.places = int(self.ends.max(initial=0)) + 1
-        edges = np.array(flat, dtype=np.int64).reshape(-1, 3)
-        word = np.repeat(np.arange(len(words)), word_at)
-        order = np.lexsort((word, edges[:, 1]))
-        self.word, self.start, self.end, self.piece = word[order], edges[order, 0], edges[order, 1], edges[order, 2]
+        stop = np.cumsum(self.ends)
+        word_of = np.repeat(np.arange(len(words)), self.ends)
+        begin = (stop - self.ends)[word_of]
+        found = list(voc.matches(codes, stop[word_of]))
+        at = np.concatenate([f[0] for f in found] or [np.empty(0, np.int64)])
+        length = np.concatenate([np.full(len(f[0]), f[1]) for f in found] or [np.empty(0, np.int64)])
+        piece = np.concatenate([f[2] for f in found] or [np.empty(0, np.int64)])
+        word, start = word_of[at], at - begin[at]
+        order = np.argsort((start + length) * max(1, len(words)) + word, kind="stable")
+        self.word, self.start, self.piece = word[order], start[order], piece[order]
+        self.end = self.start + length[order]
         self.forward_steps = self._steps(self.end)
-        back = np.lexsort((self.word, -self.start))
+        back = np.argsort((self.places - self.start) * max(1, len(words)) + self.word, kind="stable")
         self.back = back
         self.backward_steps = self._steps(-self.start[back], self.word[back])
 
@@ -362,7 +393,8 @@ class Scorer:
     def _add(self, total: np.ndarray, held: list[str], owner: list[int], size: list[int]) -> None:
         """Add the words' log probabilities to their texts' totals."""
         new = [w for w in dict.fromkeys(held) if w not in self.at]
-        if len(self.at) + len(new) > CACHE_WORDS:
+        # also bounds the remembered numbers, of many languages
+        if len(self.at) + len(new) > min(CACHE_WORDS, 4 * CELLS // max(1, self.rows.shape[1])):
             self.at = {}
             new = list(dict.fromkeys(held))
         if new:

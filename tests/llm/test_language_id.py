@@ -22,7 +22,7 @@ def cuts(word):
 @pytest.fixture(scope="module")
 def small():
     pieces = ["▁", "a", "b", "▁a", "ab", "ba", "aba", "▁ab", "bb"]
-    voc = li.Vocabulary.of(pieces, ["x"] * 256)
+    voc = li.Vocabulary(pieces, ["x"] * 256)
     rng = np.random.default_rng(2)
     return voc, np.log(rng.dirichlet(np.ones(voc.size), size=3))
 
