@@ -53,7 +53,11 @@ SHARED_WEIGHT, PIECE_WEIGHT = 100.0, 0.5
 RUN, PIECE = 256, 1 << 20
 FLUSH_WORDS, CACHE_WORDS = 200_000, 500_000
 #: Cells (words x places x languages) of one recursion.
-CELLS = 4 << 20
+CELLS = 2 << 20
+#: Places of a word up to which probabilities are multiplied; the log of the least one.
+PLAIN, _LEAST = 24, float(np.log(1e-12))
+#: More than the longest piece has code points.
+_LENGTHS = 1 << 10
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -61,6 +65,7 @@ _BLANK = regex.compile(r"\s")
 #: Stands for a byte of a code point without a piece (a private code point,
 #: which never is a piece itself).
 _BYTE = 0xF0000
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 # -- vocabulary ------------------------------------------------------------------
@@ -73,6 +78,8 @@ class Vocabulary:
         """``byte_pieces``: the 256 pieces of single bytes, in order."""
         spelt = [chr(_BYTE + b) for b in range(256)] if byte_pieces else [chr(_BYTE)]
         texts = list(dict.fromkeys(p for p in pieces if p)) + spelt
+        if max(map(len, texts)) >= _LENGTHS:
+            raise ValueError(f"a piece of {_LENGTHS} code points or more")
         self.numbers = {p: i for i, p in enumerate(texts)}
         self.size = len(texts)
         self.known = frozenset(p for p in pieces if len(p) == 1)
@@ -96,13 +103,41 @@ class Vocabulary:
         self.piece = np.array(piece, np.int64)
         self.width = len(symbols) + 1
         table = np.array(arcs, np.int64).reshape(-1, 3)
-        keys = table[:, 0] * self.width + table[:, 1]
-        order = np.argsort(keys)
-        self._keys, self._next = keys[order], table[order, 2]
+        self._fill(table[:, 0] * self.width + table[:, 1], table[:, 2])
         self._first = np.zeros(self.width, np.int64)  # 0: no piece begins so
         begin = table[:, 0] == 0
         self._first[table[begin, 1]] = table[begin, 2]
 
+    def _fill(self, keys: np.ndarray, nodes: np.ndarray) -> None:
+        """A table of the arcs, found by hash; a taken place moves on to the next."""
+        bits = max(4, int(np.ceil(np.log2(6 * len(keys) + 1))))
+        self._shift = np.uint64(64 - bits)
+        self._arcs, self._next = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        while len(keys):
+            place = self._place(keys)
+            while (taken := self._arcs[place] >= 0).any():
+                place = np.where(taken, (place + 1) & (len(self._arcs) - 1), place)
+            first = np.unique(place, return_index=True)[1]
+            self._arcs[place[first]], self._next[place[first]] = keys[first], nodes[first]
+            keys, nodes = np.delete(keys, first), np.delete(nodes, first)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * _MIX) >> self._shift).astype(np.int64)
+
+    def _follow(self, keys: np.ndarray) -> np.ndarray:
+        """The node that each (node, symbol) leads to; 0 for none."""
+        place = self._place(keys)
+        there = self._arcs[place]
+        out = np.where(there == keys, self._next[place], 0)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            place[open_] = (place[open_] + 1) & (len(self._arcs) - 1)
+            there = self._arcs[place[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self._next[place[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return out
+
     def spell(self, word: str) -> str:
         """The word, each code point without a piece as its bytes' signs."""
         if self.known.issuperset(word):
@@ -120,12 +155,11 @@ class Vocabulary:
             numbers = self.piece[node]
             found = numbers >= 0
             yield at[found], length, numbers[found]
-            inside = at + length < stop[at]
+            inside = (at + length < stop[at]) & (node > 0)
             at, node = at[inside], node[inside]
-            keys = node * self.width + symbols[at + length]
-            place = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
-            goes = (self._keys[place] == keys) & (node > 0)
-            at, node = at[goes], self._next[place[goes]]
+            node = self._follow(node * self.width + symbols[at + length])
+            goes = node > 0
+            at, node = at[goes], node[goes]
             length += 1
 
 
@@ -168,7 +202,13 @@ def words_of(text: str) -> Iterator[list[str]]:
 
 
 class Lattice:
-    """Every piece at every place of some words, sorted for the recursions."""
+    """Every piece at every place of some words.
+
+    Edges of one end and one length lie together and have a word once each, so
+    a step of a recursion is one gather and one scatter.  Words of up to
+    ``PLAIN`` places multiply plain probabilities (at least 1e-12 each, so no
+    product underflows), longer ones add logarithms.
+    """
 
     def __init__(self, words: list[str], voc: Vocabulary):
         spelt = ["▁" + w for w in words]
@@ -176,81 +216,87 @@ class Lattice:
         if not voc.single[codes].all():
             spelt = [voc.spell(w) for w in spelt]
             codes = np.frombuffer("".join(spelt).encode("utf-32-le"), np.uint32)
-        self.ends = np.array([len(w) for w in spelt], dtype=np.int64)
+        self.ends = np.fromiter(map(len, spelt), np.int64, len(spelt))
         self.places = int(self.ends.max(initial=0)) + 1
         stop = np.cumsum(self.ends)
         word_of = np.repeat(np.arange(len(words)), self.ends)
-        begin = (stop - self.ends)[word_of]
+        offset = np.arange(len(codes)) - (stop - self.ends)[word_of]
         found = list(voc.matches(codes, stop[word_of]))
         at = np.concatenate([f[0] for f in found] or [np.empty(0, np.int64)])
         length = np.concatenate([np.full(len(f[0]), f[1]) for f in found] or [np.empty(0, np.int64)])
         piece = np.concatenate([f[2] for f in found] or [np.empty(0, np.int64)])
-        word, start = word_of[at], at - begin[at]
-        order = np.argsort((start + length) * max(1, len(words)) + word, kind="stable")
-        self.word, self.start, self.piece = word[order], start[order], piece[order]
-        self.end = self.start + length[order]
-        self.forward_steps = self._steps(self.end)
-        back = np.argsort((self.places - self.start) * max(1, len(words)) + self.word, kind="stable")
-        self.back = back
-        self.backward_steps = self._steps(-self.start[back], self.word[back])
-
-    def _steps(self, place: np.ndarray, word: np.ndarray | None = None) -> list[tuple[int, int, np.ndarray]]:
-        """Runs of edges of one place, and where the next word begins in each."""
-        word = self.word if word is None else word
-        if not len(place):
-            return []
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1, [len(place)]])
-        return [
-            (int(a), int(b), np.concatenate([[0], np.flatnonzero(np.diff(word[a:b])) + 1]))
+        key = (offset[at] + length) * _LENGTHS + length
+        key = key.astype(np.uint16) if self.places * _LENGTHS < 1 << 16 else key  # few bits sort by counting
+        order = np.argsort(key, kind="stable")
+        key, self.word, self.piece = key[order], word_of[at[order]], piece[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(key.astype(np.int64))) + 1, [len(key)]]) if len(key) else [0]
+        #: (first edge, last edge + 1, start, end) of each end and length
+        self.steps = [
+            (int(a), int(b), int(key[a]) // _LENGTHS - int(key[a]) % _LENGTHS, int(key[a]) // _LENGTHS)
             for a, b in zip(cuts[:-1], cuts[1:], strict=True)
         ]
+        self.plain = self.places <= PLAIN
+
+    def forward(self, p: np.ndarray) -> np.ndarray:
+        """Sums over all cuts up to each place, [place, word, ...]; of ``p``,
+        per edge with any further axes, or of logarithms (``plain``)."""
+        sums = np.full((self.places, len(self.ends), *p.shape[1:]), 0.0 if self.plain else -np.inf)
+        sums[0] = 1.0 if self.plain else 0.0
+        for a, b, start, end in self.steps:
+            self._step(sums[end], self.word[a:b], sums[start], p[a:b])
+        return sums
 
-    def forward(self, log_p: np.ndarray) -> np.ndarray:
-        """Log sums over all cuts up to each place.  ``log_p``: per edge (in
-        the order of ``piece``), with any further axes."""
-        sums = np.full((len(self.ends), self.places, *log_p.shape[1:]), -np.inf)
-        sums[:, 0] = 0
-        for a, b, first in self.forward_steps:
-            words = self.word[a:b]
-            total = _log_sums(sums[words, self.start[a:b]] + log_p[a:b], first)
-            sums[words[first], self.end[a]] = total
+    def backward(self, p: np.ndarray) -> np.ndarray:
+        sums = np.full((self.places, len(self.ends), *p.shape[1:]), 0.0 if self.plain else -np.inf)
+        sums[self.ends, np.arange(len(self.ends))] = 1.0 if self.plain else 0.0
+        for a, b, start, end in sorted(self.steps, key=lambda s: -s[2]):
+            self._step(sums[start], self.word[a:b], sums[end], p[a:b])
         return sums
 
+    def _step(self, to: np.ndarray, words: np.ndarray, source: np.ndarray, p: np.ndarray) -> None:
+        if self.plain:
+            to[words] += source[words] * p
+        else:
+            to[words] = np.logaddexp(to[words], source[words] + p)
+
+    def _scale(self, log_p: np.ndarray) -> np.ndarray:
+        return np.exp(np.maximum(log_p, _LEAST)) if self.plain else log_p
+
     def totals(self, log_p: np.ndarray) -> np.ndarray:
-        return self.forward(log_p)[np.arange(len(self.ends)), self.ends]
+        """Per word the log of the sum over all its cuts; ``log_p`` as above."""
+        last = self.forward(self._scale(log_p))[self.ends, np.arange(len(self.ends))]
+        return np.log(last) if self.plain else last
 
     def expected(self, log_p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per word its log sum, and per edge its expected number of uses."""
-        ahead = self.forward(log_p)
-        total = ahead[np.arange(len(self.ends)), self.ends]
-        behind = np.full_like(ahead, -np.inf)
-        behind[np.arange(len(self.ends)), self.ends] = 0
-        for a, b, first in self.backward_steps:
-            edges = self.back[a:b]
-            words = self.word[edges]
-            sums = _log_sums(behind[words, self.end[edges]] + log_p[edges], first)
-            behind[words[first], self.start[edges[0]]] = sums
-        uses = np.exp(ahead[self.word, self.start] + log_p + behind[self.word, self.end] - total[self.word])
-        return total, uses
-
-
-def _log_sums(terms: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Log of the summed exponentials of the runs that begin at ``first``."""
-    most = np.maximum.reduceat(terms, first, axis=0)
-    size = np.diff(np.append(first, len(terms)))
-    return most + np.log(np.add.reduceat(np.exp(terms - np.repeat(most, size, axis=0)), first, axis=0))
+        p = self._scale(log_p)
+        ahead, behind = self.forward(p), self.backward(p)
+        last = ahead[self.ends, np.arange(len(self.ends))]
+        uses = np.empty(len(p))
+        for a, b, start, end in self.steps:
+            words = self.word[a:b]
+            if self.plain:
+                uses[a:b] = ahead[start, words] * p[a:b] * behind[end, words] / last[words]
+            else:
+                uses[a:b] = np.exp(ahead[start, words] + p[a:b] + behind[end, words] - last[words])
+        return np.log(last) if self.plain else last, uses
 
 
 def _in_parts(words: list[str], axes: int) -> Iterator[list[int]]:
-    """Numbers of words of like lengths, bounded by the cells they need."""
-    part: list[int] = []
-    for at in sorted(range(len(words)), key=lambda i: len(words[i])):
-        if part and (len(part) + 1) * (len(words[at]) * 4 + 2) * axes > CELLS:
-            yield part
-            part = []
-        part.append(at)
-    if part:
-        yield part
+    """Numbers of words of like lengths, bounded by the cells they need (a
+    code point may be spelt in four); the plain ones apart from the longer."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    order = np.argsort(sizes, kind="stable")
+    start = 0
+    while start < len(order):
+        plain = sizes[order[start]] <= PLAIN
+        stop, cells = start + 1, axes if plain else 4 * axes
+        limit = np.searchsorted(sizes[order], PLAIN, "right") if plain else len(order)
+        # sizes ascend, so the last word's size bounds all of them
+        while stop < limit and (min(limit, 2 * stop - start) - start) * int(sizes[order[min(limit, 2 * stop - start) - 1]]) * cells <= CELLS:
+            stop = min(limit, 2 * stop - start)
+        yield order[start:stop].tolist()
+        start = stop
 
 
 # -- training ---------------------------------------------------------------------------
@@ -318,7 +364,8 @@ def _round(words: DataFrame, languages: list[str], log_p: np.ndarray, path: str)
                 lattice = Lattice([texts[i] for i in part], voc)
                 here, weight = lang[part], times[part]
                 total, uses = lattice.expected(table[here[lattice.word], lattice.piece].astype(np.float64))
-                np.add.at(counts, (here[lattice.word], lattice.piece), uses * weight[lattice.word])
+                cell = here[lattice.word] * table.shape[1] + lattice.piece
+                counts += np.bincount(cell, uses * weight[lattice.word], counts.size).reshape(counts.shape)
                 likelihood += float(total @ weight)
         rows, pieces = np.nonzero(counts)
         yield pa.RecordBatch.from_pydict(
