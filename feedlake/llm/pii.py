@@ -18,7 +18,8 @@
 Positions are code points, end exclusive.  They come from splitting a text at
 a pattern's matches and summing the lengths.  Patterns are written so that
 they take linear time: a match starts only where a run of its characters
-starts, and repetitions are possessive.
+starts, and repetitions are possessive.  The spans' places, overlaps and
+replacement take time in proportion to their number, too.
 
 Defined results: null and empty texts have no spans; every row gives a row;
 empty input trains nothing (no span is added) and gives empty output.
@@ -27,6 +28,7 @@ empty input trains nothing (no span is added) and gives empty output.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +92,8 @@ BEFORE, AFTER = 24, 4
 RELIABLE, ROUNDS = 0.8, 50
 #: A vote's smoothing, in candidates.
 SMOOTH = 1.0
+#: Numbers that a running result copies at once; code points of a text's chunk.
+BLOCK, CHUNK = 256, 1024
 SPAN = "array<struct<kind:string,s:int,e:int,m:string,before:string,after:string>>"
 
 
@@ -112,26 +116,108 @@ def base_valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """Running results of an associative ``op`` (0 is neutral) over an array
+    of whole numbers.
+
+    An array that grows inside an aggregate is copied with every element.  So
+    blocks of ``BLOCK`` numbers are run through first, then the blocks' last
+    results, and each block is shifted by what came before: time grows with
+    the array's length."""
+    grown = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        return let(op(acc["at"], x), lambda at: F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out")))
+
+    def before(acc: Column, block: Column) -> Column:
+        return F.struct(op(acc["at"], block["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    def run(v: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), F.lit(BLOCK))
+        blocks = F.transform(starts, lambda start: F.aggregate(F.slice(v, start, F.lit(BLOCK)), grown, step))
+        return let(blocks, shift)
+
+    def shift(blocks: Column) -> Column:
+        return let(
+            F.aggregate(blocks, grown, before, lambda acc: acc["out"]),
+            lambda carry: F.flatten(
+                F.transform(blocks, lambda b, i: let(F.get(carry, i), lambda c: F.transform(b["out"], lambda x: op(c, x))))
+            ),
+        )
+
+    return let(values, run)
+
+
 def find(text: Column, kind: str, test: str, pattern: str) -> Column:
     """Matches of ``pattern`` with their places and surroundings."""
-    matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["m"])
-        one = F.struct(
-            F.lit(kind).alias("kind"), start.alias("s"), end.alias("e"), x["m"].alias("m"),
-            F.right(x["gap"], F.lit(BEFORE)).alias("before"), F.left(x["next"], F.lit(AFTER)).alias("after"),
+
+    def spans(matches: Column, gaps: Column) -> Column:
+        lengths = F.transform(matches, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
+        return let(
+            running(lengths, lambda x, y: x + y),
+            lambda ends: F.transform(
+                matches,
+                lambda m, i: F.struct(
+                    F.lit(kind).alias("kind"), (F.get(ends, i) - F.length(m)).alias("s"), F.get(ends, i).alias("e"), m.alias("m"),
+                    F.right(F.get(gaps, i), F.lit(BEFORE)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(AFTER)).alias("after"),
+                ),
+            ),
         )
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    joined = F.arrays_zip(gaps.alias("gap"), matches.alias("m"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("next"))
-    full = F.filter(joined, lambda x: x["m"].isNotNull())
-    spans = F.aggregate(
-        full, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")), add, lambda acc: acc["out"]
+    found = let(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda matches: let(F.split(text, pattern, -1), lambda gaps: spans(matches, gaps)),
     )
     likely = F.contains(text, F.lit(test)) if test == "@" else text.rlike(test)
-    return F.when(likely, spans).otherwise(F.array().cast(SPAN))
+    return F.when(likely, found.cast(SPAN)).otherwise(F.array().cast(SPAN))
+
+
+def _free(other: Column, base: Column) -> Column:
+    """The spans of ``other`` that overlap none of ``base``, by their starts.
+
+    In order of the starts, a span meets a base span before it if the
+    furthest end so far is beyond its start, and one after it if the next
+    start is before its end."""
+    far = F.lit((1 << 31) - 1)
+
+    def event(x: Column, at: Column, of_base: Column) -> Column:
+        return F.struct(x["s"].alias("s"), of_base.alias("free"), x["e"].alias("e"), at.alias("at"))
+
+    def keep(events: Column) -> Column:
+        # the events again backwards, so that the next start is the last seen
+        ends = running(F.transform(events, lambda v: F.when(v["free"] == 0, v["e"]).otherwise(0)), F.greatest)
+        starts = F.transform(F.reverse(events), lambda v: F.when(v["free"] == 0, far - v["s"]).otherwise(0))
+        return let(
+            ends,
+            lambda end: let(
+                running(starts, F.greatest),
+                lambda start: F.transform(
+                    F.filter(
+                        F.transform(
+                            events,
+                            lambda v, i: F.struct(
+                                v["at"].alias("at"),
+                                (
+                                    (v["free"] == 1) & (F.get(end, i) <= v["s"]) & (far - F.get(start, F.size(events) - 1 - i) >= v["e"])
+                                ).alias("free"),
+                            ),
+                        ),
+                        lambda v: v["free"],
+                    ),
+                    lambda v: F.get(other, v["at"]),
+                ),
+            ),
+        )
+
+    both = F.concat(
+        F.transform(base, lambda b: event(b, F.lit(-1), F.lit(0))), F.transform(other, lambda x, i: event(x, i, F.lit(1)))
+    )
+    return F.when((F.size(base) == 0) | (F.size(other) == 0), other).otherwise(let(F.array_sort(both), keep))
 
 
 def _by_kind(kind: Column, values: dict[str, Column]) -> Column:
@@ -194,11 +280,7 @@ def _spans_of(rows: DataFrame, text: str, base: str, loose: str) -> DataFrame:
     valid = [checked(k, True) for k in BASE_KINDS]
     failing = [checked(k, False) for k in BASE_KINDS[1:]]
     out = out.withColumns({base: F.concat(*valid), f"{found}_other": F.concat(*failing, F.col(f"{found}_loose"))})
-    free = F.filter(
-        F.col(f"{found}_other"),
-        lambda x: ~F.exists(F.col(base), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])),
-    )
-    return out.withColumn(loose, free).drop(f"{found}_loose", f"{found}_other", *columns)
+    return out.withColumn(loose, _free(F.col(f"{found}_other"), F.col(base))).drop(f"{found}_loose", f"{found}_other", *columns)
 
 
 # --- estimation ---------------------------------------------------------------
@@ -333,17 +415,39 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         )
     )
     text = F.col(f"`{text_col}`")
+    out = found.withColumn(cut, ordered).withColumn(text_col, F.when(F.size(cut) > 0, _replaced(text, F.col(cut))).otherwise(text))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
-    def replace(acc: Column, x: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        mark = F.when(x["s"] < acc["at"], F.lit("")).otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.concat(acc["out"], gap, mark).alias("out"))
 
-    redacted = F.aggregate(
-        F.col(cut),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        replace,
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    out = found.withColumn(cut, ordered).withColumn(text_col, F.when(F.size(cut) > 0, redacted).otherwise(text))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+def _replaced(text: Column, spans: Column) -> Column:
+    """``text`` with the spans (in order) replaced by marks, those that
+    overlap by the first one's.  Pieces of the text are taken from chunks of it,
+    so none is looked for from the text's beginning."""
+
+    def piece(chunks: Column, start: Column, stop: Column) -> Column:
+        first, last = F.floor(start / CHUNK).cast("int"), F.floor(stop / CHUNK).cast("int")
+        at = (start % CHUNK + 1).cast("int")
+        here = F.coalesce(F.get(chunks, first), F.lit(""))
+        across = F.concat(
+            F.substring(here, at, F.lit(CHUNK)),
+            F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+            F.left(F.coalesce(F.get(chunks, last), F.lit("")), (stop % CHUNK).cast("int")),
+        )
+        return F.when(first == last, F.substring(here, at, F.greatest(stop - start, F.lit(0)))).otherwise(across)
+
+    def whole(chunks: Column, reach: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(reach, i - 1), F.lit(0))
+            mark = F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))
+            return F.when(x["s"] < at, F.lit("")).otherwise(F.concat(piece(chunks, at, x["s"]), mark))
+
+        end = F.element_at(reach, -1)
+        rest = F.concat(
+            F.substring(F.coalesce(F.get(chunks, F.floor(end / CHUNK).cast("int")), F.lit("")), (end % CHUNK + 1).cast("int"), F.lit(CHUNK)),
+            F.array_join(F.slice(chunks, F.floor(end / CHUNK).cast("int") + 2, F.size(chunks) + 1), ""),
+        )
+        return F.concat(F.array_join(F.transform(spans, one), ""), rest)
+
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    reaches = running(F.transform(spans, lambda x: x["e"]), F.greatest)
+    return let(pieces, lambda chunks: let(reaches, lambda reach: whole(chunks, reach)))

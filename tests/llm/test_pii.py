@@ -1,6 +1,10 @@
 import hashlib
+import itertools
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from feedlake.llm import pii
 
@@ -54,6 +58,62 @@ def test_base_spans_equal_brute_force_and_stay(docs_of):
         assert set(want) <= set(got.spans.split(",")) | {""}
 
 
+def test_running_results_equal_plain_ones(spark):
+    rnd = random.Random(4)
+    arrays = [[rnd.randint(0, 50) for _ in range(n)] for n in (0, 1, 2, 255, 256, 257, 1000)]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(arrays)], "i int, a array<int>")
+    got = df.select("i", pii.running(F.col("a"), lambda x, y: x + y).alias("sum"), pii.running(F.col("a"), F.greatest).alias("top"))
+    for r in got.collect():
+        assert r["sum"] == list(itertools.accumulate(arrays[r.i]))
+        assert r.top == list(itertools.accumulate(arrays[r.i], max))
+
+
+def test_spans_free_of_base_spans_equal_brute_force(spark):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(200):
+        spans = lambda n: [("k", s, s + rnd.randint(1, 9), "m", "", "") for s in (rnd.randint(0, 60) for _ in range(n))]
+        rows.append((i, sorted(spans(rnd.randint(0, 6))), spans(rnd.randint(0, 12))))
+    df = spark.createDataFrame(rows, f"i int, base {pii.SPAN}, other {pii.SPAN}")
+    for r in df.select("i", pii._free(F.col("other"), F.col("base")).alias("free")).collect():
+        _, base, other = rows[r.i]
+        want = [x for x in other if not any(b[1] < x[2] and x[1] < b[2] for b in base)]
+        assert sorted(map(tuple, r.free)) == sorted(want)
+
+
+def test_replacement_equals_brute_force(spark):
+    rnd = random.Random(2)
+    rows = []
+    for i in range(60):
+        text = "".join(rnd.choice("ab é😀\n") for _ in range(rnd.choice([0, 5, 1023, 1024, 1025, 5000])))
+        spans = sorted((s, min(len(text), s + rnd.choice([1, 3, 2000])), rnd.choice(pii.KINDS)) for s in (rnd.randrange(len(text)) for _ in range(rnd.randint(1, 30)))) if text else [(0, 0, "ip")]
+        rows.append((i, text, spans))
+    df = spark.createDataFrame(rows, "i int, text string, spans array<struct<s:int,e:int,kind:string>>")
+    for r in df.select("i", pii._replaced(F.col("text"), F.col("spans")).alias("out")).collect():
+        _, text, spans = rows[r.i]
+        at, want = 0, ""
+        for s, e, kind in spans:
+            want += text[at:s] if s > at else ""
+            want += "" if s < at else f"[{kind.upper()}]"
+            at = max(at, e)
+        assert r.out == want + text[at:]
+
+
+def test_many_spans_take_time_in_proportion(docs_of):
+    def seconds(n):
+        docs = docs_of([(1, "a@b.cc " * n)]).cache()
+        docs.count()
+        start = time.perf_counter()
+        assert pii._spans_of(docs, "text", "base", "loose").select(F.size("base").alias("n")).first().n == n
+        assert pii.redact(docs).select(F.length("text").alias("n")).first().n == 8 * n
+        assert pii.report(docs).first().n_email == n
+        return time.perf_counter() - start
+
+    seconds(1000)
+    some, more = seconds(50_000), seconds(200_000)
+    assert more < 2.3**2 * max(some, 2.0)  # two doublings
+
+
 def test_added_spans_are_secrets_and_spelt_out_not_bad_checksums(docs_of):
     clean = [(i, "plain words without numbers") for i in range(50)]
     planted = [(100 + i, f"my token = \"f33e61083db5dbdf4bd2369d2f80176e57f7fda{i}\" and 4111 1111 1111 1112 there") for i in range(9)]
