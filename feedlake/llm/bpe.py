@@ -7,7 +7,8 @@ point its class, neighbours turn classes into the symbols of a small automaton
 comes from a scan over the automaton's transition functions.  Composition of
 functions is associative and the automaton generates a small finite monoid, so
 composing two functions is one table look-up and the scan runs blockwise over
-whole batches.  The slices between boundaries feed pair merging with a bounded
+whole batches, and window by window over a text of more than ``WINDOW`` code
+points, each window starting at a boundary.  The slices between boundaries feed pair merging with a bounded
 cache.  The token offsets in the bytes are kept for decoding.
 
 Defined results: null and empty texts have no tokens and decode to no bytes;
@@ -23,7 +24,8 @@ import heapq
 import os
 import struct
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,8 @@ from feedlake.llm.common import annotate
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces in each of the two generations of a worker's cache.
 CACHE_PIECES = 150_000
+#: Code points of a long text handled at once, those at its end left to the next window, ids decoded at once.
+WINDOW, AHEAD, DECODED = 1 << 20, 3, 1 << 18
 #: Pieces up to this many bytes are merged side by side, and cached; longer
 #: ones are merged one by one with a heap.
 SHORT_BYTES = 64
@@ -186,6 +190,32 @@ def pieces_of(texts: list[str]) -> list[list[str]]:
     return out
 
 
+def long_pieces(text: str, window: int = 0) -> Iterator[list[str]]:
+    """The pre-tokens of one long text, window by window.
+
+    Whether a pre-token starts at a place depends on what stands before it,
+    back to the pre-token before, and on the next two code points.  So a
+    window that begins at a start has the whole text's starts up to ``AHEAD``
+    from its end; the last of those begins the next window."""
+    window = window or WINDOW
+    lo, size = 0, window
+    while lo < len(text):
+        part = text[lo : lo + size]
+        if lo + size >= len(text):
+            yield pieces_of([part])[0]
+            return
+        codes = np.frombuffer((part + "\x00").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        ends = np.zeros(len(codes), dtype=bool)
+        ends[-1] = True
+        starts = token_starts(codes, ends)
+        cuts = starts[starts <= len(part) - AHEAD].tolist()
+        if len(cuts) < 2:  # a pre-token longer than the window
+            size *= 2
+            continue
+        yield [part[a:b] for a, b in pairwise(cuts)]
+        lo, size = lo + cuts[-1], window
+
+
 class Codec:
     """Encoder and decoder for one rank file."""
 
@@ -299,7 +329,13 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids (little-endian unsigned 32-bit integers) of each text."""
-        lists = pieces_of(texts)
+        short = [t for t in texts if len(t) <= WINDOW]
+        packed = iter(self._pack(pieces_of(short)) if short else [])
+        return [
+            next(packed) if len(t) <= WINDOW else b"".join([self._pack([pieces])[0] for pieces in long_pieces(t)]) for t in texts
+        ]
+
+    def _pack(self, lists: list[list[str]]) -> list[bytes]:
         known: dict[str, bytes] = {}
         new = []
         for piece in set().union(*lists):
@@ -319,10 +355,22 @@ class Codec:
         """Start of each token in the text's bytes, and the end of the last."""
         return np.concatenate([[0], np.cumsum(self.lengths[np.frombuffer(packed, "<u4")])])
 
+    def decoded(self, packed: bytes) -> Iterator[bytes]:
+        """The bytes that the ids stand for, ``DECODED`` ids at a time."""
+        for lo in range(0, len(packed), 4 * DECODED):
+            part = packed[lo : lo + 4 * DECODED]
+            ids = np.frombuffer(part, "<u4")
+            place, sizes = self.offsets(part), self.lengths[ids]
+            yield self.bytes[np.arange(place[-1]) + np.repeat(self.firsts[ids] - place[:-1], sizes)].tobytes()
+
     def decode(self, packed: bytes) -> bytes:
-        ids = np.frombuffer(packed, "<u4")
-        place, sizes = self.offsets(packed), self.lengths[ids]
-        return self.bytes[np.arange(place[-1]) + np.repeat(self.firsts[ids] - place[:-1], sizes)].tobytes()
+        return b"".join(self.decoded(packed))
+
+    def decoded_sha256(self, packed: bytes) -> str:
+        digest = hashlib.sha256()
+        for part in self.decoded(packed):
+            digest.update(part)
+        return digest.hexdigest()
 
 
 @functools.cache
@@ -381,7 +429,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             return [
                 [len(p) // 4 for p in packed],
                 [sha(p).hexdigest() for p in packed],
-                [sha(coder.decode(p)).hexdigest() for p in packed],
+                [coder.decoded_sha256(p) for p in packed],
             ]
 
         return compute

@@ -1,5 +1,7 @@
 import base64
+import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -33,6 +35,32 @@ def test_codec_equals_library_and_round_trips(reference):
         assert coder.offsets(packed)[-1] == len(text.encode())
 
 
+@pytest.mark.parametrize("window", [4, 7, 16, 61])
+def test_windows_of_a_long_text_change_nothing(reference, monkeypatch, window):
+    monkeypatch.setattr(bpe, "WINDOW", window)
+    monkeypatch.setattr(bpe, "DECODED", 5)
+    coder, texts = bpe.codec(bpe.RANKS), hostile_texts(300)
+    for text, packed in zip(texts, coder.encode(texts), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == reference.encode_ordinary(text)
+        assert coder.decode(packed) == text.encode()
+        assert coder.decoded_sha256(packed) == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_memory_of_a_long_text_is_its_tokens_and_a_window():
+    coder = bpe.codec(bpe.RANKS)
+    words = [f"word{i % 5000} said " for i in range(40_000)]
+    peaks = []
+    for times in (8, 32):
+        text = "".join(words) * times
+        coder.encode([text[: 1 << 21]])
+        tracemalloc.start()
+        coder.decoded_sha256(coder.encode([text])[0])
+        peaks.append((tracemalloc.get_traced_memory()[1], len(text)))
+        tracemalloc.stop()
+    grown = (peaks[1][0] - peaks[0][0]) / (peaks[1][1] - peaks[0][1])
+    assert grown < 4  # bytes a character: the ids, twice while they are joined
+
+
 def test_heap_and_side_by_side_merging_agree():
     coder = bpe.codec(bpe.RANKS)
     rnd = random.Random(3)
