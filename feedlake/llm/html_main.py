@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -90,11 +91,18 @@ NAMES = {
 HEADERS = {"header", "masthead", "site-header", "page-header"}  # of the page; an article's own header is text
 #: Whole ids of boxes; other ids are often slugs of a heading.
 IDS = {"comments", "disqus_thread", "sidebar", "footer", "nav", "navbar", "menu", "breadcrumbs"}
+#: A box is of reader comments, too, if a part of a class name says so and none says that it only tells of them.
+COMMENTS, NOT_COMMENTS = {"comment", "comments"}, {"has", "no", "with", "without", "show", "hide", "open", "closed", "count", "code", "doc"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "toolbar"}
 #: How an element is named: not at all, in a way that a wrapper of the article may be, or for certain.
 TEXT, WRAPPER, CERTAIN = 0, 1, 2
 
 
+def _of_comments(names: list[str]) -> bool:
+    parts = [set(re.split("[-_]+", name)) for name in names]
+    return any(not COMMENTS.isdisjoint(p) and NOT_COMMENTS.isdisjoint(p) for p in parts)
+
+
 def _named_boilerplate(tag: str, attributes: str, in_main: bool) -> int:
     """Whether the tag or its attributes mark the element as not main text."""
     if tag in ("html", "body"):
@@ -115,7 +123,7 @@ def _named_boilerplate(tag: str, attributes: str, in_main: bool) -> int:
                 return CERTAIN
         elif name == "class":
             names = value.split()
-            if not NAMES.isdisjoint(names) or not (in_main or HEADERS.isdisjoint(names)):
+            if not NAMES.isdisjoint(names) or not (in_main or HEADERS.isdisjoint(names)) or (tag in BOXES and _of_comments(names)):
                 found = WRAPPER
         elif name == "id" and value in IDS and tag in ("div", "section", "ul", "ol"):
             found = WRAPPER
@@ -143,6 +151,7 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
     inside: list[bool] = []  # whether a block lies in the article
     text: list[str] = []
     stack: list[_Open] = [_Open("", "", 0, 0, TEXT, False)]
+    places: defaultdict[str, list[int]] = defaultdict(list)  # where each tag's open elements are in the stack
     hashes: set[int] = set()
     spans: list[tuple[int, int, bool]] = []  # blocks of template subtrees, and whether in the article
     has_main = has_wrapped = False
@@ -167,6 +176,7 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
             if stack[-1].tag in BLOCKS:
                 flush()
             top = stack.pop()
+            places[top.tag].pop()
             filled = len(body) > top.blocks
             least = LONG_BOX if top.tag in BOXES else LONG_LINE
             value = (top.hash.intdigest() - (1 << 63)) & ~1 | (least <= chars - top.chars <= MOST_CHARS)  # the last bit: by number
@@ -177,13 +187,13 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
                     spans.append((top.blocks, len(body), top.main))
             stack[-1].hash.update(value.to_bytes(8, "little", signed=True))
 
+    def last(tags: set[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def close_open(tags: set[str], limits: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                close(i)
-                return
-            if stack[i].tag in limits:
-                return
+        depth = last(tags)
+        if depth > last(limits - tags):
+            close(depth)
 
     at, size = 0, len(source)
     while at < size:
@@ -198,7 +208,7 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
         if not tag:
             continue
         if found[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            depth = last({tag})
             if depth:
                 close(depth)
             elif tag in BLOCKS:
@@ -219,6 +229,7 @@ def read_page(source: str, template: frozenset[int] = frozenset(), wrapped: bool
             skip = TEXT if wrapped else skip
         main = top.main or (tag in MAIN and not skip)
         has_main |= main
+        places[tag].append(len(stack))
         stack.append(_Open(tag, attributes if not main else "", len(body), chars, skip, main))
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE).search(source, at)
@@ -275,11 +286,13 @@ def templates(contents: DataFrame, min_pages: int = MIN_PAGES, share: float = SH
     count = F.count(F.lit(1))
     sizes = contents.select(F.col("host").alias("h"), "content").distinct().groupBy("h").agg(count.alias("pages"))
     each = contents.select("host", F.explode("hashes").alias("hash"), "content").distinct()
-    counts = each.groupBy("host", "hash").agg(count.alias("n"))
+    counts = each.groupBy("host", "hash").agg(count.alias("n")).where(F.col("n") >= min_pages)
+    # both sides from tables, so that Spark can split a host with very many subtrees
+    sizes, counts = staged(sizes, "host-pages"), staged(counts, "subtree-counts")
     by_share = F.col("pages") * F.lit(share)
     by_number = F.least(by_share, F.lit(min_pages) * F.log10("pages"))
     least = F.when(F.col("hash").bitwiseAND(F.lit(1)) == 1, by_number).otherwise(by_share)
-    return counts.where(F.col("n") >= min_pages).join(sizes, F.col("host") == F.col("h")).where(F.col("n") >= least).select("host", "hash")
+    return counts.join(sizes, F.col("host") == F.col("h")).where(F.col("n") >= least).select("host", "hash")
 
 
 def page_templates(contents: DataFrame, known: DataFrame) -> DataFrame:

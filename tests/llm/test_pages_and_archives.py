@@ -178,3 +178,33 @@ def test_small_payloads_can_stay_responses(spark):
     rows = [(1, "u", "tiny"), (2, "u", "tiny"), (3, "u", "large " * 20), (4, "u", "large " * 20)]
     plan = warc.plan_records(spark.createDataFrame(rows, PAGES), min_revisit_bytes=50)
     assert {r.page_id: r.revisit for r in plan.collect()} == {1: False, 2: False, 3: False, 4: True}
+
+
+def test_reader_comments_by_a_part_of_the_class_name():
+    article = "<article><p>the text</p>{}</article>"
+    for name in ("post-comments", "comment-body", "user-comments", "comments__list", "c-comment"):
+        for box in (f"<div class='{name}'><p>me first</p></div>", f"<section class='x {name}'>me first</section>"):
+            assert html_main.read_page(article.format(box))[0] == "the text", name
+    # a box that only tells of comments, and a comment in shown code
+    for name in ("has-comments", "no-comments", "code-comment"):
+        assert html_main.read_page(article.format(f"<div class='{name}'>more</div>"))[0] == "the text\nmore"
+    code = "<pre><span class='comment'># add</span> x + 1</pre>"
+    assert html_main.read_page(article.format(code))[0] in ("the text\n# add x + 1", "the text\nx + 1")
+    assert html_main.read_page(f"<div class='with-sidebar post-comments'>{article.format('')}</div>")[0] == "the text"
+
+
+def test_deep_and_unbalanced_pages_take_linear_time():
+    import time
+
+    def seconds(n):
+        pages = [
+            "<div>" * n + "deep" + "</span>" * n, "<p><div>" + "<span>" * n + "<p>x</p>" * n, "<b>" * n + "<li>x" * n,
+            "<div><p>" * n + "end", "</div>" * n + "text",
+        ]
+        start = time.perf_counter()
+        texts = [html_main.read_page(p)[0] for p in pages]
+        assert texts[0] == "deep" and texts[4] == "text"
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(100_000) < 30 * max(seconds(10_000), 0.05)
