@@ -50,7 +50,8 @@ s AS (
          sum(hosts.n * (f / hosts.n - a.mean) ** 2) / any_value(a.n) - any_value(a.mean * (1 - a.mean) * a.h / a.n) AS excess
   FROM hosts, a),
 prior AS (SELECT mean, CASE WHEN excess <= 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0, noise / excess - 1)) END AS strength FROM s),
-bad AS (SELECT source AS host FROM hosts, prior WHERE (f + mean * strength) / (n + strength) > 0.5)
+p AS (SELECT source, mean, n + strength AS weight, (f + mean * strength) / (n + strength) AS rate FROM hosts, prior),
+bad AS (SELECT source AS host FROM p WHERE rate - 1.96 * sqrt(rate * (1 - rate) / (weight + 1)) > 1.5 * mean)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (host IS NOT NULL AND (100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 10 * n_words)) AS kept
 FROM b LEFT JOIN bad ON b.source = bad.host"""

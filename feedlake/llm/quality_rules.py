@@ -1,11 +1,15 @@
 """Quality rules with host verdicts (operator 8).
 
 Every text is measured in one pass.  Its own rules decide ``base_failed``.
-The failures are then counted per host, each host's failure rate is shrunk
-towards the corpus with an empirical beta prior, and the verdict of a host
-whose shrunken rate exceeds ``host_limit`` is joined back: documents of such a
-host must also meet the strict rules.  The join carries only the (few) failing
-hosts, and Spark may split a hot host's rows since nothing groups by host.
+The failures are then counted per host, and each host's failure rate is shrunk
+towards the corpus with an empirical beta prior, fitted by moments over all
+hosts.  A host is bad if its posterior leaves little doubt that it fails much
+more often than the corpus: the rate less ``DOUBT`` posterior deviations is
+above ``MARGIN`` times the corpus' rate.  Where the hosts differ no more than
+chance explains, the prior is strong and no host is bad.  The verdict is joined
+back: documents of a bad host must also meet the strict rules.  The join
+carries only the (few) bad hosts, and Spark may split a hot host's rows since
+nothing groups by host.
 
 Defined results: null, empty and blank texts have no words and fail; a null
 host has no verdict of its own; repeated rows each count; empty input gives
@@ -30,8 +34,11 @@ REPEAT_PERCENT = 20
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
-#: A host whose shrunken failure rate is above this is held to strict rules.
-HOST_LIMIT = 0.5
+#: A bad host's rate, less so many posterior deviations (97.5 % one-sided), is
+#: above this multiple of the corpus' rate; its documents are held to strict rules.
+DOUBT, MARGIN = 1.96, 1.5
+#: Most documents that the prior may weigh.
+MOST_STRENGTH = 1000.0
 #: Strict rules: percent of symbols per word, of repeated lines per word.
 STRICT_SYMBOL_PERCENT = 10
 STRICT_LINE_PERCENT = 10
@@ -95,8 +102,9 @@ def strict_failed(n_words: Column, n_symbols: Column, n_dup_lines: Column) -> Co
 
 
 def host_rates(flags: DataFrame, host_col: str, failed_col: str) -> DataFrame:
-    """Per host: documents, failures and the failure rate shrunk by a beta
-    prior whose mean and strength are fitted by moments over all hosts."""
+    """Per host: documents, failures, the failure rate shrunk by a beta prior
+    whose mean and strength are fitted by moments over all hosts, its posterior
+    deviation, and the corpus' rate."""
     hosts = (
         flags.where(F.col(host_col).isNotNull())
         .groupBy(F.col(host_col).alias("host"))
@@ -107,21 +115,23 @@ def host_rates(flags: DataFrame, host_col: str, failed_col: str) -> DataFrame:
         F.count(F.lit(1)).alias("h"), F.sum("n").alias("n"), F.sum("f").alias("f")
     ).first()
     if not whole.n:
-        return hosts.withColumn("rate", F.lit(0.0))
+        return hosts.withColumns({"rate": F.lit(0.0), "deviation": F.lit(0.0), "corpus": F.lit(0.0)})
     mean = whole.f / whole.n
     spread = hosts.agg(F.sum(F.col("n") * F.pow(F.col("f") / F.col("n") - mean, 2))).first()[0] / whole.n
     noise = mean * (1 - mean)
     excess = spread - noise * whole.h / whole.n
-    strength = 1000.0 if excess <= 0 else min(1000.0, max(1.0, noise / excess - 1))
-    return hosts.withColumn("rate", (F.col("f") + mean * strength) / (F.col("n") + strength))
+    strength = MOST_STRENGTH if excess <= 0 else min(MOST_STRENGTH, max(1.0, noise / excess - 1))
+    hosts = hosts.withColumn("rate", (F.col("f") + mean * strength) / (F.col("n") + strength))
+    deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + strength + 1))
+    return hosts.withColumns({"deviation": deviation, "corpus": F.lit(float(mean))})
 
 
-def _verdicts(rows: DataFrame, flags: DataFrame, host_col: str, failed: str, strict: str, kept: str, host_limit: float) -> DataFrame:
+def _verdicts(rows: DataFrame, flags: DataFrame, host_col: str, failed: str, strict: str, kept: str, margin: float) -> DataFrame:
     """``rows`` with the boolean column ``kept``."""
     bad = free_name(rows, "_bad_host")
     hosts = (
         host_rates(flags, host_col, failed)
-        .where(F.col("rate") > host_limit)
+        .where(F.col("rate") - DOUBT * F.col("deviation") > margin * F.col("corpus"))
         .select(F.col("host").alias(bad))
     )
     joined = rows.join(hosts, F.col(host_col) == F.col(bad), "left")
@@ -132,7 +142,7 @@ def _verdicts(rows: DataFrame, flags: DataFrame, host_col: str, failed: str, str
 
 def rule_report(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    host_limit: float = HOST_LIMIT,
+    margin: float = MARGIN,
 ) -> DataFrame:
     """Per document: id, the measures, ``base_failed`` and ``kept``.
 
@@ -149,13 +159,13 @@ def rule_report(
         ),
         "rule-measures",
     )
-    return _verdicts(stats, stats, "host", "base_failed", "strict_failed", "kept", host_limit).drop(
+    return _verdicts(stats, stats, "host", "base_failed", "strict_failed", "kept", margin).drop(
         "host", "strict_failed"
     )
 
 
 def keep_good(
-    docs: DataFrame, text_col: str = "text", host_col: str = "source", host_limit: float = HOST_LIMIT
+    docs: DataFrame, text_col: str = "text", host_col: str = "source", margin: float = MARGIN
 ) -> DataFrame:
     """The documents that the rules keep, with their columns unchanged.
 
@@ -173,5 +183,5 @@ def keep_good(
         ).withColumn(strict, strict_failed(F.col(words), F.col(symbols), F.col(lines)))
 
     flags = flagged(docs.select(host_col, text_col)).select(host_col, failed)
-    out = _verdicts(flagged(docs), flags, host_col, failed, strict, kept, host_limit)
+    out = _verdicts(flagged(docs), flags, host_col, failed, strict, kept, margin)
     return out.where(F.col(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])
