@@ -267,14 +267,17 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, hot_bucket: int = HO
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (u, v); the root is the
     smallest node of the component.  Large-star and small-star steps alternate
-    until no link changes."""
+    until no link changes.  The minima that a step joins back are staged, so
+    that both sides of the join are plain exchanges and the rows of a node
+    with very many links may be split."""
     edges = staged(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = staged(low, "star-minima")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "star-minima")
         small = (
             large.join(least, "u")
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("x"))
@@ -296,7 +299,7 @@ def _classes(prints: DataFrame, max_bits: int, hot_bucket: int) -> DataFrame:
     ``prints`` has (fp, rep)."""
     nodes = components(near_links(prints, max_bits, hot_bucket))
     rooted = prints.join(nodes, F.col("fp") == F.col("node")).select("fp", "root", "rep")
-    ids = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    ids = staged(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "component-ids")
     return rooted.join(ids, "root").select("fp", "component_id")
 
 
@@ -328,7 +331,8 @@ def keep_one(
     """One document of each component, the one with the smallest id (null ids
     last), with its columns unchanged.  Different rows that repeat that id
     inside the component are told apart by a hash of the row; of identical
-    rows one stays.  The rows join their winners by fingerprint, id and row
+    rows one stays.  Columns of maps, which Spark neither hashes nor compares,
+    are refused by it.  The rows join their winners by fingerprint, id and row
     hash together, so the copies of a large group spread over all tasks."""
     fp, tag = free_name(docs, "_fp"), free_name(docs, "_row")
     base = [F.col(f"`{c}`") for c in docs.columns]

@@ -67,6 +67,31 @@ def test_host_verdict_is_strict_only_for_failing_hosts(docs_of):
     assert {300, 301} <= kept
 
 
+def host_corpus(shares, size=60):
+    """Hosts whose documents fail at the given shares; each other document is
+    good, every fifth of those with many symbols."""
+    good = " ".join(f"word{i}" for i in range(30))
+    rows = []
+    for h, share in enumerate(shares):
+        for i in range(size):
+            text = "too short" if i < share * size else good + (" ####" if i % 5 else "")
+            rows.append((h * size + i, text, f"h{h}.example"))
+    return rows
+
+
+def test_the_prior_decides_which_hosts_are_bad(docs_of):
+    shares = [0.05, 0.08, 0.1, 0.06, 0.04, 0.09, 0.07, 0.05, 0.6, 0.5]
+    rows = host_corpus(shares)
+    report = quality_rules.rule_report(docs_of(rows)).where("kept != (NOT base_failed)").collect()
+    assert {r.doc_id // 60 for r in report} == {8, 9}  # the method changes documents of the bad hosts only
+    assert len(report) == sum(t.endswith("####") for _, t, h in rows if h in ("h8.example", "h9.example"))
+    assert all(100 * r.n_symbols > 10 * r.n_words for r in report)
+    # hosts that differ by chance only: none is bad, whatever their rate
+    for share in (0.1, 0.4):
+        alike = host_corpus([share + d for d in (0, 0.03, -0.03, 0.02, -0.02, 0.01)])
+        assert quality_rules.rule_report(docs_of(alike)).where("kept != (NOT base_failed)").count() == 0
+
+
 def test_rules_on_empty_and_clashing_tables(docs_of):
     docs = docs_of([(1, "a " * 30), (2, None)]).withColumnRenamed("lang", "kept").withColumnRenamed("n_chars", "_rule_0")
     assert quality_rules.rule_report(docs).count() == 2
