@@ -90,24 +90,60 @@ def verify_written(spark, path: str, expected_rows: int, fmt: str = "parquet") -
     return {"rows_written": expected_rows, "rows_read": found, "ok": found == expected_rows}
 
 
-def export_csv(df: DataFrame, path: str, header: bool = True) -> None:
+#: Bytes that a file of a CSV export has at most, and of a usual one to a row's mean.
+CSV_FILE_BYTES, CSV_ROOM = 128 << 20, 8
+
+
+def _csv_width(df: DataFrame) -> Column:
+    """Bytes of a row's line at most: every text in quotes, its own doubled."""
+    parts = []
+    for f in df.schema.fields:
+        text = F.col(f"`{f.name}`").cast("string")
+        quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+        parts.append(F.coalesce((F.octet_length(text) + quotes).cast("long"), F.lit(2)) + F.lit(3))
+    return reduce(lambda x, y: x + y, parts, F.lit(0).cast("long"))
+
+
+def export_csv(df: DataFrame, path: str, header: bool = True, max_file_bytes: int = CSV_FILE_BYTES) -> None:
     """CSV that ``read_csv`` reads back unchanged: quotes are doubled, blanks
     and line breaks kept, the empty text (quoted) differs from null (``\\N``);
-    a text that looks like the null mark gets one more backslash."""
+    a text that looks like the null mark gets one more backslash.
+
+    A file with line breaks inside values is read by one task, so files are
+    bounded: no file exceeds ``max_file_bytes`` (but for a single longer row).
+    Rows are measured in a first pass; a file has as many as fit if each is
+    ``CSV_ROOM`` times the mean.  Longer ones, an eighth of all rows at most,
+    go to files of their own, as many as fit of the longest.  The former
+    export stays until the new one is written.
+    """
     marked = df.select(
         *[
-            F.when(F.col(f.name).rlike(CSV_NULL_LIKE), F.concat(F.lit("\\"), F.col(f.name))).otherwise(F.col(f.name)).alias(f.name)
+            F.when(F.col(f"`{f.name}`").rlike(CSV_NULL_LIKE), F.concat(F.lit("\\"), F.col(f"`{f.name}`"))).otherwise(F.col(f"`{f.name}`")).alias(f.name)
             if isinstance(f.dataType, StringType)
-            else F.col(f.name)
+            else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
     )
-    marked.write.mode("overwrite").options(**CSV_OPTIONS, header=str(header).lower()).csv(path)
+    spark, width, commit_id = df.sparkSession, _csv_width(marked), commit.new_id()
+    room = max_file_bytes - sum(len(c.encode()) + 3 for c in df.columns)
+    mean, longest = marked.agg(F.avg(width), F.max(width)).first()
+    usual = max(1, int(room // (CSV_ROOM * (mean or 1))))
+    sets = [(marked, usual)]
+    if longest and usual * longest > room:
+        fits = width <= F.lit(room // usual)
+        sets = [(marked.where(fits), usual), (marked.where(~fits), max(1, room // longest))]
+    for rows, records in sets:
+        writer = rows.write.mode("append").options(**CSV_OPTIONS, header=str(header).lower())
+        writer.option("maxRecordsPerFile", records).csv(commit.staging_path(path, commit_id))
+    commit.commit(spark, path, commit_id)
 
 
 def export_json(df: DataFrame, path: str) -> None:
-    """JSON lines, one object per row (what Spark and most readers split)."""
-    df.write.mode("overwrite").json(path)
+    """JSON lines, one object per row (what Spark and most readers split).
+    The former export stays until the new one is written."""
+    commit_id = commit.new_id()
+    df.write.json(commit.staging_path(path, commit_id))
+    commit.commit(df.sparkSession, path, commit_id)
 
 
 def export_json_documents(
@@ -133,8 +169,10 @@ def export_json_documents(
     )
     bucket = F.pmod(F.xxhash64("_group", "_part"), F.lit(buckets)).alias("bucket")
     # one document per file: a multi-line JSON file holds exactly one value
-    writer = docs.select("value", bucket).write.mode("overwrite").option("maxRecordsPerFile", 1)
-    writer.partitionBy("bucket").text(path)
+    commit_id = commit.new_id()
+    writer = docs.select("value", bucket).write.option("maxRecordsPerFile", 1)
+    writer.partitionBy("bucket").text(commit.staging_path(path, commit_id))
+    commit.commit(df.sparkSession, path, commit_id)
 
 
 def table_exists(spark, path: str) -> bool:

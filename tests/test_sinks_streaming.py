@@ -53,6 +53,29 @@ def test_csv_and_json_exports_round_trip(spark, tmp_path):  # K3, K4
     assert sorted(map(str, back.collect())) == want
 
 
+@pytest.mark.parametrize("limit", [20_000, 200_000])
+def test_csv_files_are_bounded_and_read_in_parallel(spark, tmp_path, limit):  # K3
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == 7, F.repeat(F.lit('a"b'), 30_000)).otherwise(F.col("text")))
+    path = str(tmp_path / "c")
+    sinks.export_csv(docs, path, max_file_bytes=limit)
+    sinks.export_csv(docs, path, max_file_bytes=limit)  # again: replaced, not added to
+    files = {f: os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.endswith(".csv")}
+    for name in (f for f, size in files.items() if size > limit):  # only a row that is longer by itself
+        assert sources.read_csv(spark, f"{path}/{name}", docs.schema).count() == 1
+    assert limit < 150_000 or max(files.values()) <= limit
+    back = sources.read_csv(spark, path, docs.schema)
+    assert back.rdd.getNumPartitions() > 1 or limit > sum(files.values())
+    assert len(files) >= sum(files.values()) / limit
+    assert sorted(map(str, back.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_csv_of_no_rows(spark, tmp_path):
+    df = spark.createDataFrame([], "i int, t string")
+    sinks.export_csv(df, str(tmp_path / "c"))
+    assert sources.read_csv(spark, str(tmp_path / "c"), df.schema).count() == 0
+
+
 def test_pretty_json_documents_read_back(spark, tmp_path):  # S2, F23
     rows = [(i, None if i < 2 else i // 3, f"n{i}") for i in range(10)] + [(10, 3, "n9"), (11, 3, "n9")]
     df = spark.createDataFrame(rows, "id long, grp long, name string")
