@@ -31,12 +31,13 @@ white space or every ``PIECE`` code points.  Empty input gives empty output.
 from __future__ import annotations
 
 import functools
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,9 @@ from feedlake.llm.common import annotate, free_name, held_out, staged, text_slic
 MODEL = "piece_bpe_32k.model"
 HELD_OUT_MOD = 3
 MAX_LANGUAGES = 1000
-TOLERANCE, MAX_ROUNDS = 1e-3, 20
+TOLERANCE, MAX_ROUNDS = 5e-3, 20
+#: The first guess of a piece's share is one by its rank and this.
+RANK_SHIFT = 10
 #: Weight of the all-language shares, in pieces; of each piece in those.
 SHARED_WEIGHT, PIECE_WEIGHT = 100.0, 0.5
 #: Code points of a run, of a slice of a text; words a task remembers, of what length.
@@ -318,28 +321,31 @@ def word_table(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     the number of texts in one row per language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[tuple[str, str | None]] = Counter()
+        total: defaultdict[str, Counter[str | None]] = defaultdict(Counter)
 
         def flush() -> pa.RecordBatch:
-            rows = [(lang, word, n) for (lang, word), n in total.items()]
+            langs = [lang for lang, words in total.items() for _ in words]
+            words = [w for counts in total.values() for w in counts]
+            counts = [n for words in total.values() for n in words.values()]
             total.clear()
-            return pa.RecordBatch.from_pydict(
-                {"lang": pa.array([r[0] for r in rows], pa.string()), "word": pa.array([r[1] for r in rows], pa.string()),
-                 "n": pa.array([r[2] for r in rows], pa.int64())}
+            return pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(counts, pa.int64())], names=["lang", "word", "n"]
             )
 
         for batch in batches:
             langs, at = batch.column("lang").to_pylist(), 0
             for texts in text_slices(batch.column("text")):
                 for text in texts:
-                    lang = langs[at]
+                    counts = total[langs[at]]
                     at += 1
-                    total[lang, None] += 1
+                    counts[None] += 1
                     for words in words_of(text):
-                        for word, n in Counter(words).items():
-                            total[lang, word] += n
-                        if len(total) > FLUSH_WORDS:
+                        counts.update(words)
+                        if len(counts) > FLUSH_WORDS:
                             yield flush()
+                            counts = total[langs[at - 1]]
+                if sum(map(len, total.values())) > FLUSH_WORDS:
+                    yield flush()
         if total:
             yield flush()
 
@@ -351,14 +357,14 @@ def _round(words: DataFrame, languages: list[str], log_p: np.ndarray, path: str)
     """Expected piece counts per language, and the log-likelihood."""
     spark = words.sparkSession
     sent = spark.sparkContext.broadcast(log_p.astype(np.float32))  # languages x pieces: bounded
-    numbers = {lang: i for i, lang in enumerate(languages)}
+    known = pa.array(languages, pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc, table = vocabulary(path), sent.value
         counts, likelihood = np.zeros(table.shape), 0.0
         for batch in batches:
             texts = batch.column("word").to_pylist()
-            lang = np.array([numbers[v] for v in batch.column("lang").to_pylist()], dtype=np.int64)
+            lang = pc.index_in(batch.column("lang"), known).to_numpy().astype(np.int64)
             times = batch.column("n").to_numpy().astype(np.float64)
             for part in _in_parts(texts, 1):
                 lattice = Lattice([texts[i] for i in part], voc)
@@ -395,7 +401,9 @@ def train(
         raise ValueError(f"more than {max_languages} languages")
     languages = sorted(r.lang for r in words.select("lang").distinct().collect())  # those of `texts` with words
     size = vocabulary(path).size
-    log_p = np.full((len(languages), size), -np.log(size))
+    # the vocabulary lists its pieces from the more to the less frequent
+    guess = 1 / (np.arange(size) + RANK_SHIFT)
+    log_p = np.tile(np.log(guess / guess.sum()), (len(languages), 1))
     if not languages:
         return Model([], np.zeros(0), log_p, [], path)
     history: list[float] = []
@@ -439,14 +447,17 @@ class Scorer:
 
     def _add(self, total: np.ndarray, held: list[str], owner: list[int], size: list[int]) -> None:
         """Add the words' log probabilities to their texts' totals."""
-        new = [w for w in dict.fromkeys(held) if w not in self.at]
-        # also bounds the remembered numbers, of many languages
-        if len(self.at) + len(new) > min(CACHE_WORDS, 4 * CELLS // max(1, self.rows.shape[1])):
-            self.at = {}
-            new = list(dict.fromkeys(held))
+        places = list(map(self.at.get, held))  # the only look-up of a remembered word
+        new = list(dict.fromkeys([w for w, place in zip(held, places, strict=True) if place is None]))
         if new:
+            # also bounds the remembered numbers, of many languages
+            if len(self.at) + len(new) > min(CACHE_WORDS, 4 * CELLS // max(1, self.rows.shape[1])):
+                self.at = {}
+                new = list(dict.fromkeys(held))
+                places = [None] * len(held)
             self._learn(new)
-        rows = self.rows[[self.at[w] for w in held]]
+            places = [self.at[w] if place is None else place for w, place in zip(held, places, strict=True)]
+        rows = self.rows[places]
         first = np.cumsum([0, *size[:-1]])
         np.add.at(total, owner, np.add.reduceat(rows, first, axis=0))
 
