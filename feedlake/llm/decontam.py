@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import annotate, free_name, staged, text_slices
+from feedlake.session import scratch_path
 
 WINDOW = 13
 SHINGLE = 3
@@ -249,6 +251,7 @@ def _indexes(docs: DataFrame, text_col: str, benchmark: DataFrame, item_col: str
         counts = [np.zeros(len(t.grams), dtype=np.int64) for t in index.tables]
         for row in sums.collect():  # one row per shingle of the block at most
             counts[row.k][row.gram] = row.n
+        shared.destroy()
         yield context.broadcast(choose_prefixes(index, counts))
 
 
@@ -258,7 +261,8 @@ def mark_documents(
 ) -> DataFrame:
     """``docs`` with the number of words, of hit words, and the sorted ids of
     the benchmark items found.  Input columns of those names are replaced."""
-    indexes = list(_indexes(docs, text_col, benchmark, item_col, item_text_col, window, shingle, block_words))
+    indexes = _indexes(docs, text_col, benchmark, item_col, item_text_col, window, shingle, block_words)
+    only, further = next(indexes), next(indexes, None)
     fields = "`{}` long, `{}` long, `{}` array<string>".format(*names)
 
     def make_for(shared, with_places: bool) -> Callable:
@@ -276,17 +280,20 @@ def mark_documents(
 
         return make
 
-    if len(indexes) == 1:
-        return annotate(docs, text_col, fields, make_for(indexes[0], False))
-    # more blocks: each queries all documents; only hits are kept and merged
+    if further is None:
+        return annotate(docs, text_col, fields, make_for(only, False))
+    # more blocks: each queries all documents; only hits are kept, written
+    # block by block so that an index goes when its block is done, and merged
     n_words, n_hit, items = names
     key = F.struct(F.xxhash64(text_col).alias("a"), F.length(text_col).alias("b"), F.crc32(F.col(text_col).cast("binary")).alias("c"))
     texts = docs.select(text_col, key.alias("k"))
-    found = None
-    for shared in indexes:
+    path = scratch_path(docs.sparkSession, "decontamination-blocks")
+    for shared in chain((only, further), indexes):
         hits = annotate(texts, text_col, "w long, p array<long>, i array<string>", make_for(shared, True))
         hits = hits.where(F.size("p") > 0).select("k", "p", "i").dropDuplicates(["k"])
-        found = hits if found is None else found.unionByName(hits)
+        hits.write.mode("append").parquet(path)
+        shared.destroy()
+    found = docs.sparkSession.read.schema(hits.schema).parquet(path)
     merged = staged(
         found.groupBy("k").agg(F.size(F.array_distinct(F.flatten(F.collect_list("p")))).cast("long").alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("i")))).alias("i")),
         "decontamination-hits",
