@@ -12,6 +12,12 @@ one document; nothing is sampled or dropped.
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,24 +171,83 @@ def landing_zone(events: DataFrame, customer: DataFrame, pages: DataFrame) -> Da
     )
 
 
-def landed_files(spark: SparkSession, name: str, docs: DataFrame, buckets: int = 64) -> str:
+#: Folders over which landed files are spread.
+LANDED_BUCKETS = 64
+
+
+def _file_system(path: str) -> tuple[arrow_fs.FileSystem, str] | None:
+    """Arrow's file system of an address and the path in it; none if Arrow
+    doesn't know such addresses."""
+    try:
+        return arrow_fs.FileSystem.from_uri(re.sub(r"^file:/+", "/", path))
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return None
+
+
+def _land(files: DataFrame, path: str) -> int:
+    """Write each row ``(folder, name, value)`` as a file of its own; how many.
+
+    Rows are dealt out by their place, whatever partitions they come in, and
+    every task writes its files one after the other, as a fetcher does.  Spark's
+    writers need a record writer, four changes of mode, a check sum file and a
+    move in the job's commit per file.  A file appears whole, by a rename,
+    under a place of its own: a task that runs again replaces its files.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (fs, base), made, n = _file_system(path), set(), 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                folder, name, value = (column[i] for column in batch.columns)
+                place = f"{base}/{folder}"
+                if place not in made:
+                    fs.create_dir(place, recursive=True)
+                    made.add(place)
+                draft = f"{place}/.{uuid.uuid4().hex}"  # invisible to readers
+                with fs.open_output_stream(draft) as out:
+                    if value.is_valid:
+                        out.write(value.as_buffer())
+                    out.write(b"\n")  # as Spark's text writer ends a record
+                fs.move(draft, f"{place}/{name}")
+            n += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    dealt = files.select("folder", "name", "value").repartition("folder", "name")
+    return dealt.mapInArrow(run, "n long").groupBy().sum("n").first()[0] or 0
+
+
+def landed_files(spark: SparkSession, name: str, docs: DataFrame, buckets: int = LANDED_BUCKETS) -> str:
     """Directory of newly landed files, one document (column ``value``) per
     file, spread over ``buckets`` sub-directories by a hash of the text."""
     path = scratch_path(spark, f"landed-{name}")
-    bucket = F.pmod(F.xxhash64("value"), F.lit(buckets)).alias("bucket")
-    docs.select("value", bucket).write.option("maxRecordsPerFile", 1).partitionBy("bucket").text(path)
+    bucket = F.pmod(F.xxhash64("value"), F.lit(buckets))
+    if _file_system(path) is None:
+        docs.select("value", bucket.alias("bucket")).write.option("maxRecordsPerFile", 1).partitionBy("bucket").text(path)
+        return path
+    folder = F.concat(F.lit("bucket="), bucket.cast("string"))
+    number = F.concat(F.monotonically_increasing_id().cast("string"), F.lit(".txt"))
+    if _land(docs.select(folder.alias("folder"), number.alias("name"), "value"), path) == 0:
+        docs.select("value").limit(0).write.text(path)  # an empty directory
     return path
 
 
-#: Name of a landed file by its folder (see ``named_files``).
-NAME_IN_PATH = r"/file_name=([^/]+)/"
+#: Name of a landed file by its path (see ``named_files``).
+NAME_IN_PATH = r"(?:/file_name=(?=[^/]+/[^/]+$)|/(?=[^/]+~[0-9a-f]{32}\.txt$))(.+?)(?:/[^/]+|~[0-9a-f]{32}\.txt)$"
 
 
 def named_files(docs: DataFrame, path: str) -> None:
-    """Add landed documents to a directory, each a file of its own in a folder
-    of its name (Spark's writers name files themselves)."""
-    files = docs.select("file_name", F.col("doc").alias("value"))
-    files.write.option("maxRecordsPerFile", 1).partitionBy("file_name").mode("append").text(path)
+    """Add landed documents to a directory, each a file of its own under its
+    name and the hash of its path, since names may repeat.
+
+    In a store that Arrow doesn't know, Spark's writer lands them, which names
+    files itself: there each lies in a folder of its name."""
+    if _file_system(path) is None:
+        files = docs.select("file_name", F.col("doc").alias("value"))
+        files.write.option("maxRecordsPerFile", 1).partitionBy("file_name").mode("append").text(path)
+        return
+    folder = F.concat(F.lit("bucket="), F.pmod(F.xxhash64("file_path"), F.lit(LANDED_BUCKETS)).cast("string"))
+    name = F.concat("file_name", F.lit("~"), F.md5(F.col("file_path").cast("binary")), F.lit(".txt"))
+    _land(docs.select(folder.alias("folder"), name.alias("name"), F.col("doc").alias("value")), path)
 
 
 # -- damage -------------------------------------------------------------------------------
