@@ -39,21 +39,15 @@ class TableFiles:
     """The files of one table directory, through Spark's file systems."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark.sparkContext._jvm
+        # every step of a name in the JVM is a round trip: the class once
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._utils = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
         self.root = self._path(root)
+        self._base = self.root.toString().rstrip("/")
         self.fs = self.root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _path(self, *parts: str):
-        path = self._jvm.org.apache.hadoop.fs.Path(parts[0])
-        for part in parts[1:]:
-            path = self._jvm.org.apache.hadoop.fs.Path(path, part)
-        return path
-
     def at(self, relative: str):
-        path = self.root
-        for part in relative.split("/"):
-            path = self._jvm.org.apache.hadoop.fs.Path(path, part)
-        return path
+        return self._path(f"{self._base}/{relative}")
 
     def exists(self, relative: str) -> bool:
         return self.fs.exists(self.at(relative))
@@ -96,7 +90,7 @@ class TableFiles:
     def read_text(self, relative: str) -> str:
         stream = self.fs.open(self.at(relative))
         try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self._utils.toString(stream, "UTF-8")
         finally:
             stream.close()
 

@@ -146,3 +146,17 @@ def test_merge_reads_no_copy(spark, tmp_path, monkeypatch):  # the merged rows a
     for _ in range(2):
         sinks.merge_into_chart_table(spark, pts, path)
     assert spark.read.schema(chart_table("price")).parquet(path).count() == 20
+
+
+def test_a_swap_takes_few_round_trips_a_partition(spark, tmp_path, monkeypatch):
+    df = spark.range(60).select((F.col("id") % 30).alias("k"), F.lit("2025-07-01").cast("date").alias("day"), "id", F.lit(1.0).alias("v"))
+    path, client, calls = str(tmp_path / "t"), spark.sparkContext._gateway._gateway_client, []
+    FORMS["touched"](df, path)
+    df.write.partitionBy(*BY).save(commit.staging_path(path, "1"))
+    real = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda *a, **k: calls.append(a[0][:1]) or real(*a, **k))
+    commit.commit(spark, path, "1", 2)
+    monkeypatch.undo()
+    calls = [c for c in calls if c != "m"]  # without those that free objects
+    print(len(calls) / 30)
+    assert len(calls) < 50 * 30 and spark.read.parquet(path).count() == 60
