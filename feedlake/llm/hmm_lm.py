@@ -51,6 +51,8 @@ GROUPS, OWN_GROUPS, PAIR_ROUNDS = 64, 48, 60
 COUNT_KEYS, SIDE_TOKENS = 400_000, 500_000
 #: Training keeps the states of so many steps at a time; scoring cuts longer texts than EXACT tokens.
 BLOCK, EXACT = 16_384, 8_192
+#: Steps between two scalings: a step divides by 1e18 at most (a class seen once in 30 GB).
+RESCALE = 8
 #: Weight of the corpus share of a class in a state's emissions.
 SMOOTH = 50.0
 #: Words up to this many bytes are keys themselves, longer ones by a digest;
@@ -66,13 +68,21 @@ def key_of(word: bytes) -> bytes:
     return word if len(word) <= KEY_BYTES else b" " + xxhash.xxh3_128_digest(word)
 
 
+#: A word's length as its class has it.
+LENGTHS = [bytes([min(n // 4, 4)]) for n in range(KEY_BYTES + 1)]
+
+
 @functools.lru_cache(maxsize=200_000)
+def _class_of(end: bytes) -> int:
+    return FIRST_ENDING + xxhash.xxh32_intdigest(end) % ENDINGS
+
+
 def ending_class(key: bytes) -> int:
-    """Class of a word without one of its own: by its last letters and length."""
+    """Class of a word without one of its own: by its last letters and length.
+    Endings recur where such words do not, so endings are remembered."""
     if key[:1] == b" ":
         return CLASSES - 1
-    end = key.rstrip(b".,;:!?#*$%&'\")")[-3:] + bytes([min(len(key) // 4, 4)])
-    return FIRST_ENDING + xxhash.xxh32_intdigest(end) % ENDINGS
+    return _class_of(key.rstrip(b".,;:!?#*$%&'\")")[-3:] + LENGTHS[min(len(key), KEY_BYTES)])
 
 
 def words_of(text: str) -> list[bytes]:
@@ -181,7 +191,11 @@ def encoder(shared) -> Callable[[], Callable[[list[str]], list]]:
             lists = [words_of(t) for t in texts]
             sizes = np.array([len(ws) + 1 for ws in lists])
             stops = np.cumsum(sizes)
-            ranks = np.fromiter((r for ws in lists for r in [*[get(w, -1) for w in ws], end]), np.int64, int(sizes.sum()))
+            flat: list[int] = []
+            for ws in lists:
+                flat += [get(w, -1) for w in ws]
+                flat.append(end)
+            ranks = np.fromiter(flat, np.int64, len(flat))
             kind = kinds[ranks]
             keys: list[bytes] = []
             tfs: list[int] = []
@@ -262,20 +276,22 @@ class Hmm:
 
     def _forward(self, seqs: list[np.ndarray], alpha: np.ndarray, first: bool) -> tuple[np.ndarray, np.ndarray]:
         """Scaled recursion over sequences sorted by falling length; natural
-        logs of the scales and the last state distributions."""
+        logs of the scales and the last state distributions.  Every ``RESCALE``
+        steps the states' sum becomes 1 again, and where a sequence ends."""
         sizes = np.array([len(s) for s in seqs])
         begin, flat = np.cumsum(sizes) - sizes, np.concatenate(seqs)
         logs, alpha = np.zeros(len(seqs)), alpha.astype(np.float64)
-        active = len(seqs)
-        for t in range(int(sizes[0])):
-            while sizes[active - 1] <= t:
-                active -= 1
-            now = alpha[:active] if first and t == 0 else alpha[:active] @ self.move
-            now = now * self.emit[flat[begin[:active] + t]]
-            scale = now.sum(axis=1)
-            alpha[:active] = now / scale[:, None]
-            logs[:active] += np.log(scale)
-        return logs, alpha
+        active = np.searchsorted(-sizes, -np.arange(int(sizes[0]))).tolist()  # rows longer than t
+        for t, n in enumerate(active):
+            e = self.emit.take(flat[begin[:n] + t], axis=0)
+            e *= alpha[:n] if first and t == 0 else alpha[:n] @ self.move
+            if t % RESCALE == RESCALE - 1:
+                scale = e.sum(axis=1)
+                e /= scale[:, None]
+                logs[:n] += np.log(scale)
+            alpha[:n] = e
+        scale = alpha.sum(axis=1)
+        return logs + np.log(scale), alpha / scale[:, None]
 
     def _forward_long(self, seq: np.ndarray) -> float:
         """Pieces in parallel, each from every state; then piece after piece."""

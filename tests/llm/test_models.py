@@ -211,3 +211,29 @@ def test_language_model_without_training_text(docs_of):
     (row,) = hmm_lm.text_scores(docs_of([(only, "a b")])).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0)
     assert math.isclose(row.base_score, 0.0, abs_tol=1e-9) and math.isfinite(row.score)
+
+
+def test_hmm_scales_rarely_and_remembers_endings():  # op2: the same scores and classes in fewer steps
+    import numpy as np
+
+    from feedlake.llm import hmm_lm
+
+    rng = np.random.default_rng(3)
+    emit, move = rng.gamma(0.3, size=(50, 4)) + 1e-17, rng.random((4, 4))
+    model = hmm_lm.Hmm(np.full(4, 0.25), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    seqs = [rng.integers(0, 50, n) for n in (1, 7, 8, 9, 16, 17, 300, hmm_lm.EXACT + 70)]
+    want = []
+    for seq in seqs:  # a step at a time, scaled at each
+        state, log = model.start, 0.0
+        for t, c in enumerate(seq):
+            state = (state if t == 0 else state @ model.move) * model.emit[c]
+            log += np.log10(state.sum())
+            state = state / state.sum()
+        want.append(log)
+    assert np.allclose(model.log_likelihoods(seqs), want, rtol=1e-12)
+    rare = np.full((50, 4), 3e-18)  # as rare as classes get: nothing underflows
+    assert np.allclose(hmm_lm.Hmm(model.start, model.move, rare).log_likelihoods([np.zeros(9, int)]), [9 * np.log10(3e-18)])
+    before = hmm_lm._class_of.cache_info().misses
+    keys = [b"w%dxyz" % n for n in range(1000, 3000)]
+    assert len({hmm_lm.ending_class(k) for k in keys}) == 1
+    assert hmm_lm._class_of.cache_info().misses - before <= 1
